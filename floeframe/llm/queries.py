@@ -19,6 +19,29 @@ def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN)
 
 
+def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from floeframe.llm.weak_labels import classified
+
+    return classified(table(spark, sf_dir, "documents"))
+
+
+def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from floeframe.llm.quality_rules import rules
+
+    return rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op7_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from floeframe.llm.common import new_path
+    from floeframe.llm.token_store import checks, write
+
+    path = new_path(spark, "tokens")
+    write(table(spark, sf_dir, "documents"), path, public_tokenizers.path("word_bpe_49k.json"))
+    return checks(spark, path)
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -28,7 +51,13 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {"op4_byte_bpe": op4_byte_bpe, "op10_packing": op10_packing}
+    return {
+        "op3_quality_classifier": op3_quality_classifier,
+        "op4_byte_bpe": op4_byte_bpe,
+        "op6_quality_rules": op6_quality_rules,
+        "op7_token_store": op7_token_store,
+        "op10_packing": op10_packing,
+    }
 
 
 def oracle_sql() -> dict[str, str]:
