@@ -42,6 +42,12 @@ def op7_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return checks(spark, path)
 
 
+def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from floeframe.llm.licenses import scanned
+
+    return scanned(table(spark, sf_dir, "documents"))
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -56,6 +62,7 @@ def queries() -> dict[str, Query]:
         "op4_byte_bpe": op4_byte_bpe,
         "op6_quality_rules": op6_quality_rules,
         "op7_token_store": op7_token_store,
+        "op9_license_scan": op9_license_scan,
         "op10_packing": op10_packing,
     }
 
