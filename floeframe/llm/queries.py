@@ -42,6 +42,12 @@ def op7_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return checks(spark, path)
 
 
+def op8_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from floeframe.llm.personal import personal_data
+
+    return personal_data(table(spark, sf_dir, "documents"))
+
+
 def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     from floeframe.llm.licenses import scanned
 
@@ -62,6 +68,7 @@ def queries() -> dict[str, Query]:
         "op4_byte_bpe": op4_byte_bpe,
         "op6_quality_rules": op6_quality_rules,
         "op7_token_store": op7_token_store,
+        "op8_personal_data": op8_personal_data,
         "op9_license_scan": op9_license_scan,
         "op10_packing": op10_packing,
     }
