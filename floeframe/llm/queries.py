@@ -25,6 +25,12 @@ def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classified(table(spark, sf_dir, "documents"))
 
 
+def op5_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from floeframe.llm.html_text import extracted
+
+    return extracted(table(spark, sf_dir, "pages"))
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     from floeframe.llm.quality_rules import rules
 
@@ -66,6 +72,7 @@ def queries() -> dict[str, Query]:
     return {
         "op3_quality_classifier": op3_quality_classifier,
         "op4_byte_bpe": op4_byte_bpe,
+        "op5_html_text": op5_html_text,
         "op6_quality_rules": op6_quality_rules,
         "op7_token_store": op7_token_store,
         "op8_personal_data": op8_personal_data,
