@@ -19,6 +19,12 @@ def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN)
 
 
+def op1_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from floeframe.llm.top_k import top_k
+
+    return top_k(table(spark, sf_dir, "embeddings"))
+
+
 def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     from floeframe.llm.weak_labels import classified
 
@@ -70,6 +76,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {
+        "op1_top_k": op1_top_k,
         "op3_quality_classifier": op3_quality_classifier,
         "op4_byte_bpe": op4_byte_bpe,
         "op5_html_text": op5_html_text,
@@ -81,5 +88,20 @@ def queries() -> dict[str, Query]:
     }
 
 
+#: Brute force: every query against every row.
+TOP_K = """
+WITH v AS (
+    SELECT vec_id, [CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS e
+    FROM embeddings WHERE embedding IS NOT NULL AND len(embedding) > 0 AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+), s AS (
+    SELECT q.vec_id AS query_id, p.vec_id, CAST(list_inner_product(CAST(q.e AS DOUBLE[]), CAST(p.e AS DOUBLE[])) AS BIGINT) AS score
+    FROM v q JOIN v p ON q.vec_id % 20 = 0 AND p.vec_id <> q.vec_id
+), r AS (
+    SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score FROM s
+)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op1_top_k": TOP_K}
