@@ -25,6 +25,12 @@ def op1_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(table(spark, sf_dir, "embeddings"))
 
 
+def op2_near_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from floeframe.llm.near_copies import classes
+
+    return classes(table(spark, sf_dir, "documents"))
+
+
 def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     from floeframe.llm.weak_labels import classified
 
@@ -77,6 +83,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     return {
         "op1_top_k": op1_top_k,
+        "op2_near_copies": op2_near_copies,
         "op3_quality_classifier": op3_quality_classifier,
         "op4_byte_bpe": op4_byte_bpe,
         "op5_html_text": op5_html_text,
@@ -103,5 +110,28 @@ SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20
 """
 
 
+#: Shingles as text; components by repeated reachability.
+NEAR_COPIES = r"""
+WITH RECURSIVE w AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS words FROM documents
+), s AS (
+    SELECT DISTINCT doc_id, unnest(CASE WHEN len(words) = 0 THEN [] WHEN len(words) < 5 THEN [array_to_string(words, ' ')]
+        ELSE [array_to_string(words[i:i + 4], ' ') FOR i IN range(1, len(words) - 3)] END) AS g FROM w
+), n AS (
+    SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id
+), links AS (
+    SELECT a.doc_id AS a, b.doc_id AS b FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id
+    JOIN n x ON x.doc_id = a.doc_id JOIN n y ON y.doc_id = b.doc_id
+    GROUP BY a.doc_id, b.doc_id, x.n, y.n HAVING 100 * count(*) >= 80 * (x.n + y.n - count(*))
+), reach(a, b) AS (
+    SELECT a, b FROM links UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a
+), least AS (
+    SELECT a, min(b) AS b FROM reach GROUP BY a
+)
+SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, least(d.doc_id, coalesce(least.b, d.doc_id)) AS component_id
+FROM documents d LEFT JOIN n USING (doc_id) LEFT JOIN least ON least.a = d.doc_id
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_top_k": TOP_K}
+    return {"op1_top_k": TOP_K, "op2_near_copies": NEAR_COPIES}
