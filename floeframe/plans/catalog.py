@@ -2,5 +2,493 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-SQL: dict = {}
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from floeframe.functions import codes, encodings, geo, masks, tiling
+from floeframe.operators import audit, explore, matching, moments, patches, resampling, sampling, scores, validation
+from floeframe.plans.adapters import CHIPS, CODE_MEANS, PIXELS, POLYGONS, SIDE, pixels, polygons, table
+from floeframe.plans.adapters import codes as chart_codes
+from floeframe.schema import FRACTIONS
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+SQL: dict[str, str] = {}
+
+
+def query(sql: str | None):
+    def add(f):
+        QUERIES[f.__name__] = f
+        if sql:
+            SQL[f.__name__] = sql
+        return f
+
+    return add
+
+
+def rounded(df: DataFrame, *columns: str, digits: int = 6) -> DataFrame:
+    """Rounded, and without a negative zero."""
+    return df.withColumns({c: F.round(F.col(c).cast("double"), digits) + 0.0 for c in columns})
+
+
+def r6(x: str, name: str) -> str:
+    return f"round({x}, 6) + 0.0 AS {name}"
+
+
+def valid_pixels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pixels(spark, sf_dir).withColumn("valid", masks.valid(F.col("hh"), F.col("hv"), F.col("distance")))
+
+
+def charted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Valid pixels with the tenths of their polygon."""
+    named = chart_codes(spark, sf_dir).withColumn("CT", codes.field(F.col("header"), F.col("code"), "CT"))
+    px = valid_pixels(spark, sf_dir).withColumn("poly_id", masks.polygon(F.col("poly_id")))
+    return matching.chart_tenths(px, named)
+
+
+def chipped(px: DataFrame) -> DataFrame:
+    each = tiling.with_chips(px, F.lit(SIDE), F.lit(SIDE))
+    return each.withColumn("chip_id", tiling.chip_id(F.col("scene_id"), F.col("row0"), F.col("col0")))
+
+
+CHARTED = f"{PIXELS}, {CODE_MEANS}, ch AS (SELECT pv.*, cm.ct FROM pv LEFT JOIN cm ON pv.poly_id = cm.poly_id AND pv.poly_id <> 65535)"
+CHIPPED = f"{CHARTED}, {CHIPS.replace('FROM pv v', 'FROM ch v')}"
+_COUNTS = ", ".join(f"count(*) FILTER (round_even(ct, 0) = {k}) AS c{k}" for k in range(11))
+_SHARES = ", ".join(f"CASE WHEN n > 0 THEN CAST(c{k} / n::DOUBLE AS FLOAT) END AS frac_sic{k}" for k in range(11))
+
+
+@query(f"""WITH {CHIPPED}, c AS (
+    SELECT scene_id, chip_id, patch_i, patch_j, count(ct) AS n, {_COUNTS} FROM chips GROUP BY ALL
+), f AS (SELECT scene_id, chip_id, patch_i, patch_j, n, {_SHARES} FROM c)
+SELECT scene_id, chip_id, patch_i, patch_j, {", ".join(f"frac_sic{k}" for k in range(11))}, n / 64.0::DOUBLE AS valid_class_fraction,
+    CASE WHEN n > 0 THEN floor({" + ".join(f"{k} * frac_sic{k}::DOUBLE" for k in range(11))}) ELSE -1 END AS label,
+    coalesce(greatest({", ".join(f"frac_sic{k}" for k in range(11))}) = 1, false) AS is_pure FROM f""")
+def patch_labels(spark, sf_dir):
+    made = patches.labels(chipped(charted(spark, sf_dir)))
+    # a NaN label is shown as -1: NaN has no one text form
+    return made.withColumn("label", F.when(F.isnan("label"), -1.0).otherwise(F.col("label"))).select(*patches.KEY, *FRACTIONS, "valid_class_fraction", "label", "is_pure")
+
+
+_RADAR = ", ".join(f"CASE WHEN count(*) FILTER (valid) > 0 THEN round({f}({x}) FILTER (valid), 6) + 0.0 END AS {n}" for f, x, n in (("avg", "hh", "hh_mean"), ("avg", "hv", "hv_mean"), ("stddev_pop", "hh", "hh_std"), ("stddev_pop", "hv", "hv_std"), ("avg", "hv - hh", "hv_hh_ratio")))
+
+
+@query(f"WITH {PIXELS}, {CHIPS} SELECT scene_id, chip_id, patch_i, patch_j, {_RADAR}, count(*) FILTER (valid) / 64.0::DOUBLE AS valid_fraction FROM chips GROUP BY ALL")
+def patch_radar(spark, sf_dir):
+    made = patches.radar(chipped(valid_pixels(spark, sf_dir)))
+    five = ["hh_mean", "hv_mean", "hh_std", "hv_std", "hv_hh_ratio"]
+    return rounded(made.withColumns({c: masks.null_if_nan(F.col(c)) for c in five}), *five)
+
+
+@query(f"WITH {PIXELS}, {CHIPS} SELECT scene_id, chip_id, patch_i, patch_j, CASE WHEN bool_or(isnan(t2m)) THEN NULL ELSE round(avg(t2m), 6) END AS t2m FROM chips GROUP BY ALL")
+def patch_means(spark, sf_dir):
+    made = patches.means(chipped(valid_pixels(spark, sf_dir)), ["t2m"])
+    return rounded(made.withColumn("t2m", masks.null_if_nan(F.col("t2m"))), "t2m")
+
+
+@query(f'WITH {PIXELS}, {CHIPS} SELECT scene_id, chip_id, patch_i, patch_j, max(CASE WHEN ("row" - row0) % 8 = 4 AND (col - col0) % 8 = 4 THEN distance END) AS distance_to_land FROM chips GROUP BY ALL')
+def patch_centre_distance(spark, sf_dir):
+    return patches.centre_distance(chipped(valid_pixels(spark, sf_dir)))
+
+
+@query(f"WITH {CHIPPED} SELECT scene_id, chip_id FROM chips GROUP BY ALL HAVING bool_or(valid) AND count(ct) > 0")
+def kept_chips(spark, sf_dir):
+    return patches.kept_chips(chipped(charted(spark, sf_dir)))
+
+
+@query(f"WITH {CHIPPED}, c AS (SELECT scene_id, chip_id, bool_or(valid) AS v, count(ct) > 0 AS l FROM chips GROUP BY ALL) SELECT scene_id, count(*) FILTER (NOT v) AS no_valid, count(*) FILTER (v AND NOT l) AS no_label FROM c GROUP BY scene_id")
+def skipped_chips(spark, sf_dir):
+    return patches.skipped_chips(chipped(charted(spark, sf_dir)))
+
+
+@query(f'WITH {PIXELS}, {CHIPS} SELECT scene_id, chip_id, row0, col0, count(*) AS n, count(DISTINCT patch_i * 32 + patch_j) AS patches FROM chips GROUP BY ALL')
+def overlapping_chips(spark, sf_dir):
+    made = chipped(valid_pixels(spark, sf_dir)).groupBy("scene_id", "chip_id", "row0", "col0")
+    return made.agg(F.count("*").alias("n"), F.count_distinct(F.col("patch_i") * 32 + F.col("patch_j")).alias("patches")).withColumns({c: F.col(c).cast("int") for c in ("row0", "col0")})
+
+
+@query("SELECT o_orderkey, CAST(r.s AS INTEGER) AS row0, CAST(c.s AS INTEGER) AS col0 FROM orders, unnest(range(0, 256 + o_orderkey % 500, 256)) r(s0), unnest(range(0, 300, 256)) c(s0), LATERAL (SELECT least(r.s0, o_orderkey % 500) AS s) r(s), LATERAL (SELECT least(c.s0, 44) AS s) c(s)".replace("r(s0)", "ra(s0)").replace("r.s0", "ra.s0").replace("c(s0)", "ca(s0)").replace("c.s0", "ca.s0"))
+def chip_grid(spark, sf_dir):
+    scenes = table(spark, sf_dir, "orders").select("o_orderkey", (256 + F.col("o_orderkey") % 500).cast("int").alias("height"), F.lit(300).alias("width"))
+    return tiling.chips(scenes).select("o_orderkey", "row0", "col0")
+
+
+@query(f"WITH {PIXELS} SELECT scene_id, round(sum(CASE WHEN valid THEN hh ELSE -12.5 END), 4) AS total, count(*) FILTER (valid) AS n_valid FROM pv GROUP BY scene_id")
+def mask_and_fill(spark, sf_dir):
+    px = valid_pixels(spark, sf_dir)
+    made = px.withColumn("hh", masks.filled(F.col("hh"), F.col("valid"), F.lit(-12.5)))
+    return made.groupBy("scene_id").agg(F.round(F.sum("hh"), 4).alias("total"), F.count_if("valid").alias("n_valid"))
+
+
+@query(f"WITH {PIXELS}, {CODE_MEANS} SELECT poly_id, ct FROM cm")
+def chart_codes_decoded(spark, sf_dir):
+    named = chart_codes(spark, sf_dir).where("scene_id = 'A'").withColumn("CT", codes.field(F.col("header"), F.col("code"), "CT"))
+    return named.select("poly_id", codes.tenths(F.col("CT")).alias("ct"))
+
+
+@query(f"WITH {CHARTED} SELECT scene_id, ct, count(*) AS n FROM ch GROUP BY ALL")
+def charted_pixels(spark, sf_dir):
+    return charted(spark, sf_dir).groupBy("scene_id", "ct").agg(F.count("*").alias("n"))
+
+
+def _recoded(table_: dict, x: str) -> str:
+    return f"CASE {x} " + " ".join(f"WHEN {k} THEN {v}" for k, v in table_.items()) + f" ELSE {x} END"
+
+
+def _dominant(c: str) -> str:
+    add = f"CASE WHEN {c}a = {c}c AND {c}a <> -9 THEN cc WHEN {c}a = {c}b AND {c}a <> -9 THEN cb ELSE 0 END"
+    b = f"cb + CASE WHEN {c}b = {c}c AND {c}b <> -9 THEN cc ELSE 0 END"
+    a = f"ca + {add}"
+    most = f"greatest({a}, {b}, cc)"
+    which = f"CASE WHEN {a} = {most} THEN {c}a WHEN {b} = {most} THEN {c}b ELSE {c}c END"
+    return f"CASE WHEN ct = 0 THEN CASE WHEN {most} > 0 THEN {which} ELSE -9 END WHEN {most} * 100 / ct::DOUBLE >= 65 THEN {which} ELSE -9 END"
+
+
+_FIELDS = ", ".join(f"{_recoded(t, c)} AS {c}" for t, cs in ((codes.CONCENTRATION, ("ct", "ca", "cb", "cc")), (codes.DEVELOPMENT, ("sa", "sb", "sc")), (codes.FLOE, ("fa", "fb", "fc"))) for c in cs)
+
+
+@query(f"""WITH {POLYGONS}, r AS (SELECT poly_id, kind, {_FIELDS} FROM pg), q AS (
+    SELECT * REPLACE (CASE WHEN ct > 0 AND ca = -9 THEN ct ELSE ca END AS ca) FROM r
+), d AS (
+    SELECT poly_id, CASE WHEN lower(kind) = 'w' THEN 0 ELSE ct END AS sic, {_dominant("s")} AS sod,
+        CASE WHEN 255 IN (fa, fb, fc) THEN 255 ELSE {_dominant("f")} END AS floe FROM q
+), w AS (
+    SELECT poly_id, sic, CASE WHEN sic = 0 THEN 0 WHEN sod = -9 THEN 255 ELSE sod END AS sod, CASE WHEN sic = 0 THEN 0 WHEN floe = -9 THEN 255 ELSE floe END AS floe FROM d
+)
+SELECT poly_id, CASE WHEN sic = 99 THEN 255 ELSE sic END::INTEGER AS sic, CASE WHEN sod = 99 THEN 255 ELSE sod END::INTEGER AS sod, CASE WHEN floe = 99 THEN 255 ELSE floe END::INTEGER AS floe FROM w""")
+def polygon_classes(spark, sf_dir):
+    tables = {"c": codes.CONCENTRATION, "s": codes.DEVELOPMENT, "f": codes.FLOE}
+    re = polygons(spark, sf_dir)
+    re = re.withColumns({c: codes.recoded(F.col(c), tables[c[0]]) for c in re.columns if c not in ("poly_id", "kind")})
+    re = re.withColumn("ca", codes.partial_filled(F.col("ct"), F.col("ca")))
+    three = {x: [F.col(x + y) for y in "abc"] for x in "csf"}
+    made = codes.polygon_classes(F.col("ct"), three["c"], three["s"], three["f"], F.col("kind"))
+    return re.select("poly_id", *(c.cast("int").alias(n) for n, c in made.items()))
+
+
+@query("SELECT p_partkey, CASE WHEN p_size % 12 <= 10 THEN concat(p_size % 12 * 10, '%') END AS sic, CASE p_size % 7 WHEN 0 THEN 'Open water' WHEN 1 THEN 'New Ice' WHEN 2 THEN 'Young ice' WHEN 3 THEN 'Thin FYI' WHEN 4 THEN 'Thick FYI' WHEN 5 THEN 'Old ice' END AS sod FROM part")
+def class_names(spark, sf_dir):
+    size = F.col("p_size")
+    return table(spark, sf_dir, "part").select("p_partkey", codes.sic_name(size % 12).alias("sic"), codes.looked_up(size % 7, codes.DEVELOPMENT_NAMES, "string").alias("sod"))
+
+
+_KEEP = "NOT isnan(x) AND x NOT IN (255, 2)"
+
+
+@query(f"""WITH l AS (SELECT l_returnflag AS scene_id, unnest(['hh', 't2m']) AS variable, unnest([l_quantity, CASE WHEN l_linenumber = 6 THEN 'NaN'::DOUBLE ELSE l_extendedprice END]) AS x FROM lineitem)
+SELECT scene_id, variable, count(*) AS n, {r6("avg(x)", "mean")}, {r6("stddev_pop(x)", "std")}, min(x) AS min, max(x) AS max FROM l WHERE {_KEEP} GROUP BY ALL""")
+def scene_moments(spark, sf_dir):
+    return rounded(moments.scene_moments(_variables(spark, sf_dir), masks.for_statistics), "mean", "std").drop("m2")
+
+
+def _variables(spark, sf_dir):
+    wide = table(spark, sf_dir, "lineitem").select(F.col("l_returnflag").alias("scene_id"), F.col("l_quantity").alias("hh"), F.when(F.col("l_linenumber") == 6, F.lit(float("nan"))).otherwise(F.col("l_extendedprice")).alias("t2m"))
+    return moments.unpivoted(wide, ["hh", "t2m"])
+
+
+@query(f"""WITH l AS (SELECT unnest(['hh', 't2m']) AS variable, unnest([l_quantity, CASE WHEN l_linenumber = 6 THEN 'NaN'::DOUBLE ELSE l_extendedprice END]) AS x FROM lineitem)
+SELECT variable, round(avg(x), 4) AS mean, round(stddev_pop(x), 4) AS std, count(*) AS n_pixels FROM l WHERE {_KEEP} GROUP BY ALL""")
+def corpus_moments(spark, sf_dir):
+    return moments.finished(moments.merged(moments.scene_moments(_variables(spark, sf_dir), masks.for_statistics)), 4)
+
+
+_AUDIT = f"""WITH {PIXELS}, a AS (SELECT scene_id, count(*) FILTER (distance <> 0) AS n_not_land_pixels,
+    count(*) FILTER (distance <> 0 AND NOT isnan(hh)) AS primary_valid_pixels, count(*) FILTER (distance <> 0 AND NOT isnan(hv)) AS secondary_valid_pixels,
+    count(*) FILTER (valid) AS combined_valid_pixels, count(*) FILTER (distance <> 0 AND NOT isnan(hh) AND isnan(hv)) AS primary_only_pixels,
+    count(*) FILTER (distance <> 0 AND isnan(hh) AND NOT isnan(hv)) AS secondary_only_pixels
+    FROM (SELECT * REPLACE (scene_id || '_' || poly_id AS scene_id) FROM pv) GROUP BY scene_id HAVING n_not_land_pixels > 0)"""
+
+
+def _audited(spark, sf_dir):
+    return audit.scene_counts(valid_pixels(spark, sf_dir).withColumn("scene_id", F.concat_ws("_", "scene_id", "poly_id")))
+
+
+@query(f"{_AUDIT} SELECT * FROM a")
+def nodata_audit(spark, sf_dir):
+    return _audited(spark, sf_dir)
+
+
+@query(f"{_AUDIT} SELECT {', '.join(f'sum({c})::BIGINT AS {c}' for c in audit.COUNTS)}, {', '.join(r6(f'sum({x}_valid_pixels) / sum(n_not_land_pixels)::DOUBLE', f'{x}_fraction') for x in ('primary', 'secondary', 'combined'))} FROM a")
+def nodata_shares(spark, sf_dir):
+    return rounded(audit.corpus_shares(_audited(spark, sf_dir)), *(f"{x}_fraction" for x in ("primary", "secondary", "combined")))
+
+
+@query(f"{_AUDIT} SELECT scene_id, {r6('(primary_only_pixels + secondary_only_pixels) / n_not_land_pixels::DOUBLE', 'mismatch_fraction')} FROM a ORDER BY (primary_only_pixels + secondary_only_pixels) / n_not_land_pixels::DOUBLE DESC, scene_id LIMIT 10")
+def worst_scenes(spark, sf_dir):
+    return rounded(audit.worst(_audited(spark, sf_dir)), "mismatch_fraction")
+
+
+@query("SELECT o_orderpriority AS scene_id, count(*) AS n_amsr2_pixels, count(*) FILTER (o_custkey % 10 <> 0) AS amsr2_valid_pixels FROM orders GROUP BY 1")
+def native_grid_audit(spark, sf_dir):
+    rows = table(spark, sf_dir, "orders").select(F.col("o_orderpriority").alias("scene_id"), F.lit("btemp_6_9h").alias("band"), F.when(F.col("o_custkey") % 10 == 0, F.lit(float("nan"))).otherwise(F.col("o_totalprice")).alias("value"))
+    return audit.native_counts(rows, ["btemp_6_9h"], "amsr2")
+
+
+@query("SELECT 's' || o_custkey % 50 AS scene_id, count(*) FILTER (n > 3) AS above, count(*) FILTER (n < 3) AS below FROM (SELECT o_custkey, count(*) AS n FROM orders GROUP BY 1) GROUP BY 1")
+def chip_sizes(spark, sf_dir):
+    rows = table(spark, sf_dir, "orders").select(F.concat(F.lit("s"), F.col("o_custkey") % 50).alias("scene_id"), F.col("o_custkey").alias("chip_id"))
+    return validation.chip_sizes(rows, 3)
+
+
+@query("SELECT o_custkey, count(*) AS copies FROM orders GROUP BY 1 HAVING copies > 1")
+def duplicate_ids(spark, sf_dir):
+    return validation.duplicates(table(spark, sf_dir, "orders"), "o_custkey")
+
+
+@query("SELECT coalesce(a.k, b.k) AS k, CASE WHEN b.k IS NULL THEN 'left' ELSE 'right' END AS side FROM (SELECT DISTINCT c_custkey AS k FROM customer) a FULL JOIN (SELECT DISTINCT o_custkey + 20 AS k FROM orders) b ON a.k = b.k WHERE a.k IS NULL OR b.k IS NULL")
+def one_sided_ids(spark, sf_dir):
+    left = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("k"))
+    return validation.one_sided(left, table(spark, sf_dir, "orders").select((F.col("o_custkey") + 20).alias("k")), "k")
+
+
+@query("SELECT label, count(*) FILTER (len(embedding) <> 64) AS wrong_length, count(*) FILTER (embedding[1] < -0.1 OR embedding[1] > 0.1) AS out_of_bounds FROM embeddings GROUP BY label")
+def token_checks(spark, sf_dir):
+    first = F.get("embedding", F.lit(0)).cast("double")
+    rows = table(spark, sf_dir, "embeddings").groupBy("label")
+    return rows.agg(F.count_if(F.size("embedding") != 64).alias("wrong_length"), F.count_if(validation.out_of_bounds(first, -0.1, 0.1)).alias("out_of_bounds"))
+
+
+_FEATURES = ("l_quantity", "l_extendedprice", "l_discount", "l_tax")
+
+
+@query("WITH p AS (" + " UNION ALL ".join(f"SELECT l_returnflag AS scene_id, '{x}' AS x, '{y}' AS y, {r6(f'corr({x}, {y})', 'r')} FROM lineitem GROUP BY 1" for i, x in enumerate(_FEATURES) for y in _FEATURES[i:]) + ") SELECT * FROM p")
+def correlations(spark, sf_dir):
+    rows = table(spark, sf_dir, "lineitem").withColumnRenamed("l_returnflag", "scene_id")
+    return rounded(explore.correlations(rows, list(_FEATURES), ["scene_id"]), "r")
+
+
+@query("WITH p AS (SELECT l_suppkey % 20 AS s, corr(l_quantity, l_extendedprice) AS r FROM lineitem GROUP BY 1 HAVING count(*) >= 100) SELECT round(tanh(avg(atanh(greatest(-0.9999, least(0.9999, r))))), 6) AS r FROM p")
+def fisher_mean(spark, sf_dir):
+    rows = explore.enough(table(spark, sf_dir, "lineitem").withColumn("s", F.col("l_suppkey") % 20), "s", 100)
+    each = explore.correlations(rows, ["l_quantity", "l_extendedprice"], ["s"]).where("x <> y")
+    return rounded(explore.fisher_mean(each, []), "r")
+
+
+@query(f"SELECT l_returnflag, round(regr_slope(l_extendedprice, l_quantity), 4) AS slope, round(regr_intercept(l_extendedprice, l_quantity), 4) AS intercept, {r6('corr(l_extendedprice, l_quantity)', 'r')} FROM lineitem GROUP BY 1")
+def angle_fit(spark, sf_dir):
+    made = explore.line_fit(table(spark, sf_dir, "lineitem"), "l_extendedprice", "l_quantity", ["l_returnflag"])
+    return rounded(rounded(made, "slope", "intercept", digits=4), "r")
+
+
+@query(f"SELECT c.k AS class, count(q) AS n, {r6('count(q) * 100.0 / (SELECT count(*) FROM lineitem WHERE l_quantity < 11)', 'percent')} FROM range(11) c(k) LEFT JOIN (SELECT floor(l_quantity) AS q FROM lineitem WHERE l_quantity < 11) ON q = c.k GROUP BY 1")
+def class_shares(spark, sf_dir):
+    return rounded(explore.class_shares(table(spark, sf_dir, "lineitem").where("l_quantity < 11"), "l_quantity"), "percent")
+
+
+@query("SELECT CAST(least(floor((value - 0) / (100.0 / 20)) + 1, 20) AS BIGINT) AS bin, count(*) AS n FROM events WHERE value BETWEEN 0 AND 100 GROUP BY 1")
+def value_histogram(spark, sf_dir):
+    return explore.histogram(table(spark, sf_dir, "events"), "value", 0.0, 100.0, 20)
+
+
+@query("SELECT event_type, round(quantile_cont(value, 0.02), 6) AS p2, round(quantile_cont(value, 0.5), 6) AS p50, round(quantile_cont(value, 0.98), 6) AS p98 FROM events GROUP BY 1")
+def value_percentiles(spark, sf_dir):
+    return rounded(explore.percentiles(table(spark, sf_dir, "events"), "value", [0.02, 0.5, 0.98], ["event_type"]), "p2", "p50", "p98")
+
+
+@query("SELECT strftime(o_orderdate, '%Y-%m') AS month, round(quantile_cont(o_totalprice, 0.5), 6) AS p50 FROM orders GROUP BY 1")
+def monthly_medians(spark, sf_dir):
+    rows = table(spark, sf_dir, "orders").withColumn("month", F.date_format("o_orderdate", "yyyy-MM"))
+    return rounded(explore.percentiles(rows, "o_totalprice", [0.5], ["month"]), "p50")
+
+
+@query("SELECT v AS variable, count(*) AS n, round(avg(x), 3) AS mean, round(stddev_pop(x), 3) AS std, round(min(x), 3) AS min, round(max(x), 3) AS max FROM (SELECT unnest(['l_quantity', 'l_tax']) AS v, unnest([CASE WHEN l_quantity = 3 THEN 255 ELSE l_quantity END, l_tax]) AS x FROM lineitem) WHERE x <> 255 GROUP BY 1")
+def variable_summary(spark, sf_dir):
+    rows = table(spark, sf_dir, "lineitem").withColumn("l_quantity", F.when(F.col("l_quantity") == 3, 255.0).otherwise(F.col("l_quantity")))
+    return explore.summary(rows, ["l_quantity", "l_tax"], masks.for_summary)
+
+
+@query(f'WITH {PIXELS} SELECT scene_id, CAST("row" // 10 AS BIGINT) AS "row", CAST(col // 20 AS BIGINT) AS col, {r6("avg(hh) FILTER (NOT isnan(hh))", "hh")} FROM px GROUP BY 1, 2, 3')
+def block_means(spark, sf_dir):
+    return rounded(explore.block_means(pixels(spark, sf_dir), "hh", 10, 20, ["scene_id"]), "hh")
+
+
+@query(f'WITH {PIXELS} SELECT scene_id, "row", col, hv FROM px WHERE "row" % 4 = 0 AND col % 3 = 0 AND "row" < 160 AND col < 90 AND NOT isnan(hv)')
+def stride_sample(spark, sf_dir):
+    return tiling.decimated(pixels(spark, sf_dir), 4, 3, 40, 30).where(~F.isnan("hv")).select("scene_id", "row", "col", "hv")
+
+
+@query("SELECT l_returnflag AS scene_id, min(l_tax * 10 + 60) AS min_lat, max(l_tax * 10 + 60) AS max_lat, min(-l_quantity) AS min_lon, max(-l_quantity) AS max_lon, round(avg(l_tax * 10 + 60), 6) AS mid_lat, round(avg(-l_quantity), 6) AS mid_lon FROM lineitem GROUP BY 1")
+def scene_box(spark, sf_dir):
+    points = table(spark, sf_dir, "lineitem").select(F.col("l_returnflag").alias("scene_id"), (F.col("l_tax") * 10 + 60).alias("lat"), (-F.col("l_quantity")).alias("lon"))
+    return rounded(explore.bounding_box(points, ["scene_id"]), "mid_lat", "mid_lon")
+
+
+@query(f"WITH {POLYGONS} SELECT DISTINCT chart, value::BIGINT AS value FROM (SELECT unnest(['ct', 'sa', 'fa']) AS chart, unnest([ct, sa, fa]) AS value FROM pg)")
+def chart_values(spark, sf_dir):
+    return explore.distinct_values(polygons(spark, sf_dir), ["ct", "sa", "fa"])
+
+
+_TIME = "CAST(round(round({f}({x}), 4) + 0.0, 4) AS DOUBLE)"
+
+
+@query("SELECT event_id, " + ", ".join(f"round({f}({x})::FLOAT::DOUBLE, 4) + 0.0 AS {f}_{n}" for x, n in (("week(ts) * 2 * pi() / 52", "week"), ("(hour(ts) + minute(ts) / 60.0::DOUBLE) * 2 * pi() / 24", "hour")) for f in ("sin", "cos")) + " FROM events")
+def cyclic_time(spark, sf_dir):
+    names = ["sin_week", "cos_week", "sin_hour", "cos_hour"]
+    made = encodings.time_encoding(F.col("ts").cast("timestamp_ntz"))
+    return rounded(table(spark, sf_dir, "events").select("event_id", *(c.alias(n) for c, n in zip(made, names))), *names, digits=4)
+
+
+@query("SELECT c_custkey, " + ", ".join(f"round({f}(radians({x}))::FLOAT::DOUBLE, 4) + 0.0 AS {f}_{n}" for x, n in (("c_acctbal / 120", "lat"), ("c_custkey % 360 - 180", "lon")) for f in ("sin", "cos")) + " FROM customer")
+def cyclic_place(spark, sf_dir):
+    names = ["sin_lat", "cos_lat", "sin_lon", "cos_lon"]
+    made = encodings.place_encoding(F.col("c_acctbal") / 120, (F.col("c_custkey") % 360 - 180).cast("double"))
+    return rounded(table(spark, sf_dir, "customer").select("c_custkey", *(c.alias(n) for c, n in zip(made, names))), *names, digits=4)
+
+
+@query("SELECT o_orderkey, CAST(date_trunc('second', o_orderdate) AS TIMESTAMP) AS ts, CASE WHEN year(o_orderdate) BETWEEN 1993 AND 1995 THEN strftime(o_orderdate, '%Y-%m') END AS month FROM orders")
+def scene_times(spark, sf_dir):
+    name = F.concat(F.lit("S1A_EW_GRDM_1SDH_"), F.date_format("o_orderdate", "yyyyMMdd'T'HHmmss"), F.lit("_prep.nc"))
+    return table(spark, sf_dir, "orders").select("o_orderkey", encodings.scene_time(name).cast("timestamp_ntz").alias("ts"), encodings.year_month(name, 1993, 1995).alias("month"))
+
+
+@query("SELECT vec_id, round(list_sum([(x::DOUBLE - 0.01) / 0.125 FOR x IN embedding]), 4) AS total FROM embeddings")
+def standardised_vectors(spark, sf_dir):
+    made = encodings.standardised(F.col("embedding").cast("array<double>"), F.lit(0.01), F.lit(0.125))
+    return table(spark, sf_dir, "embeddings").select("vec_id", F.round(F.aggregate(made, F.lit(0.0), lambda a, x: a + x), 4).alias("total"))
+
+
+@query("SELECT event_id, round(greatest(0, least(1, (value - 10) / 80)), 6) AS scaled FROM events")
+def clip_scaled(spark, sf_dir):
+    return rounded(table(spark, sf_dir, "events").select("event_id", encodings.clip_scaled(F.col("value"), F.lit(10.0), F.lit(90.0)).alias("scaled")), "scaled")
+
+
+@query("SELECT o_orderkey, round(o_totalprice / 1000 * cos(radians(o_custkey)) + 3 * sin(radians(o_custkey)), 6) + 0.0 AS along, round(3 * cos(radians(o_custkey)) - o_totalprice / 1000 * sin(radians(o_custkey)), 6) + 0.0 AS across FROM orders")
+def rotated_wind(spark, sf_dir):
+    along, across = encodings.rotated(F.col("o_totalprice") / 1000, F.lit(3.0), F.col("o_custkey").cast("double"))
+    return rounded(table(spark, sf_dir, "orders").select("o_orderkey", along.alias("along"), across.alias("across")), "along", "across")
+
+
+@query("SELECT p_partkey, CAST(CASE WHEN p_size - 1 <= 0 THEN 0 ELSE 1 + (p_size - 1 >= 5)::INT + (p_size - 1 >= 20)::INT + (p_size - 1 >= 40)::INT END AS INTEGER) AS bin, CAST(floor((p_size * 7 - 180 + 180) / 6) + 1 AS INTEGER) AS zone FROM part")
+def distance_bins(spark, sf_dir):
+    size = F.col("p_size")
+    return table(spark, sf_dir, "part").select("p_partkey", encodings.distance_bin(size - 1, [5, 20, 40]).cast("int").alias("bin"), encodings.utm_zone(size * 7 - 180).alias("zone"))
+
+
+@query("SELECT c_custkey, " + ", ".join(f"round({v}, 6) AS {n}" for n, v in (("lat", "60 + y / 100.0 + x * x * 0"), ("angle", "30 + 2 * y / 100.0 + x / 100.0"))) + " FROM (SELECT c_custkey, c_custkey % 130 AS y, c_custkey * 3 % 120 AS x FROM customer)")
+def bilinear_geolocation(spark, sf_dir):
+    rows = [("s", 100.0 * i, 100.0 * j, 60.0 + i, -80.0 + j, 30.0 + 2 * i + j) for i in range(2) for j in range(2)]
+    grid = geo.control_grids(spark.createDataFrame(rows, "scene_id string, line double, sample double, lat double, lon double, angle double"))
+    at = table(spark, sf_dir, "customer").select("c_custkey", F.lit("s").alias("scene_id"), (F.col("c_custkey") % 130).alias("y"), (F.col("c_custkey") * 3 % 120).alias("x"))
+    made = at.join(grid, "scene_id")
+    pick = lambda name: geo.bilinear(F.col("lines"), F.col("samples"), F.col(name), F.col("y"), F.col("x"))
+    return rounded(made.select("c_custkey", pick("lat").alias("lat"), pick("angle").alias("angle")), "lat", "angle")
+
+
+_GRID = "g AS (SELECT p_partkey // 4 % 4 AS r, p_partkey % 4 AS c, CASE WHEN p_partkey = 5 THEN NULL ELSE p_retailprice END AS v FROM part WHERE p_partkey < 16)"
+
+
+@query(f"""WITH {_GRID}, t AS (SELECT y.i AS "row", x.i AS col, y.i * 3 / 9.0::DOUBLE AS fy, x.i * 3 / 9.0::DOUBLE AS fx FROM range(10) y(i), range(10) x(i)),
+w AS (SELECT "row", col, sum(v * wy * wx) FILTER (v IS NOT NULL) AS s, sum(wy * wx) FILTER (v IS NOT NULL) AS n FROM (
+    SELECT *, greatest(0, 1 - abs(fy - r)) AS wy, greatest(0, 1 - abs(fx - c)) AS wx FROM t, g) GROUP BY 1, 2)
+SELECT "row", col, CASE WHEN n > 1e-6 THEN round(s / n, 6) END AS value FROM w""")
+def gap_safe_resampling(spark, sf_dir):
+    k = F.col("p_partkey")
+    coarse = table(spark, sf_dir, "part").where("p_partkey < 16").select(F.lit("s").alias("scene_id"), F.floor(k / 4).alias("row"), (k % 4).alias("col"), F.lit(4).alias("h"), F.lit(4).alias("w"), F.when(k == 5, F.lit(float("nan"))).otherwise(F.col("p_retailprice")).alias("value"))
+    targets = spark.range(100).select(F.lit("s").alias("scene_id"), F.floor(F.col("id") / 10).alias("row"), (F.col("id") % 10).alias("col"))
+    made = resampling.bilinear(targets, coarse, 10, 10)
+    return rounded(made.withColumn("value", masks.null_if_nan(F.col("value"))), "value").drop("scene_id")
+
+
+@query(f'WITH {_GRID} SELECT y.i AS "row", x.i AS col, v AS value FROM range(10) y(i), range(10) x(i), g WHERE r = y.i * 4 // 10 AND c = x.i * 4 // 10')
+def nearest_resampling(spark, sf_dir):
+    k = F.col("p_partkey")
+    coarse = table(spark, sf_dir, "part").where("p_partkey < 16").select(F.lit("s").alias("scene_id"), F.floor(k / 4).alias("row"), (k % 4).alias("col"), F.lit(4).alias("h"), F.lit(4).alias("w"), F.when(k != 5, F.col("p_retailprice")).alias("value"))
+    targets = spark.range(100).select(F.lit("s").alias("scene_id"), F.floor(F.col("id") / 10).alias("row"), (F.col("id") % 10).alias("col"))
+    return resampling.nearest(targets, coarse, 10, 10).drop("scene_id")
+
+
+_SIDES = "a AS (SELECT event_id, user_id, ts FROM events WHERE event_id % 2 = 0), b AS (SELECT event_id AS other, user_id, ts AS other_ts FROM events WHERE event_id % 2 = 1)"
+
+
+def _sides(spark, sf_dir):
+    e = table(spark, sf_dir, "events")
+    return e.where("event_id % 2 = 0").select("event_id", "user_id", "ts"), e.where("event_id % 2 = 1").select(F.col("event_id").alias("other"), "user_id", F.col("ts").alias("other_ts"))
+
+
+@query(f"WITH {_SIDES} SELECT event_id, other, abs(epoch_us(ts) - epoch_us(other_ts)) / 1000000.0::DOUBLE AS gap_s FROM a JOIN b USING (user_id) WHERE abs(epoch_us(ts) - epoch_us(other_ts)) <= 25200000000")
+def within_hours(spark, sf_dir):
+    return matching.within(*_sides(spark, sf_dir), "user_id", "ts", "other_ts", 7 * 3600).select("event_id", "other", "gap_s")
+
+
+@query(f"WITH {_SIDES}, p AS (SELECT event_id, other, abs(epoch_us(ts) - epoch_us(other_ts)) / 1000000.0::DOUBLE AS gap_s FROM a JOIN b USING (user_id)), r AS (SELECT *, row_number() OVER (PARTITION BY event_id ORDER BY gap_s, other) AS k FROM p WHERE gap_s <= 25200) SELECT event_id, gap_s, other FROM r WHERE k = 1")
+def nearest_in_time(spark, sf_dir):
+    return matching.nearest(*_sides(spark, sf_dir), "user_id", "event_id", "ts", "other_ts", 7 * 3600, ["other"])
+
+
+@query(f'WITH {PIXELS}, {CHIPS}, d AS (SELECT scene_id, "row", col, chip_id, least(patch_i, patch_j, 31 - patch_i, 31 - patch_j) AS depth FROM chips) SELECT scene_id, "row", col, max_by(chip_id, (depth, chip_id)) AS owner FROM d GROUP BY 1, 2, 3')
+def overlap_owner(spark, sf_dir):
+    made = chipped(valid_pixels(spark, sf_dir)).withColumn("owner", F.col("chip_id"))
+    return matching.most_interior(made, ["scene_id", "row", "col"], "owner")
+
+
+@query("SELECT c_custkey, c_name FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders)")
+def not_done(spark, sf_dir):
+    done = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("c_custkey"))
+    return matching.not_done(table(spark, sf_dir, "customer").select("c_custkey", "c_name"), done, "c_custkey")
+
+
+@query("SELECT c_custkey AS scene, 'train' AS split FROM customer UNION ALL SELECT s_suppkey, 'test' FROM supplier")
+def split_union(spark, sf_dir):
+    train = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("scene"), F.lit("train").alias("split"))
+    return train.unionByName(table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("scene"), F.lit("test").alias("split")))
+
+
+@query("SELECT c_nationkey AS k FROM customer UNION SELECT s_nationkey FROM supplier")
+def id_union(spark, sf_dir):
+    return table(spark, sf_dir, "customer").select(F.col("c_nationkey").alias("k")).union(table(spark, sf_dir, "supplier").select("s_nationkey")).distinct()
+
+
+@query("SELECT strftime(o_orderdate, '%Y-%m') AS month, count(*) AS n, min(o_orderkey) AS first_key FROM orders GROUP BY 1")
+def keys_by_month(spark, sf_dir):
+    rows = table(spark, sf_dir, "orders").groupBy(F.date_format("o_orderdate", "yyyy-MM").alias("month"))
+    return rows.agg(F.collect_list("o_orderkey").alias("keys")).select("month", F.size("keys").cast("long").alias("n"), F.array_min("keys").alias("first_key"))
+
+
+@query("SELECT o_orderkey FROM orders ORDER BY o_orderkey LIMIT 25")
+def first_scenes(spark, sf_dir):
+    return table(spark, sf_dir, "orders").select("o_orderkey").orderBy("o_orderkey").limit(25)
+
+
+_PAIRS = "p AS (SELECT n_chars % 9 AS truth, (n_chars + (doc_id % 4 = 0)::INT) % 9 AS predicted, lang FROM documents)"
+
+
+def _scored(spark, sf_dir):
+    n = F.col("n_chars")
+    return table(spark, sf_dir, "documents").select((n % 9).alias("truth"), ((n + (F.col("doc_id") % 4 == 0).cast("int")) % 9).alias("predicted"), "lang")
+
+
+@query(f"WITH {_PAIRS} SELECT lang, round(1 - sum((truth - predicted) * (truth - predicted)) / (var_pop(truth) * count(*)), 6) AS r2 FROM p GROUP BY lang")
+def r_squared(spark, sf_dir):
+    return rounded(scores.r_squared(_scored(spark, sf_dir), ["lang"]), "r2")
+
+
+@query(f"WITH {_PAIRS}, t AS (SELECT truth AS c, count(*) AS support, count(*) FILTER (truth = predicted) AS hits FROM p GROUP BY 1), s AS (SELECT predicted AS c, count(*) AS said FROM p GROUP BY 1) SELECT round(sum(2.0::DOUBLE * hits / (support + coalesce(said, 0)) * support) / sum(support), 6) AS f1 FROM t LEFT JOIN s USING (c)")
+def weighted_f1(spark, sf_dir):
+    return rounded(scores.weighted_f1(_scored(spark, sf_dir)), "f1")
+
+
+@query(f"WITH {_PAIRS} SELECT lang, round(avg(abs(truth - predicted)), 6) AS penalty FROM p GROUP BY lang")
+def ordinal_penalty(spark, sf_dir):
+    return rounded(scores.ordinal_penalty(_scored(spark, sf_dir), ["lang"]), "penalty")
+
+
+@query("SELECT a.vec_id, 128 AS width, round(list_sum(a.embedding)::DOUBLE + list_sum(b.embedding)::DOUBLE, 2) AS total FROM embeddings a JOIN embeddings b ON b.vec_id = a.vec_id // 10".replace("round(list_sum(a.embedding)::DOUBLE + list_sum(b.embedding)::DOUBLE, 2)", "round(list_sum([x::DOUBLE FOR x IN a.embedding]) + list_sum([x::DOUBLE FOR x IN b.embedding]), 4)"))
+def patch_with_chip_token(spark, sf_dir):
+    e = table(spark, sf_dir, "embeddings")
+    patch = e.select("vec_id", F.floor(F.col("vec_id") / 10).alias("chip_id"), F.col("embedding").alias("patch_token"))
+    made = matching.with_chip_token(patch, e.select(F.col("vec_id").alias("chip_id"), F.col("embedding").alias("class_token")), [])
+    total = F.aggregate("vector", F.lit(0.0), lambda a, x: a + x.cast("double"))
+    return made.select("vec_id", F.size("vector").alias("width"), F.round(total, 4).alias("total"))
+
+
+@query("WITH c AS (SELECT o_custkey % 40 AS chip, o_orderkey % 11 AS k FROM orders) SELECT chip, CAST(round_even(avg(k), 0) AS DOUBLE) AS label FROM c GROUP BY 1")
+def chip_labels(spark, sf_dir):
+    rows = table(spark, sf_dir, "orders").select((F.col("o_custkey") % 40).alias("chip"), *((F.col("o_orderkey") % 11 == k).cast("float").alias(f) for k, f in enumerate(FRACTIONS)))
+    return explore.chip_labels(rows, FRACTIONS, ["chip"])
+
+
+@query(None)
+def monthly_sample(spark, sf_dir):
+    """Three orders a month, the same ones each time."""
+    rows = table(spark, sf_dir, "orders").select("o_orderkey", F.date_format("o_orderdate", "yyyy-MM").alias("month"))
+    return sampling.rows_by(rows, "month", "o_orderkey", 3, seed=7)
