@@ -120,10 +120,18 @@ def sets(docs: DataFrame) -> DataFrame:
 def marked(keys: DataFrame, at) -> np.ndarray:
     """FILTER_BITS bits, those set that `at` gives for a row of keys: its size doesn't depend on their number."""
     bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(at, F.lit(64)).cast("int"))
-    words = keys.groupBy(F.shiftright(at, 6).cast("int").alias("w")).agg(F.bit_or(bit).alias("bits")).toPandas()
-    bits = np.zeros(FILTER_BITS // 64, dtype=np.int64)
-    bits[words["w"].to_numpy()] = words["bits"].to_numpy()
-    return bits
+    words = keys.groupBy(F.shiftright(at, 6).cast("int").alias("w")).agg(F.bit_or(bit).alias("bits"))
+    size = 4096
+
+    def pack(g: pd.DataFrame) -> pd.DataFrame:
+        out = np.zeros(size, dtype=np.int64)
+        out[g["w"].to_numpy() % size] = g["bits"].to_numpy()
+        return pd.DataFrame({"chunk": [int(g["w"].iat[0]) // size], "bits": [out.tobytes()]})
+
+    made = np.zeros(FILTER_BITS // 64, dtype=np.int64)
+    for row in words.groupBy(F.floor(F.col("w") / size)).applyInPandas(pack, "chunk int, bits binary").collect():
+        made[row["chunk"] * size : (row["chunk"] + 1) * size] = np.frombuffer(bytes(row["bits"]), dtype=np.int64)
+    return made
 
 
 def needed_texts(docs: DataFrame, ids: DataFrame) -> DataFrame:
@@ -157,6 +165,8 @@ def entered(rows: DataFrame, heads: DataFrame) -> DataFrame:
 
 def linked(docs: DataFrame, pairs: DataFrame) -> DataFrame:
     """Those of pairs (a, b) whose texts have similarity 0.8 or more."""
+    if pairs.limit(1).count() == 0:
+        return pairs.select("a", "b")
     texts = needed_texts(docs, pairs.select(F.explode(F.array("a", "b")).alias("id")))
     both = pairs.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("a_text")), "a").join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("b_text")), "b")
     schema = StructType([StructField("a", LongType()), StructField("b", LongType())])
@@ -176,64 +186,120 @@ def linked(docs: DataFrame, pairs: DataFrame) -> DataFrame:
     return both.select("a", "b", "a_text", "b_text").mapInArrow(verify, schema)
 
 
+def close(n_a: np.ndarray, n_b: np.ndarray) -> np.ndarray:
+    return (5 * n_a >= 4 * n_b) & (5 * n_b >= 4 * n_a)
+
+
+def as_points(column) -> np.ndarray:
+    return np.frombuffer(b"".join(column), dtype="<u2").reshape(-1, DIMENSIONS).astype(np.int32)
+
+
+def bounded(pairs: DataFrame, points: DataFrame) -> DataFrame:
+    """Those of pairs (a, b) whose summed coordinate minima leave room for a similarity of 0.8."""
+    side = lambda x: points.select(F.col("doc_id").alias(x), F.col("n").alias(f"{x}_n"), F.col("counts").alias(f"{x}_counts"))
+    near = pairs.join(side("a"), "a").join(side("b"), "b").where("5 * a_n >= 4 * b_n AND 5 * b_n >= 4 * a_n")
+
+    def keep(batches):
+        for batch in batches:
+            a, b, n_a, n_b, x, y = batch.columns
+            if len(a):
+                room = np.minimum(as_points(x.to_pylist()), as_points(y.to_pylist())).sum(1)
+                batch = batch.filter(pa.array(9 * room >= 4 * (n_a.to_numpy() + n_b.to_numpy())))
+            yield batch.select([0, 1])
+
+    return near.select("a", "b", "a_n", "b_n", "a_counts", "b_counts").mapInArrow(keep, "a long, b long")
+
+
 def index_pairs(rows: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs of places in rows (n, component, points) that different components have and the bound lets pass."""
+    """Pairs of places in rows (n, component, counts) that different components have and the R-tree's bounds let pass."""
     order = np.argsort(rows["n"].to_numpy(), kind="stable")
     n, component = rows["n"].to_numpy()[order], rows["component"].to_numpy()[order]
-    points = np.frombuffer(b"".join(rows["counts"].iloc[order]), dtype="<u2").reshape(len(rows), DIMENSIONS).astype(np.int32)
+    points = as_points(rows["counts"].iloc[order])
     starts = np.arange(0, len(n), LEAF)
     corner = np.maximum.reduceat(points, starts)
     least, most = n[starts], n[np.minimum(starts + LEAF, len(n)) - 1]
-    found_a, found_b = [], []
+    found_a, found_b = [np.zeros(0, dtype=np.int64)], [np.zeros(0, dtype=np.int64)]
     for i, s in enumerate(starts):
-        near = np.flatnonzero((5 * most[i] >= 4 * least[i:]))[:] + i
+        near = np.flatnonzero(5 * most[i] >= 4 * least[i:]) + i
         bound = np.minimum(corner[i], corner[near]).sum(1)
         for j in near[9 * bound >= 4 * (least[i] + least[near])]:
             t = starts[j]
             a, b = np.arange(s, min(s + LEAF, len(n))), np.arange(t, min(t + LEAF, len(n)))
-            ok = (component[a][:, None] != component[b][None]) & (5 * n[a][:, None] >= 4 * n[b][None]) & (5 * n[b][None] >= 4 * n[a][:, None])
+            ok = (component[a][:, None] != component[b][None]) & close(n[a][:, None], n[b][None])
             if i == j:
                 ok &= a[:, None] < b[None]
             x, y = np.nonzero(ok)
-            if len(x):
-                x, y = a[x], b[y]
-                for at in range(0, len(x), 20_000):
-                    u, v = x[at : at + 20_000], y[at : at + 20_000]
-                    good = 9 * np.minimum(points[u], points[v]).sum(1) >= 4 * (n[u] + n[v])
-                    found_a.append(order[u[good]])
-                    found_b.append(order[v[good]])
-    none = np.zeros(0, dtype=np.int64)
-    return (np.concatenate(found_a), np.concatenate(found_b)) if found_a else (none, none)
-
-
-def searched(batches):
-    """Pairs (a, b) of each run of equal (partition, i, j) in sorted batches; a run's rows are at most two blocks."""
-    kept = None
-    key = ["partition", "i", "j"]
+            x, y = a[x], b[y]
+            good = 9 * np.minimum(points[x], points[y]).sum(1) >= 4 * (n[x] + n[y])
+            found_a.append(order[x[good]])
+            found_b.append(order[y[good]])
+    return np.concatenate(found_a), np.concatenate(found_b)
 
-    def pairs_of(frame: pd.DataFrame):
-        out = []
-        for _, g in frame.groupby(key, sort=False):
-            if len(g) > 1:
-                a, b = index_pairs(g)
-                if g["i"].iat[0] != g["j"].iat[0] and len(a):
-                    across = g["block"].to_numpy()[a] != g["block"].to_numpy()[b]
-                    a, b = a[across], b[across]
-                ids = g["doc_id"].to_numpy()
-                out.append(pd.DataFrame({"a": np.maximum(ids[a], ids[b]), "b": np.minimum(ids[a], ids[b])}))
-        return pd.concat(out).drop_duplicates() if out else pd.DataFrame({"a": [], "b": []}).astype("int64")
 
+def runs(batches, key: list[str], pairs_of):
+    """pairs_of whole runs of equal keys in sorted batches. Runs are bounded: small partitions, or two blocks."""
+    kept = None
     for batch in batches:
         frame = batch if kept is None else pd.concat([kept, batch])
-        if not len(frame):
-            continue
-        last = (frame[key] == frame[key].iloc[-1]).all(axis=1).to_numpy()
-        kept = frame[last]
-        yield pairs_of(frame[~last])
+        if len(frame):
+            last = (frame[key] == frame[key].iloc[-1]).all(axis=1).to_numpy()
+            kept = frame[last]
+            yield pairs_of(frame[~last])
     if kept is not None:
         yield pairs_of(kept)
 
 
+def ordered_pairs(ids: np.ndarray, a: np.ndarray, b: np.ndarray) -> pd.DataFrame:
+    return pd.DataFrame({"a": np.maximum(ids[a], ids[b]), "b": np.minimum(ids[a], ids[b])}).drop_duplicates()
+
+
+def in_small(batches):
+    """Pairs (a, b) of different components and fitting sizes in each of the partitions, which have LEAF rows at most."""
+
+    def pairs_of(frame: pd.DataFrame) -> pd.DataFrame:
+        part, ids, component, n = (frame[c].to_numpy() for c in ("partition", "doc_id", "component", "n"))
+        found_a, found_b = [np.zeros(0, dtype=np.int64)], [np.zeros(0, dtype=np.int64)]
+        for step in range(1, min(LEAF, len(part))):
+            ok = (part[step:] == part[:-step]) & (component[step:] != component[:-step]) & close(n[step:], n[:-step])
+            a = np.flatnonzero(ok)
+            found_a.append(a)
+            found_b.append(a + step)
+        return ordered_pairs(ids, np.concatenate(found_a), np.concatenate(found_b))
+
+    return runs(batches, ["partition"], pairs_of)
+
+
+def in_large(batches):
+    """Pairs (a, b) of each pair (i, j) of a larger partition's blocks, by the R-tree over the count vectors."""
+    key = ["partition", "i", "j"]
+
+    def pairs_of(frame: pd.DataFrame) -> pd.DataFrame:
+        out = [pd.DataFrame({"a": [], "b": []}).astype("int64")]
+        for _, g in frame.groupby(key, sort=False):
+            a, b = index_pairs(g)
+            if g["i"].iat[0] != g["j"].iat[0]:
+                across = g["block"].to_numpy()[a] != g["block"].to_numpy()[b]
+                a, b = a[across], b[across]
+            out.append(ordered_pairs(g["doc_id"].to_numpy(), a, b))
+        return pd.concat(out).drop_duplicates()
+
+    return runs(batches, key, pairs_of)
+
+
+def open_pairs(met: DataFrame, labels: DataFrame, points: DataFrame) -> DataFrame:
+    """Pairs (a, b) that share a partition, aren't known to hang together and that the bounds let pass."""
+    member = met.select("partition", "doc_id").join(labels.select(F.col("node").alias("doc_id"), "component"), "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id")).join(points.select("doc_id", "n"), "doc_id")
+    seen = member.groupBy("partition").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("members"))
+    rows = written(member.join(seen.where("low <> high").select("partition", "members"), "partition"), "open")
+    small = rows.where(F.col("members") <= LEAF).select("partition", "doc_id", "component", "n")
+    near = small.repartition("partition").sortWithinPartitions("partition").mapInPandas(in_small, "a long, b long").distinct()
+    large = rows.where(F.col("members") > LEAF).join(points.select("doc_id", "counts"), "doc_id").withColumn("blocks", F.ceil(F.col("members") / BLOCK).cast("int"))
+    large = large.withColumn("block", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    dealt = large.select("partition", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "doc_id", "component", "n", "counts")
+    far = dealt.repartition("partition", "i", "j").sortWithinPartitions("partition", "i", "j").mapInPandas(in_large, "a long, b long").distinct()
+    return bounded(near, points).unionByName(far).distinct()
+
+
 def classes(docs: DataFrame) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every row of docs."""
     made = written(sets(docs), "sets")
@@ -246,18 +312,14 @@ def classes(docs: DataFrame) -> DataFrame:
     met = written(entered(first_ones, heads).join(heads, "partition"), "met")
     # one leader for each document: that of most of its partitions
     led = met.where("doc_id <> lead").groupBy("doc_id", "lead").agg(F.count("*").alias("times")).groupBy(F.col("doc_id").alias("a")).agg(F.max_by("lead", F.struct("times", -F.col("lead"))).alias("b"))
+    points = written(first_ones.select("doc_id", "n", "counts").dropDuplicates(["doc_id"]), "points")
     prints = known.select("doc_id", "print")
-    leaders = written(led.join(prints.select(F.col("doc_id").alias("a"), F.col("print").alias("p")), "a").join(prints.select(F.col("doc_id").alias("b"), F.col("print").alias("q")), "b").where("p <> q").select("a", "b").distinct(), "leaders")
+    unequal = led.join(prints.select(F.col("doc_id").alias("a"), F.col("print").alias("p")), "a").join(prints.select(F.col("doc_id").alias("b"), F.col("print").alias("q")), "b").where("p <> q").select("a", "b").distinct()
+    leaders = written(bounded(unequal, points), "leaders")
     exact = written(exact, "exact")
     first = written(linked(docs, leaders), "links")
     labels = components(exact.unionByName(first))
-    member = met.select("partition", "doc_id").join(labels.select(F.col("node").alias("doc_id"), "component"), "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
-    open_ = member.groupBy("partition").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("members")).where("low <> high").select("partition", F.ceil(F.col("members") / BLOCK).cast("int").alias("blocks"))
-    rows = member.join(open_, "partition").join(known.where(F.col("counts").isNotNull()).select("doc_id", "n", "counts").dropDuplicates(["doc_id"]), "doc_id")
-    rows = rows.withColumn("block", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    dealt = rows.select("partition", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "doc_id", "component", "n", "counts")
-    pairs = dealt.repartition("partition", "i", "j").sortWithinPartitions("partition", "i", "j").mapInPandas(searched, "a long, b long").distinct()
-    tried = written(pairs.join(leaders, ["a", "b"], "left_anti"), "pairs")
+    tried = written(open_pairs(met, labels, points).join(leaders, ["a", "b"], "left_anti"), "pairs")
     second = written(linked(docs, tried), "links")
     final = components(exact.unionByName(first).unionByName(second))
     sized = made.select("doc_id", F.col("n").alias("n_shingles"))
