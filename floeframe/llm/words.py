@@ -10,7 +10,6 @@ import numpy as np
 #: Characters that Python splits at besides the six.
 OTHER_SPACE = re.compile("[\x1c-\x1f\x85\xa0  -     　]")
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
-UPPER = {c: c + 32 for c in range(ord("A"), ord("Z") + 1)}
 
 
 def words_of(text: str) -> list[str]:
@@ -18,7 +17,7 @@ def words_of(text: str) -> list[str]:
 
 
 def ascii_lower(text: str) -> str:
-    return text.lower() if text.isascii() else text.translate(UPPER)
+    return text.encode().lower().decode()  # of bytes, only A-Z change
 
 
 class Numbers(dict):
