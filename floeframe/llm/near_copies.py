@@ -29,12 +29,16 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import ArrayType, BinaryType, LongType, StructField, StructType
 
-from floeframe.llm.common import arrow_map, ids_and_text, written
+from floeframe.llm.common import ids_and_text, new_path, removed, written
 from floeframe.llm.components import components
 from floeframe.llm.words import ascii_lower, words_of
 
-WIDTH, SINGLE, DIMENSIONS, BLOCK, LEAF = 5, 128, 128, 1024, 32
+WIDTH, SINGLE, DIMENSIONS, BLOCK, LEAF = 5, 128, 192, 1024, 32
+#: A coordinate is a byte; the largest one stands for anything from it on.
+FULL = 255
 CACHED = 500_000
+#: Texts of which a task that verifies pairs keeps the shingles.
+KNOWN = 2_000
 STEP, MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 #: Bits of the filter that says which texts a round needs: 8 MB whatever their number.
 FILTER_BITS = 1 << 26
@@ -89,7 +93,7 @@ def partitions(s: np.ndarray) -> np.ndarray:
 
 
 def counts(s: np.ndarray) -> bytes:
-    return np.minimum(np.bincount((s >> np.uint64(7)).astype(np.int64) % DIMENSIONS, minlength=DIMENSIONS), 65535).astype("<u2").tobytes()
+    return np.minimum(np.bincount((s >> np.uint64(7)).astype(np.int64) % DIMENSIONS, minlength=DIMENSIONS), FULL).astype(np.uint8).tobytes()
 
 
 SETS = StructType([StructField("doc_id", LongType()), StructField("n", LongType()), StructField("print", LongType()), StructField("counts", BinaryType()), StructField("partitions", ArrayType(LongType()))])
@@ -172,15 +176,21 @@ def linked(docs: DataFrame, pairs: DataFrame) -> DataFrame:
     schema = StructType([StructField("a", LongType()), StructField("b", LongType())])
 
     def verify(batches):
-        hashes, last, last_set = Hashes(), None, None
+        hashes, known = Hashes(), {}
+
+        def of(text: str) -> np.ndarray:
+            if text not in known:
+                if len(known) >= KNOWN:
+                    known.clear()
+                known[text] = shingles(text, hashes)
+            return known[text]
+
         for batch in batches:
             keep = []
-            for b, a_text, b_text in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), batch.column(3).to_pylist()):
-                if last is None or b_text is not last and b_text != last:
-                    last, last_set = b_text, shingles(b_text, hashes)
-                x = shingles(a_text, hashes)
-                common = len(np.intersect1d(x, last_set, assume_unique=True))
-                keep.append(common > 0 and 100 * common >= 80 * (len(x) + len(last_set) - common))
+            for a_text, b_text in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
+                x, y = of(a_text), of(b_text)
+                common = len(x) + len(y) - len(np.union1d(x, y))
+                keep.append(common > 0 and 100 * common >= 80 * (len(x) + len(y) - common))
             yield batch.filter(pa.array(keep, pa.bool_())).select([0, 1])
 
     return both.select("a", "b", "a_text", "b_text").mapInArrow(verify, schema)
@@ -191,7 +201,17 @@ def close(n_a: np.ndarray, n_b: np.ndarray) -> np.ndarray:
 
 
 def as_points(column) -> np.ndarray:
-    return np.frombuffer(b"".join(column), dtype="<u2").reshape(-1, DIMENSIONS).astype(np.int32)
+    points = np.frombuffer(b"".join(column), dtype=np.uint8).reshape(-1, DIMENSIONS).astype(np.int32)
+    return np.where(points == FULL, 1 << 20, points)
+
+
+def roomy(points: np.ndarray, n: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Whether the summed coordinate minima of the points at a and b leave room for a similarity of 0.8."""
+    out = np.zeros(len(a), dtype=bool)
+    for at in range(0, len(a), 50_000):
+        x, y = a[at : at + 50_000], b[at : at + 50_000]
+        out[at : at + 50_000] = 9 * np.minimum(points[x], points[y]).sum(1) >= 4 * (n[x] + n[y])
+    return out
 
 
 def bounded(pairs: DataFrame, points: DataFrame) -> DataFrame:
@@ -230,7 +250,7 @@ def index_pairs(rows: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
                 ok &= a[:, None] < b[None]
             x, y = np.nonzero(ok)
             x, y = a[x], b[y]
-            good = 9 * np.minimum(points[x], points[y]).sum(1) >= 4 * (n[x] + n[y])
+            good = roomy(points, n, x, y)
             found_a.append(order[x[good]])
             found_b.append(order[y[good]])
     return np.concatenate(found_a), np.concatenate(found_b)
@@ -254,14 +274,15 @@ def ordered_pairs(ids: np.ndarray, a: np.ndarray, b: np.ndarray) -> pd.DataFrame
 
 
 def in_small(batches):
-    """Pairs (a, b) of different components and fitting sizes in each of the partitions, which have LEAF rows at most."""
+    """Pairs (a, b) of different components that the bound lets pass, of partitions of LEAF rows at most: one leaf each."""
 
     def pairs_of(frame: pd.DataFrame) -> pd.DataFrame:
         part, ids, component, n = (frame[c].to_numpy() for c in ("partition", "doc_id", "component", "n"))
+        points = as_points(frame["counts"])
         found_a, found_b = [np.zeros(0, dtype=np.int64)], [np.zeros(0, dtype=np.int64)]
         for step in range(1, min(LEAF, len(part))):
-            ok = (part[step:] == part[:-step]) & (component[step:] != component[:-step]) & close(n[step:], n[:-step])
-            a = np.flatnonzero(ok)
+            a = np.flatnonzero((part[step:] == part[:-step]) & (component[step:] != component[:-step]) & close(n[step:], n[:-step]))
+            a = a[roomy(points, n, a, a + step)]
             found_a.append(a)
             found_b.append(a + step)
         return ordered_pairs(ids, np.concatenate(found_a), np.concatenate(found_b))
@@ -287,32 +308,41 @@ def in_large(batches):
 
 
 def open_pairs(met: DataFrame, labels: DataFrame, points: DataFrame) -> DataFrame:
-    """Pairs (a, b) that share a partition, aren't known to hang together and that the bounds let pass."""
-    member = met.select("partition", "doc_id").join(labels.select(F.col("node").alias("doc_id"), "component"), "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id")).join(points.select("doc_id", "n"), "doc_id")
-    seen = member.groupBy("partition").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("members"))
-    rows = written(member.join(seen.where("low <> high").select("partition", "members"), "partition"), "open")
-    small = rows.where(F.col("members") <= LEAF).select("partition", "doc_id", "component", "n")
-    near = small.repartition("partition").sortWithinPartitions("partition").mapInPandas(in_small, "a long, b long").distinct()
-    large = rows.where(F.col("members") > LEAF).join(points.select("doc_id", "counts"), "doc_id").withColumn("blocks", F.ceil(F.col("members") / BLOCK).cast("int"))
+    """Pairs (a, b) that share a partition, aren't known to hang together and that the bounds let pass.
+
+    Of partitions with the same members, one is searched.
+    """
+    nodes = points.select("doc_id", "n", "counts").join(labels.select(F.col("node").alias("doc_id"), "component"), "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
+    member = written(met.select("partition", "doc_id").join(nodes.select("doc_id", "component"), "doc_id"), "member")
+    seen = member.groupBy("partition").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("members"), F.bit_xor(F.xxhash64("doc_id")).alias("mark"), F.min("doc_id").alias("least"), F.max("doc_id").alias("most"))
+    one = seen.where("low <> high").groupBy("members", "mark", "least", "most").agg(F.min("partition").alias("partition"))
+    rows = written(member.join(one.select("partition", "members"), "partition"), "open").join(nodes.select("doc_id", "n", "counts"), "doc_id")
+    small = rows.where(F.col("members") <= LEAF).select("partition", "doc_id", "component", "n", "counts")
+    near = small.repartition("partition").sortWithinPartitions("partition").mapInPandas(in_small, "a long, b long")
+    large = rows.where(F.col("members") > LEAF).withColumn("blocks", F.ceil(F.col("members") / BLOCK).cast("int"))
     large = large.withColumn("block", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     dealt = large.select("partition", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "doc_id", "component", "n", "counts")
-    far = dealt.repartition("partition", "i", "j").sortWithinPartitions("partition", "i", "j").mapInPandas(in_large, "a long, b long").distinct()
-    return bounded(near, points).unionByName(far).distinct()
+    far = dealt.repartition("partition", "i", "j").sortWithinPartitions("partition", "i", "j").mapInPandas(in_large, "a long, b long")
+    return near.unionByName(far).distinct()
 
 
 def classes(docs: DataFrame) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every row of docs."""
-    made = written(sets(docs), "sets")
+    spark = docs.sparkSession
+    heavy = new_path(spark, "sets")
+    whole = written(sets(docs), "sets", heavy)
+    made = written(whole.select("doc_id", "n", "print"), "sizes")
     known = made.where(F.col("doc_id").isNotNull() & (F.col("n") > 0))
     equal = known.groupBy("print").agg(F.min("doc_id").alias("b"))
     exact = known.join(equal, "print").select(F.col("doc_id").alias("a"), "b").where("a <> b").distinct()
-    first_ones = known.where(F.col("partitions").isNotNull())
+    first_ones = whole.where(F.col("partitions").isNotNull())
     all_entered = first_ones.select("doc_id", F.explode_outer("partitions").alias("partition"))
     heads = written(all_entered.groupBy("partition").agg(F.min("doc_id").alias("lead"), F.max("doc_id").alias("last")).where("lead <> last").select("partition", "lead"), "heads")
     met = written(entered(first_ones, heads).join(heads, "partition"), "met")
     # one leader for each document: that of most of its partitions
     led = met.where("doc_id <> lead").groupBy("doc_id", "lead").agg(F.count("*").alias("times")).groupBy(F.col("doc_id").alias("a")).agg(F.max_by("lead", F.struct("times", -F.col("lead"))).alias("b"))
     points = written(first_ones.select("doc_id", "n", "counts").dropDuplicates(["doc_id"]), "points")
+    removed(spark, heavy)  # half of what the search writes, and no longer read
     prints = known.select("doc_id", "print")
     unequal = led.join(prints.select(F.col("doc_id").alias("a"), F.col("print").alias("p")), "a").join(prints.select(F.col("doc_id").alias("b"), F.col("print").alias("q")), "b").where("p <> q").select("a", "b").distinct()
     leaders = written(bounded(unequal, points), "leaders")
