@@ -64,3 +64,17 @@ def arrow_map(df: DataFrame, columns: Callable[[pa.RecordBatch], list], schema:
 def ids_and_text(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Just the id and the text, a null text as the empty one; other columns and their names play no part."""
     return df.select(F.col(id_col).cast("long").alias(id_col), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias(text_col))
+
+
+class Scratch:
+    """Tables of one job in the shared folder: written down like `written`, and removed together when none is read any more."""
+
+    def __init__(self, spark: SparkSession, name: str):
+        self.spark, self.path, self.made = spark, new_path(spark, name), 0
+
+    def __call__(self, df: DataFrame, name: str) -> DataFrame:
+        self.made += 1
+        return written(df, name, f"{self.path}/{self.made}-{name}")
+
+    def drop(self) -> None:
+        removed(self.spark, self.path)
