@@ -29,11 +29,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import ArrayType, BinaryType, LongType, StructField, StructType
 
-from floeframe.llm.common import ids_and_text, new_path, removed, written
+from floeframe.llm.common import Scratch, ids_and_text, new_path, removed, written
 from floeframe.llm.components import components
 from floeframe.llm.words import ascii_lower, words_of
 
 WIDTH, SINGLE, DIMENSIONS, BLOCK, LEAF = 5, 128, 192, 1024, 32
+#: Coordinates of a second, wider vector that longer documents have besides: with few, they all look alike.
+WIDE, LONG = 2048, 512
 #: A coordinate is a byte; the largest one stands for anything from it on.
 FULL = 255
 CACHED = 500_000
@@ -92,11 +94,11 @@ def partitions(s: np.ndarray) -> np.ndarray:
     return np.concatenate(out)
 
 
-def counts(s: np.ndarray) -> bytes:
-    return np.minimum(np.bincount((s >> np.uint64(7)).astype(np.int64) % DIMENSIONS, minlength=DIMENSIONS), FULL).astype(np.uint8).tobytes()
+def counts(s: np.ndarray, dimensions: int = DIMENSIONS) -> bytes:
+    return np.minimum(np.bincount((s >> np.uint64(7)).astype(np.int64) % dimensions, minlength=dimensions), FULL).astype(np.uint8).tobytes()
 
 
-SETS = StructType([StructField("doc_id", LongType()), StructField("n", LongType()), StructField("print", LongType()), StructField("counts", BinaryType()), StructField("partitions", ArrayType(LongType()))])
+SETS = StructType([StructField("doc_id", LongType()), StructField("n", LongType()), StructField("print", LongType()), StructField("counts", BinaryType()), StructField("wide", BinaryType()), StructField("partitions", ArrayType(LongType()))])
 
 
 def sets(docs: DataFrame) -> DataFrame:
@@ -106,7 +108,7 @@ def sets(docs: DataFrame) -> DataFrame:
     def run(batches):
         hashes, seen = Hashes(), set()
         for batch in batches:
-            sizes, prints, points, keys = [], [], [], []
+            sizes, prints, points, wide, keys = [], [], [], [], []
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 s = shingles(text, hashes)
                 mark = int((mixed(s ^ STEP).sum(dtype=np.uint64) + np.uint64(len(s))).astype(np.int64)) if len(s) else None
@@ -115,8 +117,9 @@ def sets(docs: DataFrame) -> DataFrame:
                 sizes.append(len(s))
                 prints.append(mark)
                 points.append(counts(s) if new else None)
+                wide.append(counts(s, WIDE) if new and len(s) >= LONG else None)
                 keys.append(partitions(s).astype(np.int64) if new else None)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), pa.array(prints, pa.int64()), pa.array(points, pa.binary()), pa.array(keys, schema.field(4).type)], schema=schema)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), pa.array(prints, pa.int64()), pa.array(points, pa.binary()), pa.array(wide, pa.binary()), pa.array(keys, schema.field(5).type)], schema=schema)
 
     return ids_and_text(docs).mapInArrow(run, SETS)
 
@@ -200,8 +203,8 @@ def close(n_a: np.ndarray, n_b: np.ndarray) -> np.ndarray:
     return (5 * n_a >= 4 * n_b) & (5 * n_b >= 4 * n_a)
 
 
-def as_points(column) -> np.ndarray:
-    points = np.frombuffer(b"".join(column), dtype=np.uint8).reshape(-1, DIMENSIONS).astype(np.int32)
+def as_points(column, dimensions: int = DIMENSIONS) -> np.ndarray:
+    points = np.frombuffer(b"".join(column), dtype=np.uint8).reshape(-1, dimensions).astype(np.int32)
     return np.where(points == FULL, 1 << 20, points)
 
 
@@ -214,20 +217,27 @@ def roomy(points: np.ndarray, n: np.ndarray, a: np.ndarray, b: np.ndarray) -> np
     return out
 
 
-def bounded(pairs: DataFrame, points: DataFrame) -> DataFrame:
-    """Those of pairs (a, b) whose summed coordinate minima leave room for a similarity of 0.8."""
-    side = lambda x: points.select(F.col("doc_id").alias(x), F.col("n").alias(f"{x}_n"), F.col("counts").alias(f"{x}_counts"))
-    near = pairs.join(side("a"), "a").join(side("b"), "b").where("5 * a_n >= 4 * b_n AND 5 * b_n >= 4 * a_n")
+def bounded(pairs: DataFrame, vectors: DataFrame, dimensions: int) -> DataFrame:
+    """Those of pairs (a, b) whose summed coordinate minima leave room for a similarity of 0.8, or that lack a vector.
+
+    vectors: (doc_id, n, vector).
+    """
+    side = lambda x: vectors.select(F.col("doc_id").alias(x), F.col("n").alias(f"{x}_n"), F.col("vector").alias(f"{x}_vector"))
+    both = pairs.join(side("a"), "a", "left").join(side("b"), "b", "left")
 
     def keep(batches):
         for batch in batches:
             a, b, n_a, n_b, x, y = batch.columns
-            if len(a):
-                room = np.minimum(as_points(x.to_pylist()), as_points(y.to_pylist())).sum(1)
-                batch = batch.filter(pa.array(9 * room >= 4 * (n_a.to_numpy() + n_b.to_numpy())))
-            yield batch.select([0, 1])
+            good = np.ones(len(a), dtype=bool)
+            known = np.flatnonzero(x.is_valid().to_numpy(False) & y.is_valid().to_numpy(False))
+            for at in range(0, len(known), 2_000):
+                k = pa.array(known[at : at + 2_000])
+                room = np.minimum(as_points(x.take(k).to_pylist(), dimensions), as_points(y.take(k).to_pylist(), dimensions)).sum(1)
+                u, v = n_a.take(k).to_numpy(), n_b.take(k).to_numpy()
+                good[known[at : at + 2_000]] = (9 * room >= 4 * (u + v)) & close(u, v)
+            yield batch.filter(pa.array(good)).select([0, 1])
 
-    return near.select("a", "b", "a_n", "b_n", "a_counts", "b_counts").mapInArrow(keep, "a long, b long")
+    return both.select("a", "b", "a_n", "b_n", "a_vector", "b_vector").mapInArrow(keep, "a long, b long")
 
 
 def index_pairs(rows: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
@@ -307,21 +317,23 @@ def in_large(batches):
     return runs(batches, key, pairs_of)
 
 
-def open_pairs(met: DataFrame, labels: DataFrame, points: DataFrame) -> DataFrame:
+def open_pairs(met: DataFrame, labels: DataFrame, points: DataFrame, keep: Scratch) -> DataFrame:
     """Pairs (a, b) that share a partition, aren't known to hang together and that the bounds let pass.
 
     Of partitions with the same members, one is searched.
     """
     nodes = points.select("doc_id", "n", "counts").join(labels.select(F.col("node").alias("doc_id"), "component"), "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
-    member = written(met.select("partition", "doc_id").join(nodes.select("doc_id", "component"), "doc_id"), "member")
+    member = keep(met.select("partition", "doc_id").join(nodes.select("doc_id", "component"), "doc_id"), "member")
     seen = member.groupBy("partition").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("members"), F.bit_xor(F.xxhash64("doc_id")).alias("mark"), F.min("doc_id").alias("least"), F.max("doc_id").alias("most"))
     one = seen.where("low <> high").groupBy("members", "mark", "least", "most").agg(F.min("partition").alias("partition"))
-    rows = written(member.join(one.select("partition", "members"), "partition"), "open").join(nodes.select("doc_id", "n", "counts"), "doc_id")
+    rows = keep(member.join(one.select("partition", "members"), "partition"), "open").join(nodes.select("doc_id", "n", "counts"), "doc_id")
     small = rows.where(F.col("members") <= LEAF).select("partition", "doc_id", "component", "n", "counts")
     near = small.repartition("partition").sortWithinPartitions("partition").mapInPandas(in_small, "a long, b long")
-    large = rows.where(F.col("members") > LEAF).withColumn("blocks", F.ceil(F.col("members") / BLOCK).cast("int"))
+    columns = ["partition", "i", "j", "block", "doc_id", "component", "n", "counts"]
+    one_block = rows.where((F.col("members") > LEAF) & (F.col("members") <= BLOCK)).withColumns({x: F.lit(0) for x in ("i", "j", "block")}).select(columns)
+    large = rows.where(F.col("members") > BLOCK).withColumn("blocks", F.ceil(F.col("members") / BLOCK).cast("int"))
     large = large.withColumn("block", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    dealt = large.select("partition", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "doc_id", "component", "n", "counts")
+    dealt = one_block.unionByName(large.select("partition", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "doc_id", "component", "n", "counts"))
     far = dealt.repartition("partition", "i", "j").sortWithinPartitions("partition", "i", "j").mapInPandas(in_large, "a long, b long")
     return near.unionByName(far).distinct()
 
@@ -329,6 +341,7 @@ def open_pairs(met: DataFrame, labels: DataFrame, points: DataFrame) -> DataFram
 def classes(docs: DataFrame) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every row of docs."""
     spark = docs.sparkSession
+    keep = Scratch(spark, "near-copies")
     heavy = new_path(spark, "sets")
     whole = written(sets(docs), "sets", heavy)
     made = written(whole.select("doc_id", "n", "print"), "sizes")
@@ -337,21 +350,24 @@ def classes(docs: DataFrame) -> DataFrame:
     exact = known.join(equal, "print").select(F.col("doc_id").alias("a"), "b").where("a <> b").distinct()
     first_ones = whole.where(F.col("partitions").isNotNull())
     all_entered = first_ones.select("doc_id", F.explode_outer("partitions").alias("partition"))
-    heads = written(all_entered.groupBy("partition").agg(F.min("doc_id").alias("lead"), F.max("doc_id").alias("last")).where("lead <> last").select("partition", "lead"), "heads")
-    met = written(entered(first_ones, heads).join(heads, "partition"), "met")
+    heads = keep(all_entered.groupBy("partition").agg(F.min("doc_id").alias("lead"), F.max("doc_id").alias("last")).where("lead <> last").select("partition", "lead"), "heads")
+    met = keep(entered(first_ones, heads).join(heads, "partition"), "met")
     # one leader for each document: that of most of its partitions
     led = met.where("doc_id <> lead").groupBy("doc_id", "lead").agg(F.count("*").alias("times")).groupBy(F.col("doc_id").alias("a")).agg(F.max_by("lead", F.struct("times", -F.col("lead"))).alias("b"))
-    points = written(first_ones.select("doc_id", "n", "counts").dropDuplicates(["doc_id"]), "points")
+    points = keep(first_ones.select("doc_id", "n", "counts").dropDuplicates(["doc_id"]), "points")
+    wide = keep(first_ones.where(F.col("wide").isNotNull()).select("doc_id", "n", F.col("wide").alias("vector")), "wide")
     removed(spark, heavy)  # half of what the search writes, and no longer read
     prints = known.select("doc_id", "print")
     unequal = led.join(prints.select(F.col("doc_id").alias("a"), F.col("print").alias("p")), "a").join(prints.select(F.col("doc_id").alias("b"), F.col("print").alias("q")), "b").where("p <> q").select("a", "b").distinct()
-    leaders = written(bounded(unequal, points), "leaders")
-    exact = written(exact, "exact")
-    first = written(linked(docs, leaders), "links")
+    near = lambda pairs: bounded(pairs, wide, WIDE)
+    leaders = keep(near(bounded(unequal, points.withColumnRenamed("counts", "vector"), DIMENSIONS)).distinct(), "leaders")
+    exact = keep(exact, "exact")
+    first = keep(linked(docs, leaders), "links")
     labels = components(exact.unionByName(first))
-    tried = written(open_pairs(met, labels, points).join(leaders, ["a", "b"], "left_anti"), "pairs")
-    second = written(linked(docs, tried), "links")
+    tried = keep(near(open_pairs(met, labels, points, keep).join(leaders, ["a", "b"], "left_anti")).distinct(), "pairs")
+    second = keep(linked(docs, tried), "links")
     final = components(exact.unionByName(first).unionByName(second))
+    keep.drop()
     sized = made.select("doc_id", F.col("n").alias("n_shingles"))
     return sized.join(final.select(F.col("node").alias("doc_id"), "component"), "doc_id", "left").select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
 
