@@ -41,6 +41,9 @@ FULL = 255
 CACHED = 500_000
 #: Texts of which a task that verifies pairs keeps the shingles.
 KNOWN = 2_000
+#: Pairs that a task remembers to hand on once, however many partitions they share.
+SENT = 500_000
+SALTS = 4
 STEP, MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 #: Bits of the filter that says which texts a round needs: 8 MB whatever their number.
 FILTER_BITS = 1 << 26
@@ -268,15 +271,24 @@ def index_pairs(rows: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
 
 def runs(batches, key: list[str], pairs_of):
     """pairs_of whole runs of equal keys in sorted batches. Runs are bounded: small partitions, or two blocks."""
-    kept = None
+    kept, sent = None, set()
+
+    def new(pairs: pd.DataFrame) -> pd.DataFrame:
+        if len(sent) > SENT:
+            sent.clear()
+        fresh = [p not in sent for p in zip(pairs["a"].tolist(), pairs["b"].tolist())]
+        pairs = pairs[fresh] if len(pairs) else pairs
+        sent.update(zip(pairs["a"].tolist(), pairs["b"].tolist()))
+        return pairs
+
     for batch in batches:
         frame = batch if kept is None else pd.concat([kept, batch])
         if len(frame):
             last = (frame[key] == frame[key].iloc[-1]).all(axis=1).to_numpy()
             kept = frame[last]
-            yield pairs_of(frame[~last])
+            yield new(pairs_of(frame[~last]))
     if kept is not None:
-        yield pairs_of(kept)
+        yield new(pairs_of(kept))
 
 
 def ordered_pairs(ids: np.ndarray, a: np.ndarray, b: np.ndarray) -> pd.DataFrame:
@@ -326,15 +338,17 @@ def open_pairs(met: DataFrame, labels: DataFrame, points: DataFrame, keep: Scrat
     member = keep(met.select("partition", "doc_id").join(nodes.select("doc_id", "component"), "doc_id"), "member")
     seen = member.groupBy("partition").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("members"), F.bit_xor(F.xxhash64("doc_id")).alias("mark"), F.min("doc_id").alias("least"), F.max("doc_id").alias("most"))
     one = seen.where("low <> high").groupBy("members", "mark", "least", "most").agg(F.min("partition").alias("partition"))
-    rows = keep(member.join(one.select("partition", "members"), "partition"), "open").join(nodes.select("doc_id", "n", "counts"), "doc_id")
-    small = rows.where(F.col("members") <= LEAF).select("partition", "doc_id", "component", "n", "counts")
-    near = small.repartition("partition").sortWithinPartitions("partition").mapInPandas(in_small, "a long, b long")
-    columns = ["partition", "i", "j", "block", "doc_id", "component", "n", "counts"]
+    # partitions of one family have its least document in common: most of a family meets in few tasks, salted by SALTS
+    place = [F.col("least"), F.pmod("partition", F.lit(SALTS))]
+    rows = keep(member.join(one.select("partition", "members", "least"), "partition"), "open").join(nodes.select("doc_id", "n", "counts"), "doc_id")
+    small = rows.where(F.col("members") <= LEAF).select("partition", "least", "doc_id", "component", "n", "counts")
+    near = small.repartition(*place).sortWithinPartitions("partition").mapInPandas(in_small, "a long, b long")
+    columns = ["partition", "least", "i", "j", "block", "doc_id", "component", "n", "counts"]
     one_block = rows.where((F.col("members") > LEAF) & (F.col("members") <= BLOCK)).withColumns({x: F.lit(0) for x in ("i", "j", "block")}).select(columns)
     large = rows.where(F.col("members") > BLOCK).withColumn("blocks", F.ceil(F.col("members") / BLOCK).cast("int"))
     large = large.withColumn("block", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    dealt = one_block.unionByName(large.select("partition", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "doc_id", "component", "n", "counts"))
-    far = dealt.repartition("partition", "i", "j").sortWithinPartitions("partition", "i", "j").mapInPandas(in_large, "a long, b long")
+    dealt = one_block.unionByName(large.select("partition", "least", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "doc_id", "component", "n", "counts"))
+    far = dealt.repartition(*place, "i", "j").sortWithinPartitions("partition", "i", "j").mapInPandas(in_large, "a long, b long")
     return near.unionByName(far).distinct()
 
 
