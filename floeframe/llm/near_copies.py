@@ -335,7 +335,8 @@ def open_pairs(met: DataFrame, labels: DataFrame, points: DataFrame, keep: Scrat
     Of partitions with the same members, one is searched.
     """
     nodes = points.select("doc_id", "n", "counts").join(labels.select(F.col("node").alias("doc_id"), "component"), "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
-    member = keep(met.select("partition", "doc_id").join(nodes.select("doc_id", "component"), "doc_id"), "member")
+    # a row repeated in several tasks enters its partitions in each: distinct, else equal members cancel in the mark
+    member = keep(met.select("partition", "doc_id").distinct().join(nodes.select("doc_id", "component"), "doc_id"), "member")
     seen = member.groupBy("partition").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("members"), F.bit_xor(F.xxhash64("doc_id")).alias("mark"), F.min("doc_id").alias("least"), F.max("doc_id").alias("most"))
     one = seen.where("low <> high").groupBy("members", "mark", "least", "most").agg(F.min("partition").alias("partition"))
     # partitions of one family have its least document in common: most of a family meets in few tasks, salted by SALTS

@@ -194,6 +194,18 @@ def test_tree_search_equals_all_pairs():
     assert {(max(x, y), min(x, y)) for x, y in zip(a.tolist(), b.tolist())} == want and len(a) == len(want)
 
 
+def test_partitions_of_repeated_rows_are_told_apart(spark):
+    """Rows repeated in two tasks: {1, 2, 3, 6} and {1, 4, 5, 6} have different pairs, and both are searched."""
+    point = lambda k: bytes(10 if i == k else 0 for i in range(near_copies.DIMENSIONS))
+    points = spark.createDataFrame([(i, i, i, 10, point(k)) for i, k in ((1, 0), (2, 1), (3, 1), (4, 2), (5, 2), (6, 3))], "key long, doc_id long, print long, n long, counts binary")
+    met = spark.createDataFrame([(p, i, i, 1, 1) for p, ids in ((70, (1, 2, 3, 6)), (80, (1, 4, 5, 6))) for i in ids], "partition long, key long, doc_id long, lead long, lead_id long")
+    keep = near_copies.Scratch(spark, "test")
+    labels = spark.createDataFrame([], "node long, component long")
+    got = near_copies.open_pairs(met.unionByName(met), labels, points, keep)
+    assert {tuple(x) for x in got.collect()} == {(3, 2), (5, 4)}
+    keep.drop()
+
+
 def test_one_of_each(docs):
     kept = near_copies.one_of_each(docs)
     assert kept.columns == docs.columns
