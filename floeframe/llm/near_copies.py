@@ -15,7 +15,8 @@ are dealt out as pairs of blocks. So every pair that could link is compared, or
 
 Shingles are compared by 64-bit hashes. Null text or no words: an empty set, linked with nothing. Fewer than five
 words: the sequence is the one shingle. Rows that share an id are one node, linked with whatever any of them links
-with. A null id takes no part: its component is null. An empty table gives an empty one; other columns play no part.
+with: each different text of an id is searched under a key of its own. A null id takes no part: its component is
+null. An empty table gives an empty one; other columns play no part.
 """
 
 from __future__ import annotations
@@ -105,7 +106,7 @@ SETS = StructType([StructField("doc_id", LongType()), StructField("n", LongType(
 
 
 def sets(docs: DataFrame) -> DataFrame:
-    """SETS of every row of docs. Of rows with equal sets in a task, only the first has counts and partitions."""
+    """SETS of every row of docs. Of rows with an id and equal sets in a task, only the first has counts and partitions."""
     schema = to_arrow_schema(SETS)
 
     def run(batches):
@@ -116,7 +117,8 @@ def sets(docs: DataFrame) -> DataFrame:
                 s = shingles(text, hashes)
                 mark = int((mixed(s ^ STEP).sum(dtype=np.uint64) + np.uint64(len(s))).astype(np.int64)) if len(s) else None
                 new = doc is not None and len(s) > 0 and mark not in seen
-                seen.add(mark)
+                if doc is not None:
+                    seen.add(mark)
                 sizes.append(len(s))
                 prints.append(mark)
                 points.append(counts(s) if new else None)
@@ -158,7 +160,7 @@ def needed_texts(docs: DataFrame, ids: DataFrame) -> DataFrame:
 
 
 def entered(rows: DataFrame, heads: DataFrame) -> DataFrame:
-    """(doc_id, partition) of at least those partitions of rows that are in heads; the filter drops most others."""
+    """(key, partition) of at least those partitions of rows that are in heads; the filter drops most others."""
     sent = rows.sparkSession.sparkContext.broadcast(marked(heads, F.pmod("partition", F.lit(FILTER_BITS))))
 
     def keep(batches):
@@ -167,10 +169,10 @@ def entered(rows: DataFrame, heads: DataFrame) -> DataFrame:
             key = lists.flatten().to_numpy()
             at = key & (FILTER_BITS - 1)
             there = (sent.value[at >> 6] >> (at & 63)) & 1 == 1
-            doc = np.repeat(batch.column(0).to_numpy(), np.diff(lists.offsets.to_numpy()))
-            yield pa.RecordBatch.from_arrays([pa.array(doc[there]), pa.array(key[there])], names=["doc_id", "partition"])
+            row = np.repeat(batch.column(0).to_numpy(), np.diff(lists.offsets.to_numpy()))
+            yield pa.RecordBatch.from_arrays([pa.array(row[there]), pa.array(key[there])], names=["key", "partition"])
 
-    return rows.select("doc_id", "partitions").mapInArrow(keep, "doc_id long, partition long")
+    return rows.select("key", "partitions").mapInArrow(keep, "key long, partition long")
 
 
 def linked(docs: DataFrame, pairs: DataFrame) -> DataFrame:
@@ -223,9 +225,9 @@ def roomy(points: np.ndarray, n: np.ndarray, a: np.ndarray, b: np.ndarray) -> np
 def bounded(pairs: DataFrame, vectors: DataFrame, dimensions: int) -> DataFrame:
     """Those of pairs (a, b) whose summed coordinate minima leave room for a similarity of 0.8, or that lack a vector.
 
-    vectors: (doc_id, n, vector).
+    vectors: (key, n, vector).
     """
-    side = lambda x: vectors.select(F.col("doc_id").alias(x), F.col("n").alias(f"{x}_n"), F.col("vector").alias(f"{x}_vector"))
+    side = lambda x: vectors.select(F.col("key").alias(x), F.col("n").alias(f"{x}_n"), F.col("vector").alias(f"{x}_vector"))
     both = pairs.join(side("a"), "a", "left").join(side("b"), "b", "left")
 
     def keep(batches):
@@ -299,7 +301,7 @@ def in_small(batches):
     """Pairs (a, b) of different components that the bound lets pass, of partitions of LEAF rows at most: one leaf each."""
 
     def pairs_of(frame: pd.DataFrame) -> pd.DataFrame:
-        part, ids, component, n = (frame[c].to_numpy() for c in ("partition", "doc_id", "component", "n"))
+        part, ids, component, n = (frame[c].to_numpy() for c in ("partition", "key", "component", "n"))
         points = as_points(frame["counts"])
         found_a, found_b = [np.zeros(0, dtype=np.int64)], [np.zeros(0, dtype=np.int64)]
         for step in range(1, min(LEAF, len(part))):
@@ -323,32 +325,32 @@ def in_large(batches):
             if g["i"].iat[0] != g["j"].iat[0]:
                 across = g["block"].to_numpy()[a] != g["block"].to_numpy()[b]
                 a, b = a[across], b[across]
-            out.append(ordered_pairs(g["doc_id"].to_numpy(), a, b))
+            out.append(ordered_pairs(g["key"].to_numpy(), a, b))
         return pd.concat(out).drop_duplicates()
 
     return runs(batches, key, pairs_of)
 
 
 def open_pairs(met: DataFrame, labels: DataFrame, points: DataFrame, keep: Scratch) -> DataFrame:
-    """Pairs (a, b) that share a partition, aren't known to hang together and that the bounds let pass.
+    """Pairs (a, b) of keys that share a partition, aren't known to hang together and that the bounds let pass.
 
     Of partitions with the same members, one is searched.
     """
-    nodes = points.select("doc_id", "n", "counts").join(labels.select(F.col("node").alias("doc_id"), "component"), "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
+    nodes = points.select("key", "doc_id", "n", "counts").join(labels.select(F.col("node").alias("doc_id"), "component"), "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
     # a row repeated in several tasks enters its partitions in each: distinct, else equal members cancel in the mark
-    member = keep(met.select("partition", "doc_id").distinct().join(nodes.select("doc_id", "component"), "doc_id"), "member")
-    seen = member.groupBy("partition").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("members"), F.bit_xor(F.xxhash64("doc_id")).alias("mark"), F.min("doc_id").alias("least"), F.max("doc_id").alias("most"))
+    member = keep(met.select("partition", "key").distinct().join(nodes.select("key", "doc_id", "component"), "key"), "member")
+    seen = member.groupBy("partition").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("members"), F.bit_xor(F.xxhash64("key")).alias("mark"), F.min("doc_id").alias("least"), F.max("doc_id").alias("most"))
     one = seen.where("low <> high").groupBy("members", "mark", "least", "most").agg(F.min("partition").alias("partition"))
     # partitions of one family have its least document in common: most of a family meets in few tasks, salted by SALTS
     place = [F.col("least"), F.pmod("partition", F.lit(SALTS))]
-    rows = keep(member.join(one.select("partition", "members", "least"), "partition"), "open").join(nodes.select("doc_id", "n", "counts"), "doc_id")
-    small = rows.where(F.col("members") <= LEAF).select("partition", "least", "doc_id", "component", "n", "counts")
+    rows = keep(member.join(one.select("partition", "members", "least"), "partition"), "open").join(nodes.select("key", "n", "counts"), "key")
+    small = rows.where(F.col("members") <= LEAF).select("partition", "least", "key", "component", "n", "counts")
     near = small.repartition(*place).sortWithinPartitions("partition").mapInPandas(in_small, "a long, b long")
-    columns = ["partition", "least", "i", "j", "block", "doc_id", "component", "n", "counts"]
+    columns = ["partition", "least", "i", "j", "block", "key", "component", "n", "counts"]
     one_block = rows.where((F.col("members") > LEAF) & (F.col("members") <= BLOCK)).withColumns({x: F.lit(0) for x in ("i", "j", "block")}).select(columns)
     large = rows.where(F.col("members") > BLOCK).withColumn("blocks", F.ceil(F.col("members") / BLOCK).cast("int"))
-    large = large.withColumn("block", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    dealt = one_block.unionByName(large.select("partition", "least", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "doc_id", "component", "n", "counts"))
+    large = large.withColumn("block", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    dealt = one_block.unionByName(large.select("partition", "least", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "key", "component", "n", "counts"))
     far = dealt.repartition(*place, "i", "j").sortWithinPartitions("partition", "i", "j").mapInPandas(in_large, "a long, b long")
     return near.unionByName(far).distinct()
 
@@ -363,24 +365,27 @@ def classes(docs: DataFrame) -> DataFrame:
     known = made.where(F.col("doc_id").isNotNull() & (F.col("n") > 0))
     equal = known.groupBy("print").agg(F.min("doc_id").alias("b"))
     exact = known.join(equal, "print").select(F.col("doc_id").alias("a"), "b").where("a <> b").distinct()
-    first_ones = whole.where(F.col("partitions").isNotNull())
-    all_entered = first_ones.select("doc_id", F.explode_outer("partitions").alias("partition"))
-    heads = keep(all_entered.groupBy("partition").agg(F.min("doc_id").alias("lead"), F.max("doc_id").alias("last")).where("lead <> last").select("partition", "lead"), "heads")
+    first_ones = whole.where(F.col("partitions").isNotNull()).withColumn("key", F.xxhash64("doc_id", "print"))
+    all_entered = first_ones.select("doc_id", "key", F.explode_outer("partitions").alias("partition"))
+    members = all_entered.groupBy("partition").agg(F.min_by("key", "doc_id").alias("lead"), F.min("doc_id").alias("lead_id"), F.min("key").alias("low"), F.max("key").alias("high"))
+    heads = keep(members.where("low <> high").select("partition", "lead", "lead_id"), "heads")
     met = keep(entered(first_ones, heads).join(heads, "partition"), "met")
-    # one leader for each document: that of most of its partitions
-    led = met.where("doc_id <> lead").groupBy("doc_id", "lead").agg(F.count("*").alias("times")).groupBy(F.col("doc_id").alias("a")).agg(F.max_by("lead", F.struct("times", -F.col("lead"))).alias("b"))
-    points = keep(first_ones.select("doc_id", "n", "counts").dropDuplicates(["doc_id"]), "points")
-    wide = keep(first_ones.where(F.col("wide").isNotNull()).select("doc_id", "n", F.col("wide").alias("vector")), "wide")
+    # one leader for each text of a document: that of most of its partitions
+    led = met.where("key <> lead").groupBy("key", "lead", "lead_id").agg(F.count("*").alias("times")).groupBy(F.col("key").alias("a")).agg(F.max_by("lead", F.struct("times", -F.col("lead_id"))).alias("b"))
+    points = keep(first_ones.select("key", "doc_id", "print", "n", "counts").dropDuplicates(["key", "doc_id", "print"]), "points")
+    wide = keep(first_ones.where(F.col("wide").isNotNull()).select("key", "n", F.col("wide").alias("vector")).dropDuplicates(["key", "n"]), "wide")
     removed(spark, heavy)  # half of what the search writes, and no longer read
-    prints = known.select("doc_id", "print")
-    unequal = led.join(prints.select(F.col("doc_id").alias("a"), F.col("print").alias("p")), "a").join(prints.select(F.col("doc_id").alias("b"), F.col("print").alias("q")), "b").where("p <> q").select("a", "b").distinct()
+    side = lambda x, p: points.select(F.col("key").alias(x), F.col("doc_id").alias(f"{x}_id"), F.col("print").alias(p))
+    named = lambda pairs: pairs.join(side("a", "p"), "a").join(side("b", "q"), "b").where("a_id <> b_id")
+    ids = lambda pairs: named(pairs).select(F.col("a_id").alias("a"), F.col("b_id").alias("b")).distinct()
+    unequal = named(led).where("p <> q").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
     near = lambda pairs: bounded(pairs, wide, WIDE)
-    leaders = keep(near(bounded(unequal, points.withColumnRenamed("counts", "vector"), DIMENSIONS)).distinct(), "leaders")
+    leaders = keep(near(bounded(unequal, points.select("key", "n", F.col("counts").alias("vector")), DIMENSIONS)).distinct(), "leaders")
     exact = keep(exact, "exact")
-    first = keep(linked(docs, leaders), "links")
+    first = keep(linked(docs, ids(leaders)), "links")
     labels = components(exact.unionByName(first))
     tried = keep(near(open_pairs(met, labels, points, keep).join(leaders, ["a", "b"], "left_anti")).distinct(), "pairs")
-    second = keep(linked(docs, tried), "links")
+    second = keep(linked(docs, ids(tried)), "links")
     final = components(exact.unionByName(first).unionByName(second))
     keep.drop()
     sized = made.select("doc_id", F.col("n").alias("n_shingles"))

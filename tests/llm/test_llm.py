@@ -206,6 +206,23 @@ def test_partitions_of_repeated_rows_are_told_apart(spark):
     keep.drop()
 
 
+def test_every_text_of_an_id_and_rows_without_one(spark):
+    """In one task: an unnamed row before a named one of the same text, and ids of several unlike texts."""
+    r = random.Random(9)
+    rows = []
+    for i in range(0, 60, 3):
+        text = prose(r, 200, 4000)
+        rows += [(None, text), (i, text), (i + 1, text + " one more")]
+        rows += [(1000 + i, prose(r, n, 4000)) for n in (30, 200, 900)]
+        short, long = prose(r, 30, 4000), prose(r, 1200, 4000)
+        rows += [(2000 + i, short), (2000 + i, long), (2001 + i, short + " x"), (2002 + i, long + " y")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    got = {x.doc_id: x.component_id for x in near_copies.classes(df).collect() if x.doc_id is not None}
+    for i in range(0, 60, 3):
+        assert got[i + 1] == i and got[1000 + i] == 1000 + i
+        assert got[2001 + i] == got[2002 + i] == got[2000 + i] == 2000 + i
+
+
 def test_one_of_each(docs):
     kept = near_copies.one_of_each(docs)
     assert kept.columns == docs.columns
