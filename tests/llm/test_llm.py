@@ -350,6 +350,19 @@ def test_disclosing_terms_and_sanitising(spark):
     assert out[50].text is None and out[51].text == "nothing here" and out[51].email == 4 and len(out) == 34
 
 
+def test_neighbours_are_whole_words_at_any_distance(spark):
+    word, gap = "w" * 300, " " * 200
+    texts = ["Email: a@b.org", "contact:      a@b.org", "see list\n\n    *  a@b.org\n\n      - x", f"{word} é {word} a@b.org {word} {word} z", f"one two{gap}a@b.org{gap}three four", "a@b.org", "q x9.8.7.6y r s t", "日本 𝒳y a@b.org 👩 c"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {x.doc_id: x.near or [] for x in personal.found(df).collect()}
+    term = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
+    for i, t in enumerate(texts):
+        m = re.search(r"a@b\.org|9\.8\.7\.6", t)
+        places = [(x[0].lower(), *x.span()) for x in term.finditer(t)]
+        want = [x for x in places if x[2] <= m.start() and t[x[2]] != m[0][0]][-2:] + [x for x in places if x[1] > m.end()][:2]
+        assert sorted(tuple(x)[:3] for x in got[i]) == sorted(want), t
+
+
 def test_licenses(docs, empty):
     sep = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
     want = []
