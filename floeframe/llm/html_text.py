@@ -5,7 +5,8 @@ scores below zero; the contiguous part with the highest sum is the content, foun
 from labelled pages, of which a bounded sample (linear.SAMPLE) is read: pages that mark their article. For a
 container (an element such as nav, aside or div with its first class) the weight is the log of its words inside to
 those outside of articles, for a tag likewise its places. Containers never seen take a prior from their names.
-Inside the content, what lies in containers below zero is left out, so are scripts, styles and comments.
+Inside the content, what lies in containers below zero is left out, so are scripts, styles and comments, and what
+lies in DROPPED elements (svg, button and the like) as far as these are closed.
 
 Null html counts as empty and gives the empty text; repeated rows give equal rows; an empty table gives an empty
 one; other columns play no part. Broken markup, unclosed elements and text without tags are read as far as they go.
@@ -25,12 +26,19 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 from floeframe.llm.common import arrow_map
 from floeframe.llm.linear import sampled
 
-MARKUP = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<(script|style|noscript|template|svg|iframe|textarea|select|title|head|math|object|canvas|button)\b[^>]*>.*?(?:</\1\s*>|\Z)|<[!?][^>]*>|<(/?)([A-Za-z][A-Za-z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S | re.I)
+MARKUP = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<(script|style|textarea)(?=[\s/>])[^>]*>.*?(?:</\1\s*>|\Z)|<[!?][^>]*>|<(/?)([A-Za-z][A-Za-z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S | re.I)
 CLASS = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 CONTAINERS = frozenset("nav header footer aside form article main section div ul ol dl table menu dialog fieldset figure blockquote details".split())
 BLOCKS = CONTAINERS | frozenset("p h1 h2 h3 h4 h5 h6 li dt dd tr td th caption pre address hr body html option figcaption summary center".split())
+#: Elements whose inside is no text of the page, those of them that don't nest, and what a head can hold.
+DROPPED = frozenset("noscript template svg iframe select title head math object canvas button".split())
+FLAT = frozenset("iframe select title head button".split())
+HEADS = frozenset("base basefont bgsound link meta noscript script style template title head html".split())
+CLOSING = re.compile(rf"</({'|'.join(sorted(DROPPED))})(?=[\s/>])", re.I)
 #: Names that mark what is no content, and those that mark content (fixed values).
 ASIDE = re.compile(r"^(?:nav|footer|aside|form|menu|dialog|fieldset)\b|(?:^|[.\-_ ])(?:ad|ads|advert\w*|sponsor\w*|promo\w*|banner|cookie\w*|consent|notice|alert|popup|modal|newsletter|subscri\w*|signup|login|share|sharing|social|related|recommend\w*|sidebar|side|widget|breadcrumb\w*|pagination|pager|menu|nav\w*|footer|foot|comments?|comment-\w+|replies|respond|discussion|disqus|tags?|toolbar|search|copyright|legal|masthead|skip\w*)(?:$|[.\-_ ])", re.I)
+#: Of a class beyond the first two, what says that something else is there or not.
+OTHERS = re.compile(r"(?:has|with|no|not|without|is)[-_]")
 STRONG, WEAK = 3.0, 0.2
 
 
@@ -38,35 +46,65 @@ def key_of(name: str, attributes: str) -> str:
     if name not in CONTAINERS:
         return name
     marks = " ".join(a or b or c for a, b, c in CLASS.findall(attributes)).lower().split()
-    return ".".join([name, *(re.sub(r"\d+", "", m) for m in marks[:2])])
+    aside = [m for m in marks[2:] if ASIDE.search(f".{m}") and not OTHERS.match(m)]
+    return ".".join([name, *(re.sub(r"\d+", "", m) for m in marks[:2]), *aside[:1]])
 
 
 def parsed(page: str):
-    """("tag", name, containers, is_close) and ("text", text, containers, in_link) in page order."""
+    """("tag", name, containers, is_close) and ("text", text, containers, in_link) in page order, outside of DROPPED.
+
+    A DROPPED element ends at its closing tag, at <body>, with its parent, and where HTML ends it: a head at what it
+    can't hold, svg and math at a block, one that doesn't nest at the next. Never closed, it drops nothing.
+    """
     stack: list[tuple[str, str]] = []
     keys: tuple[str, ...] = ()
     link, at = 0, 0
+    ends = {m[1].lower(): m.start() for m in CLOSING.finditer(page)}
+    dropped: int | None = None  # place in the stack of the outermost DROPPED
+    inside: Counter = Counter()  # blocks opened in it
     for m in MARKUP.finditer(page):
         if m.start() > at:
-            yield "text", page[at : m.start()], keys, link > 0
+            text = page[at : m.start()]
+            if dropped is not None and stack[-1][0] == "head" and not text.isspace():
+                del stack[dropped:]
+                dropped, keys = None, tuple(k for _, k in stack)
+            if dropped is None:
+                yield "text", text, keys, link > 0
         at = m.end()
         if m[3] is None:
             continue
         name, close = m[3].lower(), bool(m[2])
-        yield "tag", name, keys, close
-        if name == "a":
+        if dropped is not None:
+            if close:
+                ended = name in BLOCKS and not inside[name]
+                inside[name] -= inside[name] > 0
+            else:
+                top = stack[-1][0]
+                ended = name == "body" or top == "head" and name not in HEADS or top in ("svg", "math") and name in BLOCKS or top == name and name in FLAT
+                inside[name] += name in BLOCKS and not ended
+            if ended:
+                del stack[dropped:]
+                dropped, keys = None, tuple(k for _, k in stack)
+        if name == "a" and (dropped is None or close):
             link = 0 if close else 1
-        if name in CONTAINERS and not m[4].endswith("/"):
+        if dropped is None and name not in DROPPED:
+            yield "tag", name, keys, close
+        if (name in CONTAINERS or name in DROPPED) and not m[4].endswith("/"):
             if not close:
-                stack.append((name, key_of(name, m[4])))
+                if name in CONTAINERS or name == "head" or ends.get(name, -1) > at:
+                    stack.append((name, key_of(name, m[4])))
+                    if name in DROPPED and dropped is None:
+                        dropped, inside = len(stack) - 1, Counter()
             else:
                 for depth in range(len(stack) - 1, -1, -1):
                     if stack[depth][0] == name:
                         del stack[depth:]
                         break
+                if dropped is not None and len(stack) <= dropped:
+                    dropped = None
             keys = tuple(k for _, k in stack)
-    if at < len(page):
-        yield "text", page[at:], keys, link > 0
+    if at < len(page) and (dropped is None or stack[-1][0] == "head"):
+        yield "text", page[at:], keys if dropped is None else keys[:dropped], link > 0
 
 
 def counted(page: str) -> list[tuple[str, int, int]]:

@@ -412,6 +412,19 @@ def test_pages_article_is_the_text(spark):
         assert got[r.page_id] == "\n\n".join(b for b in blocks if b)
 
 
+def test_no_page_is_swallowed_to_its_end():
+    body, text = "<p>one two three four</p><p>five six</p>", "one two three four\n\nfive six"
+    for page in (
+        f"<html><head><title>t</title><meta x=1>{body}", f"<head><title>t</title><body>{body}", "<head>one two three four\n\nfive six",
+        f'<div><svg class="i"/>{body}</div>', f'<div><svg class="i">{body}</div><svg></svg>', f"<div><button>{body}</div>", f"<div><p><button>like</p>{body}<button>x</button></div>",
+        f"<button-bar>{body}</button-bar>", f"<title-box>{body}</title-box>", f"<div><svg><path/></svg><button>no</button><template><p>no</p></template>{body}<select><option>no</select></div>",
+        f"<head><title>no</title><style>p {{}}</style><noscript>no</noscript></head><body>{body}</body>", f"<head/>{body}",
+        f'<div class="col-12 col-md-4 sidebar"><p>no no no no no no no</p></div>{body}', f'<div class="a b has-sidebar">{body}</div>',
+    ):
+        got = html_text.main_text(page, {})
+        assert got.split() == text.split() or got == f"like\n\n{text}", page
+
+
 def test_linear_without_both_classes():
     assert linear.fitted([]) is None and linear.scorer(None)(["a"]) == 1.0
 
