@@ -10,8 +10,12 @@ In a partition, a document is first compared with one other, the one that leads
 each other so, however many they are, and what links is contracted. Partitions that still hold different components
 then go through the count-vector index: shingles are hashed to DIMENSIONS groups, the counts are points, points are
 packed by size into the leaves of an R-tree, and the summed coordinate minima of two leaves' upper corners, then of
-two points, bound the overlap. Pairs that survive are verified on the whole texts. Partitions above BLOCK documents
-are dealt out as pairs of blocks. So every pair that could link is compared, or already known to hang together.
+two points, bound the overlap. Pairs that survive are verified on the shingles of the whole texts. Partitions are
+dealt by their own number, those above BLOCK documents as pairs of blocks, so a family of thousands of copies is
+searched in as many tasks as it has partitions. Two documents that share many are to be found in one of them only:
+each brings its FIRST smallest partitions along, and a pair is left to a smaller partition that both lists hold. In
+the smallest that two documents share no such partition can be, so every pair that could link is compared, or
+already known to hang together.
 
 Shingles are compared by 64-bit hashes. Null text or no words: an empty set, linked with nothing. Fewer than five
 words: the sequence is the one shingle. Rows that share an id are one node, linked with whatever any of them links
@@ -39,12 +43,12 @@ WIDTH, SINGLE, DIMENSIONS, BLOCK, LEAF = 5, 128, 192, 1024, 32
 WIDE, LONG = 2048, 512
 #: A coordinate is a byte; the largest one stands for anything from it on.
 FULL = 255
-CACHED = 500_000
-#: Texts of which a task that verifies pairs keeps the shingles.
-KNOWN = 2_000
-#: Pairs that a task remembers to hand on once, however many partitions they share.
-SENT = 500_000
-SALTS = 4
+#: Words of which a task keeps the hashes.
+CACHED = 200_000
+#: Smallest partitions that a document brings along, so that a pair is found once.
+FIRST = 16
+#: Rows that a task hands on at once, so that long documents fill no large batch.
+SLICE = 256
 STEP, MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 #: Bits of the filter that says which texts a round needs: 8 MB whatever their number.
 FILTER_BITS = 1 << 26
@@ -99,10 +103,31 @@ def partitions(s: np.ndarray) -> np.ndarray:
 
 
 def counts(s: np.ndarray, dimensions: int = DIMENSIONS) -> bytes:
-    return np.minimum(np.bincount((s >> np.uint64(7)).astype(np.int64) % dimensions, minlength=dimensions), FULL).astype(np.uint8).tobytes()
+    places = (s >> np.uint64(7)).astype(np.int64) % dimensions
+    return np.minimum(np.bincount(places, minlength=dimensions), FULL).astype(np.uint8).tobytes()
 
 
-SETS = StructType([StructField("doc_id", LongType()), StructField("n", LongType()), StructField("print", LongType()), StructField("counts", BinaryType()), StructField("wide", BinaryType()), StructField("partitions", ArrayType(LongType()))])
+SETS = StructType(
+    [
+        StructField("doc_id", LongType()),
+        StructField("n", LongType()),
+        StructField("print", LongType()),
+        StructField("counts", BinaryType()),
+        StructField("wide", BinaryType()),
+        StructField("partitions", ArrayType(LongType())),
+    ]
+)
+
+
+def print_of(s: np.ndarray) -> int:
+    """One number for a whole set."""
+    return int((mixed(s ^ STEP).sum(dtype=np.uint64) + np.uint64(len(s))).astype(np.int64))
+
+
+def slices(batches):
+    for batch in batches:
+        for at in range(0, max(batch.num_rows, 1), SLICE):
+            yield batch.slice(at, SLICE)
 
 
 def sets(docs: DataFrame) -> DataFrame:
@@ -111,20 +136,19 @@ def sets(docs: DataFrame) -> DataFrame:
 
     def run(batches):
         hashes, seen = Hashes(), set()
-        for batch in batches:
-            sizes, prints, points, wide, keys = [], [], [], [], []
+        for batch in slices(batches):
+            rows: list[tuple] = []
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 s = shingles(text, hashes)
-                mark = int((mixed(s ^ STEP).sum(dtype=np.uint64) + np.uint64(len(s))).astype(np.int64)) if len(s) else None
-                new = doc is not None and len(s) > 0 and mark not in seen
-                if doc is not None:
-                    seen.add(mark)
-                sizes.append(len(s))
-                prints.append(mark)
-                points.append(counts(s) if new else None)
-                wide.append(counts(s, WIDE) if new and len(s) >= LONG else None)
-                keys.append(partitions(s).astype(np.int64) if new else None)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), pa.array(prints, pa.int64()), pa.array(points, pa.binary()), pa.array(wide, pa.binary()), pa.array(keys, schema.field(5).type)], schema=schema)
+                mark = print_of(s) if len(s) else None
+                if doc is None or mark is None or mark in seen:
+                    rows.append((doc, len(s), mark, None, None, None))
+                    continue
+                seen.add(mark)
+                wide = counts(s, WIDE) if len(s) >= LONG else None
+                rows.append((doc, len(s), mark, counts(s), wide, partitions(s).astype(np.int64)))
+            columns = zip(*rows) if rows else [[]] * len(schema)
+            yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(columns, schema)], schema=schema)
 
     return ids_and_text(docs).mapInArrow(run, SETS)
 
@@ -146,17 +170,24 @@ def marked(keys: DataFrame, at) -> np.ndarray:
     return made
 
 
-def needed_texts(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """(doc_id, text) of at least the rows whose id is in ids (id): the filter drops most others before the shuffle."""
+def needed_shingles(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """(doc_id, shingles) of at least the rows whose id is in ids (id): the filter drops most others before the shuffle."""
     sent = docs.sparkSession.sparkContext.broadcast(marked(ids, F.pmod(F.xxhash64("id"), F.lit(FILTER_BITS))))
-    rows = ids_and_text(docs).where(F.col("doc_id").isNotNull()).select("doc_id", "text", F.pmod(F.xxhash64("doc_id"), F.lit(FILTER_BITS)).alias("at"))
+    rows = ids_and_text(docs).where(F.col("doc_id").isNotNull())
+    rows = rows.select("doc_id", "text", F.pmod(F.xxhash64("doc_id"), F.lit(FILTER_BITS)).alias("at"))
+    schema = StructType([StructField("doc_id", LongType()), StructField("shingles", ArrayType(LongType()))])
+    arrow = to_arrow_schema(schema)
 
-    def keep(batches):
-        for batch in batches:
-            at = batch.column(2).to_numpy()
-            yield batch.filter(pa.array((sent.value[at >> 6] >> (at & 63)) & 1 == 1)).select([0, 1])
+    def run(batches):
+        hashes = Hashes()
+        for whole in batches:
+            at = whole.column(2).to_numpy()
+            there = whole.filter(pa.array((sent.value[at >> 6] >> (at & 63)) & 1 == 1))
+            for batch in slices([there]):
+                made = [shingles(text, hashes).astype(np.int64) for text in batch.column(1).to_pylist()]
+                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(made, arrow.field(1).type)], schema=arrow)
 
-    return rows.mapInArrow(keep, "doc_id long, text string")
+    return rows.mapInArrow(run, schema)
 
 
 def entered(rows: DataFrame, heads: DataFrame) -> DataFrame:
@@ -179,29 +210,11 @@ def linked(docs: DataFrame, pairs: DataFrame) -> DataFrame:
     """Those of pairs (a, b) whose texts have similarity 0.8 or more."""
     if pairs.limit(1).count() == 0:
         return pairs.select("a", "b")
-    texts = needed_texts(docs, pairs.select(F.explode(F.array("a", "b")).alias("id")))
-    both = pairs.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("a_text")), "a").join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("b_text")), "b")
-    schema = StructType([StructField("a", LongType()), StructField("b", LongType())])
-
-    def verify(batches):
-        hashes, known = Hashes(), {}
-
-        def of(text: str) -> np.ndarray:
-            if text not in known:
-                if len(known) >= KNOWN:
-                    known.clear()
-                known[text] = shingles(text, hashes)
-            return known[text]
-
-        for batch in batches:
-            keep = []
-            for a_text, b_text in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
-                x, y = of(a_text), of(b_text)
-                common = len(x) + len(y) - len(np.union1d(x, y))
-                keep.append(common > 0 and 100 * common >= 80 * (len(x) + len(y) - common))
-            yield batch.filter(pa.array(keep, pa.bool_())).select([0, 1])
-
-    return both.select("a", "b", "a_text", "b_text").mapInArrow(verify, schema)
+    known = needed_shingles(docs, pairs.select(F.explode(F.array("a", "b")).alias("id")))
+    side = lambda x: known.select(F.col("doc_id").alias(x), F.col("shingles").alias(f"{x}_set"))
+    both = pairs.join(side("a"), "a").join(side("b"), "b")
+    sized = both.select("a", "b", F.size("a_set").alias("n"), F.size("b_set").alias("m"), F.size(F.array_intersect("a_set", "b_set")).alias("common"))
+    return sized.where("common > 0 AND 100L * common >= 80L * (n + m - common)").select("a", "b")
 
 
 def close(n_a: np.ndarray, n_b: np.ndarray) -> np.ndarray:
@@ -216,9 +229,31 @@ def as_points(column, dimensions: int = DIMENSIONS) -> np.ndarray:
 def roomy(points: np.ndarray, n: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Whether the summed coordinate minima of the points at a and b leave room for a similarity of 0.8."""
     out = np.zeros(len(a), dtype=bool)
-    for at in range(0, len(a), 50_000):
-        x, y = a[at : at + 50_000], b[at : at + 50_000]
-        out[at : at + 50_000] = 9 * np.minimum(points[x], points[y]).sum(1) >= 4 * (n[x] + n[y])
+    for at in range(0, len(a), 8_000):
+        x, y = a[at : at + 8_000], b[at : at + 8_000]
+        out[at : at + 8_000] = 9 * np.minimum(points[x], points[y]).sum(1) >= 4 * (n[x] + n[y])
+    return out
+
+
+def first_lists(column) -> np.ndarray:
+    """A row of FIRST partitions for each document, ascending; the largest number where it has fewer."""
+    out = np.full((len(column), FIRST), np.iinfo(np.int64).max)
+    for row, firsts in zip(out, column):
+        row[: len(firsts)] = firsts
+    return out
+
+
+def left_here(firsts: np.ndarray, part: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Which of the pairs of places a, b, found in partitions part, no smaller partition of both lists finds."""
+    out = (firsts[a, 0] != firsts[b, 0]) | (firsts[a, 0] >= part)
+    rest = np.flatnonzero(out)
+    for at in range(0, len(rest), 8_000):
+        k = rest[at : at + 8_000]
+        x, y, p = firsts[a[k]], firsts[b[k]], part[k]
+        shared = np.zeros(len(k), dtype=bool)
+        for i in range(FIRST):
+            shared |= (x[:, i] < p) & (x[:, i : i + 1] == y).any(1)
+        out[k] = ~shared
     return out
 
 
@@ -246,10 +281,15 @@ def bounded(pairs: DataFrame, vectors: DataFrame, dimensions: int) -> DataFrame:
 
 
 def index_pairs(rows: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs of places in rows (n, component, counts) that different components have and the R-tree's bounds let pass."""
+    """Pairs of places in rows of one partition that are to be found there and that the R-tree's bounds let pass.
+
+    rows: (partition, n, component, counts, firsts), and `block` where only pairs of unlike blocks are wanted.
+    """
     order = np.argsort(rows["n"].to_numpy(), kind="stable")
     n, component = rows["n"].to_numpy()[order], rows["component"].to_numpy()[order]
-    points = as_points(rows["counts"].iloc[order])
+    part = rows["partition"].to_numpy()[order]
+    block = rows["block"].to_numpy()[order] if "block" in rows else None
+    points, firsts = as_points(rows["counts"].iloc[order]), first_lists(rows["firsts"].iloc[order])
     starts = np.arange(0, len(n), LEAF)
     corner = np.maximum.reduceat(points, starts)
     least, most = n[starts], n[np.minimum(starts + LEAF, len(n)) - 1]
@@ -263,8 +303,12 @@ def index_pairs(rows: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
             ok = (component[a][:, None] != component[b][None]) & close(n[a][:, None], n[b][None])
             if i == j:
                 ok &= a[:, None] < b[None]
+            if block is not None:
+                ok &= block[a][:, None] != block[b][None]
             x, y = np.nonzero(ok)
             x, y = a[x], b[y]
+            good = left_here(firsts, part[x], x, y)
+            x, y = x[good], y[good]
             good = roomy(points, n, x, y)
             found_a.append(order[x[good]])
             found_b.append(order[y[good]])
@@ -273,24 +317,15 @@ def index_pairs(rows: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
 
 def runs(batches, key: list[str], pairs_of):
     """pairs_of whole runs of equal keys in sorted batches. Runs are bounded: small partitions, or two blocks."""
-    kept, sent = None, set()
-
-    def new(pairs: pd.DataFrame) -> pd.DataFrame:
-        if len(sent) > SENT:
-            sent.clear()
-        fresh = [p not in sent for p in zip(pairs["a"].tolist(), pairs["b"].tolist())]
-        pairs = pairs[fresh] if len(pairs) else pairs
-        sent.update(zip(pairs["a"].tolist(), pairs["b"].tolist()))
-        return pairs
-
+    kept = None
     for batch in batches:
         frame = batch if kept is None else pd.concat([kept, batch])
         if len(frame):
             last = (frame[key] == frame[key].iloc[-1]).all(axis=1).to_numpy()
             kept = frame[last]
-            yield new(pairs_of(frame[~last]))
+            yield pairs_of(frame[~last])
     if kept is not None:
-        yield new(pairs_of(kept))
+        yield pairs_of(kept)
 
 
 def ordered_pairs(ids: np.ndarray, a: np.ndarray, b: np.ndarray) -> pd.DataFrame:
@@ -302,10 +337,12 @@ def in_small(batches):
 
     def pairs_of(frame: pd.DataFrame) -> pd.DataFrame:
         part, ids, component, n = (frame[c].to_numpy() for c in ("partition", "key", "component", "n"))
-        points = as_points(frame["counts"])
+        points, firsts = as_points(frame["counts"]), first_lists(frame["firsts"])
         found_a, found_b = [np.zeros(0, dtype=np.int64)], [np.zeros(0, dtype=np.int64)]
         for step in range(1, min(LEAF, len(part))):
-            a = np.flatnonzero((part[step:] == part[:-step]) & (component[step:] != component[:-step]) & close(n[step:], n[:-step]))
+            apart = (part[step:] == part[:-step]) & (component[step:] != component[:-step])
+            a = np.flatnonzero(apart & close(n[step:], n[:-step]))
+            a = a[left_here(firsts, part[a], a, a + step)]
             a = a[roomy(points, n, a, a + step)]
             found_a.append(a)
             found_b.append(a + step)
@@ -320,13 +357,10 @@ def in_large(batches):
 
     def pairs_of(frame: pd.DataFrame) -> pd.DataFrame:
         out = [pd.DataFrame({"a": [], "b": []}).astype("int64")]
-        for _, g in frame.groupby(key, sort=False):
-            a, b = index_pairs(g)
-            if g["i"].iat[0] != g["j"].iat[0]:
-                across = g["block"].to_numpy()[a] != g["block"].to_numpy()[b]
-                a, b = a[across], b[across]
+        for (_, i, j), g in frame.groupby(key, sort=False):
+            a, b = index_pairs(g if i != j else g.drop(columns="block"))
             out.append(ordered_pairs(g["key"].to_numpy(), a, b))
-        return pd.concat(out).drop_duplicates()
+        return pd.concat(out)
 
     return runs(batches, key, pairs_of)
 
@@ -336,22 +370,38 @@ def open_pairs(met: DataFrame, labels: DataFrame, points: DataFrame, keep: Scrat
 
     Of partitions with the same members, one is searched.
     """
-    nodes = points.select("key", "doc_id", "n", "counts").join(labels.select(F.col("node").alias("doc_id"), "component"), "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
+    nodes = points.select("key", "doc_id", "n", "counts")
+    nodes = nodes.join(labels.select(F.col("node").alias("doc_id"), "component"), "doc_id", "left")
+    nodes = nodes.withColumn("component", F.coalesce("component", "doc_id"))
     # a row repeated in several tasks enters its partitions in each: distinct, else equal members cancel in the mark
-    member = keep(met.select("partition", "key").distinct().join(nodes.select("key", "doc_id", "component"), "key"), "member")
-    seen = member.groupBy("partition").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("members"), F.bit_xor(F.xxhash64("key")).alias("mark"), F.min("doc_id").alias("least"), F.max("doc_id").alias("most"))
-    one = seen.where("low <> high").groupBy("members", "mark", "least", "most").agg(F.min("partition").alias("partition"))
-    # partitions of one family have its least document in common: most of a family meets in few tasks, salted by SALTS
-    place = [F.col("least"), F.pmod("partition", F.lit(SALTS))]
-    rows = keep(member.join(one.select("partition", "members", "least"), "partition"), "open").join(nodes.select("key", "n", "counts"), "key")
-    small = rows.where(F.col("members") <= LEAF).select("partition", "least", "key", "component", "n", "counts")
-    near = small.repartition(*place).sortWithinPartitions("partition").mapInPandas(in_small, "a long, b long")
-    columns = ["partition", "least", "i", "j", "block", "key", "component", "n", "counts"]
-    one_block = rows.where((F.col("members") > LEAF) & (F.col("members") <= BLOCK)).withColumns({x: F.lit(0) for x in ("i", "j", "block")}).select(columns)
+    entries = met.select("partition", "key").distinct().join(nodes.select("key", "doc_id", "component"), "key")
+    member = keep(entries, "member")
+    seen = member.groupBy("partition").agg(
+        F.min("component").alias("low"),
+        F.max("component").alias("high"),
+        F.count("*").alias("members"),
+        F.bit_xor(F.xxhash64("key")).alias("mark"),
+        F.min("doc_id").alias("least"),
+        F.max("doc_id").alias("most"),
+    )
+    alike = seen.where("low <> high").groupBy("members", "mark", "least", "most")
+    one = alike.agg(F.min("partition").alias("partition")).select("partition", "members")
+    open_ = keep(member.select("partition", "key", "component").join(one, "partition"), "open")
+    # a document has at most a third as many partitions as words, so its list fits a row
+    firsts = open_.groupBy("key").agg(F.slice(F.array_sort(F.collect_list("partition")), 1, FIRST).alias("firsts"))
+    rows = open_.join(nodes.select("key", "n", "counts"), "key").join(firsts, "key")
+    carried = ["key", "component", "n", "counts", "firsts"]
+    small = rows.where(F.col("members") <= LEAF).select("partition", *carried)
+    near = small.repartition("partition").sortWithinPartitions("partition").mapInPandas(in_small, "a long, b long")
+    one_block = rows.where((F.col("members") > LEAF) & (F.col("members") <= BLOCK))
+    one_block = one_block.withColumns({x: F.lit(0) for x in ("i", "j", "block")})
     large = rows.where(F.col("members") > BLOCK).withColumn("blocks", F.ceil(F.col("members") / BLOCK).cast("int"))
-    large = large.withColumn("block", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    dealt = one_block.unionByName(large.select("partition", "least", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "key", "component", "n", "counts"))
-    far = dealt.repartition(*place, "i", "j").sortWithinPartitions("partition", "i", "j").mapInPandas(in_large, "a long, b long")
+    large = large.withColumn("block", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int"))
+    large = large.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    large = large.withColumns({"i": F.least("block", "other"), "j": F.greatest("block", "other")})
+    columns = ["partition", "i", "j", "block", *carried]
+    dealt = one_block.select(columns).unionByName(large.select(columns)).repartition("partition", "i", "j")
+    far = dealt.sortWithinPartitions("partition", "i", "j").mapInPandas(in_large, "a long, b long")
     return near.unionByName(far).distinct()
 
 
@@ -365,31 +415,48 @@ def classes(docs: DataFrame) -> DataFrame:
     known = made.where(F.col("doc_id").isNotNull() & (F.col("n") > 0))
     equal = known.groupBy("print").agg(F.min("doc_id").alias("b"))
     exact = known.join(equal, "print").select(F.col("doc_id").alias("a"), "b").where("a <> b").distinct()
+    exact = keep(exact, "exact")
     first_ones = whole.where(F.col("partitions").isNotNull()).withColumn("key", F.xxhash64("doc_id", "print"))
     all_entered = first_ones.select("doc_id", "key", F.explode_outer("partitions").alias("partition"))
-    members = all_entered.groupBy("partition").agg(F.min_by("key", "doc_id").alias("lead"), F.min("doc_id").alias("lead_id"), F.min("key").alias("low"), F.max("key").alias("high"))
+    members = all_entered.groupBy("partition").agg(
+        F.min_by("key", "doc_id").alias("lead"),
+        F.min("doc_id").alias("lead_id"),
+        F.min("key").alias("low"),
+        F.max("key").alias("high"),
+    )
     heads = keep(members.where("low <> high").select("partition", "lead", "lead_id"), "heads")
     met = keep(entered(first_ones, heads).join(heads, "partition"), "met")
     # one leader for each text of a document: that of most of its partitions
-    led = met.where("key <> lead").groupBy("key", "lead", "lead_id").agg(F.count("*").alias("times")).groupBy(F.col("key").alias("a")).agg(F.max_by("lead", F.struct("times", -F.col("lead_id"))).alias("b"))
-    points = keep(first_ones.select("key", "doc_id", "print", "n", "counts").dropDuplicates(["key", "doc_id", "print"]), "points")
-    wide = keep(first_ones.where(F.col("wide").isNotNull()).select("key", "n", F.col("wide").alias("vector")).dropDuplicates(["key", "n"]), "wide")
+    times = met.where("key <> lead").groupBy("key", "lead", "lead_id").agg(F.count("*").alias("times"))
+    led = times.groupBy(F.col("key").alias("a")).agg(F.max_by("lead", F.struct("times", -F.col("lead_id"))).alias("b"))
+    distinct_texts = first_ones.select("key", "doc_id", "print", "n", "counts").dropDuplicates(["key", "doc_id", "print"])
+    points = keep(distinct_texts, "points")
+    wide_ones = first_ones.where(F.col("wide").isNotNull()).select("key", "n", F.col("wide").alias("vector"))
+    wide = keep(wide_ones.dropDuplicates(["key", "n"]), "wide")
     removed(spark, heavy)  # half of what the search writes, and no longer read
-    side = lambda x, p: points.select(F.col("key").alias(x), F.col("doc_id").alias(f"{x}_id"), F.col("print").alias(p))
-    named = lambda pairs: pairs.join(side("a", "p"), "a").join(side("b", "q"), "b").where("a_id <> b_id")
-    ids = lambda pairs: named(pairs).select(F.col("a_id").alias("a"), F.col("b_id").alias("b")).distinct()
+
+    def side(x: str, p: str) -> DataFrame:
+        return points.select(F.col("key").alias(x), F.col("doc_id").alias(f"{x}_id"), F.col("print").alias(p))
+
+    def named(pairs: DataFrame) -> DataFrame:
+        return pairs.join(side("a", "p"), "a").join(side("b", "q"), "b").where("a_id <> b_id")
+
+    def ids(pairs: DataFrame) -> DataFrame:
+        return named(pairs).select(F.col("a_id").alias("a"), F.col("b_id").alias("b")).distinct()
+
     unequal = named(led).where("p <> q").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-    near = lambda pairs: bounded(pairs, wide, WIDE)
-    leaders = keep(near(bounded(unequal, points.select("key", "n", F.col("counts").alias("vector")), DIMENSIONS)).distinct(), "leaders")
-    exact = keep(exact, "exact")
+    short = points.select("key", "n", F.col("counts").alias("vector"))
+    leaders = keep(bounded(bounded(unequal, short, DIMENSIONS), wide, WIDE).distinct(), "leaders")
     first = keep(linked(docs, ids(leaders)), "links")
     labels = components(exact.unionByName(first))
-    tried = keep(near(open_pairs(met, labels, points, keep).join(leaders, ["a", "b"], "left_anti")).distinct(), "pairs")
+    met_again = open_pairs(met, labels, points, keep).join(leaders, ["a", "b"], "left_anti")
+    tried = keep(bounded(met_again, wide, WIDE).distinct(), "pairs")
     second = keep(linked(docs, ids(tried)), "links")
     final = components(exact.unionByName(first).unionByName(second))
     keep.drop()
     sized = made.select("doc_id", F.col("n").alias("n_shingles"))
-    return sized.join(final.select(F.col("node").alias("doc_id"), "component"), "doc_id", "left").select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
+    found = sized.join(final.select(F.col("node").alias("doc_id"), "component"), "doc_id", "left")
+    return found.select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:

@@ -188,7 +188,7 @@ def test_tree_search_equals_all_pairs():
     g = np.random.default_rng(0)
     base = g.integers(0, 40, (12, near_copies.DIMENSIONS))
     points = [np.maximum(b + g.integers(-1, 2, b.shape), 0) for b in base for _ in range(20)]
-    frame = pd.DataFrame({"n": [int(p.sum()) for p in points], "component": range(len(points)), "counts": [p.astype("uint8").tobytes() for p in points]})
+    frame = pd.DataFrame({"partition": 7, "n": [int(p.sum()) for p in points], "component": range(len(points)), "counts": [p.astype("uint8").tobytes() for p in points], "firsts": [[7]] * len(points)})
     a, b = near_copies.index_pairs(frame)
     want = {(i, j) for i in range(240) for j in range(i) if 9 * np.minimum(points[i], points[j]).sum() >= 4 * (points[i].sum() + points[j].sum())}
     assert {(max(x, y), min(x, y)) for x, y in zip(a.tolist(), b.tolist())} == want and len(a) == len(want)
