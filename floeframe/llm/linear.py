@@ -22,7 +22,7 @@ from floeframe.llm.words import words_of
 SIZE = 1 << 15
 #: One bucket more: the share of words that equal the word before them (a repeated word bigram).
 SAME, ALL = SIZE, SIZE + 1
-CACHED = 500_000
+CACHED = 200_000
 #: Texts that a scorer is fitted on, about: a share of the rows by a hash of the id that gives so many.
 SAMPLE = 2_000
 STEPS, RATE, PENALTY = 150, 0.3, 1e-4
