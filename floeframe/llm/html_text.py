@@ -14,6 +14,7 @@ one; other columns play no part. Broken markup, unclosed elements and text witho
 
 from __future__ import annotations
 
+import functools
 import html
 import math
 import re
@@ -26,7 +27,14 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 from floeframe.llm.common import arrow_map
 from floeframe.llm.linear import sampled
 
-MARKUP = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<(script|style|textarea)(?=[\s/>])[^>]*>.*?(?:</\1\s*>|\Z)|<[!?][^>]*>|<(/?)([A-Za-z][A-Za-z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S | re.I)
+#: Attributes of a tag, without going back: a `<` that could begin a tag ends an unclosed one, so all takes linear time.
+ATTRIBUTES = r"(?:[^<>\"']|<(?![A-Za-z/!?])|\"[^\"]*\"|'[^']*')*+"
+MARKUP = re.compile(
+    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)"
+    rf"|<(script|style|textarea)(?=[\s/>]){ATTRIBUTES}>.*?(?:</\1\s*>|\Z)"
+    rf"|<[!?][^>]*(?:>|\Z)|<(/?)([A-Za-z][A-Za-z0-9:-]*)({ATTRIBUTES})>",
+    re.S | re.I,
+)
 CLASS = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 CONTAINERS = frozenset("nav header footer aside form article main section div ul ol dl table menu dialog fieldset figure blockquote details".split())
 BLOCKS = CONTAINERS | frozenset("p h1 h2 h3 h4 h5 h6 li dt dd tr td th caption pre address hr body html option figcaption summary center".split())
@@ -35,41 +43,83 @@ DROPPED = frozenset("noscript template svg iframe select title head math object
 FLAT = frozenset("iframe select title head button".split())
 HEADS = frozenset("base basefont bgsound link meta noscript script style template title head html".split())
 CLOSING = re.compile(rf"</({'|'.join(sorted(DROPPED))})(?=[\s/>])", re.I)
-#: Names that mark what is no content, and those that mark content (fixed values).
-ASIDE = re.compile(r"^(?:nav|footer|aside|form|menu|dialog|fieldset)\b|(?:^|[.\-_ ])(?:ad|ads|advert\w*|sponsor\w*|promo\w*|banner|cookie\w*|consent|notice|alert|popup|modal|newsletter|subscri\w*|signup|login|share|sharing|social|related|recommend\w*|sidebar|side|widget|breadcrumb\w*|pagination|pager|menu|nav\w*|footer|foot|comments?|comment-\w+|replies|respond|discussion|disqus|tags?|toolbar|search|copyright|legal|masthead|skip\w*)(?:$|[.\-_ ])", re.I)
-#: Of a class beyond the first two, what says that something else is there or not.
+#: Elements that are no content by their name, and words of classes that say so (fixed values).
+ASIDE_NAMES = frozenset("nav footer aside form menu dialog fieldset".split())
+ASIDE_WORDS = frozenset(
+    "ad ads advert advertisement advertising alert aside banner breadcrumb breadcrumbs comment comments consent cookie"
+    " cookies copyright discussion disqus foot footer legal login masthead menu modal nav navbar navigation newsletter"
+    " notice pager pagination popup promo promoted promotion recommend recommendation recommendations recommended related"
+    " replies respond search share sharing side sidebar signup skip skiplink social sponsor sponsored subscribe"
+    " subscription tag tags toolbar widget".split()
+)
+#: Words that say nothing of their own beside one of those (fixed values).
+PLAIN_WORDS = frozenset(
+    "a action actions area articles bar block body bottom box btn button buttons card container content cta desktop"
+    " entry fixed footer form global group header holder icons inner item items l label large left lg line link links"
+    " list main mobile more msg m of page pane panel part post posts primary r rail right row s section site slot sm"
+    " small stories sticky text the title top unit user v wrap wrapper x xl zone".split()
+)
+#: Of a class, what says that something is elsewhere on the page, or not there.
 OTHERS = re.compile(r"(?:has|with|no|not|without|is)[-_]")
 STRONG, WEAK = 3.0, 0.2
 
 
-def key_of(name: str, attributes: str) -> str:
-    if name not in CONTAINERS:
-        return name
-    marks = " ".join(a or b or c for a, b, c in CLASS.findall(attributes)).lower().split()
-    aside = [m for m in marks[2:] if ASIDE.search(f".{m}") and not OTHERS.match(m)]
-    return ".".join([name, *(re.sub(r"\d+", "", m) for m in marks[:2]), *aside[:1]])
+@functools.lru_cache(100_000)
+def aside_mark(mark: str) -> bool:
+    """Whether a class, id or role is made of words that mark what is no content: side-bar is, side-effects isn't."""
+    if OTHERS.match(mark):
+        return False
+    words = [w for w in re.split(r"[^a-z]+", mark) if w]
+    return any(w in ASIDE_WORDS for w in words) and all(w in ASIDE_WORDS or w in PLAIN_WORDS for w in words)
 
 
-def parsed(page: str):
-    """("tag", name, containers, is_close) and ("text", text, containers, in_link) in page order, outside of DROPPED.
+class Box:
+    """An open container: its key, whether it or one around it is an aside or the article, and what weight follows."""
 
-    A DROPPED element ends at its closing tag, at <body>, with its parent, and where HTML ends it: a head at what it
-    can't hold, svg and math at a block, one that doesn't nest at the next. Never closed, it drops nothing.
+    __slots__ = ("name", "key", "aside", "inner", "article", "weight", "around", "words")
+
+    def __init__(self, name: str, attributes: str, around: Box | None, fresh):
+        marks = " ".join(a or b or c for a, b, c in CLASS.findall(attributes)).lower().split() if attributes else []
+        own = name in ASIDE_NAMES or any(map(aside_mark, marks))
+        self.name, self.around = name, around
+        self.key = name if name not in CONTAINERS else ".".join([name, *(re.sub(r"\d+", "", m) for m in marks[:2])])
+        self.aside = own or around is not None and around.aside
+        was_inner = around is not None and around.inner
+        self.inner = was_inner or name in ("article", "main")
+        self.article = name == "article" or around is not None and around.article
+        self.weight = fresh(self, own, was_inner)
+        self.words = [0, 0]
+
+
+def parsed(page: str, fresh=lambda box, own, was_inner: 0.0):
+    """("tag", name, box, is_close) and ("text", text, box, in_link) in page order, outside of DROPPED.
+
+    box is the innermost open container, or None. fresh gives a new one its weight. A DROPPED element ends at its
+    closing tag, at <body>, with its parent, and where HTML ends it: a head at what it can't hold, svg and math at a
+    block, one that doesn't nest at the next. Never closed, it drops nothing.
     """
-    stack: list[tuple[str, str]] = []
-    keys: tuple[str, ...] = ()
+    stack: list[Box] = []
+    depths: Counter = Counter()  # open elements of each name
     link, at = 0, 0
     ends = {m[1].lower(): m.start() for m in CLOSING.finditer(page)}
     dropped: int | None = None  # place in the stack of the outermost DROPPED
     inside: Counter = Counter()  # blocks opened in it
+
+    def cut(depth: int) -> None:
+        while len(stack) > depth:
+            depths[stack.pop().name] -= 1
+
+    def box() -> Box | None:
+        return stack[-1] if stack else None
+
     for m in MARKUP.finditer(page):
         if m.start() > at:
             text = page[at : m.start()]
-            if dropped is not None and stack[-1][0] == "head" and not text.isspace():
-                del stack[dropped:]
-                dropped, keys = None, tuple(k for _, k in stack)
+            if dropped is not None and stack[-1].name == "head" and not text.isspace():
+                cut(dropped)
+                dropped = None
             if dropped is None:
-                yield "text", text, keys, link > 0
+                yield "text", text, box(), link > 0
         at = m.end()
         if m[3] is None:
             continue
@@ -79,51 +129,65 @@ def parsed(page: str):
                 ended = name in BLOCKS and not inside[name]
                 inside[name] -= inside[name] > 0
             else:
-                top = stack[-1][0]
-                ended = name == "body" or top == "head" and name not in HEADS or top in ("svg", "math") and name in BLOCKS or top == name and name in FLAT
+                top = stack[-1].name
+                ended = name == "body" or top == "head" and name not in HEADS
+                ended = ended or top in ("svg", "math") and name in BLOCKS or top == name and name in FLAT
                 inside[name] += name in BLOCKS and not ended
             if ended:
-                del stack[dropped:]
-                dropped, keys = None, tuple(k for _, k in stack)
+                cut(dropped)
+                dropped = None
         if name == "a" and (dropped is None or close):
             link = 0 if close else 1
         if dropped is None and name not in DROPPED:
-            yield "tag", name, keys, close
+            yield "tag", name, box(), close
         if (name in CONTAINERS or name in DROPPED) and not m[4].endswith("/"):
             if not close:
                 if name in CONTAINERS or name == "head" or ends.get(name, -1) > at:
-                    stack.append((name, key_of(name, m[4])))
+                    stack.append(Box(name, m[4], box(), fresh))
+                    depths[name] += 1
                     if name in DROPPED and dropped is None:
                         dropped, inside = len(stack) - 1, Counter()
-            else:
-                for depth in range(len(stack) - 1, -1, -1):
-                    if stack[depth][0] == name:
-                        del stack[depth:]
-                        break
+            elif depths[name]:
+                depth = len(stack) - 1
+                while stack[depth].name != name:
+                    depth -= 1
+                cut(depth)
                 if dropped is not None and len(stack) <= dropped:
                     dropped = None
-            keys = tuple(k for _, k in stack)
-    if at < len(page) and (dropped is None or stack[-1][0] == "head"):
-        yield "text", page[at:], keys if dropped is None else keys[:dropped], link > 0
+    if at < len(page) and (dropped is None or stack[-1].name == "head"):
+        if dropped is not None:
+            cut(dropped)
+        yield "text", page[at:], box(), link > 0
 
 
 def counted(page: str) -> list[tuple[str, int, int]]:
     """(key, places inside, places outside the article) of a labelled page; nothing of others."""
-    low = page.lower()
-    if low.count("<article") != 1:
+    if page.lower().count("<article") != 1:
         return []
-    inside, outside = Counter(), Counter()
-    for kind, x, y, z in parsed(page):
-        marked = "article" in (k.split(".")[0] for k in y)
-        if not marked and any(map(ASIDE.search, y)):
+    inside, outside, boxes = Counter(), Counter(), []
+
+    def fresh(box: Box, own: bool, was_inner: bool) -> float:
+        boxes.append(box)
+        return 0.0
+
+    for kind, x, box, z in parsed(page, fresh):
+        marked = box is not None and box.article
+        if not marked and box is not None and box.aside:
             continue  # its container's name says enough: a list in a menu tells nothing of lists
         if kind == "tag":
             (inside if marked else outside)[f"<{x}"] += 1
         else:
             n = len(x.split())
-            for k in {*y, "a" if z else "text"}:
-                (inside if marked else outside)[k] += n
-    return [(k, inside[k], outside[k]) for k in {*inside, *outside}]
+            (inside if marked else outside)["a" if z else "text"] += n
+            if box is not None:
+                box.words[not marked] += n
+    for box in reversed(boxes):  # a container has the words of those within it
+        inside[box.key] += box.words[0]
+        outside[box.key] += box.words[1]
+        if box.around is not None:
+            box.around.words[0] += box.words[0]
+            box.around.words[1] += box.words[1]
+    return [(k, inside[k], outside[k]) for k in {*inside, *outside} if inside[k] + outside[k]]
 
 
 COUNTS = StructType([StructField("key", StringType()), StructField("inside", LongType()), StructField("outside", LongType())])
@@ -146,49 +210,52 @@ def learnt(pages: DataFrame) -> dict[str, float]:
     return {r["key"]: math.log((r["i"] + 1) / (r["o"] + 1)) for r in rows}
 
 
-def container_weight(key: str, inner: bool, weights: dict[str, float]) -> float:
-    """inner: inside an article or main element, where a header is the article's own."""
-    name = key.split(".")[0]
-    if name in ("article", "main") and not ASIDE.search(key[len(name) :]):
-        return STRONG
-    if ASIDE.search(key) or name == "header" and not inner:
-        return -STRONG
-    return max(-STRONG, min(STRONG, weights.get(key, 1.0)))
+def best_part(scores: list[float]) -> tuple[int, int]:
+    """(first, end) of the contiguous part with the highest sum, the first of equal ones; (0, 0) if none is above 0."""
+    best, first, end = 0.0, 0, 0
+    total, begin = 0.0, 0
+    for i, score in enumerate(scores):
+        if total <= 0:
+            total, begin = 0.0, i
+        total += score
+        if total > best:
+            best, first, end = total, begin, i + 1
+    return first, end
 
 
 def main_text(page: str, weights: dict[str, float]) -> str:
-    weight_of: dict[tuple, float] = {}
-    best = (0.0, 0, 0)
-    total, begin = 0.0, 0
-    blocks: list[list] = [[]]  # of (token number, text)
-    number = 0
-    for kind, x, y, z in parsed(page):
-        number += 1
+    def clipped(key: str) -> float:
+        return max(-STRONG, min(STRONG, weights.get(key, 1.0)))
+
+    def fresh(box: Box, own: bool, was_inner: bool) -> float:
+        """What the box's words weigh: the least of the containers around them. A header in an article is its own."""
+        if own or box.name == "header" and not was_inner:
+            weight = -STRONG
+        else:
+            weight = STRONG if box.name in ("article", "main") else clipped(box.key)
+        return min(weight, box.around.weight) if box.around is not None else weight
+
+    plain = clipped("text")
+    scores: list[float] = []
+    blocks: list[list] = [[]]  # of (token number, text, good)
+    for kind, x, box, z in parsed(page, fresh):
+        number = len(scores)
         if kind == "tag":
-            score = -max(0.05, min(0.5, -weights.get(f"<{x}", -0.1)))
+            scores.append(-max(0.05, min(0.5, -weights.get(f"<{x}", -0.1))))
             if x in BLOCKS and blocks[-1]:
                 blocks.append([])
             elif x == "br":
                 blocks[-1].append((number, " ", False))
         else:
-            if y not in weight_of:
-                inner, least = False, STRONG
-                for k in y:
-                    least = min(least, container_weight(k, inner, weights))
-                    inner = inner or k.split(".")[0] in ("article", "main")
-                weight_of[y] = least if y else max(-STRONG, min(STRONG, weights.get("text", 1.0)))
-            weight = weight_of[y]
+            weight = box.weight if box is not None else plain
             n = len(x.split())
             # words that are left out anyway need not cut the content in two: an advert within costs little
-            score = n * max(WEAK, weight) if weight > -1 and not (z and weight < 1) else -min(STRONG, WEAK * n)
+            good = weight > -1 and not (z and weight < 1)
+            scores.append(n * max(WEAK, weight) if good else -min(STRONG, WEAK * n))
             blocks[-1].append((number, x, weight > -1))
-        if total <= 0:
-            total, begin = 0.0, number
-        total += score
-        if total > best[0]:
-            best = (total, begin, number)
-    _, first, last = best
-    shown = (" ".join(html.unescape("".join(x for n, x, good in block if first <= n <= last and (good or x == " "))).split()) for block in blocks)
+    first, end = best_part(scores)
+    kept = ("".join(x for n, x, good in block if first <= n < end and (good or x == " ")) for block in blocks)
+    shown = (" ".join(html.unescape(x).split()) for x in kept)
     return "\n\n".join(x for x in shown if x)
 
 

@@ -425,6 +425,34 @@ def test_no_page_is_swallowed_to_its_end():
         assert got.split() == text.split() or got == f"like\n\n{text}", page
 
 
+def test_class_names_of_content_are_no_asides():
+    body = "<p>one two three four</p>"
+    for page in (f'<main><div class="side-effects">{body}</div></main>', f'<article class="tags-history">{body}</article>', f'<article><div class="search-for-meaning">{body}</div></article>'):
+        assert html_text.main_text(page, {}) == "one two three four", page
+    for name in ("side-bar", "ad-slot", "share-buttons", "comments-area", "cookie_banner", "related-posts"):
+        assert html_text.main_text(f'<article>{body}<div class="{name}"><p>no no no</p></div></article>', {}) == "one two three four", name
+
+
+def test_best_part_is_the_best_of_all():
+    g = np.random.default_rng(1)
+    for n in (0, 1, 2, 9, 40):
+        for _ in range(30):
+            scores = g.integers(-6, 6, n).tolist()
+            first, end = html_text.best_part(scores)
+            assert sum(scores[first:end]) == max([0, *(sum(scores[i:j]) for i in range(n) for j in range(i + 1, n + 1))])
+
+
+@pytest.mark.parametrize("unit", ["<div ", '<div "', "<div>", "</nav>", "<!", "<script ", "<a '<b \"", "<svg>", '<div class="x ', "<p><nav>", "</svg>"])
+def test_broken_markup_takes_linear_time(unit):
+    import time
+
+    page = "<article><p>a b c</p>" + unit * (1_000_000 // len(unit))
+    began = time.time()
+    html_text.main_text(page, {})
+    html_text.counted(page)
+    assert time.time() - began < 20
+
+
 def test_linear_without_both_classes():
     assert linear.fitted([]) is None and linear.scorer(None)(["a"]) == 1.0
 
