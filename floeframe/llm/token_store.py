@@ -6,7 +6,7 @@ digest of its bytes. The store is a folder in shared storage:
 
     chunks/   digest, n, payload      each unique chunk once
     recipes/  number, doc_id, start, n_tokens, digests, counts, leaf    one row a document, ascending doc_id
-    tree/     level, node, digest     Merkle tree over the recipes' leaves, FAN children a node
+    tree/     level, number, digest   Merkle tree over the recipes' leaves, FAN children a node
 
 `write` makes one, `checks` reads it back and returns each document's place and checksum, `documents` returns the
 ids. Both recompute every chunk's digest from the stored bytes, and the tree's root from the recipes, and raise on
@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import ArrayType, BinaryType, IntegerType, LongType, StringType, StructField, StructType
 
-from floeframe.llm.common import arrow_map, ids_and_text, removed
+from floeframe.llm.common import arrow_map, ids_and_text, new_path, removed
 from floeframe.llm.tokenize import packed, word_encoder
 
 WINDOW, CUT_BITS, LONGEST = 8, 9, 4096
@@ -101,18 +101,23 @@ def _first_of_each(batches):
         yield batch.filter(pa.array(keep, type=pa.bool_()))
 
 
-def _root(leaves: DataFrame, keep: list[DataFrame] | None = None) -> str | None:
-    """The root of the Merkle tree over leaves (number, digest); at most FAN digests meet in a task's row."""
-    level, nodes = 0, leaves
+def _root(leaves: DataFrame, path: str) -> str | None:
+    """The root of the Merkle tree over leaves (number, digest), whose levels above them are written below path.
+
+    A level is made from the written one below it, whose nodes meet by FAN; so levels shrink fast and none is made twice.
+    """
+    spark, level, nodes = leaves.sparkSession, 0, leaves
+    ordered = F.transform(F.array_sort(F.collect_list(F.struct("number", "digest"))), lambda x: x["digest"])
     while True:
-        if keep is not None:
-            keep.append(nodes.select(F.lit(level).alias("level"), F.col("number").alias("node"), "digest"))
-        if level and nodes.limit(2).count() <= 1:
-            found = nodes.first()
-            return found["digest"] if found else None
-        ordered = F.transform(F.array_sort(F.collect_list(F.struct("number", "digest"))), lambda x: x["digest"])
-        nodes = nodes.groupBy(F.floor(F.col("number") / FAN).alias("above")).agg(F.sha2(F.array_join(ordered, ""), 256).alias("digest")).select(F.col("above").alias("number"), "digest")
         level += 1
+        above = nodes.groupBy(F.floor(F.col("number") / FAN).alias("above"))
+        above = above.agg(F.sha2(F.array_join(ordered, ""), 256).alias("digest"))
+        at = f"{path}/level={level}"
+        above.select(F.col("above").alias("number"), "digest").write.option("compression", "zstd").parquet(at)
+        nodes = spark.read.schema("number long, digest string").parquet(at)
+        few = nodes.limit(2).collect()
+        if len(few) <= 1:
+            return few[0]["digest"] if few else None
 
 
 def _leaf() -> Column:
@@ -145,19 +150,17 @@ def write(docs: DataFrame, path: str, vocabulary: str, end_id: int = 1, width: i
     )
     recipes.write.option("compression", "zstd").parquet(f"{path}/recipes")
     removed(spark, f"{path}/ordered")
-    levels: list[DataFrame] = []
-    _root(spark.read.parquet(f"{path}/recipes").select("number", F.col("leaf").alias("digest")), levels)
-    made = levels[1]
-    for nodes in levels[2:]:
-        made = made.unionByName(nodes)
-    made.coalesce(1).write.parquet(f"{path}/tree")
+    _root(spark.read.parquet(f"{path}/recipes").select("number", F.col("leaf").alias("digest")), f"{path}/tree")
 
 
 def _verified_recipes(spark: SparkSession, path: str) -> DataFrame:
     recipes = spark.read.parquet(f"{path}/recipes")
-    tree = spark.read.parquet(f"{path}/tree")
+    tree = spark.read.schema("number long, digest string, level int").parquet(f"{path}/tree")
     top = tree.orderBy(F.desc("level")).first()
-    if (top["digest"] if top else None) != _root(recipes.select("number", _leaf().alias("digest"))):
+    again = new_path(spark, "tree")
+    found = _root(recipes.select("number", _leaf().alias("digest")), again)
+    removed(spark, again)
+    if (top["digest"] if top else None) != found:
         raise ValueError(f"{path}: the recipes don't give the root of the tree")
     return recipes
 

@@ -60,11 +60,12 @@ def packed(ids) -> bytes:
     return made.tobytes()
 
 
-def load(path: str):
+def load(path: str, markers_as_text: bool = False):
+    """The vocabulary's tokenizer. markers_as_text: its markers (end of text and the like) are plain text in a text."""
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True
+    tokenizer.encode_special_tokens = markers_as_text
     return tokenizer
 
 
@@ -76,8 +77,12 @@ def piece_ids(model) -> Ids:
 
 @functools.cache
 def word_encoder(path: str) -> Callable[[str], bytes]:
-    """text -> ids for a lower-casing vocabulary with word ends that drops white space."""
+    """text -> ids for a lower-casing vocabulary with word ends that drops white space.
+
+    A text that holds one of the vocabulary's markers is left to the library, which gives the marker its own id.
+    """
     tokenizer = load(path)
+    markers = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
     whole = lambda text: packed(tokenizer.encode(text, add_special_tokens=False).ids)
     pieces = piece_ids(tokenizer.model)
 
@@ -92,7 +97,7 @@ def word_encoder(path: str) -> Callable[[str], bytes]:
     words, wide_words = Ids(word), Ids(lambda w: whole(w) if WIDE.search(w) else word(w))
 
     def text_ids(text: str) -> bytes:
-        if "\x1c" in text or "\x1d" in text or "\x1e" in text or "\x1f" in text:
+        if "\x1c" in text or "\x1d" in text or "\x1e" in text or "\x1f" in text or any(m in text for m in markers):
             return whole(text)
         return b"".join(map((wide_words if WIDE.search(text) else words).__getitem__, text.split()))
 
@@ -101,8 +106,8 @@ def word_encoder(path: str) -> Callable[[str], bytes]:
 
 @functools.cache
 def byte_encoder(path: str, pattern: str) -> Callable[[str], bytes]:
-    """text -> ids for a byte-level vocabulary; pattern must be the one that the library itself splits by."""
-    tokenizer = load(path)
+    """text -> ids for a byte-level vocabulary; pattern must be the one that the library itself splits by. Markers are plain text."""
+    tokenizer = load(path, markers_as_text=True)
     whole = lambda text: packed(tokenizer.encode(text, add_special_tokens=False).ids)
     pieces, split = piece_ids(tokenizer.model), regex.compile(pattern).findall
 
