@@ -2,10 +2,12 @@
 
 Documents are tokenised where they lie; only (document, piece, length, checksum) rows are shuffled, to blocks of
 about BLOCK documents by a hash of the document, so that a block fits a task whatever the number of documents.
-Pieces of full length are sequences of their own. In a block, the rest starts from a best-fit-decreasing packing;
-local search then moves documents and exchanges one for one or two for one between underfull bins whenever that
-increases the sum of squared fills, until a bin empties or no step helps. It ends when the block has as few bins
-as its tokens allow. A block has at most one bin more than its share, so what blocks cost is one bin in thousands.
+Pieces of full length are sequences of their own. In a block, each of the rest goes to the fullest bin that has room
+for it, in the order in which they come; then local search moves documents and exchanges one for one or two for one
+from an emptier underfull bin to a fuller one, always the step that moves most, so that the sum of squared fills
+grows, until bins empty. It ends when the block has as few bins as a lower bound says it needs, or when no bin has a
+step left; then it begins again from the documents in order of their length, and the better result counts. So a
+block never has more bins than a best-fit-decreasing packing. What blocks cost is one bin in thousands at most.
 
 Null text counts as empty and packs as its end id alone; repeated rows are packed each by itself, and equal rows
 get interchangeable places; an empty table gives an empty one; other columns play no part.
@@ -16,7 +18,9 @@ from __future__ import annotations
 import bisect
 import zlib
 from collections import defaultdict
+from collections.abc import Iterable
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -29,19 +33,28 @@ from floeframe.llm.tokenize import packed, word_encoder
 
 #: Documents in a block, about.
 BLOCK = 16_384
-#: Steps of local search in a block at most. Every packing on the way is valid; texts rarely need any.
-STEPS = 500
-
-PIECES = StructType([StructField("doc_id", LongType()), StructField("piece", IntegerType()), StructField("start", LongType()), StructField("length", LongType()), StructField("ids_crc32", LongType()), StructField("row", LongType())])
+#: Numbers that a step compares at once.
+AT_ONCE = 4_000_000
+
+PIECES = StructType(
+    [
+        StructField("doc_id", LongType()),
+        StructField("piece", IntegerType()),
+        StructField("start", LongType()),
+        StructField("length", LongType()),
+        StructField("ids_crc32", LongType()),
+        StructField("row", LongType()),
+    ]
+)
 PACKED = StructType(PIECES.fields[:-1] + [StructField("sequence_id", LongType()), StructField("offset", LongType())])
 
 
-def best_fit(lengths: list[int], capacity: int) -> list[list[int]]:
-    """Bins of item numbers: longest first, each to the fullest bin that has room."""
+def best_fit(lengths: list[int], capacity: int, order: Iterable[int] | None = None) -> list[list[int]]:
+    """Bins of item numbers: each in its order (else as they come) to the fullest bin that has room."""
     bins: list[list[int]] = []
     by_room: dict[int, list[int]] = defaultdict(list)
     rooms: list[int] = []  # sorted rooms that some bin has
-    for i in sorted(range(len(lengths)), key=lambda i: (-lengths[i], i)):
+    for i in range(len(lengths)) if order is None else order:
         at = bisect.bisect_left(rooms, lengths[i])
         if at == len(rooms):
             bins.append([i])
@@ -58,53 +71,113 @@ def best_fit(lengths: list[int], capacity: int) -> list[list[int]]:
     return bins
 
 
-def improved(bins: list[list[int]], lengths: list[int], capacity: int) -> list[list[int]]:
-    """Local search among underfull bins: each step moves room from a fuller bin to an emptier one."""
-    least = -(-sum(lengths) // capacity)
-    fill = [sum(lengths[i] for i in b) for b in bins]
-    live = [k for k in range(len(bins)) if fill[k] < capacity]
-    for _ in range(STEPS):
-        if sum(map(bool, bins)) <= least or len(live) < 2:
-            break
-        poor = min(live, key=lambda k: (fill[k], k))
-        step = None
-        for rich in sorted((k for k in live if k != poor), key=lambda k: (-fill[k], k)):
-            room = capacity - fill[rich]
-            step = best_step(bins[poor], bins[rich], lengths, room)
-            if step:
-                break
-        if not step:
-            live.remove(poor)  # nothing improves it; the others may still exchange among themselves
-            continue
-        give, take = step
-        bins[poor] = [i for i in bins[poor] if i not in give] + list(take)
-        bins[rich] = [i for i in bins[rich] if i not in take] + list(give)
-        moved = sum(lengths[i] for i in give) - sum(lengths[i] for i in take)
-        fill[poor] -= moved
-        fill[rich] += moved
-        live = [k for k in range(len(bins)) if bins[k] and fill[k] < capacity]
-    return [b for b in bins if b]
-
-
-def best_step(poor: list[int], rich: list[int], lengths: list[int], room: int) -> tuple[tuple, tuple] | None:
-    """(documents to the rich bin, documents back): the move, 1-for-1 or 2-for-1 exchange that fills most of room."""
-    best, gain = None, 0
-    for i in poor:
-        if gain < lengths[i] <= room:
-            best, gain = ((i,), ()), lengths[i]
-    back = sorted((lengths[j], j) for j in rich)
-    for give in [(i,) for i in poor] + [(i, k) for a, i in enumerate(poor) for k in poor[a + 1 :]]:
-        size = sum(lengths[i] for i in give)
-        at = bisect.bisect_left(back, (size - room, -1))  # the shortest that makes the exchange fit
-        if at < len(back) and gain < size - back[at][0] <= room:
-            best, gain = (give, (back[at][1],)), size - back[at][0]
-    for a, i in enumerate(rich):  # two come back for one
-        for j in rich[a + 1 :]:
-            for k in poor:
-                d = lengths[k] - lengths[i] - lengths[j]
-                if gain < d <= room:
-                    best, gain = ((k,), (i, j)), d
-    return best
+def fewest(lengths: list[int], capacity: int) -> int:
+    """A lower bound of the number of bins: for any k, items above capacity - k share a bin with none of k or more."""
+    size = np.sort(np.array(lengths, dtype=np.int64))[::-1]
+    if not len(size):
+        return 0
+    total = np.r_[0, np.cumsum(size)]
+    above = lambda x: np.searchsorted(-size, -x)  # how many are larger than x
+    k = np.r_[0, np.unique(size[2 * size <= capacity])]
+    alone, large, small = above(capacity - k), above(capacity / 2), above(k - 0.5)
+    room = (large - alone) * capacity - (total[large] - total[alone])
+    rest = np.maximum(total[small] - total[large] - room, 0)
+    return int((large + -(-rest // capacity)).max())
+
+
+class Search:
+    """Local search among underfull bins."""
+
+    def __init__(self, bins: list[list[int]], lengths: list[int], capacity: int):
+        self.bins, self.capacity = [list(b) for b in bins], capacity
+        self.size = np.array(lengths, dtype=np.int64)
+        self.home = np.empty(len(lengths), dtype=np.int64)
+        for k, b in enumerate(bins):
+            self.home[b] = k
+        self.fill = np.array([self.size[b].sum() for b in bins], dtype=np.int64)
+
+    def best_step(self, poor: int) -> tuple[list[int], int | None, int] | None:
+        """(items to give, item to take back, to which bin): the move or exchange that moves most; None without one."""
+        room = self.capacity - self.fill
+        rich = np.flatnonzero((self.fill >= self.fill[poor]) & (room > 0))
+        rich = rich[rich != poor]
+        if not len(rich):
+            return None
+        own = np.array(sorted(self.bins[poor], key=lambda i: (self.size[i], i)))
+        best, moved = None, 0
+        fits = own[self.size[own] <= room[rich].max()]
+        if len(fits):
+            give = int(fits[-1])
+            good = rich[room[rich] >= self.size[give]]
+            best, moved = ([give], None, int(good[room[good].argmin()])), int(self.size[give])
+        wanted = np.zeros(len(room), dtype=bool)
+        wanted[rich] = True
+        back = np.flatnonzero(wanted[self.home])
+        sizes, spare = self.size[back], room[self.home[back]]
+        gives = {int(self.size[i]): [int(i)] for i in own}
+        kinds = own[np.r_[True, self.size[own][1:] != self.size[own][:-1]]]  # one item of each size, and second ones
+        twice = {int(self.size[i]): int(i) for i in own if gives[int(self.size[i])][0] != i}
+        for a, i in enumerate(kinds):
+            if (one := int(self.size[i])) in twice:
+                gives.setdefault(2 * one, [gives[one][0], twice[one]])
+            for j in kinds[a + 1 :]:
+                gives.setdefault(int(self.size[i] + self.size[j]), [int(i), int(j)])
+        # a step moves less than the largest spare room, so what is given must come that close to what is taken
+        totals = np.array(sorted(gives), dtype=np.int64)
+        totals = totals[totals <= sizes.max() + room[rich].max()]
+        for at in range(0, len(totals), step := max(1, AT_ONCE // max(len(back), 1))):
+            part = totals[at : at + step]
+            change = part[:, None] - sizes[None]
+            change[change > spare[None]] = 0
+            x, y = divmod(int(change.argmax()), len(back))
+            if change[x, y] > moved:
+                taken = int(back[y])
+                best, moved = (gives[int(part[x])], taken, int(self.home[taken])), int(change[x, y])
+        return best
+
+    def take(self, poor: int, step: tuple[list[int], int | None, int]) -> None:
+        give, taken, rich = step
+        for i in give:
+            self.bins[poor].remove(i)
+            self.bins[rich].append(i)
+            self.home[i] = rich
+        if taken is not None:
+            self.bins[rich].remove(taken)
+            self.bins[poor].append(taken)
+            self.home[taken] = poor
+        for k in (poor, rich):
+            self.fill[k] = self.size[self.bins[k]].sum() if self.bins[k] else 0
+
+    def run(self, least: int) -> list[list[int]]:
+        """Bins after the search: `least` of them, or no step left."""
+        count, moving = int((self.fill > 0).sum()), True
+        while moving and count > least:
+            moving = False
+            stuck = np.zeros(len(self.fill), dtype=bool)
+            while count > least:
+                live = np.flatnonzero((self.fill > 0) & (self.fill < self.capacity) & ~stuck)
+                if not len(live):
+                    break
+                poor = int(live[self.fill[live].argmin()])
+                step = self.best_step(poor)
+                if step is None:
+                    stuck[poor] = True
+                    continue
+                moving = True
+                self.take(poor, step)
+                count -= not self.bins[poor]
+        return [b for b in self.bins if b]
+
+
+def packed_bins(lengths: list[int], capacity: int) -> list[list[int]]:
+    """Bins of item numbers, as few as the search finds."""
+    least = fewest(lengths, capacity)
+    found = Search(best_fit(lengths, capacity), lengths, capacity).run(least)
+    if len(found) > least:
+        longest = sorted(range(len(lengths)), key=lambda i: (-lengths[i], i))
+        again = Search(best_fit(lengths, capacity, longest), lengths, capacity).run(least)
+        found = min(found, again, key=len)
+    return found
 
 
 def tokenised(docs: DataFrame, vocabulary: str, end_id: int, capacity: int) -> DataFrame:
@@ -138,7 +211,7 @@ def packed_sequences(docs: DataFrame, vocabulary: str, end_id: int = 1, capacity
         full = [i for i, n in enumerate(lengths) if n == capacity]
         rest = [i for i, n in enumerate(lengths) if n < capacity]
         sizes = [lengths[i] for i in rest]
-        bins = [[i] for i in full] + [[rest[i] for i in b] for b in improved(best_fit(sizes, capacity), sizes, capacity)]
+        bins = [[i] for i in full] + [[rest[i] for i in b] for b in packed_bins(sizes, capacity)]
         sequence, offset = [0] * len(lengths), [0] * len(lengths)
         base = int(group["block"].iloc[0]) << 32
         for number, b in enumerate(bins):

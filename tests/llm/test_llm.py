@@ -10,6 +10,7 @@ import public_tokenizers
 import pytest
 import tiktoken
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 from floeframe.llm import byte_bpe, components, html_text, licenses, linear, near_copies, packing, personal, quality_rules, token_store, tokenize, top_k, weak_labels, words
 
@@ -26,7 +27,7 @@ def texts():
     r = random.Random(5)
     base = prose(r, 300)
     near = base.replace(" w1", " changed ", 2)
-    odd = ["", " \n\t ", "one", "one two three four", "a\x1cb  c\t\td  e\n\n", "É é ΣΑΣ İ 日本語 👩‍👩‍👧 <|endoftext|> it's IT'S", "x" * 30000, prose(r, 20000, 30), "word " * 200, "Licensed under CC BY-NC 4.0. All Rights Reserved all rights reserved"]
+    odd = ["", " \n\t ", "one", "one two three four", "a\x1cb  c\t\td  e\n\n", "É é ΣΑΣ İ 日本語 👩‍👩‍👧 <|endoftext|> it's IT'S", "x" * 30000, prose(r, 20000, 30), "word " * 200, "one <|endoftext|> two<|startoftext|>x <|ENDOFTEXT|> <|endoftext", "Licensed under CC BY-NC 4.0. All Rights Reserved all rights reserved"]
     odd += ["mail a@b.cc_d@e.f or x@@y.z 1.2.3.4.5.6.7.8 256.1.1.1", "4111 1111 1111 1111, 4111-1111-1111-1112 +1 (988) 555-2485 +12", "5" * 400 + " " + "1 2 3 " * 3000]
     return [base, base, near, base + " tail", *odd, *(prose(r, r.randint(1, 200)) for _ in range(20))]
 
@@ -74,7 +75,7 @@ def test_offsets_and_split_characters(spark):
 
 
 def test_word_ids_are_the_librarys():
-    r, plain, encode = random.Random(1), tokenize.load(WORDS), tokenize.word_encoder(WORDS)
+    r, plain, encode = random.Random(1), Tokenizer.from_file(WORDS), tokenize.word_encoder(WORDS)
     letters = "ab'sS .,\n\t0é½²́ İΣ!<|>中\x1c\x85"
     for t in texts()[4:12] + ["".join(r.choice(letters) for _ in range(r.randint(0, 40))) for _ in range(2000)]:
         assert encode(t) == tokenize.packed(plain.encode(t, add_special_tokens=False).ids), t[:80]
@@ -82,7 +83,7 @@ def test_word_ids_are_the_librarys():
 
 def test_token_store(spark, docs, empty, tmp_path):
     token_store.write(docs, str(tmp_path / "a"), WORDS)
-    plain, at, want, ids_of = tokenize.load(WORDS), 0, [], {}
+    plain, at, want, ids_of = Tokenizer.from_file(WORDS), 0, [], {}
     for i, t in sorted(rows_of(docs), key=lambda x: (x[0] is not None, x[0])):
         ids = plain.encode(t, add_special_tokens=False).ids + [1]
         want.append((i, at, len(ids), zlib.crc32(tokenize.packed(ids))))
@@ -115,7 +116,7 @@ def test_cuts_cover(n):
 
 def test_packing(docs, empty):
     got = packing.packed_sequences(docs, WORDS, capacity=256).collect()
-    plain, want = tokenize.load(WORDS), []
+    plain, want = Tokenizer.from_file(WORDS), []
     for i, t in rows_of(docs):
         ids = plain.encode(t, add_special_tokens=False).ids + [1]
         want += [(i, k, a, len(ids[a : a + 256]), zlib.crc32(tokenize.packed(ids[a : a + 256]))) for k, a in enumerate(range(0, len(ids), 256))]
@@ -135,10 +136,46 @@ def test_packing(docs, empty):
 
 def test_search_empties_bins():
     lengths = [6, 6, 4, 4, 3, 3, 2, 2, 5, 5]
-    bins = packing.improved([[0], [1], [2, 4], [3, 5], [6, 7], [8, 9]], lengths, 10)
+    bins = packing.Search([[0], [1], [2, 4], [3, 5], [6, 7], [8, 9]], lengths, 10).run(4)
     assert len(bins) == 4 and sorted(i for b in bins for i in b) == list(range(10)) and all(sum(lengths[i] for i in b) <= 10 for b in bins)
 
 
+def fewest_by_trying(lengths, capacity):
+    """The least number of bins, all ways tried."""
+    best = len(lengths)
+
+    def place(k, bins):
+        nonlocal best
+        if len(bins) >= best:
+            return
+        if k == len(lengths):
+            best = len(bins)
+            return
+        for b in range(len(bins)):
+            if bins[b] >= lengths[k] and bins[b] not in bins[:b]:
+                place(k + 1, [*bins[:b], bins[b] - lengths[k], *bins[b + 1 :]])
+        place(k + 1, [*bins, capacity - lengths[k]])
+
+    place(0, [])
+    return best
+
+
+def test_search_is_close_to_the_fewest_bins():
+    r, over = random.Random(4), 0
+    for _ in range(60):
+        lengths = [r.randint(1, r.choice((20, 60, 99))) for _ in range(r.randint(1, 10))]
+        got, want = packing.packed_bins(lengths, 100), fewest_by_trying(lengths, 100)
+        assert packing.fewest(lengths, 100) <= want <= len(got) and sorted(i for b in got for i in b) == list(range(len(lengths)))
+        assert all(sum(lengths[i] for i in b) <= 100 for b in got)
+        over += len(got) - want
+    assert over <= 1
+    for n, most in ((300, 99), (300, 45), (2000, 30), (400, 60)):
+        lengths = [r.randint(1, most) for _ in range(n)]
+        longest = sorted(range(n), key=lambda i: -lengths[i])
+        assert packing.fewest(lengths, 100) <= len(packing.packed_bins(lengths, 100)) <= len(packing.best_fit(lengths, 100, longest))
+    assert packing.packed_bins([], 100) == [] and packing.packed_bins([50] * 6 + [1], 100)
+
+
 def brute_classes(rows):
     sets = {}
     for i, t in rows:
