@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import contextvars
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -18,16 +20,38 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share; one of our own only where the session names none (tests)."""
+    """The folder all executors share. Where none is named: one of our own if all runs on this machine, else an error."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     if not named:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         named = tempfile.mkdtemp(prefix="floeframe-")
         spark.conf.set("spark.checkpoint.dir", named)
     return named
 
 
+#: Paths made in the innermost `scratch` block.
+_made: contextvars.ContextVar[list[str] | None] = contextvars.ContextVar("made", default=None)
+
+
 def new_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/floeframe/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/floeframe/{name}-{uuid.uuid4().hex}"
+    if (made := _made.get()) is not None:
+        made.append(path)
+    return path
+
+
+@contextlib.contextmanager
+def scratch(spark: SparkSession):
+    """Removes at its end what was written to new paths within: what is read later must have been written elsewhere."""
+    paths: list[str] = []
+    outer = _made.set(paths)
+    try:
+        yield
+    finally:
+        _made.reset(outer)
+        for path in paths:
+            removed(spark, path)
 
 
 def written(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
@@ -59,15 +83,14 @@ def arrow_map(df: DataFrame, columns: Callable[[pa.RecordBatch], list], schema:
     return df.mapInArrow(run, schema)
 
 
-
-
 def ids_and_text(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Just the id and the text, a null text as the empty one; other columns and their names play no part."""
-    return df.select(F.col(id_col).cast("long").alias(id_col), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias(text_col))
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    return df.select(F.col(id_col).cast("long").alias(id_col), text.alias(text_col))
 
 
 class Scratch:
-    """Tables of one job in the shared folder: written down like `written`, and removed together when none is read any more."""
+    """Tables of one job in the shared folder: written like `written`, removed together when none is read any more."""
 
     def __init__(self, spark: SparkSession, name: str):
         self.spark, self.path, self.made = spark, new_path(spark, name), 0
