@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from floeframe.llm import near_copies, packing, personal, quality_rules, weak_labels
-from floeframe.llm.common import table, written
+from floeframe.llm.common import new_path, removed, scratch, table, written
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -51,9 +51,15 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    """The packed pieces. They are read from the last written table; those before are removed once they were read."""
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES[:-1]:
-        docs = written(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        path = new_path(spark, name.replace(" ", "-"))
+        with scratch(spark):
+            docs = written(stage(spark, docs, sf_dir), name, path)
+        if before:
+            removed(spark, before)
+        before = path
     return STAGES[-1][1](spark, docs, sf_dir)
 
 
