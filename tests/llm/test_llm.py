@@ -273,21 +273,62 @@ def test_components(spark):
     assert got == {**dict.fromkeys([*range(1, 41), 100], 1), **dict.fromkeys([200, 201, 300], 200)}
 
 
+def brute_top_k(rows):
+    v = {i: [int(np.floor(64 * c)) for c in x] for i, x in rows}
+    want = []
+    for q in v:
+        if q % 20 == 0:
+            score = lambda p: max(-int(top_k.LONG), min(int(top_k.LONG), sum(a * b for a, b in zip(v[q], v[p]))))  # noqa: B023, E731
+            best = sorted((-score(p), p) for p in v if p != q)[:20]
+            want += [(q, k + 1, p, -s) for k, (s, p) in enumerate(best)]
+    return want
+
+
 def test_top_k(spark):
     g = np.random.default_rng(3)
     base = g.normal(size=(300, 8)).round(2)
     rows = [(i, [float(x) for x in (base[7] if i % 3 == 0 else v)]) for i, v in enumerate(base)]
-    bad = [(1000, None), (1020, [1.0, None]), (1040, [float("nan")] * 8), (1060, [float("inf")] * 8), (1080, []), (1100, [1e30] * 8), (rows[4][0], rows[4][1]), (None, [1.0] * 8)]
+    bad = [(1000, None), (1020, [1.0, None]), (1040, [float("nan")] * 8), (1060, [float("inf")] * 8), (1080, []), (rows[4][0], rows[4][1]), (None, [1.0] * 8)]
     df = spark.createDataFrame(rows + bad, "vec_id long, embedding array<double>")
-    v = {i: np.floor(64 * np.array(x)).astype(int) for i, x in rows}
-    want = []
-    for q in v:
-        if q % 20 == 0:
-            best = sorted((-int(v[q] @ v[p]), p) for p in v if p != q)[:20]
-            want += [(q, k + 1, p, -s) for k, (s, p) in enumerate(best)]
-    same(map(tuple, top_k.top_k(df).collect()), want)
+    same(map(tuple, top_k.top_k(df).collect()), brute_top_k(rows))
     assert top_k.top_k(df.limit(0)).count() == 0
     assert top_k.top_k(df.where("vec_id IN (20, 21)")).count() == 1
+    extra = df.select("*", F.lit("x").alias("query"), F.lit(1).alias("cid"), F.lit(2).alias("v"))
+    assert top_k.top_k(extra.where("vec_id < 50")).count() == 3 * 20
+
+
+@pytest.mark.parametrize("size", [70_000.0, 3e8, 1e30])
+def test_top_k_of_large_components_is_exact(spark, size):
+    g = np.random.default_rng(5)
+    rows = [(i, [float(x) * (size if i % 7 == 0 else 1) for x in v]) for i, v in enumerate(g.normal(size=(120, 6)).round(3))]
+    if size == 1e30:  # beyond a long: all of these count as the same
+        rows = [(i, [min(max(c, -top_k.LONG / 64), top_k.LONG / 64) for c in x]) for i, x in rows]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    same(map(tuple, top_k.top_k(df).collect()), brute_top_k(rows))
+
+
+def test_dual_tree_prunes_and_equals_brute_force(monkeypatch):
+    import pandas as pd
+
+    g, seen = np.random.default_rng(6), []
+    points = np.concatenate([g.integers(-9, 10, (200, 5)) + 60 * g.integers(-3, 4, 5) for _ in range(20)]).astype(float)
+    data = pd.DataFrame({"cid": range(len(points)), "v": list(points)})
+    queries = data.iloc[::20].assign(bound=-np.inf)
+    exact = top_k.exact
+
+    class Counted(np.ndarray):
+        def __matmul__(self, other):
+            seen.append(self.shape[0] * other.shape[1])
+            return np.asarray(self) @ np.asarray(other)
+
+    monkeypatch.setattr(top_k, "exact", lambda q, p: (exact(q, p)[0].view(Counted), exact(q, p)[1]))
+    got = top_k.searched(queries, data, 5)
+    want = []
+    for i in queries["cid"]:
+        scores = points @ points[i]
+        want += [(i, j, int(scores[j])) for j in sorted(range(len(points)), key=lambda j: (-scores[j], j))[:5]]
+    assert sorted(map(tuple, got.to_numpy().tolist())) == sorted(want)
+    assert sum(seen) < len(queries) * len(points) / 3
 
 
 def test_quality_rules(spark, docs, empty):
