@@ -2,10 +2,12 @@ r"""License scan by diagonal voting, in DataFrame operations only.
 
 Every rolling window of GRAM words of every document is hashed and joined to the places in TEMPLATES that have the
 same window. A match at document word p and template word q votes for the diagonal p - q. Diagonals of a template
-that lie within GAP of each other, where a word was put in or left out, are merged; what they cover is the share of
-the template's windows that the merged run hits, and a run verifies from COVERED on. The templates are fixed in
-number and length, so their table may be broadcast; the matches are grouped by document, so a notice that a third
-of all documents carry is no hot key.
+that lie within GAP of each other, where a word was put in or left out, are merged to a run. A run is verified word
+by word: of its windows those count that go on in the template as they do in the text. It covers the share of the
+template's windows that count, which must be COVERED or more; and the template's words that no window has, with the
+words of the span that are put in between, may be at most the rest, 1 - COVERED, of the template's words. The
+templates are fixed in number and length, so their table may be broadcast; the matches are grouped by document, so a
+notice that a third of all documents carry is no hot key.
 
 Besides, PHRASES are found wherever their words stand one after another: these make the base columns.
 
@@ -62,14 +64,37 @@ def matches(rows: DataFrame) -> DataFrame:
     return grams.join(F.broadcast(template_grams(rows.sparkSession)), "gram").select("row", "template", "label", "grams", "at", "place")
 
 
+def in_order(matched: Column) -> Column:
+    """(hit, covered) of matches (place, at) in order: windows that go on in the template, and template words they have."""
+    begin = F.struct(F.lit(-1).alias("at"), F.lit(0).alias("end"), F.lit(0).alias("hit"), F.lit(0).alias("covered"))
+
+    def step(acc: Column, x: Column) -> Column:
+        end = (x["at"] + GRAM).cast("int")
+        new = end - F.greatest(x["at"], acc["end"])
+        onward = F.struct(x["at"].alias("at"), end.alias("end"), (acc["hit"] + 1).alias("hit"), (acc["covered"] + new).alias("covered"))
+        return F.when(x["at"] > acc["at"], onward).otherwise(acc)
+
+    return F.aggregate(matched, begin, step)
+
+
 def runs(found: DataFrame) -> DataFrame:
-    """(row, template, label, first, last, cover) of merged diagonals that verify."""
-    votes = found.groupBy("row", "template", "label", "grams", (F.col("place") - F.col("at")).alias("diagonal")).agg(F.collect_set("at").alias("ats"), F.min("place").alias("first"), F.max("place").alias("last"))
+    """(row, template, label, first, last, cover) of merged diagonals that verify; the span's words are first to last."""
+    diagonal = (F.col("place") - F.col("at")).alias("diagonal")
+    places = F.collect_set(F.struct("place", "at")).alias("places")
+    votes = found.groupBy("row", "template", "label", "grams", diagonal).agg(places)
     order = Window.partitionBy("row", "template").orderBy("diagonal")
     split = F.when(F.col("diagonal") - F.lag("diagonal").over(order) > GAP, 1).otherwise(0)
     merged = votes.withColumn("new", split).withColumn("run", F.sum("new").over(order))
-    together = merged.groupBy("row", "template", "label", "grams", "run").agg(F.size(F.array_distinct(F.flatten(F.collect_list("ats")))).alias("hit"), F.min("first").alias("first"), (F.max("last") + GRAM - 1).alias("last"))
-    return together.withColumn("cover", F.col("hit") / F.col("grams")).where(F.col("cover") >= COVERED).select("row", "template", "label", "first", "last", "cover")
+    together = merged.groupBy("row", "template", "label", "grams", "run")
+    together = together.agg(F.array_sort(F.flatten(F.collect_list("places"))).alias("places"))
+    read = together.withColumn("read", in_order(F.col("places")))
+    first, last = F.array_min("places")["place"], F.array_max("places")["place"] + GRAM - 1
+    spans = read.select("row", "template", "label", "grams", first.alias("first"), last.alias("last"), "read.hit", "read.covered")
+    words_, span = F.col("grams") + GRAM - 1, F.col("last") - F.col("first") + 1
+    edits = words_ - F.col("covered") + F.greatest(span - F.col("covered"), F.lit(0))
+    good = spans.withColumn("cover", F.col("hit") / F.col("grams"))
+    good = good.where((F.col("cover") >= COVERED) & (edits <= (1 - COVERED) * words_ + 1e-9))
+    return good.select("row", "template", "label", "first", "last", "cover")
 
 
 def _phrase_columns(spaced: Column, n_words: Column) -> list[Column]:
@@ -92,16 +117,25 @@ def _phrase_columns(spaced: Column, n_words: Column) -> list[Column]:
 
 
 def scanned(docs: DataFrame) -> DataFrame:
-    """(doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score) of every row of docs."""
+    """(doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score, spans) of every row of docs.
+
+    spans: label:first:last of each verified run, its first and last word, by place, comma-joined.
+    """
     keyed = ids_and_text(docs).withColumn("row", F.xxhash64("doc_id", "text"))
     # explode of one array: else the optimizer puts the split in place of every later mention of its result
     split = keyed.select("row", "doc_id", F.explode(F.array(words(F.col("text")))).alias("words"))
-    best = runs(matches(split.select("row", "words"))).groupBy("row").agg(F.collect_set("label").alias("more"), F.max("cover").alias("cover"))
-    spaced = split.select("row", "doc_id", F.size("words").cast("long").alias("n_words"), F.concat(F.lit(" "), F.array_join("words", "  "), F.lit(" ")).alias("spaced"))
+    best = runs(matches(split.select("row", "words"))).groupBy("row").agg(
+        F.collect_set("label").alias("more"),
+        F.max("cover").alias("cover"),
+        F.array_sort(F.collect_set(F.struct("first", "last", "label"))).alias("spans"),
+    )
+    one_line = F.concat(F.lit(" "), F.array_join("words", "  "), F.lit(" "))
+    spaced = split.select("row", "doc_id", F.size("words").cast("long").alias("n_words"), one_line.alias("spaced"))
     base = spaced.select("row", "doc_id", "n_words", F.array(*_phrase_columns(F.col("spaced"), F.col("n_words"))).alias("p"))
     joined = base.join(best, "row", "left")
     own = F.array_compact(F.col("p")["label"])
     none = F.array().cast("array<string>")
+    shown = lambda s: F.concat_ws(":", s["label"], s["first"], s["last"])
     return joined.select(
         "doc_id",
         "n_words",
@@ -111,4 +145,5 @@ def scanned(docs: DataFrame) -> DataFrame:
         F.array_join(F.array_sort(own), ",").alias("base_labels"),
         F.array_join(F.array_sort(F.array_distinct(F.concat(own, F.coalesce("more", none)))), ",").alias("labels"),
         F.when(F.size(own) > 0, F.lit(1.0)).otherwise(F.coalesce("cover", F.lit(0.0))).alias("score"),
+        F.coalesce(F.array_join(F.transform("spans", shown), ","), F.lit("")).alias("spans"),
     )

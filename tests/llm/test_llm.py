@@ -428,6 +428,34 @@ def test_disclosing_terms_and_sanitising(spark):
     assert out[50].text is None and out[51].text == "nothing here" and out[51].email == 4 and len(out) == 34
 
 
+def test_disclosure_by_brute_force(spark):
+    """Two words on either side of a mail address, any separators, texts that begin or end there."""
+    import math
+
+    r = random.Random(12)
+    texts = [f"patient user{i}@mail.example.com" for i in range(12)] + [f"my ward:      user{i}@mail.example.com" for i in range(9)]
+    texts += [f"{prose(r, 30)} clinic, visit <a{i % 4}@b.org> soon {prose(r, 20)}" for i in range(16)] + [prose(r, 500) for _ in range(12)] + ["visit a clinic", "", "x@y.zz"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    term = re.compile(r"[A-Za-z0-9]+")
+    near, values, total, n_near = {}, {}, {}, 0
+    for t in texts:
+        words_ = [(x[0].lower(), *x.span()) for x in term.finditer(t)]
+        for w, _, _ in words_:
+            total[w] = total.get(w, 0) + 1
+        for m in re.finditer(personal.PATTERNS["email"].replace(r"|\G", ""), t):
+            for w, _, _ in [x for x in words_ if x[2] < m.start()][-2:] + [x for x in words_ if x[1] > m.end()][:2]:
+                near[w] = near.get(w, 0) + 1
+                values.setdefault(w, set()).add(m[0])
+                n_near += 1
+    want = set()
+    for w, n in near.items():
+        bits = math.log2(n / total[w] * sum(total.values()) / n_near)
+        if len(values[w]) >= personal.LEAST_VALUES and n >= personal.SHARE * total[w] and bits >= personal.BITS:
+            want.add((w, n, total[w]))
+    got = {(x.term, x.near, x.total) for x in personal.disclosing(df, personal.found(df)).collect()}
+    assert got == want and {"patient", "ward", "my"} <= {w for w, _, _ in want}
+
+
 def test_neighbours_are_whole_words_at_any_distance(spark):
     word, gap = "w" * 300, " " * 200
     texts = ["Email: a@b.org", "contact:      a@b.org", "see list\n\n    *  a@b.org\n\n      - x", f"{word} é {word} a@b.org {word} {word} z", f"one two{gap}a@b.org{gap}three four", "a@b.org", "q x9.8.7.6y r s t", "日本 𝒳y a@b.org 👩 c"]
@@ -465,6 +493,52 @@ def test_diagonals_allow_edits(spark):
     assert {r.doc_id: r.labels for r in licenses.scanned(df).collect()} == {1: "mit", 2: ""}
 
 
+def test_diagonals_by_brute_force(spark):
+    """Templates with words dropped, put in, swapped and cut, against the same rules in plain Python."""
+    r, rows = random.Random(8), []
+    for i in range(120):
+        w = r.choice(licenses.TEMPLATES)[1].split()
+        for _ in range(r.randint(0, 4)):
+            k = r.randrange(len(w))
+            what = r.random()
+            if what < 0.35:
+                w = w[:k] + w[k + 1 :] or ["x"]
+            elif what < 0.7:
+                w = w[:k] + ["new"] * r.randint(1, 3) + w[k:]
+            else:
+                j = r.randrange(len(w))
+                w[k], w[j] = w[j], w[k]
+        rows.append((i, " ".join(["noise"] * r.randint(0, 3) + w + w[: r.randint(0, 6)])))
+    rows += [(500, "under the mit the mit license"), (501, "license mit the under released"), (502, "released under the mit license")]
+
+    def brute(text):
+        w, found = text.split(), set()
+        for label, template in licenses.TEMPLATES:
+            t, g = template.split(), licenses.GRAM
+            hits = sorted((p, a) for p in range(len(w) - g + 1) for a in range(len(t) - g + 1) if w[p : p + g] == t[a : a + g])
+            diagonals, group = sorted({p - a for p, a in hits}), {}
+            for k, d in enumerate(diagonals):
+                group[d] = group[diagonals[k - 1]] if k and d - diagonals[k - 1] <= licenses.GAP else d
+            for run in set(group.values()):
+                own = [(p, a) for p, a in hits if group[p - a] == run]
+                last, order = -1, []
+                for p, a in own:
+                    if a > last:
+                        order.append(a)
+                        last = a
+                covered = len({a + k for a in order for k in range(g)})
+                span = own[-1][0] + g - own[0][0]
+                share, edits = len(order) / (len(t) - g + 1), len(t) - covered + max(span - covered, 0)
+                if share >= licenses.COVERED and edits <= (1 - licenses.COVERED) * len(t) + 1e-9:
+                    found.add((own[0][0], own[-1][0] + g - 1, label))
+        return ",".join(f"{c}:{a}:{b}" for a, b, c in sorted(found))
+
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {x.doc_id: x.spans for x in licenses.scanned(df).collect()}
+    assert got == {i: brute(t) for i, t in rows}
+    assert got[500] == got[501] == "" and got[502] == "mit:0:4" and sum(map(bool, got.values())) > 60
+
+
 PAGE = """<body><header><a href=/>Home</a> Site</header><nav><ul><li>Menu</li></ul></nav><div class="cookie-notice">We use cookies</div>
 <article><h1>Title &amp; more</h1><p>First para with <a href=x>a  link</a>&nbsp;here.<br>Next line<p>Second <b>bold</b>text &lt;tag&gt; goes on
 for some words.</p><div class="ad">Buy this now</div><script>var t="</p>";</script><ul><li>an item of it</li></ul></article>
