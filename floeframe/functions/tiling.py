@@ -36,7 +36,27 @@ def with_chips(pixels: DataFrame, height: Column, width: Column, chip: int = CHI
     """Pixels (row, col, ...), once for each chip they lie in: row0, col0, patch_i, patch_j. A narrow step."""
     rows = pixels.withColumn("row0", F.explode(starts_over(F.col("row"), height, chip)))
     both = rows.withColumn("col0", F.explode(starts_over(F.col("col"), width, chip)))
-    return both.withColumns({"patch_i": F.floor((F.col("row") - F.col("row0")) / patch), "patch_j": F.floor((F.col("col") - F.col("col0")) / patch)})
+    place = lambda at, start: F.floor((F.col(at) - F.col(start)) / patch)
+    return both.withColumns({"patch_i": place("row", "row0"), "patch_j": place("col", "col0")})
+
+
+def owner(row: Column, col: Column, height: Column, width: Column, chip: int = CHIP, patch: int = PATCH) -> Column:
+    """(row0, col0) of the chip in which a pixel's patch lies farthest from the edge; the later chip of equal ones.
+
+    The chips over a pixel are computed from its place, so no other row is needed: no shuffle.
+    """
+    side = chip // patch
+
+    def depth(at: Column, start: Column) -> Column:
+        k = F.floor((at - start) / patch)
+        return F.least(k, side - 1 - k)
+
+    def one(r: Column, c: Column) -> Column:
+        return F.struct(F.least(depth(row, r), depth(col, c)).alias("depth"), r.alias("row0"), c.alias("col0"))
+
+    rows, cols = starts_over(row, height, chip), starts_over(col, width, chip)
+    best = F.array_max(F.flatten(F.transform(rows, lambda r: F.transform(cols, lambda c: one(r, c)))))
+    return F.struct(best["row0"].alias("row0"), best["col0"].alias("col0"))
 
 
 def decimated(pixels: DataFrame, row_step: int, col_step: int, rows: int, cols: int) -> DataFrame:

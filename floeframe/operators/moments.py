@@ -19,9 +19,16 @@ def scene_moments(values: DataFrame, keep=None, key: str = "scene_id") -> DataFr
 
 
 def merged(parts: DataFrame) -> DataFrame:
-    """(variable, n, mean, m2) of stored parts (variable, n, mean, m2): squares within, and between the parts' means."""
-    total = parts.where("n > 0").groupBy("variable").agg(F.sum("n").alias("n"), (F.sum(F.col("n") * F.col("mean")) / F.sum("n")).alias("mean"), F.sum("m2").alias("within"), F.sum(F.col("n") * F.col("mean") * F.col("mean")).alias("squares"))
-    return total.select("variable", "n", "mean", (F.col("within") + F.col("squares") - F.col("n") * F.col("mean") * F.col("mean")).alias("m2"))
+    """(variable, n, mean, m2) of stored parts (variable, n, mean, m2): squares within, and of the parts' deviations.
+
+    Deviations are taken from the merged mean, so nothing cancels; parts are a row a scene and variable.
+    """
+    held = parts.where("n > 0").select("variable", "n", "mean", "m2")
+    n, mean = F.col("n"), F.col("mean")
+    total = held.groupBy("variable").agg(F.sum(n).alias("all_n"), (F.sum(n * mean) / F.sum(n)).alias("all_mean"))
+    squares = F.col("m2") + n * (mean - F.col("all_mean")) * (mean - F.col("all_mean"))
+    sums = held.join(total, "variable").groupBy("variable", "all_n", "all_mean").agg(F.sum(squares).alias("m2"))
+    return sums.select("variable", F.col("all_n").alias("n"), F.col("all_mean").alias("mean"), "m2")
 
 
 def finished(parts: DataFrame, digits: int = 6) -> DataFrame:

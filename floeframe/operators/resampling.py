@@ -38,3 +38,16 @@ def nearest(targets: DataFrame, coarse: DataFrame, height: int, width: int, on:
     t = targets.join(shape, list(on)).withColumn("cr", nearest_source(F.col("row"), F.col("h"), F.lit(height))).withColumn("cc", nearest_source(F.col("col"), F.col("w"), F.lit(width)))
     cells = coarse.select(*on, F.col("row").cast("long").alias("cr"), F.col("col").cast("long").alias("cc"), "value")
     return t.join(cells, [*on, "cr", "cc"], "left").select(*on, "row", "col", "value")
+
+
+def corner_nearest(targets: DataFrame, coarse: DataFrame, height: int, width: int, on: list[str] = ("scene_id",)) -> DataFrame:
+    """(on, row, col, value): each target takes the nearest cell where ends fall on ends; halves go to the later cell."""
+    shape = coarse.groupBy(*on).agg(F.max("h").alias("h"), F.max("w").alias("w"))
+
+    def cell(at: str, small: str, large: int) -> Column:
+        place = F.col(at) * (F.col(small) - 1) / F.lit(max(large - 1, 1))
+        return F.floor(place + 0.5).cast("long")
+
+    t = targets.join(shape, list(on)).withColumns({"cr": cell("row", "h", height), "cc": cell("col", "w", width)})
+    cells = coarse.select(*on, F.col("row").cast("long").alias("cr"), F.col("col").cast("long").alias("cc"), "value")
+    return t.join(cells, [*on, "cr", "cc"], "left").select(*on, "row", "col", "value")

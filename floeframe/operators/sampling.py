@@ -1,26 +1,36 @@
-"""Samples that come out the same each time: by a hash of the key and a seed."""
+"""Samples that come out the same each time: by the MD5 of key and seed, which any SQL engine can repeat."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+def mark(seed: int, *keys: str) -> Column:
+    """MD5 of the keys and the seed, joined by colons, in hexadecimal."""
+    return F.md5(F.concat_ws(":", *(F.col(k).cast("string") for k in keys), F.lit(str(seed))).cast("binary"))
+
+
 def rows(df: DataFrame, key: str, n: int, seed: int = 0) -> DataFrame:
-    return df.orderBy(F.xxhash64(F.col(key), F.lit(seed)), key).limit(n)
+    return df.orderBy(mark(seed, key), key).limit(n)
 
 
 def rows_by(df: DataFrame, by: str, key: str, n: int, seed: int = 0) -> DataFrame:
-    """n rows of each group."""
-    order = Window.partitionBy(by).orderBy(F.xxhash64(F.col(key), F.lit(seed)), key)
+    """n rows of each group; what can't be among them goes before the shuffle."""
+    order = Window.partitionBy(by).orderBy(mark(seed, key), key)
     return df.withColumn("__rank", F.row_number().over(order)).where(F.col("__rank") <= n).drop("__rank")
 
 
 def crops(scenes: DataFrame, size: int, per_scene: int, seed: int = 0) -> DataFrame:
-    """Places (row0, col0) of random crops within scenes (scene_id, height, width)."""
+    """Places (row0, col0) of random crops within scenes (scene_id, height, width): eight digits of a mark for each."""
     each = scenes.withColumn("crop", F.explode(F.sequence(F.lit(0), F.lit(per_scene - 1))))
-    at = lambda side, salt: F.pmod(F.xxhash64("scene_id", "crop", F.lit(seed), F.lit(salt)), (F.col(side) - size + 1).cast("long"))
-    return each.where((F.col("height") >= size) & (F.col("width") >= size)).withColumns({"row0": at("height", "r"), "col0": at("width", "c")})
+
+    def at(side: str, first: int) -> Column:
+        number = F.conv(F.substring(mark(seed, "scene_id", "crop"), first, 8), 16, 10).cast("long")
+        return number % (F.col(side) - size + 1).cast("long")
+
+    large = each.where((F.col("height") >= size) & (F.col("width") >= size))
+    return large.withColumns({"row0": at("height", 1), "col0": at("width", 9)})
 
 
 def usable(crop_pixels: DataFrame, key: list[str], chart: str = "sic", mask: int = 255) -> DataFrame:

@@ -25,7 +25,7 @@ def pixels(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("l_linenumber") == 7, nan).otherwise(-F.col("l_quantity") / 2).alias("hh"),
         F.when(F.col("l_tax") >= 0.08, nan).otherwise(-20 - F.col("l_discount") * 50).alias("hv"),
         (F.col("l_orderkey") % 42).cast("int").alias("distance"),
-        F.when(F.col("l_suppkey") % 29 == 0, 65535).otherwise(F.col("l_suppkey") % 100).cast("int").alias("poly_id"),
+        F.when(F.col("l_suppkey") % 29 == 0, 65535).otherwise(F.col("l_suppkey")).cast("int").alias("poly_id"),
         F.when(F.col("l_linenumber") == 6, nan).otherwise(F.col("l_extendedprice") / 500).alias("t2m"),
     )
 
@@ -35,7 +35,7 @@ PIXELS = """px AS (
         CASE WHEN l_linenumber = 7 THEN 'NaN'::DOUBLE ELSE -l_quantity / 2 END AS hh,
         CASE WHEN l_tax >= 0.08 THEN 'NaN'::DOUBLE ELSE -20 - l_discount * 50 END AS hv,
         CAST(l_orderkey % 42 AS INTEGER) AS distance,
-        CAST(CASE WHEN l_suppkey % 29 = 0 THEN 65535 ELSE l_suppkey % 100 END AS INTEGER) AS poly_id,
+        CAST(CASE WHEN l_suppkey % 29 = 0 THEN 65535 ELSE l_suppkey END AS INTEGER) AS poly_id,
         CASE WHEN l_linenumber = 6 THEN 'NaN'::DOUBLE ELSE l_extendedprice / 500 END AS t2m
     FROM lineitem
 ), pv AS (
@@ -50,12 +50,13 @@ MEANS = {"80": 8, "0": 0, "55": 0, "91": 10, "92": 10, "50-70": 6, "90-92": 9.5,
 def codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Polygon codes of every scene, as the `;`-separated rows that charts hold."""
     code = F.get(F.array(*map(F.lit, CODES)), (F.col("s_suppkey") % len(CODES)).cast("int"))
-    rows = table(spark, sf_dir, "supplier").where("s_suppkey < 100").select(F.col("s_suppkey").cast("int").alias("poly_id"), F.concat_ws(";", "s_suppkey", code, F.lit("x")).alias("code"))
+    line = F.concat_ws(";", "s_suppkey", code, F.lit("x")).alias("code")
+    rows = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").cast("int").alias("poly_id"), line)
     scenes = F.array(*map(F.lit, ("A", "N", "R")))
     return rows.select(F.explode(scenes).alias("scene_id"), "poly_id", F.lit("poly_id;CT;CA").alias("header"), "code", F.col("poly_id").alias("line"))
 
 
-CODE_MEANS = "cm AS (SELECT CAST(s_suppkey AS INTEGER) AS poly_id, CASE s_suppkey % 13 " + " ".join(f"WHEN {i} THEN {MEANS[c]}" for i, c in enumerate(CODES) if c in MEANS) + " END::DOUBLE AS ct FROM supplier WHERE s_suppkey < 100)"
+CODE_MEANS = "cm AS (SELECT CAST(s_suppkey AS INTEGER) AS poly_id, CASE s_suppkey % 13 " + " ".join(f"WHEN {i} THEN {MEANS[c]}" for i, c in enumerate(CODES) if c in MEANS) + " END::DOUBLE AS ct FROM supplier)"
 
 CHIPS = """chips AS (
     SELECT v.*, r0.s AS row0, c0.s AS col0, CAST((v."row" - r0.s) // 8 AS BIGINT) AS patch_i, CAST((v.col - c0.s) // 8 AS BIGINT) AS patch_j,

@@ -48,8 +48,11 @@ def charted(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def chipped(px: DataFrame) -> DataFrame:
-    each = tiling.with_chips(px, F.lit(SIDE), F.lit(SIDE))
-    return each.withColumn("chip_id", tiling.chip_id(F.col("scene_id"), F.col("row0"), F.col("col0")))
+    return tiling.with_chips(px, F.lit(SIDE), F.lit(SIDE))
+
+
+def chip_flags(px: DataFrame) -> DataFrame:
+    return patches.chip_flags(px, F.lit(SIDE), F.lit(SIDE))
 
 
 CHARTED = f"{PIXELS}, {CODE_MEANS}, ch AS (SELECT pv.*, cm.ct FROM pv LEFT JOIN cm ON pv.poly_id = cm.poly_id AND pv.poly_id <> 65535)"
@@ -93,18 +96,21 @@ def patch_centre_distance(spark, sf_dir):
 
 @query(f"WITH {CHIPPED} SELECT scene_id, chip_id FROM chips GROUP BY ALL HAVING bool_or(valid) AND count(ct) > 0")
 def kept_chips(spark, sf_dir):
-    return patches.kept_chips(chipped(charted(spark, sf_dir)))
+    return patches.kept_chips(chip_flags(charted(spark, sf_dir)))
 
 
 @query(f"WITH {CHIPPED}, c AS (SELECT scene_id, chip_id, bool_or(valid) AS v, count(ct) > 0 AS l FROM chips GROUP BY ALL) SELECT scene_id, count(*) FILTER (NOT v) AS no_valid, count(*) FILTER (v AND NOT l) AS no_label FROM c GROUP BY scene_id")
 def skipped_chips(spark, sf_dir):
-    return patches.skipped_chips(chipped(charted(spark, sf_dir)))
+    return patches.skipped_chips(chip_flags(charted(spark, sf_dir)))
 
 
 @query(f'WITH {PIXELS}, {CHIPS} SELECT scene_id, chip_id, row0, col0, count(*) AS n, count(DISTINCT patch_i * 32 + patch_j) AS patches FROM chips GROUP BY ALL')
 def overlapping_chips(spark, sf_dir):
-    made = chipped(valid_pixels(spark, sf_dir)).groupBy("scene_id", "chip_id", "row0", "col0")
-    return made.agg(F.count("*").alias("n"), F.count_distinct(F.col("patch_i") * 32 + F.col("patch_j")).alias("patches")).withColumns({c: F.col(c).cast("int") for c in ("row0", "col0")})
+    made = chipped(valid_pixels(spark, sf_dir)).groupBy("scene_id", "row0", "col0")
+    patch = F.col("patch_i") * 32 + F.col("patch_j")
+    made = made.agg(F.count("*").alias("n"), F.count_distinct(patch).alias("patches"))
+    made = made.withColumn("chip_id", tiling.chip_id(F.col("scene_id"), F.col("row0"), F.col("col0")))
+    return made.withColumns({c: F.col(c).cast("int") for c in ("row0", "col0")})
 
 
 @query("SELECT o_orderkey, CAST(r.s AS INTEGER) AS row0, CAST(c.s AS INTEGER) AS col0 FROM orders, unnest(range(0, 256 + o_orderkey % 500, 256)) r(s0), unnest(range(0, 300, 256)) c(s0), LATERAL (SELECT least(r.s0, o_orderkey % 500) AS s) r(s), LATERAL (SELECT least(c.s0, 44) AS s) c(s)".replace("r(s0)", "ra(s0)").replace("r.s0", "ra.s0").replace("c(s0)", "ca(s0)").replace("c.s0", "ca.s0"))
@@ -259,8 +265,8 @@ def correlations(spark, sf_dir):
 
 @query("WITH p AS (SELECT l_suppkey % 20 AS s, corr(l_quantity, l_extendedprice) AS r FROM lineitem GROUP BY 1 HAVING count(*) >= 100) SELECT round(tanh(avg(atanh(greatest(-0.9999, least(0.9999, r))))), 6) AS r FROM p")
 def fisher_mean(spark, sf_dir):
-    rows = explore.enough(table(spark, sf_dir, "lineitem").withColumn("s", F.col("l_suppkey") % 20), "s", 100)
-    each = explore.correlations(rows, ["l_quantity", "l_extendedprice"], ["s"]).where("x <> y")
+    rows = table(spark, sf_dir, "lineitem").withColumn("s", F.col("l_suppkey") % 20)
+    each = explore.correlations(rows, ["l_quantity", "l_extendedprice"], ["s"], least=100).where("x <> y")
     return rounded(explore.fisher_mean(each, []), "r")
 
 
@@ -374,27 +380,47 @@ def bilinear_geolocation(spark, sf_dir):
     return rounded(made.select("c_custkey", pick("lat").alias("lat"), pick("angle").alias("angle")), "lat", "angle")
 
 
-_GRID = "g AS (SELECT p_partkey // 4 % 4 AS r, p_partkey % 4 AS c, CASE WHEN p_partkey = 5 THEN NULL ELSE p_retailprice END AS v FROM part WHERE p_partkey < 16)"
+#: A coarse 4 x 4 grid for each sixteen parts, with a gap where p_partkey % 11 = 5.
+_GRID = """g AS (SELECT 's' || p_partkey // 16 AS scene_id, p_partkey % 16 // 4 AS r, p_partkey % 4 AS c,
+    CASE WHEN p_partkey % 11 = 5 THEN NULL ELSE p_retailprice END AS v FROM part)"""
 
 
-@query(f"""WITH {_GRID}, t AS (SELECT y.i AS "row", x.i AS col, y.i * 3 / 9.0::DOUBLE AS fy, x.i * 3 / 9.0::DOUBLE AS fx FROM range(10) y(i), range(10) x(i)),
-w AS (SELECT "row", col, sum(v * wy * wx) FILTER (v IS NOT NULL) AS s, sum(wy * wx) FILTER (v IS NOT NULL) AS n FROM (
-    SELECT *, greatest(0, 1 - abs(fy - r)) AS wy, greatest(0, 1 - abs(fx - c)) AS wx FROM t, g) GROUP BY 1, 2)
-SELECT "row", col, CASE WHEN n > 1e-6 THEN round(s / n, 6) END AS value FROM w""")
-def gap_safe_resampling(spark, sf_dir):
+def _coarse(spark, sf_dir, gap) -> tuple[DataFrame, DataFrame]:
+    """(targets, coarse): a fine grid of 10 x 10 for each scene, and the scenes' coarse cells."""
     k = F.col("p_partkey")
-    coarse = table(spark, sf_dir, "part").where("p_partkey < 16").select(F.lit("s").alias("scene_id"), F.floor(k / 4).alias("row"), (k % 4).alias("col"), F.lit(4).alias("h"), F.lit(4).alias("w"), F.when(k == 5, F.lit(float("nan"))).otherwise(F.col("p_retailprice")).alias("value"))
-    targets = spark.range(100).select(F.lit("s").alias("scene_id"), F.floor(F.col("id") / 10).alias("row"), (F.col("id") % 10).alias("col"))
-    made = resampling.bilinear(targets, coarse, 10, 10)
-    return rounded(made.withColumn("value", masks.null_if_nan(F.col("value"))), "value").drop("scene_id")
+    cells = table(spark, sf_dir, "part").select(
+        F.concat(F.lit("s"), F.floor(k / 16)).alias("scene_id"),
+        F.floor(k % 16 / 4).alias("row"),
+        (k % 4).alias("col"),
+        F.lit(4).alias("h"),
+        F.lit(4).alias("w"),
+        F.when(k % 11 == 5, gap).otherwise(F.col("p_retailprice")).alias("value"),
+    )
+    side = F.sequence(F.lit(0).cast("long"), F.lit(9).cast("long"))
+    scenes = cells.select("scene_id").distinct()
+    return scenes.withColumn("row", F.explode(side)).withColumn("col", F.explode(side)), cells
+
+
+@query(f"""WITH {_GRID}, w AS (SELECT scene_id, y.i AS "row", x.i AS col, sum(v * wy * wx) FILTER (v IS NOT NULL) AS s, sum(wy * wx) FILTER (v IS NOT NULL) AS n
+    FROM g, range(10) y(i), range(10) x(i), LATERAL (SELECT greatest(0, 1 - abs(y.i * 3 / 9.0::DOUBLE - r)) AS wy, greatest(0, 1 - abs(x.i * 3 / 9.0::DOUBLE - c)) AS wx)
+    GROUP BY 1, 2, 3)
+SELECT scene_id, "row", col, CASE WHEN n > 1e-6 THEN round(s / n, 6) END AS value FROM w""")
+def gap_safe_resampling(spark, sf_dir):
+    made = resampling.bilinear(*_coarse(spark, sf_dir, F.lit(float("nan"))), 10, 10)
+    return rounded(made.withColumn("value", masks.null_if_nan(F.col("value"))), "value")
 
 
-@query(f'WITH {_GRID} SELECT y.i AS "row", x.i AS col, v AS value FROM range(10) y(i), range(10) x(i), g WHERE r = y.i * 4 // 10 AND c = x.i * 4 // 10')
+@query(f"""WITH {_GRID}, s AS (SELECT DISTINCT scene_id FROM g)
+SELECT s.scene_id, y.i AS "row", x.i AS col, v AS value FROM s, range(10) y(i), range(10) x(i) LEFT JOIN g ON g.scene_id = s.scene_id AND r = y.i * 4 // 10 AND c = x.i * 4 // 10""")
 def nearest_resampling(spark, sf_dir):
-    k = F.col("p_partkey")
-    coarse = table(spark, sf_dir, "part").where("p_partkey < 16").select(F.lit("s").alias("scene_id"), F.floor(k / 4).alias("row"), (k % 4).alias("col"), F.lit(4).alias("h"), F.lit(4).alias("w"), F.when(k != 5, F.col("p_retailprice")).alias("value"))
-    targets = spark.range(100).select(F.lit("s").alias("scene_id"), F.floor(F.col("id") / 10).alias("row"), (F.col("id") % 10).alias("col"))
-    return resampling.nearest(targets, coarse, 10, 10).drop("scene_id")
+    return resampling.nearest(*_coarse(spark, sf_dir, F.lit(None)), 10, 10)
+
+
+@query(f"""WITH {_GRID}, s AS (SELECT DISTINCT scene_id FROM g)
+SELECT s.scene_id, y.i AS "row", x.i AS col, v AS value FROM s, range(10) y(i), range(10) x(i)
+LEFT JOIN g ON g.scene_id = s.scene_id AND r = floor(y.i * 3 / 9.0::DOUBLE + 0.5) AND c = floor(x.i * 3 / 9.0::DOUBLE + 0.5)""")
+def corner_nearest_resampling(spark, sf_dir):
+    return resampling.corner_nearest(*_coarse(spark, sf_dir, F.lit(None)), 10, 10)
 
 
 _SIDES = "a AS (SELECT event_id, user_id, ts FROM events WHERE event_id % 2 = 0), b AS (SELECT event_id AS other, user_id, ts AS other_ts FROM events WHERE event_id % 2 = 1)"
@@ -417,8 +443,23 @@ def nearest_in_time(spark, sf_dir):
 
 @query(f'WITH {PIXELS}, {CHIPS}, d AS (SELECT scene_id, "row", col, chip_id, least(patch_i, patch_j, 31 - patch_i, 31 - patch_j) AS depth FROM chips) SELECT scene_id, "row", col, max_by(chip_id, (depth, chip_id)) AS owner FROM d GROUP BY 1, 2, 3')
 def overlap_owner(spark, sf_dir):
-    made = chipped(valid_pixels(spark, sf_dir)).withColumn("owner", F.col("chip_id"))
-    return matching.most_interior(made, ["scene_id", "row", "col"], "owner")
+    places = pixels(spark, sf_dir).select("scene_id", "row", "col").distinct()
+    owner = tiling.owner(F.col("row"), F.col("col"), F.lit(SIDE), F.lit(SIDE))
+    made = places.withColumn("o", owner)
+    return made.select("scene_id", "row", "col", tiling.chip_id(F.col("scene_id"), F.col("o.row0"), F.col("o.col0")).alias("owner"))
+
+
+@query(f"""WITH {PIXELS}, {CHIPS}, d AS (
+    SELECT scene_id, "row", col, chip_id, sum(hh) FILTER (valid) AS v, least(patch_i, patch_j, 31 - patch_i, 31 - patch_j) AS depth FROM chips GROUP BY ALL
+) SELECT scene_id, "row", col, round(max_by(coalesce(v, 0), (depth, chip_id)), 4) AS value FROM d GROUP BY 1, 2, 3""")
+def overlap_predictions(spark, sf_dir):
+    """Values that come as rows a chip, as predictions do: that of the most interior one."""
+    each = chipped(valid_pixels(spark, sf_dir))
+    each = each.groupBy("scene_id", "row", "col", "row0", "col0", "patch_i", "patch_j")
+    each = each.agg(F.coalesce(F.sum(F.when(F.col("valid"), F.col("hh"))), F.lit(0.0)).alias("value"))
+    each = each.withColumn("chip_id", tiling.chip_id(F.col("scene_id"), F.col("row0"), F.col("col0")))
+    made = matching.most_interior(each, ["scene_id", "row", "col"], "value")
+    return made.withColumn("value", F.round("value", 4) + 0.0)
 
 
 @query("SELECT c_custkey, c_name FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders)")
@@ -441,7 +482,7 @@ def id_union(spark, sf_dir):
 @query("SELECT strftime(o_orderdate, '%Y-%m') AS month, count(*) AS n, min(o_orderkey) AS first_key FROM orders GROUP BY 1")
 def keys_by_month(spark, sf_dir):
     rows = table(spark, sf_dir, "orders").groupBy(F.date_format("o_orderdate", "yyyy-MM").alias("month"))
-    return rows.agg(F.collect_list("o_orderkey").alias("keys")).select("month", F.size("keys").cast("long").alias("n"), F.array_min("keys").alias("first_key"))
+    return rows.agg(F.count("*").alias("n"), F.min("o_orderkey").alias("first_key"))
 
 
 @query("SELECT o_orderkey FROM orders ORDER BY o_orderkey LIMIT 25")
@@ -487,8 +528,51 @@ def chip_labels(spark, sf_dir):
     return explore.chip_labels(rows, FRACTIONS, ["chip"])
 
 
-@query(None)
+@query("""SELECT o_orderkey, month FROM (SELECT o_orderkey, strftime(o_orderdate, '%Y-%m') AS month FROM orders)
+QUALIFY row_number() OVER (PARTITION BY month ORDER BY md5(o_orderkey || ':7'), o_orderkey) <= 3""")
 def monthly_sample(spark, sf_dir):
     """Three orders a month, the same ones each time."""
     rows = table(spark, sf_dir, "orders").select("o_orderkey", F.date_format("o_orderdate", "yyyy-MM").alias("month"))
     return sampling.rows_by(rows, "month", "o_orderkey", 3, seed=7)
+
+
+@query("SELECT c_custkey FROM customer ORDER BY md5(c_custkey || ':3'), c_custkey LIMIT 20")
+def scene_sample(spark, sf_dir):
+    """Twenty customers, the same ones each time: the sampling operator's own limit."""
+    return sampling.rows(table(spark, sf_dir, "customer").select("c_custkey"), "c_custkey", 20, seed=3)
+
+
+_CROP = "CAST(('0x' || substr(md5(c_custkey || ':' || crop || ':5'), {at}, 8)) AS BIGINT) % ({side} - 255)"
+
+
+@query(f"""SELECT c_custkey AS scene_id, CAST(crop AS INTEGER) AS crop, {_CROP.format(at=1, side="height")} AS row0, {_CROP.format(at=9, side="300")} AS col0
+FROM (SELECT c_custkey, 200 + c_custkey % 400 AS height FROM customer), range(4) r(crop) WHERE height >= 256""")
+def random_crops(spark, sf_dir):
+    key = F.col("c_custkey")
+    scenes = table(spark, sf_dir, "customer").select(key.alias("scene_id"), (200 + key % 400).alias("height"), F.lit(300).alias("width"))
+    return sampling.crops(scenes, 256, 4, seed=5).select("scene_id", "crop", "row0", "col0")
+
+
+@query("SELECT l_orderkey AS crop, count(*) FILTER (l_linenumber <> 3) AS charted FROM lineitem GROUP BY 1 HAVING charted > 1")
+def usable_crops(spark, sf_dir):
+    chart = F.when(F.col("l_linenumber") == 3, 255).otherwise(F.col("l_linenumber")).alias("sic")
+    return sampling.usable(table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("crop"), chart), ["crop"])
+
+
+@query(f"""WITH {CHIPPED}, c AS (SELECT scene_id, chip_id, patch_i, patch_j, count(ct) AS n, {_COUNTS}, count(*) FILTER (valid) / 64.0::DOUBLE AS valid_fraction,
+    round(avg(hh) FILTER (valid), 6) + 0.0 AS hh_mean, CASE WHEN bool_or(isnan(t2m)) THEN NULL ELSE round(avg(t2m), 6) END AS t2m FROM chips GROUP BY ALL
+), f AS (SELECT *, {_SHARES} FROM c)
+SELECT scene_id, chip_id, patch_i, patch_j, valid_fraction, hh_mean, t2m,
+    CASE WHEN n > 0 THEN floor({" + ".join(f"{k} * frac_sic{k}::DOUBLE" for k in range(11))}) ELSE -1 END AS label FROM f""")
+def patch_features(spark, sf_dir):
+    """Labels, radar and plain means of every patch from one aggregation."""
+    made = patches.features(chipped(charted(spark, sf_dir)), ["t2m"])
+    made = made.withColumns({c: masks.null_if_nan(F.col(c)) for c in ("hh_mean", "t2m")})
+    made = made.withColumn("label", F.when(F.isnan("label"), -1.0).otherwise(F.col("label")))
+    return rounded(made, "hh_mean", "t2m").select(*patches.KEY, "valid_fraction", "hh_mean", "t2m", "label")
+
+
+@query("SELECT l_returnflag, f AS feature, round(corr(x, l_quantity), 6) + 0.0 AS r FROM (SELECT l_returnflag, l_quantity, unnest(['l_extendedprice', 'l_discount', 'l_tax']) AS f, unnest([l_extendedprice, l_discount, l_tax]) AS x FROM lineitem) GROUP BY 1, 2")
+def feature_correlations(spark, sf_dir):
+    made = explore.correlations_with(table(spark, sf_dir, "lineitem"), ["l_extendedprice", "l_discount", "l_tax"], "l_quantity", ["l_returnflag"])
+    return rounded(made, "r")

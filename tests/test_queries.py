@@ -29,7 +29,7 @@ def test_same_rows_as_sql(spark, con, name):
     assert sorted(repr(tuple(r[n] for n in names)) for r in got.collect()) == sorted(map(repr, want.fetchall()))
 
 
-def test_queries_without_sql(spark):
+def test_samples_are_the_same_each_time(spark):
     a, b = (sorted(map(tuple, catalog.QUERIES["monthly_sample"](spark, DATA).collect())) for _ in range(2))
     assert a == b and a
 
