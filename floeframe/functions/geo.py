@@ -7,6 +7,9 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from floeframe.functions.encodings import place_encoding
+from floeframe.schema import CHIP
+
 
 def control_grids(points: DataFrame) -> DataFrame:
     """One row a scene of points (scene_id, line, sample, lat, lon, angle): axes, and values line by line."""
@@ -54,6 +57,47 @@ def footprint(row0: Column, col0: Column, size: int) -> list[tuple[Column, Colum
     return [(row0 + r, col0 + c) for r, c in ((0, 0), (0, size), (size, size), (size, 0))]
 
 
+def located(grid: Column, row: Column, col: Column) -> Column:
+    """(lat, lon, angle) at a place, from a scene's control grid (lines, samples, lat, lon, angle)."""
+    value = lambda name: bilinear(grid["lines"], grid["samples"], grid[name], row, col)
+    return F.struct(*(value(name).alias(name) for name in ("lat", "lon", "angle")))
+
+
+def projected(grid: Column, row: Column, col: Column) -> tuple[Column, Column]:
+    """Easting and northing of a place. The same place gives the same numbers, so neighbours' corners meet."""
+    value = lambda name: bilinear(grid["lines"], grid["samples"], grid[name], row, col)
+    return conic(value("lat"), value("lon"))
+
+
+def square(grid: Column, row0: Column, col0: Column, size: int) -> list[tuple[Column, Column]]:
+    """Projected corners of the square of pixels from (row0, col0): a patch of a chip, or the chip itself."""
+    return [projected(grid, r.cast("double"), c.cast("double")) for r, c in footprint(row0, col0, size)]
+
+
+def with_square(rows: DataFrame, name: str, row0: Column, col0: Column, size: int, grid: str = "grid") -> DataFrame:
+    """rows with the projected square of pixels from (row0, col0) as WKB in column name: step by step, so that each
+    number is computed once."""
+    places = [(r.cast("double"), c.cast("double")) for r, c in footprint(row0, col0, size)]
+    at = rows.withColumns({f"__at{i}": located(F.col(grid), r, c) for i, (r, c) in enumerate(places)})
+    points = (conic(F.col(f"__at{i}.lat"), F.col(f"__at{i}.lon")) for i in range(4))
+    flat = at.withColumns({f"__xy{i}": F.struct(x.alias("x"), y.alias("y")) for i, (x, y) in enumerate(points)})
+    ring = polygon_wkb([(F.col(f"__xy{i}.x"), F.col(f"__xy{i}.y")) for i in range(4)])
+    return flat.withColumn(name, ring).drop(*(f"__{k}{i}" for k in ("at", "xy") for i in range(4)))
+
+
+def chip_places(chips: DataFrame, grids: DataFrame, chip: int = CHIP) -> DataFrame:
+    """Chips (scene_id, row0, col0, ...) with the place of their middle and its encodings: centroid_lat, centroid_lon,
+    sin_lat, cos_lat, sin_lon, cos_lon. Grids are one row a scene; whether they are broadcast is left to their size."""
+    half = chip / 2.0
+    at = located(F.col("__grid"), F.col("row0") + half, F.col("col0") + half)
+    held = grids.select("scene_id", F.struct("lines", "samples", "lat", "lon", "angle").alias("__grid"))
+    made = chips.join(held, "scene_id").withColumn("__at", at)
+    made = made.withColumns({"centroid_lat": F.col("__at.lat"), "centroid_lon": F.col("__at.lon")}).drop("__at", "__grid")
+    names = ("sin_lat", "cos_lat", "sin_lon", "cos_lon")
+    encoded = place_encoding(F.col("centroid_lat"), F.col("centroid_lon"))
+    return made.withColumns(dict(zip(names, encoded)))
+
+
 def _double(x: Column) -> Column:
     """A double's eight bytes, big-endian, in hexadecimal: sign, exponent and fraction taken apart arithmetically."""
     a = F.abs(x)

@@ -25,11 +25,21 @@ def chip_id(scene: Column, row0: Column, col0: Column) -> Column:
     return F.format_string("%s_r%05d_c%05d", scene, row0.cast("int"), col0.cast("int"))
 
 
+def covering(at: Column, size: Column, chip: int = CHIP) -> tuple[Column, Column]:
+    """Starts of the chips along a side that cover place `at`: the regular one, and the last one where it is another.
+
+    Computed from the place, not joined, and in plain arithmetic, which compiles with the rest of a stage.
+    """
+    last, inside = size - chip, (at >= 0) & (at < size)
+    regular = F.least(at - at % chip, last)
+    return F.when(inside, regular), F.when(inside & (at >= last) & (regular != last), last)
+
+
 def starts_over(at: Column, size: Column, chip: int = CHIP) -> Column:
-    """Starts of the one or two chips along a side that cover place `at`: computed, not joined."""
-    last = size - chip
-    regular = F.least(F.floor(at / chip) * chip, last)
-    return F.array_distinct(F.filter(F.array(regular, last), lambda s: (s <= at) & (at < s + chip)))
+    """The one or two of `covering` as an array; none outside of the side."""
+    regular, last = covering(at, size, chip)
+    one = F.when(regular.isNotNull(), F.array(regular)).otherwise(F.array().cast("array<bigint>"))
+    return F.when(last.isNotNull(), F.array(regular, last)).otherwise(one)
 
 
 def with_chips(pixels: DataFrame, height: Column, width: Column, chip: int = CHIP, patch: int = PATCH) -> DataFrame:
@@ -52,10 +62,11 @@ def owner(row: Column, col: Column, height: Column, width: Column, chip: int = C
         return F.least(k, side - 1 - k)
 
     def one(r: Column, c: Column) -> Column:
-        return F.struct(F.least(depth(row, r), depth(col, c)).alias("depth"), r.alias("row0"), c.alias("col0"))
+        fits = r.isNotNull() & c.isNotNull()
+        return F.when(fits, F.struct(F.least(depth(row, r), depth(col, c)).alias("depth"), r.alias("row0"), c.alias("col0")))
 
-    rows, cols = starts_over(row, height, chip), starts_over(col, width, chip)
-    best = F.array_max(F.flatten(F.transform(rows, lambda r: F.transform(cols, lambda c: one(r, c)))))
+    rows, cols = covering(row, height, chip), covering(col, width, chip)
+    best = F.greatest(*(one(r, c) for r in rows for c in cols))
     return F.struct(best["row0"].alias("row0"), best["col0"].alias("col0"))
 
 

@@ -110,11 +110,13 @@ def chip_flags(pixels: DataFrame, height: Column, width: Column) -> DataFrame:
 
     Pixels that lie in the same chips are put together first, so what goes out to each chip is a few rows a scene.
     """
-    rows, cols = tiling.starts_over(F.col("row"), height), tiling.starts_over(F.col("col"), width)
-    alike = pixels.groupBy("scene_id", rows.alias("rows"), cols.alias("cols")).agg(
+    (r, r_last), (c, c_last) = tiling.covering(F.col("row"), height), tiling.covering(F.col("col"), width)
+    over = [r.alias("r"), r_last.alias("r_last"), c.alias("c"), c_last.alias("c_last")]
+    alike = pixels.groupBy("scene_id", *over).agg(
         F.bool_or("valid").alias("any_valid"), F.bool_or(present(F.col("ct").cast("double"))).alias("any_label")
     )
-    each = alike.withColumn("row0", F.explode("rows")).withColumn("col0", F.explode("cols"))
+    each = alike.withColumn("row0", F.explode(F.array_compact(F.array("r", "r_last"))))
+    each = each.withColumn("col0", F.explode(F.array_compact(F.array("c", "c_last"))))
     flags = [F.bool_or(x).alias(x) for x in ("any_valid", "any_label")]
     return each.groupBy("scene_id", "row0", "col0").agg(*flags)
 

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from floeframe.functions import geo, masks, tiling
@@ -12,7 +14,7 @@ from floeframe.operators import matching, patches
 from floeframe.schema import CHIP, CHIP_TABLE, MICROWAVE, PATCH, PATCH_TABLE, PLACE, RENAMED, SAR, TOKEN, WEATHER
 from floeframe.sources import scenes, tables
 
-CHANNELS = [*SAR, *MICROWAVE, *WEATHER, "distance_map", "sar_grid_incidenceangle", "ct", "lat", "lon"]
+CHANNELS = [*SAR, *MICROWAVE, *WEATHER, "distance_map", "sar_grid_incidenceangle", "ct"]
 
 
 def hashed_tokens(df: DataFrame) -> DataFrame:
@@ -21,34 +23,88 @@ def hashed_tokens(df: DataFrame) -> DataFrame:
     return df.withColumns({"patch_token": token("chip_id", "patch_i", "patch_j"), "class_token": token("chip_id")})
 
 
-def patch_table(chips: DataFrame, split: str, encode: Callable[[DataFrame], DataFrame] = hashed_tokens, chip: int = CHIP) -> DataFrame:
-    """Patch rows, with class_token still on them, of chip rows with CHANNELS as arrays. No step shuffles."""
+def patch_table(
+    chips: DataFrame,
+    split: str,
+    encode: Callable[[DataFrame], DataFrame] = hashed_tokens,
+    chip: int = CHIP,
+    band_means: dict[str, float] | None = None,
+) -> DataFrame:
+    """Patch rows of chip rows with CHANNELS as arrays and the scene's control grid; class_token and the chip's own
+    footprint (chip_geometry) still on them. No step shuffles.
+
+    Statistics are those of the radar as it is; the encoder sees it with what is invalid filled by band_means (else 0).
+    """
     hh, hv = (F.col(c) for c in SAR)
     valid = masks.valid_array(hh, hv, F.col("distance_map"))
-    made = chips.withColumns({"valid": valid, "chip_id": tiling.chip_id(F.col("scene_id"), F.col("row0"), F.col("col0"))})
+    chip_id = tiling.chip_id(F.col("scene_id"), F.col("row0"), F.col("col0"))
+    made = chips.withColumn("valid", valid)
     # chips without a valid pixel or a label go before the costly steps
     made = made.where(F.exists("valid", lambda v: v) & F.exists("ct", masks.present))
-    each = scenes.patch_rows(made.select(*chips.columns, "valid"), [*CHANNELS, "valid"], chip)
-    each = each.withColumns({"chip_id": tiling.chip_id(F.col("scene_id"), F.col("row0"), F.col("col0")), "hh": F.col(SAR[0]), "hv": F.col(SAR[1])})
-    mean = lambda b: F.aggregate(F.col(b), F.lit(0.0), lambda a, x: a + x.cast("double")) / (PATCH * PATCH)
+    each = scenes.patch_rows(made, [*CHANNELS, "valid"], chip)
+    each = each.withColumns({"chip_id": chip_id, "hh": hh, "hv": hv})
     each = patches.array_features(each)
-    corner = lambda x, r, c: F.get(F.col(x), F.lit(r * PATCH + c))
-    ring = [geo.conic(corner("lat", r, c).cast("double"), corner("lon", r, c).cast("double")) for r, c in ((0, 0), (0, PATCH - 1), (PATCH - 1, PATCH - 1), (PATCH - 1, 0))]
-    middle = PATCH // 2
-    columns = {RENAMED.get(b, b): mean(b) for b in [*MICROWAVE, *WEATHER]} | {"ia_mean": mean("sar_grid_incidenceangle"), "distance_to_land": corner("distance_map", middle, middle), "geometry": geo.polygon_wkb(ring), "split": F.lit(split)}
-    return encode(each.withColumns(columns)).select(*(F.col(f"`{c}`") for c in [*PATCH_TABLE, *PLACE, "class_token"]))
+    filled = {b: _filled(b, (band_means or {}).get(b, 0.0)) for b in SAR}
+    each = each.withColumns(filled)
+    middle = F.lit(PATCH // 2 * PATCH + PATCH // 2)
+    row, col = F.col("row0") + F.col("patch_i") * PATCH, F.col("col0") + F.col("patch_j") * PATCH
+    each = geo.with_square(each, "geometry", row, col, PATCH)
+    each = geo.with_square(each, "chip_geometry", F.col("row0"), F.col("col0"), chip)
+    first = (F.col("patch_i") == 0) & (F.col("patch_j") == 0)
+    columns = {RENAMED.get(b, b): _mean(b) for b in [*MICROWAVE, *WEATHER]} | {
+        "ia_mean": _mean("sar_grid_incidenceangle"),
+        "distance_to_land": F.get(F.col("distance_map"), middle),
+        "chip_geometry": F.when(first, F.col("chip_geometry")),
+        "split": F.lit(split),
+    }
+    kept = [*PATCH_TABLE, *PLACE, "class_token", "chip_geometry"]
+    return encode(each.withColumns(columns)).select(*(F.col(f"`{c}`") for c in kept))
+
+
+def _filled(band: str, mean: float) -> Column:
+    return F.zip_with(band, "valid", lambda x, ok: F.when(ok, x).otherwise(F.lit(mean).cast("float")))
+
 
+def _mean(band: str) -> Column:
+    """Plain mean over a patch."""
+    total = F.aggregate(F.col(band), F.lit(0.0), lambda a, x: a + x.cast("double"))
+    return total / (PATCH * PATCH)
 
-def build(spark: SparkSession, root: str, out: str, split: str, encode=hashed_tokens, decode=scenes.npz, chip: int = CHIP) -> None:
-    """Write the tables of the scenes below root that aren't done. The chip table comes last: it marks what is done."""
-    rows = scenes.chips(spark, root, CHANNELS, chip, decode=decode)
+
+def _done(spark: SparkSession, path: str) -> DataFrame | None:
     try:
-        done = spark.read.parquet(f"{out}/chips")
-        rows = matching.not_done(rows, done)
-    except Exception as error:  # there is no table yet
-        if "PATH_NOT_FOUND" not in str(error):
+        return spark.read.schema("scene_id string").parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
             raise
-    made = patch_table(rows, split, encode, chip)
-    tables.write_by_scene(made.drop("class_token"), f"{out}/patches")
-    chips = made.where("patch_i = 0 AND patch_j = 0").select(*CHIP_TABLE)
-    tables.write_by_scene(chips, f"{out}/chips")
+        return None
+
+
+def build(
+    spark: SparkSession,
+    root: str,
+    out: str,
+    split: str,
+    encode=hashed_tokens,
+    decode=scenes.npz,
+    chip: int = CHIP,
+    band_means: dict[str, float] | None = None,
+) -> None:
+    """Write the tables of the scenes below root that aren't done: out/patches, out/chips, and out/done, which comes
+    last and holds every scene that was read, those without a usable chip too.
+
+    Scenes are decoded and encoded once: their rows are written aside, and both tables are made from there.
+    """
+    done = _done(spark, f"{out}/done")
+    listed = scenes.listed(spark, root, split).select("scene_id")
+    todo = listed if done is None else matching.not_done(listed, done)
+    aside = f"{out}/aside-{uuid.uuid4().hex}"
+    todo.write.parquet(f"{aside}/scenes")
+    rows = scenes.chips(spark, root, CHANNELS, chip, decode=decode, done=done)
+    patch_table(rows, split, encode, chip, band_means).write.parquet(f"{aside}/rows")
+    made = spark.read.parquet(f"{aside}/rows")
+    tables.write_by_scene(made.drop("class_token", "chip_geometry"), f"{out}/patches")
+    chips = made.where("patch_i = 0 AND patch_j = 0").drop("geometry").withColumnRenamed("chip_geometry", "geometry")
+    tables.write_by_scene(chips.select(*CHIP_TABLE), f"{out}/chips")
+    spark.read.parquet(f"{aside}/scenes").write.mode("append").parquet(f"{out}/done")
+    tables.removed(spark, aside)

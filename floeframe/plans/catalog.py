@@ -576,3 +576,61 @@ def patch_features(spark, sf_dir):
 def feature_correlations(spark, sf_dir):
     made = explore.correlations_with(table(spark, sf_dir, "lineitem"), ["l_extendedprice", "l_discount", "l_tax"], "l_quantity", ["l_returnflag"])
     return rounded(made, "r")
+
+
+#: Latitude and longitude at row r and column c of each customer's scene, linear, so that any control grid gives them.
+_AT = "60 + k % 7 - {r} / 100.0::DOUBLE + {c} / 1000.0::DOUBLE", "-90 + k % 11 + {c} / 50.0::DOUBLE"
+
+
+def _control_points(spark, sf_dir) -> DataFrame:
+    k, line, sample = F.col("c_custkey"), F.col("line"), F.col("sample")
+    steps = F.array(*map(F.lit, (0.0, 200.0, 500.0)))
+    each = table(spark, sf_dir, "customer").select(k).withColumn("line", F.explode(steps)).withColumn("sample", F.explode(steps))
+    lat, lon = 60 + k % 7 - line / 100 + sample / 1000, -90 + k % 11 + sample / 50
+    return each.select(k.alias("scene_id"), "line", "sample", lat.alias("lat"), lon.alias("lon"), (30 + line / 10).alias("angle"))
+
+
+_CORNERS = "(VALUES (0), (44)) r(row0), (VALUES (0), (44)) c(col0)"
+
+
+def _scene_chips(spark, sf_dir) -> DataFrame:
+    scenes = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("scene_id"), F.lit(SIDE).alias("height"), F.lit(SIDE).alias("width"))
+    return tiling.chips(scenes).select("scene_id", "row0", "col0")
+
+
+@query(f"""WITH p AS (SELECT c_custkey AS scene_id, row0, col0, {_AT[0].format(r="(row0 + 128)", c="(col0 + 128)").replace("k %", "c_custkey %")} AS lat,
+    {_AT[1].format(c="(col0 + 128)").replace("k %", "c_custkey %")} AS lon FROM customer, {_CORNERS})
+SELECT scene_id, row0, col0, round(lat, 6) AS centroid_lat, round(lon, 6) AS centroid_lon, {", ".join(f"round({f}(radians({x}))::FLOAT::DOUBLE, 4) + 0.0 AS {f}_{x}" for x in ("lat", "lon") for f in ("sin", "cos"))} FROM p""")
+def chip_centroids(spark, sf_dir):
+    grids = geo.control_grids(_control_points(spark, sf_dir))
+    made = geo.chip_places(_scene_chips(spark, sf_dir), grids)
+    made = rounded(made, "centroid_lat", "centroid_lon")
+    return rounded(made, "sin_lat", "cos_lat", "sin_lon", "cos_lon", digits=4)
+
+
+def _conic_sql(lat: str, lon: str) -> tuple[str, str]:
+    """EPSG:3978 by the textbook formulas, on SQL's own functions."""
+    f = 1 / 298.257222101
+    e = f"sqrt({2 * f - f * f!r}::DOUBLE)"
+    m = lambda d: f"(cos(radians({d})) / sqrt(1 - pow({e} * sin(radians({d})), 2)))"
+    t = lambda d: f"(tan(pi() / 4 - radians({d}) / 2) / pow((1 - {e} * sin(radians({d}))) / (1 + {e} * sin(radians({d}))), {e} / 2))"
+    n = f"((ln({m('49.0')}) - ln({m('77.0')})) / (ln({t('49.0')}) - ln({t('77.0')})))"
+    scale = f"(6378137.0 * {m('49.0')} / ({n} * pow({t('49.0')}, {n})))"
+    rho, theta = f"({scale} * pow({t(lat)}, {n}))", f"({n} * radians({lon} + 95))"
+    return f"{rho} * sin({theta})", f"{scale} * pow({t('49.0')}, {n}) - {rho} * cos({theta})"
+
+
+_RING = [(0, 0), (0, 256), (256, 256), (256, 0)]
+_SIDES_AT = ", ".join(f"{_AT[0].format(r=f'(row0 + {r})', c=f'(col0 + {c})').replace('k %', 'c_custkey %')} AS lat{i}, {_AT[1].format(c=f'(col0 + {c})').replace('k %', 'c_custkey %')} AS lon{i}" for i, (r, c) in enumerate(_RING))
+
+
+@query(f"""WITH p AS (SELECT c_custkey AS scene_id, row0, col0, {_SIDES_AT} FROM customer, {_CORNERS})
+SELECT scene_id, row0, col0, {", ".join(f"round({v}, 2) AS {n}{i}" for i in range(4) for n, v in zip("xy", _conic_sql(f"lat{i}", f"lon{i}")))} FROM p""")
+def scene_footprints(spark, sf_dir):
+    """The projected corners of every chip."""
+    grids = geo.control_grids(_control_points(spark, sf_dir))
+    held = grids.select("scene_id", F.struct("lines", "samples", "lat", "lon", "angle").alias("grid"))
+    chips = _scene_chips(spark, sf_dir).join(held, "scene_id")
+    ring = geo.square(F.col("grid"), F.col("row0"), F.col("col0"), 256)
+    named = {f"{n}{i}": F.round(v, 2) for i, point in enumerate(ring) for n, v in zip("xy", point)}
+    return chips.withColumns(named).drop("grid")

@@ -7,7 +7,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from floeframe.schema import CHIP
@@ -40,32 +40,55 @@ def chip_places(size: int, chip: int) -> list[int]:
     return [min(s, size - chip) for s in range(0, size, chip)]
 
 
-def chips(spark: SparkSession, root: str, bands: list[str], chip: int = CHIP, pattern: str = "*.npz", decode: Callable[[bytes], dict] = npz) -> DataFrame:
-    """(scene_id, row0, col0, <band> array<float>...) of every chip of every scene below root, values row by row.
+#: What a decoded scene holds of its control grid, and the struct that chips carry it in.
+GRID = {"lines": "gcp_lines", "samples": "gcp_samples", "lat": "gcp_lat", "lon": "gcp_lon", "angle": "gcp_angle"}
+GRID_TYPE = "struct<" + ", ".join(f"{k}: array<double>" for k in GRID) + ">"
 
-    A scene is decoded once, in one task, and handed on chip by chip; decode turns a file into arrays by band.
+
+def chips(
+    spark: SparkSession,
+    root: str,
+    bands: list[str],
+    chip: int = CHIP,
+    pattern: str = "*.npz",
+    decode: Callable[[bytes], dict] = npz,
+    done: DataFrame | None = None,
+) -> DataFrame:
+    """(scene_id, row0, col0, grid, <band> array<float>...) of every chip of every scene below root, values row by row.
+
+    A scene is decoded once, in one task, and handed on chip by chip; decode turns a file into arrays by band, and
+    into the arrays of GRID (axes, and values line by line). done (scene_id): scenes to leave out, before decoding.
     """
     files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", True).load(root)
     names = files.select(F.regexp_replace(F.element_at(F.split("path", "/"), -1), r"\.[^.]*$", "").alias("scene_id"), "content")
-    schema = "scene_id string, row0 int, col0 int, " + ", ".join(f"`{b}` array<float>" for b in bands)
+    if done is not None:
+        names = names.join(done.select("scene_id").distinct(), "scene_id", "left_anti")
+    fields = ["scene_id string", "row0 int", "col0 int", f"grid {GRID_TYPE}", *(f"`{b}` array<float>" for b in bands)]
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for scene, content in zip(batch["scene_id"], batch["content"]):
                 arrays = decode(content)
                 height, width = arrays[bands[0]].shape
+                grid = {k: np.asarray(arrays[v], dtype=np.float64).ravel() for k, v in GRID.items()}
                 for r in chip_places(height, chip):
-                    row = [{"scene_id": scene, "row0": r, "col0": c} | {b: arrays[b][r : r + chip, c : c + chip].astype(np.float32).ravel() for b in bands} for c in chip_places(width, chip)]
-                    yield pd.DataFrame(row)
+                    for c in chip_places(width, chip):
+                        row = {"scene_id": scene, "row0": r, "col0": c, "grid": grid}
+                        held = {b: arrays[b][r : r + chip, c : c + chip].astype(np.float32).ravel() for b in bands}
+                        yield pd.DataFrame([row | held])
 
     # each file is as large as a partition ought to be
-    return names.mapInPandas(cut, schema)
+    return names.mapInPandas(cut, ", ".join(fields))
 
 
 def patch_rows(chip_rows: DataFrame, bands: list[str], chip: int = CHIP, patch: int = 8) -> DataFrame:
     """One row a patch: patch_i, patch_j and each band's pixels of the patch. Expressions only, no shuffle."""
-    side = chip // patch
-    each = chip_rows.withColumn("patch_i", F.explode(F.sequence(F.lit(0), F.lit(side - 1)))).withColumn("patch_j", F.explode(F.sequence(F.lit(0), F.lit(side - 1))))
+    places = F.sequence(F.lit(0), F.lit(chip // patch - 1))
+    each = chip_rows.withColumn("patch_i", F.explode(places)).withColumn("patch_j", F.explode(places))
     rows = F.sequence(F.lit(0), F.lit(patch - 1))
-    cut = lambda b: F.flatten(F.transform(rows, lambda k: F.slice(F.col(f"`{b}`"), (F.col("patch_i") * patch + k) * chip + F.col("patch_j") * patch + 1, patch)))
-    return each.select("scene_id", "row0", "col0", "patch_i", "patch_j", *(cut(b).alias(b) for b in bands))
+
+    def cut(band: str) -> Column:
+        begin = lambda k: (F.col("patch_i") * patch + k) * chip + F.col("patch_j") * patch + 1
+        return F.flatten(F.transform(rows, lambda k: F.slice(F.col(f"`{band}`"), begin(k), patch)))
+
+    return each.select("scene_id", "row0", "col0", "grid", "patch_i", "patch_j", *(cut(b).alias(b) for b in bands))

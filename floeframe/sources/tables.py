@@ -86,3 +86,9 @@ def zip_members(spark: SparkSession, root: str) -> DataFrame:
 
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.zip").option("recursiveFileLookup", True).load(root)
     return files.select("path", "content").mapInPandas(unpack, "path string, member string, content binary")
+
+
+def removed(spark: SparkSession, path: str) -> None:
+    """Delete a table of ours, whichever file system holds it."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)

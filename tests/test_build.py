@@ -1,7 +1,10 @@
 """Sources, sinks and the whole build on small synthetic scenes."""
 
+import struct
+
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from floeframe import schema
 from floeframe.operators import validation
@@ -12,11 +15,18 @@ from floeframe.streaming import arrivals
 NAME = "S1A_EW_GRDM_1SDH_20180124T194759_test"
 
 
+def corners(wkb):
+    """Points of a one-ring polygon in big-endian WKB."""
+    return [struct.unpack(">dd", wkb[13 + 16 * i : 29 + 16 * i]) for i in range(5)]
+
+
 def save(folder, name, side=16, chip_without_label=False):
     y, x = np.mgrid[0:side, 0:side].astype(float)
     held = {b: np.full((side, side), 200.0) for b in schema.MICROWAVE} | {b: np.full((side, side), 250.0) for b in schema.WEATHER}
     held |= {schema.SAR[0]: np.full((side, side), -15.0), schema.SAR[1]: np.full((side, side), -22.0), "distance_map": np.full((side, side), 5.0)}
-    held |= {"sar_grid_incidenceangle": 30 + x / 10, "ct": np.full((side, side), 8.0), "lat": 61 - y / 100, "lon": -80 + x / 100}
+    held |= {"sar_grid_incidenceangle": 30 + x / 10, "ct": np.full((side, side), 8.0)}
+    line, sample = np.meshgrid([0.0, 10.0, 20.0], [0.0, 12.0], indexing="ij")
+    held |= {"gcp_lines": [0.0, 10.0, 20.0], "gcp_samples": [0.0, 12.0], "gcp_lat": 61 - line / 100, "gcp_lon": -80 + sample / 100, "gcp_angle": 30 + sample / 10}
     if chip_without_label:
         held["ct"][:8, :8] = np.nan
     folder.mkdir(parents=True, exist_ok=True)
@@ -34,11 +44,55 @@ def test_build_and_validate(spark, tmp_path):
     assert (r["hh_mean"], r["hv_hh_ratio"], r["btemp_6.9h"], r["t2m"], r["label"], r["is_pure"], r["valid_fraction"], r["distance_to_land"]) == (-15, -7, 200, 250, 8, True, 1, 5)
     assert len(r["patch_token"]) == schema.TOKEN and len(r["geometry"]) == 93
     assert {(v.check, v.rows) for v in validation.violations(p, c).collect()} == {("below", 3)}  # chips of one patch
+    same_square = p.select("chip_id", "geometry").join(c.select("chip_id", F.col("geometry").alias("g")), "chip_id")
+    assert same_square.where("geometry = g").count() == 3  # a chip of one patch has its footprint
+    rings = {x.chip_id[-13:]: corners(x.geometry) for x in c.collect()}
+    assert rings["r00000_c00008"][3] == rings["r00008_c00000"][1]  # neighbours meet
+    assert rings["r00000_c00008"][2] == rings["r00008_c00008"][1]
     save(tmp_path / "in", "S1B_20190101T000000_x")
     build.build(spark, str(tmp_path / "in"), str(tmp_path / "out"), "train", chip=8)
     after = spark.read.parquet(str(tmp_path / "out/chips"))
     assert after.groupBy("scene_id").count().orderBy("scene_id").select("count").collect() == [(3,), (4,)]
 
+    def never(data):
+        raise AssertionError("a scene that is done is decoded again")
+
+    build.build(spark, str(tmp_path / "in"), str(tmp_path / "out"), "train", decode=never, chip=8)
+    assert spark.read.parquet(str(tmp_path / "out/chips")).count() == 7
+    assert sorted(x.name for x in (tmp_path / "out").iterdir()) == ["chips", "done", "patches"]
+
+
+def test_a_scene_without_a_chip_is_done_too(spark, tmp_path):
+    save(tmp_path / "in", NAME, side=8, chip_without_label=True)
+    build.build(spark, str(tmp_path / "in"), str(tmp_path / "out"), "train", chip=8)
+    assert [x.scene_id for x in spark.read.parquet(str(tmp_path / "out/done")).collect()] == [NAME]
+
+
+def test_patches_of_a_chip_tile_it(spark, tmp_path):
+    """Four patches of a chip of 16: neighbours have their corners in common, the outer ones are the chip's."""
+    save(tmp_path / "in", NAME)
+    rows = build.patch_table(scenes.chips(spark, str(tmp_path / "in"), build.CHANNELS, 16), "train", chip=16)
+    got = {(r.patch_i, r.patch_j): r for r in rows.select("patch_i", "patch_j", "geometry", "chip_geometry").collect()}
+    ring = {k: corners(r.geometry) for k, r in got.items()}
+    assert ring[0, 0][1] == ring[0, 1][0] and ring[0, 0][2] == ring[1, 1][0] == ring[0, 1][3] == ring[1, 0][1]
+    chip = corners(got[0, 0].chip_geometry)
+    assert chip == [ring[0, 0][0], ring[0, 1][1], ring[1, 1][2], ring[1, 0][3], ring[0, 0][0]]
+    assert got[1, 1].chip_geometry is None
+
+
+def test_the_encoder_sees_filled_radar(spark, tmp_path):
+    save(tmp_path / "in", NAME)
+    chips = scenes.chips(spark, str(tmp_path / "in"), build.CHANNELS, 16)
+    land = F.transform("distance_map", lambda x, i: F.when(i == 0, F.lit(0.0)).otherwise(x).cast("float"))
+    seen = []
+
+    def encode(df):
+        seen.append(df.where("patch_i = 0 AND patch_j = 0").select(F.get(schema.SAR[0], F.lit(0)), F.get(schema.SAR[0], F.lit(1)), "valid_fraction"))
+        return build.hashed_tokens(df)
+
+    build.patch_table(chips.withColumn("distance_map", land), "train", encode, 16, {schema.SAR[0]: -12.5})
+    assert seen[0].collect() == [(-12.5, -15.0, 63 / 64)]
+
 
 def test_features_need_no_shuffle(spark, tmp_path):
     save(tmp_path / "in", NAME)
