@@ -4,8 +4,8 @@ Documents are tokenised where they lie; only (document, piece, length, checksum)
 about BLOCK documents by a hash of the document, so that a block fits a task whatever the number of documents.
 Pieces of full length are sequences of their own. In a block, each of the rest goes to the fullest bin that has room
 for it, in the order in which they come; then local search moves documents and exchanges one for one or two for one
-from an emptier underfull bin to a fuller one, always the step that moves most, so that the sum of squared fills
-grows, until bins empty. It ends when the block has as few bins as a lower bound says it needs, or when no bin has a
+from an emptier underfull bin to a fuller one, of each kind the step that moves most, so that the sum of squared
+fills grows, until bins empty. It ends when the block has as few bins as a lower bound says it needs, or when no bin has a
 step left; then it begins again from the documents in order of their length, and the better result counts. So a
 block never has more bins than a best-fit-decreasing packing. What blocks cost is one bin in thousands at most.
 
@@ -97,42 +97,46 @@ class Search:
         self.fill = np.array([self.size[b].sum() for b in bins], dtype=np.int64)
 
     def best_step(self, poor: int) -> tuple[list[int], int | None, int] | None:
-        """(items to give, item to take back, to which bin): the move or exchange that moves most; None without one."""
+        """(items to give, item to take back, to which bin); None where nothing makes a fuller bin fuller.
+
+        A move where an item fits, else the exchange of one for one, else of two for one, that moves most.
+        """
         room = self.capacity - self.fill
         rich = np.flatnonzero((self.fill >= self.fill[poor]) & (room > 0))
         rich = rich[rich != poor]
         if not len(rich):
             return None
         own = np.array(sorted(self.bins[poor], key=lambda i: (self.size[i], i)))
-        best, moved = None, 0
         fits = own[self.size[own] <= room[rich].max()]
         if len(fits):
             give = int(fits[-1])
             good = rich[room[rich] >= self.size[give]]
-            best, moved = ([give], None, int(good[room[good].argmin()])), int(self.size[give])
+            return [give], None, int(good[room[good].argmin()])
         wanted = np.zeros(len(room), dtype=bool)
         wanted[rich] = True
         back = np.flatnonzero(wanted[self.home])
-        sizes, spare = self.size[back], room[self.home[back]]
-        gives = {int(self.size[i]): [int(i)] for i in own}
-        kinds = own[np.r_[True, self.size[own][1:] != self.size[own][:-1]]]  # one item of each size, and second ones
-        twice = {int(self.size[i]): int(i) for i in own if gives[int(self.size[i])][0] != i}
-        for a, i in enumerate(kinds):
-            if (one := int(self.size[i])) in twice:
-                gives.setdefault(2 * one, [gives[one][0], twice[one]])
-            for j in kinds[a + 1 :]:
-                gives.setdefault(int(self.size[i] + self.size[j]), [int(i), int(j)])
-        # a step moves less than the largest spare room, so what is given must come that close to what is taken
-        totals = np.array(sorted(gives), dtype=np.int64)
-        totals = totals[totals <= sizes.max() + room[rich].max()]
-        for at in range(0, len(totals), step := max(1, AT_ONCE // max(len(back), 1))):
-            part = totals[at : at + step]
-            change = part[:, None] - sizes[None]
+        spare = room[self.home[back]]
+        return self.exchange([(i,) for i in own.tolist()], back, spare) or self.exchange(self.pairs(own), back, spare)
+
+    def pairs(self, own: np.ndarray) -> list[tuple[int, int]]:
+        """Two items of each total that two of own (sorted by size) have."""
+        sizes = self.size[own]
+        few = own[np.r_[True, True, sizes[2:] != sizes[:-2]][: len(own)]].tolist()  # of equal sizes, two are enough
+        totals = {int(self.size[i] + self.size[j]): (i, j) for a, i in enumerate(few) for j in few[a + 1 :]}
+        return list(totals.values())
+
+    def exchange(self, gives: list[tuple], back: np.ndarray, spare: np.ndarray) -> tuple[list[int], int | None, int] | None:
+        """The exchange of one of gives for one of back, whose bins have room to spare, that moves most."""
+        best, moved, sizes = None, 0, self.size[back]
+        step = max(1, AT_ONCE // len(back))
+        for at in range(0, len(gives), step):
+            part = gives[at : at + step]
+            change = self.size[np.array(part)].sum(1)[:, None] - sizes[None]
             change[change > spare[None]] = 0
             x, y = divmod(int(change.argmax()), len(back))
             if change[x, y] > moved:
                 taken = int(back[y])
-                best, moved = (gives[int(part[x])], taken, int(self.home[taken])), int(change[x, y])
+                best, moved = (list(part[x]), taken, int(self.home[taken])), int(change[x, y])
         return best
 
     def take(self, poor: int, step: tuple[list[int], int | None, int]) -> None:
