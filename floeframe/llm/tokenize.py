@@ -20,7 +20,7 @@ import regex
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 #: Words, and pieces of words, that a worker keeps; about 200 bytes each.
-CACHED = 250_000
+CACHED = 500_000
 #: Below this, letters are in normal form C already, and Python and the library agree on classes and lower case.
 WIDE = re.compile("[^\\x00-\u024f]")
 WORD_PIECE = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
