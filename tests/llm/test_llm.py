@@ -1,6 +1,7 @@
 """The training-data operators against brute force, on fixtures with nulls, empty and long texts, ties and repeated rows."""
 
 import hashlib
+import os
 import random
 import re
 import zlib
@@ -619,3 +620,19 @@ def test_pipeline(spark):
         assert kept.columns == docs.columns and 0 < kept.count() <= before.count(), name
     assert kept.where(F.rlike("text", F.lit(personal.PATTERNS["email"]))).count() == 0
     assert {r.doc_id for r in p.STAGES[-1][1](spark, kept, "").collect()} == {r.doc_id for r in kept.collect()}
+
+
+def test_filter_stages_keep_columns_and_take_odd_rows(spark, docs, empty):
+    """Nulls, repeated rows, an empty table and columns with names of the operators' own."""
+    from floeframe.llm.common import scratch, shared_dir
+
+    odd = docs.withColumns({"score": F.lit(1), "row": F.lit("x"), "component_id": F.lit(2), "votes": F.lit("v")})
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in range(30)], "doc_id long, quality int, toxic int")
+    before = set(os.listdir(shared_dir(spark) + "/floeframe"))
+    with scratch(spark):
+        for stage in (weak_labels.passed, lambda d: quality_rules.passed(d, labels), near_copies.one_of_each, personal.sanitised):
+            assert stage(odd).columns == odd.columns
+            assert stage(empty).count() == 0
+        clean = personal.sanitised(odd)
+        assert clean.count() == odd.count() and clean.where("text LIKE '%1.2.3.4%'").count() == 0
+    assert set(os.listdir(shared_dir(spark) + "/floeframe")) == before
