@@ -15,8 +15,23 @@ WEATHER = ["u10m_rotated", "v10m_rotated", "t2m", "skt", "tcwv", "tclw"]
 ANCILLARY = ["sar_grid_incidenceangle", "distance_map"]
 BANDS = SAR + MICROWAVE + WEATHER
 
-#: Output name of a microwave band: the frequency gets its decimal point back.
-RENAMED = {b: b.replace("btemp_", "").replace("_", ".").join(["btemp_", ""]) for b in MICROWAVE}
+#: Output name of each microwave band (fixed values).
+RENAMED = {
+    "btemp_6_9h": "btemp_6.9h",
+    "btemp_6_9v": "btemp_6.9v",
+    "btemp_7_3h": "btemp_7.3h",
+    "btemp_7_3v": "btemp_7.3v",
+    "btemp_10_7h": "btemp_10.7h",
+    "btemp_10_7v": "btemp_10.7v",
+    "btemp_18_7h": "btemp_18.7h",
+    "btemp_18_7v": "btemp_18.7v",
+    "btemp_23_8h": "btemp_23.8h",
+    "btemp_23_8v": "btemp_23.8v",
+    "btemp_36_5h": "btemp_36.5h",
+    "btemp_36_5v": "btemp_36.5v",
+    "btemp_89_0h": "btemp_89.0h",
+    "btemp_89_0v": "btemp_89.0v",
+}
 
 FRACTIONS = [f"frac_sic{k}" for k in range(CLASSES)]
 PATCH_TABLE = [
