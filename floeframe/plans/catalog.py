@@ -560,16 +560,16 @@ def usable_crops(spark, sf_dir):
 
 
 @query(f"""WITH {CHIPPED}, c AS (SELECT scene_id, chip_id, patch_i, patch_j, count(ct) AS n, {_COUNTS}, count(*) FILTER (valid) / 64.0::DOUBLE AS valid_fraction,
-    round(avg(hh) FILTER (valid), 6) + 0.0 AS hh_mean, CASE WHEN bool_or(isnan(t2m)) THEN NULL ELSE round(avg(t2m), 6) END AS t2m FROM chips GROUP BY ALL
+    round(avg(hh) FILTER (valid), 6) + 0.0 AS hh_mean, round(avg(distance), 6) AS distance FROM chips GROUP BY ALL
 ), f AS (SELECT *, {_SHARES} FROM c)
-SELECT scene_id, chip_id, patch_i, patch_j, valid_fraction, hh_mean, t2m,
+SELECT scene_id, chip_id, patch_i, patch_j, valid_fraction, hh_mean, distance,
     CASE WHEN n > 0 THEN floor({" + ".join(f"{k} * frac_sic{k}::DOUBLE" for k in range(11))}) ELSE -1 END AS label FROM f""")
 def patch_features(spark, sf_dir):
     """Labels, radar and plain means of every patch from one aggregation."""
-    made = patches.features(chipped(charted(spark, sf_dir)), ["t2m"])
-    made = made.withColumns({c: masks.null_if_nan(F.col(c)) for c in ("hh_mean", "t2m")})
+    made = patches.features(chipped(charted(spark, sf_dir)), ["distance"])
+    made = made.withColumn("hh_mean", masks.null_if_nan(F.col("hh_mean")))
     made = made.withColumn("label", F.when(F.isnan("label"), -1.0).otherwise(F.col("label")))
-    return rounded(made, "hh_mean", "t2m").select(*patches.KEY, "valid_fraction", "hh_mean", "t2m", "label")
+    return rounded(made, "hh_mean", "distance").select(*patches.KEY, "valid_fraction", "hh_mean", "distance", "label")
 
 
 @query("SELECT l_returnflag, f AS feature, round(corr(x, l_quantity), 6) + 0.0 AS r FROM (SELECT l_returnflag, l_quantity, unnest(['l_extendedprice', 'l_discount', 'l_tax']) AS f, unnest([l_extendedprice, l_discount, l_tax]) AS x FROM lineitem) GROUP BY 1, 2")
