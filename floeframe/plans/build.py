@@ -9,7 +9,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from floeframe.functions import geo, masks, tiling
+from floeframe.functions import encodings, geo, masks, tiling
 from floeframe.operators import matching, patches
 from floeframe.schema import CHIP, CHIP_TABLE, MICROWAVE, PATCH, PATCH_TABLE, PLACE, RENAMED, SAR, TOKEN, WEATHER
 from floeframe.sources import scenes, tables
@@ -33,12 +33,13 @@ def patch_table(
     """Patch rows of chip rows with CHANNELS as arrays and the scene's control grid; class_token and the chip's own
     footprint (chip_geometry) still on them. No step shuffles.
 
-    Statistics are those of the radar as it is; the encoder sees it with what is invalid filled by band_means (else 0).
+    Statistics are those of the radar as it is; the encoder sees it with what is invalid filled by band_means (else 0),
+    and the chip's time_encoding and place_encoding.
     """
     hh, hv = (F.col(c) for c in SAR)
     valid = masks.valid_array(hh, hv, F.col("distance_map"))
+    made = scenes.with_chart(chips).withColumn("valid", valid)
     chip_id = tiling.chip_id(F.col("scene_id"), F.col("row0"), F.col("col0"))
-    made = chips.withColumn("valid", valid)
     # chips without a valid pixel or a label go before the costly steps
     made = made.where(F.exists("valid", lambda v: v) & F.exists("ct", masks.present))
     each = scenes.patch_rows(made, [*CHANNELS, "valid"], chip)
@@ -46,6 +47,11 @@ def patch_table(
     each = patches.array_features(each)
     filled = {b: _filled(b, (band_means or {}).get(b, 0.0)) for b in SAR}
     each = each.withColumns(filled)
+    at = geo.located(F.col("grid"), F.col("row0") + chip / 2.0, F.col("col0") + chip / 2.0)
+    each = each.withColumns({
+        "time_encoding": F.array(*encodings.time_encoding(encodings.scene_time(F.col("scene_id")))),
+        "place_encoding": F.array(*encodings.place_encoding(at["lat"], at["lon"])),
+    })
     middle = F.lit(PATCH // 2 * PATCH + PATCH // 2)
     row, col = F.col("row0") + F.col("patch_i") * PATCH, F.col("col0") + F.col("patch_j") * PATCH
     each = geo.with_square(each, "geometry", row, col, PATCH)

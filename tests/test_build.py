@@ -80,6 +80,60 @@ def test_patches_of_a_chip_tile_it(spark, tmp_path):
     assert got[1, 1].chip_geometry is None
 
 
+def save_raw(folder, name, side=16, coarse=None):
+    """A scene as it is delivered: coarse weather and microwave, polygon numbers with coded rows, angles on the grid."""
+    full = lambda v: np.full((side, side), v, dtype=np.float32)
+    held = {b: np.full((2, 2), 200.0) for b in schema.MICROWAVE} | {b: np.full((2, 2), 250.0) for b in schema.WEATHER}
+    held |= {schema.SAR[0]: full(-15), schema.SAR[1]: full(-22), "distance_map": full(5), "polygon_icechart": full(1).astype(float)}
+    held |= {"polygon_codes": np.array(["poly_id;CT", "1;20", "2;-9", "1;80", "1;-9"])} | (coarse or {})
+    held["polygon_icechart"][: side // 2, : side // 2] = 2
+    held["polygon_icechart"][-1, -1], held["polygon_icechart"][-1, -2] = np.nan, 65535
+    held |= {"gcp_lines": [0.0, side - 1.0], "gcp_samples": [0.0, side - 1.0], "gcp_lat": [60.0, 60, 61, 61], "gcp_lon": [-80.0, -79, -80, -79], "gcp_angle": [30.0, 31, 32, 33]}
+    folder.mkdir(parents=True, exist_ok=True)
+    np.savez(folder / f"{name}.npz", **held)
+
+
+def test_a_raw_scene_is_composed(spark, tmp_path):
+    save_raw(tmp_path / "in", NAME)
+    build.build(spark, str(tmp_path / "in"), str(tmp_path / "out"), "train", chip=8)
+    rows = {r.chip_id[-13:]: r for r in spark.read.parquet(str(tmp_path / "out/patches")).collect()}
+    assert sorted(rows) == ["r00000_c00008", "r00008_c00000", "r00008_c00008"]  # the chip of polygon 2 has no label
+    r = rows["r00008_c00008"].asDict()
+    assert (r["hh_mean"], r["hv_mean"], r["btemp_6.9h"], r["t2m"], r["label"], r["distance_to_land"]) == (-15, -22, 200, 250, 8, 5)
+    assert r["valid_class_fraction"] == 62 / 64 and rows["r00000_c00008"]["valid_class_fraction"] == 1
+    assert r["ia_mean"] == pytest.approx(30 + 3 * 11.5 / 15, abs=1e-5)  # the plane's value at the patch's middle
+
+
+def test_coarse_bands_are_stretched_as_the_operator_does(spark, tmp_path):
+    from floeframe.operators import resampling
+
+    small = np.arange(12.0).reshape(3, 4) ** 2
+    small[1, 2] = np.nan
+    save_raw(tmp_path / "in", NAME, coarse={"t2m": small})
+    chips = scenes.chips(spark, str(tmp_path / "in"), build.CHANNELS, 8)
+    got = {(c.row0 + i // 8, c.col0 + i % 8): v for c in chips.collect() for i, v in enumerate(c.t2m)}
+    cells = [("s", i, j, 3, 4, float(small[i, j])) for i in range(3) for j in range(4)]
+    coarse = spark.createDataFrame(cells, "scene_id string, row int, col int, h int, w int, value double")
+    targets = spark.createDataFrame([("s", r, c) for r in range(16) for c in range(16)], "scene_id string, row int, col int")
+    want = {(r.row, r.col): r.value for r in resampling.bilinear(targets, coarse, 16, 16).collect()}
+    assert len(got) == len(want) == 256 and got == pytest.approx(want, abs=1e-4, nan_ok=True)
+
+
+def test_the_encoder_knows_time_and_place(spark, tmp_path):
+    save_raw(tmp_path / "in", NAME)
+    seen = []
+
+    def encode(df):
+        seen.append(df.where("patch_i = 0 AND patch_j = 0").select("time_encoding", "place_encoding"))
+        return build.hashed_tokens(df)
+
+    build.patch_table(scenes.chips(spark, str(tmp_path / "in"), build.CHANNELS, 16), "train", encode, 16)
+    row = seen[0].first()
+    week, hour, lat, lon = 2 * np.pi * 4 / 52, 2 * np.pi * (19 + 47 / 60) / 24, np.radians(60 + 8 / 15), np.radians(-80 + 8 / 15)
+    assert row.time_encoding == pytest.approx([np.sin(week), np.cos(week), np.sin(hour), np.cos(hour)], abs=1e-6)
+    assert row.place_encoding == pytest.approx([np.sin(lat), np.cos(lat), np.sin(lon), np.cos(lon)], abs=1e-6)
+
+
 def test_the_encoder_sees_filled_radar(spark, tmp_path):
     save(tmp_path / "in", NAME)
     chips = scenes.chips(spark, str(tmp_path / "in"), build.CHANNELS, 16)
