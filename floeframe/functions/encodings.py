@@ -45,6 +45,12 @@ def clip_scaled(x: Column, low: Column, high: Column) -> Column:
     return F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.try_divide(x - low, high - low)))
 
 
+def composite(hh: Column, hv: Column, limits: dict[str, tuple[float, float]]) -> dict[str, Column]:
+    """The three channels of a radar composite, each scaled by its limits: both polarisations and their difference."""
+    bands = {"hh": hh, "hv": hv, "hh_hv": hh - hv}
+    return {name: clip_scaled(band, *map(F.lit, limits[name])) for name, band in bands.items()}
+
+
 def rotated(u: Column, v: Column, heading: Column) -> tuple[Column, Column]:
     """Wind components turned by a heading in degrees: along and across it."""
     h = F.radians(heading)

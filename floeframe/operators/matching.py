@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from floeframe.functions.codes import tenths
+from floeframe.functions.codes import MASK, UNKNOWN, tenths
 
 
 def chart_tenths(pixels: DataFrame, codes: DataFrame) -> DataFrame:
@@ -51,6 +51,26 @@ def by_name(left: DataFrame, right: DataFrame, part: Column, name: str) -> DataF
     return left.join(right.withColumn(name, part), name)
 
 
+def first_by_name(left: DataFrame, right: DataFrame, part: Column, name: str, order: str) -> DataFrame:
+    """`by_name` with the least right row by `order` of each key: one row for each left row."""
+    keyed = right.withColumn("__key", part)
+    rest = [c for c in right.columns if c not in (order, name)]
+    one = keyed.groupBy(F.col("__key").alias(name)).agg(F.min(F.struct(order, *rest)).alias("__first"))
+    return left.join(one.select(name, "__first.*"), name, "left")
+
+
+def pixel_charts(pixels: DataFrame, classes: DataFrame, on: list[str] = ("poly_id",)) -> DataFrame:
+    """Pixels with sic, sod and floe of their polygon; classes: one row a polygon (on..., sic, sod, floe).
+
+    Without a row for its polygon a pixel keeps the polygon's number in all three charts, 0 as water and the unknown
+    code as mask; without a polygon they are null. Classes are a few rows a scene; a broadcast is left to their size.
+    """
+    made = pixels.join(classes.withColumn("__coded", F.lit(True)), list(on), "left")
+    bare = F.when(F.col("poly_id") == UNKNOWN, MASK).otherwise(F.col("poly_id"))
+    named = {c: F.when(F.col("__coded"), F.col(c)).otherwise(bare).cast("int") for c in ("sic", "sod", "floe")}
+    return made.withColumns(named).drop("__coded")
+
+
 def with_chip_token(patches: DataFrame, chips: DataFrame, features: list[str]) -> DataFrame:
     """One vector a patch: its own token, its features, its chip's token."""
     scalars = F.array(*(F.col(f"`{f}`").cast("float") for f in features))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Weights of the charts in the combined score (fixed values).
@@ -34,6 +34,11 @@ def combined(scores: dict[str, float]) -> float:
     return round(sum(round(100 * scores[k], 3) * w for k, w in WEIGHTS.items()) / sum(WEIGHTS.values()), 3)
 
 
+def combined_score(scores: dict[str, Column]) -> Column:
+    """`combined` over columns: one score a row."""
+    return F.round(sum((F.round(x * 100, 3) * WEIGHTS[k] for k, x in scores.items()), F.lit(0.0)) / sum(WEIGHTS.values()), 3)
+
+
 def ordinal_penalty(pairs: DataFrame, by: list[str] = ()) -> DataFrame:
     """Mean distance in classes: the choice made where weights are left open."""
     return pairs.groupBy(*by).agg(F.avg(F.abs(F.col("truth") - F.col("predicted"))).alias("penalty"))

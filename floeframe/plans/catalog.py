@@ -8,10 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from floeframe.functions import codes, encodings, geo, masks, tiling
-from floeframe.operators import audit, explore, matching, moments, patches, resampling, sampling, scores, validation
+from floeframe.operators import audit, explore, inference, matching, moments, patches, resampling, sampling, scores, validation
 from floeframe.plans.adapters import CHIPS, CODE_MEANS, PIXELS, POLYGONS, SIDE, pixels, polygons, table
 from floeframe.plans.adapters import codes as chart_codes
-from floeframe.schema import FRACTIONS
+from floeframe.schema import FRACTIONS, GRID, TOKEN
+from floeframe.sources import scenes, tables
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -153,15 +154,19 @@ def _dominant(c: str) -> str:
 _FIELDS = ", ".join(f"{_recoded(t, c)} AS {c}" for t, cs in ((codes.CONCENTRATION, ("ct", "ca", "cb", "cc")), (codes.DEVELOPMENT, ("sa", "sb", "sc")), (codes.FLOE, ("fa", "fb", "fc"))) for c in cs)
 
 
-@query(f"""WITH {POLYGONS}, r AS (SELECT poly_id, kind, {_FIELDS} FROM pg), q AS (
+_CLASSES = f"""{POLYGONS}, r AS (SELECT poly_id, kind, {_FIELDS} FROM pg), q AS (
     SELECT * REPLACE (CASE WHEN ct > 0 AND ca = -9 THEN ct ELSE ca END AS ca) FROM r
 ), d AS (
     SELECT poly_id, CASE WHEN lower(kind) = 'w' THEN 0 ELSE ct END AS sic, {_dominant("s")} AS sod,
         CASE WHEN 255 IN (fa, fb, fc) THEN 255 ELSE {_dominant("f")} END AS floe FROM q
 ), w AS (
     SELECT poly_id, sic, CASE WHEN sic = 0 THEN 0 WHEN sod = -9 THEN 255 ELSE sod END AS sod, CASE WHEN sic = 0 THEN 0 WHEN floe = -9 THEN 255 ELSE floe END AS floe FROM d
-)
-SELECT poly_id, CASE WHEN sic = 99 THEN 255 ELSE sic END::INTEGER AS sic, CASE WHEN sod = 99 THEN 255 ELSE sod END::INTEGER AS sod, CASE WHEN floe = 99 THEN 255 ELSE floe END::INTEGER AS floe FROM w""")
+), classes AS (
+    SELECT poly_id, CASE WHEN sic = 99 THEN 255 ELSE sic END::INTEGER AS sic, CASE WHEN sod = 99 THEN 255 ELSE sod END::INTEGER AS sod, CASE WHEN floe = 99 THEN 255 ELSE floe END::INTEGER AS floe FROM w
+)"""
+
+
+@query(f"WITH {_CLASSES} SELECT * FROM classes")
 def polygon_classes(spark, sf_dir):
     tables = {"c": codes.CONCENTRATION, "s": codes.DEVELOPMENT, "f": codes.FLOE}
     re = polygons(spark, sf_dir)
@@ -487,7 +492,8 @@ def keys_by_month(spark, sf_dir):
 
 @query("SELECT o_orderkey FROM orders ORDER BY o_orderkey LIMIT 25")
 def first_scenes(spark, sf_dir):
-    return table(spark, sf_dir, "orders").select("o_orderkey").orderBy("o_orderkey").limit(25)
+    keys = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("path"))
+    return scenes.first(keys, 25).withColumnRenamed("path", "o_orderkey")
 
 
 _PAIRS = "p AS (SELECT n_chars % 9 AS truth, (n_chars + (doc_id % 4 = 0)::INT) % 9 AS predicted, lang FROM documents)"
@@ -634,3 +640,134 @@ def scene_footprints(spark, sf_dir):
     ring = geo.square(F.col("grid"), F.col("row0"), F.col("col0"), 256)
     named = {f"{n}{i}": F.round(v, 2) for i, point in enumerate(ring) for n, v in zip("xy", point)}
     return chips.withColumns(named).drop("grid")
+
+
+@query(f"""WITH {_CLASSES}, px AS (
+    SELECT l_returnflag AS scene_id, CASE WHEN l_linenumber <> 7 THEN l_partkey + l_suppkey END AS poly_id FROM lineitem
+), c AS (
+    SELECT scene_id, p.poly_id AS n, c.poly_id IS NOT NULL AS coded, c.sic, c.sod, c.floe FROM px p LEFT JOIN classes c ON c.poly_id = p.poly_id
+), v AS (
+    SELECT scene_id, {", ".join(f"CASE WHEN coded THEN {x} WHEN n = 99 THEN 255 ELSE n END::INTEGER AS {x}" for x in ("sic", "sod", "floe"))} FROM c
+) SELECT scene_id, sic, sod, floe, count(*) AS n FROM v GROUP BY ALL""")
+def pixel_charts(spark, sf_dir):
+    """Charts of pixels by polygon; some polygons have no row, some pixels no polygon."""
+    number = F.when(F.col("l_linenumber") != 7, F.col("l_partkey") + F.col("l_suppkey"))
+    px = table(spark, sf_dir, "lineitem").select(F.col("l_returnflag").alias("scene_id"), number.alias("poly_id"))
+    made = matching.pixel_charts(px, polygon_classes(spark, sf_dir))
+    return made.groupBy("scene_id", "sic", "sod", "floe").agg(F.count("*").alias("n"))
+
+
+_RAW_NAME = "'S1_' || o_custkey || '_' || strftime(o_orderdate, '%Y%m%d') || '_' || o_orderkey"
+
+
+@query(f"SELECT c_custkey::VARCHAR AS scene, file FROM customer LEFT JOIN (SELECT o_custkey, min({_RAW_NAME}) AS file FROM orders GROUP BY 1) ON o_custkey = c_custkey")
+def first_file_by_name(spark, sf_dir):
+    day = F.date_format("o_orderdate", "yyyyMMdd")
+    files = table(spark, sf_dir, "orders").select(F.concat_ws("_", F.lit("S1"), "o_custkey", day, "o_orderkey").alias("file"))
+    known = table(spark, sf_dir, "customer").select(F.col("c_custkey").cast("string").alias("scene"))
+    return matching.first_by_name(known, files, F.regexp_extract("file", r"^S1_(\d+)_", 1), "scene", "file")
+
+
+@query("SELECT p_brand AS scene_id, count(*) FILTER (p_size % 10 <> 0 AND abs(p_size / 20000.0::DOUBLE) > 0.00101) AS rows_off FROM part GROUP BY 1")
+def share_sums(spark, sf_dir):
+    """Labelled rows whose shares don't add up to one: those of larger parts are up to a 400th off."""
+    size = F.col("p_size")
+    share = {f: F.lit(1 / 11) + (size / 20000.0 if k == 0 else 0.0) for k, f in enumerate(FRACTIONS)}
+    rows = table(spark, sf_dir, "part").withColumns(share).withColumn("label", F.when(size % 10 != 0, 1.0))
+    return rows.groupBy(F.col("p_brand").alias("scene_id")).agg(F.count_if(validation.fractions_off()).alias("rows_off"))
+
+
+@query(f"""WITH p AS (
+    SELECT o_orderpriority AS scene_id, o_custkey AS chip_id, o_orderkey % 7 / 5.0::DOUBLE AS valid_fraction, o_orderkey % 11 / 10.0::DOUBLE - 0.1 AS valid_class_fraction, o_orderkey % 13 AS n FROM orders
+), c AS (SELECT c_mktsegment AS scene_id, c_nationkey AS chip_id, c_custkey % 5 AS n FROM customer), s AS (SELECT scene_id, chip_id, count(*) AS n FROM p GROUP BY 1, 2), v AS (
+    SELECT scene_id, 'valid_fraction' AS "check", count(*) FILTER (valid_fraction > 1) AS "rows" FROM p GROUP BY 1
+    UNION ALL SELECT scene_id, 'valid_class_fraction', count(*) FILTER (valid_class_fraction < 0) FROM p GROUP BY 1
+    UNION ALL SELECT scene_id, 'patch_token', count(*) FILTER (n = 0) FROM p GROUP BY 1
+    UNION ALL SELECT scene_id, 'class_token', count(*) FILTER (n = 0) FROM c GROUP BY 1
+    UNION ALL SELECT scene_id, 'repeated_chip', count(*) - count(DISTINCT chip_id) FROM c GROUP BY 1
+    UNION ALL SELECT scene_id, 'below', count(*) FILTER (n < {GRID * GRID}) FROM s GROUP BY 1
+) SELECT * FROM v WHERE "rows" > 0""")
+def table_violations(spark, sf_dir):
+    """Every check of both output tables, on tables that fail most of them."""
+    token = lambda key, n: F.array_repeat(F.lit(0.0), F.when(F.col(key) % n == 0, TOKEN - 1).otherwise(TOKEN))
+    share = lambda n, by, less: F.col("o_orderkey") % n / by - less
+    made = {"valid_fraction": share(7, 5.0, 0.0), "valid_class_fraction": share(11, 10.0, 0.1), "patch_token": token("o_orderkey", 13)}
+    p = table(spark, sf_dir, "orders").withColumns(made | {"label": F.lit(None).cast("double")} | {f: F.lit(0.0) for f in FRACTIONS})
+    p = p.withColumns({"scene_id": F.col("o_orderpriority"), "chip_id": F.col("o_custkey")})
+    c = table(spark, sf_dir, "customer").withColumn("class_token", token("c_custkey", 5))
+    c = c.withColumns({"scene_id": F.col("c_mktsegment"), "chip_id": F.col("c_nationkey")})
+    return validation.violations(p, c)
+
+
+@query("""WITH s AS (SELECT lang, avg((n_chars % 3 = 0)::INT) AS sic, avg((n_chars % 5 = 0)::INT) AS sod, avg((n_chars % 7 = 0)::INT) AS floe FROM documents GROUP BY 1)
+SELECT lang, round((2 * round(100 * sic, 3) + 2 * round(100 * sod, 3) + round(100 * floe, 3)) / 5, 3) AS score FROM s""")
+def combined_score(spark, sf_dir):
+    hit = lambda n: F.avg((F.col("n_chars") % n == 0).cast("int"))
+    each = table(spark, sf_dir, "documents").groupBy("lang").agg(hit(3).alias("sic"), hit(5).alias("sod"), hit(7).alias("floe"))
+    return each.select("lang", scores.combined_score({k: F.col(k) for k in scores.WEIGHTS}).alias("score"))
+
+
+@query(f"SELECT vec_id, ((i - 1) // {GRID})::INTEGER AS patch_i, ((i - 1) % {GRID})::INTEGER AS patch_j, embedding[i]::DOUBLE AS patch_token FROM (SELECT vec_id, embedding, unnest(range(1, len(embedding) + 1)) AS i FROM embeddings)")
+def chip_tokens(spark, sf_dir):
+    """A chip's token list, one row a patch."""
+    made = patches.patches_of(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"), "embedding")
+    return made.select("vec_id", "patch_i", "patch_j", F.col("patch_token").cast("double").alias("patch_token"))
+
+
+@query(f"WITH {PIXELS}, v AS (SELECT scene_id, CASE WHEN isnan(t2m) THEN 255 ELSE floor(t2m)::INTEGER END AS stamped FROM px) SELECT scene_id, stamped, stamped = 255 AS masked, count(*) AS n FROM v GROUP BY ALL")
+def stamped_charts(spark, sf_dir):
+    """Chart values as bytes, and which of them scores leave out."""
+    value = F.when(~F.isnan("t2m"), F.floor("t2m")).cast("int")
+    px = pixels(spark, sf_dir).select("scene_id", masks.stamped(value).alias("stamped"))
+    return px.groupBy("scene_id", "stamped", masks.chart_masked(F.col("stamped")).alias("masked")).agg(F.count("*").alias("n"))
+
+
+@query("SELECT o_orderkey, strftime(o_orderdate, '%Y%m%dT%H%M%S') || '_' || lpad((o_custkey % 1000)::VARCHAR, 3, '0') || '_prep.nc' AS name FROM orders")
+def prepared_names(spark, sf_dir):
+    begun = F.concat(F.lit("S1A_EW_GRDM_1SDH_"), F.date_format("o_orderdate", "yyyyMMdd'T'HHmmss"))
+    raw = F.concat(F.rpad(begun, 77, "x"), F.lpad((F.col("o_custkey") % 1000).cast("string"), 3, "0"), F.lit(".nc"))
+    return table(spark, sf_dir, "orders").select("o_orderkey", encodings.prepared_name(raw).alias("name"))
+
+
+@query("SELECT variable, round(mean, 6) + 0.0 AS mean FROM (SELECT 'l_quantity' AS variable, avg(l_quantity) AS mean FROM lineitem UNION ALL SELECT 'l_tax', avg(l_tax) FROM lineitem)")
+def band_means(spark, sf_dir):
+    """Means of the bands asked for; one of them has no statistics."""
+    parts = moments.scene_moments(moments.unpivoted(table(spark, sf_dir, "lineitem"), ["l_quantity", "l_discount", "l_tax"], "l_returnflag"), key="l_returnflag")
+    return tables.band_means(moments.finished(moments.merged(parts)), ["l_quantity", "l_tax", "none"])
+
+
+@query(f"""WITH {_SIDES}, p AS (SELECT event_id, other, abs(epoch_us(ts) - epoch_us(other_ts)) / 1000000.0::DOUBLE AS gap_s FROM a JOIN b USING (user_id))
+SELECT p.event_id, other, gap_s, gap_s <= CASE WHEN value >= 10 THEN 1800.0 ELSE 14400.0 END AS near_enough FROM p JOIN events e ON e.event_id = p.event_id WHERE gap_s <= 25200""")
+def dynamic_pairs(spark, sf_dir):
+    """Pairs near in time, with how far apart they are and whether that is near enough for the wind."""
+    a, b = _sides(spark, sf_dir)
+    pairs = matching.within(a.join(table(spark, sf_dir, "events").select("event_id", "value"), "event_id"), b, "user_id", "ts", "other_ts", 7 * 3600)
+    near = inference.dynamic(F.col("value"), F.col("gap_s"), still_hours=4.0, moving_hours=0.5)
+    return pairs.select("event_id", "other", "gap_s", near.alias("near_enough"))
+
+
+@query("SELECT o_orderkey FROM orders WHERE o_orderstatus = 'F' AND o_totalprice >= 200000 AND o_orderpriority = '1-URGENT'")
+def readable_patches(spark, sf_dir):
+    """Pure rows of one split that are valid enough."""
+    price = F.col("o_totalprice").alias("valid_fraction")
+    rows = table(spark, sf_dir, "orders").select("o_orderkey", F.col("o_orderstatus").alias("split"), price, (F.col("o_orderpriority") == "1-URGENT").alias("is_pure"))
+    return inference.readable(rows, "F", 200000.0, pure_only=True).select("o_orderkey")
+
+
+@query("SELECT 'scene-' || c_custkey || '.nc' AS path FROM customer WHERE c_custkey NOT IN (SELECT o_custkey + 3 FROM orders)")
+def absent_files(spark, sf_dir):
+    named = lambda name, key: table(spark, sf_dir, name).select(F.concat(F.lit("scene-"), key, F.lit(".nc")).alias("path"))
+    return tables.absent(named("customer", F.col("c_custkey")), named("orders", F.col("o_custkey") + 3))
+
+
+@query("""WITH b AS (SELECT l_orderkey, l_linenumber, -l_quantity / 2 AS hh, -20 - l_discount * 50 AS hv FROM lineitem)
+SELECT l_orderkey, l_linenumber, """ + ", ".join(f"round(greatest(0.0, least(1.0, ({x} - ({low})) / {high - low})), 6) + 0.0 AS {n}" for n, x, low, high in (("hh", "hh", -25.0, 0.0), ("hv", "hv", -24.0, -20.0), ("hh_hv", "(hh - hv)", 0.0, 20.0))) + " FROM b")
+def radar_composite(spark, sf_dir):
+    rows = table(spark, sf_dir, "lineitem").withColumns({"hh": -F.col("l_quantity") / 2, "hv": -20 - F.col("l_discount") * 50})
+    made = encodings.composite(F.col("hh"), F.col("hv"), {"hh": (-25.0, 0.0), "hv": (-24.0, -20.0), "hh_hv": (0.0, 20.0)})
+    return rounded(rows.withColumns(made), *made).select("l_orderkey", "l_linenumber", *made)
+
+
+@query("SELECT p_partkey, CASE p_size % 8 " + " ".join(f"WHEN {k} THEN '{v}'" for k, v in codes.FLOE_NAMES.items()) + " END AS floe FROM part")
+def floe_names(spark, sf_dir):
+    return table(spark, sf_dir, "part").select("p_partkey", codes.looked_up(F.col("p_size") % 8, codes.FLOE_NAMES, "string").alias("floe"))
