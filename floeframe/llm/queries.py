@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from floeframe.llm.common import table
 
@@ -80,6 +81,27 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed_sequences(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from floeframe.llm.whitening import whitened
+
+    # 38 digits to a long; null where they don't fit
+    return whitened(table(spark, sf_dir, "embeddings")).withColumn("deviation", F.col("deviation").try_cast("long"))
+
+
+def op12_piece_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from floeframe.llm.piece_bpe import round_trip
+
+    return round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from floeframe.llm.filter_audit import audited
+
+    return audited(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_top_k": op1_top_k,
@@ -92,6 +114,9 @@ def queries() -> dict[str, Query]:
         "op8_personal_data": op8_personal_data,
         "op9_license_scan": op9_license_scan,
         "op10_packing": op10_packing,
+        "op11_whitening": op11_whitening,
+        "op12_piece_bpe": op12_piece_bpe,
+        "op13_filter_audit": op13_filter_audit,
     }
 
 
@@ -133,5 +158,45 @@ FROM documents d LEFT JOIN n USING (doc_id) LEFT JOIN least ON least.a = d.doc_i
 """
 
 
+#: Masks by document, then every order's first failure of every mask.
+FILTER_AUDIT = r"""
+WITH t AS (
+    SELECT doc_id, coalesce(text, '') AS text, coalesce(lang, '') AS part,
+        regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words,
+        min(doc_id) OVER (PARTITION BY coalesce(text, '')) AS least
+    FROM documents
+), k AS (
+    SELECT doc_id, max(coalesce(quality = 1, false)) AS good, max(coalesce(toxic = 1, false)) AS toxic FROM labels GROUP BY doc_id
+), m AS (
+    SELECT part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic, [
+        len(words) < 200, 100 * len(list_distinct(words)) < 50 * len(words),
+        100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 3 * length(text),
+        regexp_matches(text, '[#$%&*|]'), coalesce(doc_id > least, false)] AS fails
+    FROM t LEFT JOIN k USING (doc_id)
+), sorts AS (
+    SELECT part, good, toxic, fails, count(*) AS n FROM m GROUP BY ALL
+), f AS (
+    SELECT unnest([1, 2, 3, 4, 5]) AS f
+), orders AS (
+    SELECT [a.f, b.f, c.f, d.f, e.f] AS fs FROM f a, f b, f c, f d, f e
+    WHERE len(list_distinct([a.f, b.f, c.f, d.f, e.f])) = 5
+), met AS (
+    SELECT part, good, toxic, fails, n, fs, coalesce(list_position([fails[f] FOR f IN fs], true), 6) AS gone FROM sorts, orders
+), grid AS (
+    SELECT part, fs, f AS step,
+        sum(n) FILTER (gone > f) AS kept, sum(n) FILTER (gone = f) AS removed,
+        sum(n) FILTER (fails[fs[f]] AND gone < f) AS redundant,
+        sum(n) FILTER (fails[fs[f]] AND len([x FOR x IN fails IF x]) = 1) AS unique_fails,
+        sum(n) FILTER (gone = f AND good) AS good_lost, sum(n) FILTER (gone = f AND toxic) AS toxic_lost
+    FROM met, f GROUP BY part, fs, f
+)
+SELECT part, array_to_string(['ABCDE'[f] FOR f IN fs], '') AS filter_order, CAST(step AS INTEGER) AS step,
+    coalesce(kept, 0)::BIGINT AS kept, coalesce(removed, 0)::BIGINT AS removed, coalesce(redundant, 0)::BIGINT AS redundant,
+    coalesce(unique_fails, 0)::BIGINT AS unique_fails, coalesce(good_lost, 0)::BIGINT AS good_lost,
+    coalesce(toxic_lost, 0)::BIGINT AS toxic_lost, coalesce(sum(removed) OVER (PARTITION BY part, fs[step]), 0)::BIGINT AS shapley
+FROM grid
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_top_k": TOP_K, "op2_near_copies": NEAR_COPIES}
+    return {"op1_top_k": TOP_K, "op2_near_copies": NEAR_COPIES, "op13_filter_audit": FILTER_AUDIT}
