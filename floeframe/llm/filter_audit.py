@@ -72,8 +72,11 @@ def labelled(rows: DataFrame, labels: DataFrame) -> DataFrame:
     one = lambda c: F.max(F.coalesce(F.col(c) == 1, F.lit(False)).cast("int"))
     by_id = labels.where("doc_id IS NOT NULL").groupBy(F.col("doc_id").cast("long").alias("doc_id"))
     kinds = by_id.agg((one("quality") + 2 * one("toxic")).alias("kind")).where("kind > 0")
-    known = rows.where("doc_id IS NOT NULL").join(kinds, "doc_id", "left")
-    return known.unionByName(rows.where("doc_id IS NULL").withColumn("kind", F.lit(None).cast("int"))).fillna(0, ["kind"])
+    # rows without id have a key each, so that they don't meet in one task
+    known = F.col("doc_id").isNotNull()
+    keyed = rows.withColumns({"key": F.coalesce("doc_id", F.monotonically_increasing_id()), "known": known})
+    keys = kinds.select(F.col("doc_id").alias("key"), F.lit(True).alias("known"), "kind")
+    return keyed.join(keys, ["key", "known"], "left").drop("key", "known").fillna(0, ["kind"])
 
 
 def with_copies(rows: DataFrame) -> DataFrame:
