@@ -126,7 +126,7 @@ def test_piece_bpe_is_the_librarys(spark):
     for r in rows:
         ids = lib.encode(r[1] or "")
         want.append((r[0], len(ids), hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest(), hashlib.sha256(lib.decode(ids).encode()).hexdigest()))
-    for check in (True, False):
+    for check in (piece_bpe.RUNS, piece_bpe.TEXTS, ""):
         assert sorted(map(repr, map(tuple, piece_bpe.round_trip(docs, MODEL, check).collect()))) == sorted(map(repr, want))
     back = {r.doc_id: r.text for r in piece_bpe.decoded(piece_bpe.encoded(docs, MODEL), MODEL).collect()}
     assert all(back[i] == lib.decode(lib.encode(t)) for i, t in enumerate(texts()))
@@ -146,20 +146,34 @@ def test_any_ids_are_read_as_by_the_library(spark):
             held.decode(ids)
 
 
-def test_agenda_order():
+@pytest.mark.parametrize("agenda", ["by_list", "by_heap"])
+def test_agenda_order(agenda):
     """Highest score first, of equal ones the leftmost; a pair that is gone is passed over."""
     held = piece_bpe.Pieces(MODEL)
-    held.order = {"ab": 2, "bc": 1, "aa": 5, "aaa": 5}
-    assert held.merged("abc") == ["a", "bc"] and held.merged("aaaaa") == ["aaa", "aa"]
-    held.order["abc"] = 9
-    assert held.merged("abcab") == ["abc", "ab"]
+    merged = getattr(held, agenda)
+    held.ranks = {"ab": 2, "bc": 1, "aa": 5, "aaa": 5}
+    assert merged("abc") == ["a", "bc"] and merged("aaaaa") == ["aaa", "aa"] and merged("x") == ["x"]
+    held.ranks["abc"] = 9
+    assert merged("abcab") == ["abc", "ab"]
 
 
-def test_a_difference_from_the_library_is_an_error(monkeypatch):
+def test_both_agendas_are_one():
+    held, r = piece_bpe.pieces(MODEL), random.Random(3)
+    for _ in range(3000):
+        run = "".join(r.choice("▁▁▁aeinrst.,é中") for _ in range(r.randint(1, 40)))
+        assert held.by_list(run) == held.by_heap(run)
+
+
+def test_a_difference_from_the_library_is_an_error():
     held = piece_bpe.Pieces(MODEL)
-    held.order.pop("▁the")
-    with pytest.raises(ValueError, match="other ids"):
-        piece_bpe._encoded(held, ["the end"], True)
+    held.ranks.pop("▁the")
+    for check in (piece_bpe.RUNS, piece_bpe.TEXTS):
+        held.known.clear()
+        with pytest.raises(ValueError, match="other ids"):
+            piece_bpe._encoded(held, ["the end"], check)
+    with pytest.raises(ValueError, match="read otherwise"):
+        held.read[1000] = "x"
+        piece_bpe._decoded(held, [[1000]], piece_bpe.RUNS)
 
 
 def audit_rows():
