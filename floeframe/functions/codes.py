@@ -28,12 +28,31 @@ def recoded(code: Column, table: dict) -> Column:
 def tenths(code: Column) -> Column:
     """Tenths of ice of a total-concentration code; of a range, the mean of what its ends mean; else null."""
     trimmed = F.trim(code)
-    number = lambda text: looked_up(text.try_cast("double").cast("int"), CONCENTRATION, "double")
+    number = lambda text: looked_up(text.try_cast("double").try_cast("int"), CONCENTRATION, "double")
     at = F.locate("-", F.substr(trimmed, F.lit(2)))
     low, high = F.substr(trimmed, F.lit(1), at), F.substr(trimmed, at + 2)
     return F.when(trimmed == str(NOT_FILLED), None).when(at > 0, (number(low) + number(high)) / 2).otherwise(number(trimmed))
 
 
+def tenths_of(code: str) -> float | None:
+    """`tenths` of one code, for tables that a task reads itself."""
+
+    def number(text: str) -> float | None:
+        try:
+            return CONCENTRATION.get(int(float(text)))
+        except (ValueError, OverflowError):
+            return None
+
+    code = code.strip(" ")
+    if code == str(NOT_FILLED):
+        return None
+    if "-" not in code[1:]:
+        return number(code)
+    at = code.index("-", 1)
+    ends = number(code[:at]), number(code[at + 1 :])
+    return None if None in ends else sum(ends) / 2
+
+
 def field(header: Column, row: Column, name: str) -> Column:
     """The `;`-separated row's field of that name in the header; null where either lacks it."""
     place = F.array_position(F.split(header, ";"), name)

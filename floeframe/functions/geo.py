@@ -85,6 +85,15 @@ def with_square(rows: DataFrame, name: str, row0: Column, col0: Column, size: in
     return flat.withColumn(name, ring).drop(*(f"__{k}{i}" for k in ("at", "xy") for i in range(4)))
 
 
+def with_ring(rows: DataFrame, name: str, corners: str, where: Column | None = None) -> DataFrame:
+    """rows with the projected square of four corners (lat and lon of each, in one array) as WKB in column name; null
+    where `where` doesn't hold. Step by step, so that each number is computed once."""
+    points = [conic(F.get(corners, F.lit(2 * i)), F.get(corners, F.lit(2 * i + 1))) for i in range(4)]
+    flat = rows.withColumns({f"__xy{i}": F.struct(x.alias("x"), y.alias("y")) for i, (x, y) in enumerate(points)})
+    ring = polygon_wkb([(F.col(f"__xy{i}.x"), F.col(f"__xy{i}.y")) for i in range(4)])
+    return flat.withColumn(name, ring if where is None else F.when(where, ring)).drop(*(f"__xy{i}" for i in range(4)))
+
+
 def chip_places(chips: DataFrame, grids: DataFrame, chip: int = CHIP) -> DataFrame:
     """Chips (scene_id, row0, col0, ...) with the place of their middle and its encodings: centroid_lat, centroid_lon,
     sin_lat, cos_lat, sin_lon, cos_lon. Grids are one row a scene; whether they are broadcast is left to their size."""

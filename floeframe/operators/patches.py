@@ -1,7 +1,7 @@
 """Per-patch statistics and labels.
 
-Two forms of the same operators: over pixels, as one aggregation by patch whose partial sums are combined before
-they are shuffled; and over rows that hold a patch's pixels as arrays, as expressions without any shuffle.
+Over pixels, as one aggregation by patch whose partial sums are combined before they are shuffled. `array_features`
+has the same for rows that hold a patch's pixels as arrays, without a shuffle.
 """
 
 from __future__ import annotations
@@ -133,26 +133,6 @@ def skipped_chips(flags: DataFrame) -> DataFrame:
     return flags.groupBy("scene_id").agg(F.count_if(none).alias("no_valid"), F.count_if(no_label).alias("no_label"))
 
 
-def array_features(patches: DataFrame) -> DataFrame:
-    """Rows whose hh, hv, valid and ct hold PIXELS values each: radar and label columns, with no shuffle."""
-    n = F.size(F.filter("valid", lambda v: v))
-
-    def stat(x: str) -> tuple[Column, Column]:
-        held = F.filter(F.zip_with(x, "valid", lambda a, ok: F.when(ok, a.cast("double"))), lambda a: a.isNotNull())
-        mean = F.aggregate(held, F.lit(0.0), lambda s, a: s + a) / n
-        return mean, F.sqrt(F.aggregate(held, F.lit(0.0), lambda s, a: s + (a - mean) * (a - mean)) / n)
-
-    some = lambda c: nan_if_null(F.when(n > 0, c))
-    (hh, hh_std), (hv, hv_std) = stat("hh"), stat("hv")
-    ct = F.filter("ct", lambda c: present(c))
-    made = patches.withColumns({"hh_mean": some(hh), "hv_mean": some(hv), "hh_std": some(hh_std), "hv_std": some(hv_std), "hv_hh_ratio": some(hv - hh), "valid_fraction": n / float(PIXELS)})
-    return with_labels(made.withColumns({"n": F.size(ct)} | {f"count{k}": _count_of(ct, k) for k in range(CLASSES)}))
-
-
-def _count_of(ct: Column, k: int) -> Column:
-    return F.size(F.filter(ct, lambda c: F.rint(c.cast("double")) == k))
-
-
 def patches_of(chips: DataFrame, tokens: str) -> DataFrame:
     """One row a patch from a chip's row-major token list: patch_i, patch_j and the token. No shuffle."""
     each = chips.select("*", F.posexplode(tokens).alias("__at", "patch_token"))
@@ -160,8 +140,12 @@ def patches_of(chips: DataFrame, tokens: str) -> DataFrame:
 
 
 def assembled(*parts: DataFrame) -> DataFrame:
-    """Parts of the patch table joined on KEY; each is already one row a patch."""
+    """Parts of the patch table joined on KEY, each one row a patch. Parts that don't hold the same patches are an
+    error, not fewer rows."""
     whole = parts[0]
     for part in parts[1:]:
-        whole = whole.join(part, KEY)
+        both = whole.withColumn("__left", F.lit(True)).join(part.withColumn("__right", F.lit(True)), KEY, "full")
+        same = F.col("__left").isNotNull() & F.col("__right").isNotNull()
+        fits = F.when(same, F.lit(True)).otherwise(F.raise_error(F.concat_ws(" ", F.lit("only one part holds patch"), *KEY)).cast("boolean"))
+        whole = both.where(fits).drop("__left", "__right")
     return whole

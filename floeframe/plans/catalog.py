@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from floeframe.functions import codes, encodings, geo, masks, tiling
-from floeframe.operators import audit, explore, inference, matching, moments, patches, resampling, sampling, scores, validation
+from floeframe.operators import array_features, audit, explore, inference, matching, moments, patches, resampling, sampling, scores, validation
 from floeframe.plans.adapters import CHIPS, CODE_MEANS, PIXELS, POLYGONS, SIDE, pixels, polygons, table
 from floeframe.plans.adapters import codes as chart_codes
 from floeframe.schema import FRACTIONS, GRID, TOKEN
@@ -578,6 +578,21 @@ def patch_features(spark, sf_dir):
     return rounded(made, "hh_mean", "distance").select(*patches.KEY, "valid_fraction", "hh_mean", "distance", "label")
 
 
+@query(SQL["patch_features"])
+def patch_array_features(spark, sf_dir):
+    """The same from arrays of each patch's pixels."""
+    px = chipped(charted(spark, sf_dir))
+    held = px.groupBy(*patches.PLACES).agg(*(F.collect_list(F.coalesce(F.col(c).cast("double"), F.lit(float("nan")))).alias(c) for c in ("hh", "hv", "distance", "ct")))
+    copies = held.withColumn("means_of", F.col("distance"))
+    made = array_features.with_features(copies, {"means_of": "mean"}, drop=("distance", "ct", "means_of"))
+    made = made.withColumns({
+        "chip_id": tiling.chip_id(F.col("scene_id"), F.col("row0"), F.col("col0")),
+        "hh_mean": masks.null_if_nan(F.col("hh_mean")),
+        "label": F.when(F.isnan("label"), -1.0).otherwise(F.col("label")),
+    })
+    return rounded(made.withColumnRenamed("mean", "distance"), "hh_mean", "distance").select(*patches.KEY, "valid_fraction", "hh_mean", "distance", "label")
+
+
 @query("SELECT l_returnflag, f AS feature, round(corr(x, l_quantity), 6) + 0.0 AS r FROM (SELECT l_returnflag, l_quantity, unnest(['l_extendedprice', 'l_discount', 'l_tax']) AS f, unnest([l_extendedprice, l_discount, l_tax]) AS x FROM lineitem) GROUP BY 1, 2")
 def feature_correlations(spark, sf_dir):
     made = explore.correlations_with(table(spark, sf_dir, "lineitem"), ["l_extendedprice", "l_discount", "l_tax"], "l_quantity", ["l_returnflag"])

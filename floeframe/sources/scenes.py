@@ -1,28 +1,20 @@
-"""Scene files as rows of chips."""
+"""Lists of scene files, and how coarse grids are stretched over a raster."""
 
 from __future__ import annotations
 
-import io
-from collections.abc import Callable, Iterator
-
 import numpy as np
-import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from floeframe.functions.codes import field, tenths
-from floeframe.functions.masks import polygon
-from floeframe.schema import CHIP
-
 
-def listed(spark: SparkSession, root: str, split: str, pattern: str = "*.npz") -> DataFrame:
+def listed(spark: SparkSession, root: str, split: str, pattern: str = "*.{nc,npz}") -> DataFrame:
     """(path, scene_id, split) of the files below root. Only names are read."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", True).load(root)
     name = F.regexp_replace(F.element_at(F.split("path", "/"), -1), r"\.[^.]*$", "")
     return files.select("path", name.alias("scene_id"), F.lit(split).alias("split"))
 
 
-def both_splits(spark: SparkSession, train: str, test: str, pattern: str = "*.npz") -> DataFrame:
+def both_splits(spark: SparkSession, train: str, test: str, pattern: str = "*.{nc,npz}") -> DataFrame:
     return listed(spark, train, "train", pattern).unionByName(listed(spark, test, "test", pattern))
 
 
@@ -31,11 +23,6 @@ def first(scenes: DataFrame, n: int) -> DataFrame:
     return scenes.orderBy("path").limit(n) if n > 0 else scenes
 
 
-def npz(data: bytes) -> dict[str, np.ndarray]:
-    with np.load(io.BytesIO(data)) as held:
-        return {k: held[k] for k in held.files}
-
-
 def chip_places(size: int, chip: int) -> list[int]:
     if size < chip:
         raise ValueError(f"a side of {size} is shorter than a chip of {chip}")
@@ -72,100 +59,8 @@ def interpolated(values: np.ndarray, rows: tuple[slice, np.ndarray], cols: tuple
     return np.divide(whole, weight, out=np.full_like(whole, np.nan), where=weight > LEAST_WEIGHT)
 
 
-class Scene:
-    """A decoded scene, read chip by chip: bands as they are, coarse ones stretched over the raster, ends on ends."""
-
-    def __init__(self, arrays: dict[str, np.ndarray], raster: str, chip: int):
-        self.arrays, self.chip = arrays, chip
-        self.height, self.width = arrays[raster].shape
-        self.grid = {k: np.asarray(arrays[v], dtype=np.float64).ravel() for k, v in GRID.items()}
-        self.codes = [str(x) for x in np.asarray(arrays.get(CODES, [])).ravel()]
-
-    def band(self, name: str, row: int, col: int) -> np.ndarray:
-        """One band's values of the chip at (row, col)."""
-        if name == "ct" and self.codes:
-            name = CHART
-        ys, xs = np.arange(row, row + self.chip), np.arange(col, col + self.chip)
-        if name == ANGLE and name not in self.arrays:
-            lines, samples = self.grid["lines"], self.grid["samples"]
-            return interpolated(self.grid["angle"].reshape(len(lines), -1), weights(lines, ys), weights(samples, xs))
-        values = self.arrays[name]
-        if values.shape == (self.height, self.width):
-            return values[row : row + self.chip, col : col + self.chip]
-        down, across = (np.linspace(0.0, side - 1.0, n) if n > 1 else np.zeros(1) for side, n in zip((self.height, self.width), values.shape))
-        return interpolated(values, weights(down, ys), weights(across, xs))
-
-
 #: A scene's chart as polygon numbers, their coded rows (the header first), and the angle that the control grid gives.
 CHART, CODES, ANGLE = "polygon_icechart", "polygon_codes", "sar_grid_incidenceangle"
 
-#: What a decoded scene holds of its control grid, and the struct that chips carry it in.
+#: What a decoded scene holds of its control grid.
 GRID = {"lines": "gcp_lines", "samples": "gcp_samples", "lat": "gcp_lat", "lon": "gcp_lon", "angle": "gcp_angle"}
-GRID_TYPE = "struct<" + ", ".join(f"{k}: array<double>" for k in GRID) + ">"
-
-
-def chips(
-    spark: SparkSession,
-    root: str,
-    bands: list[str],
-    chip: int = CHIP,
-    pattern: str = "*.npz",
-    decode: Callable[[bytes], dict] = npz,
-    done: DataFrame | None = None,
-) -> DataFrame:
-    """(scene_id, row0, col0, grid, codes, <band> array<float>...) of every chip of every scene below root, row by row.
-
-    A scene is decoded once, in one task, and handed on chip by chip; decode turns a file into arrays by band, and
-    into the arrays of GRID (axes, and values line by line). The first of bands gives the raster. Bands of another
-    shape are stretched over it; ANGLE comes from the control grid where a scene has no such band; ct holds CHART's
-    polygon numbers where the scene has CODES (see `with_chart`). done (scene_id): left out before decoding.
-    """
-    files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", True).load(root)
-    names = files.select(F.regexp_replace(F.element_at(F.split("path", "/"), -1), r"\.[^.]*$", "").alias("scene_id"), "content")
-    if done is not None:
-        names = names.join(done.select("scene_id").distinct(), "scene_id", "left_anti")
-    fields = ["scene_id string", "row0 int", "col0 int", f"grid {GRID_TYPE}", "codes array<string>", *(f"`{b}` array<float>" for b in bands)]
-
-    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for scene, content in zip(batch["scene_id"], batch["content"]):
-                held = Scene(decode(content), bands[0], chip)
-                for r in chip_places(held.height, chip):
-                    for c in chip_places(held.width, chip):
-                        row = {"scene_id": scene, "row0": r, "col0": c, "grid": held.grid, "codes": held.codes}
-                        yield pd.DataFrame([row | {b: held.band(b, r, c).astype(np.float32).ravel() for b in bands}])
-
-    # each file is as large as a partition ought to be
-    return names.mapInPandas(cut, ", ".join(fields))
-
-
-def with_chart(chip_rows: DataFrame) -> DataFrame:
-    """Chips whose scene has coded rows, ct turned from polygon numbers into tenths; the others as they are.
-
-    Of a polygon's rows the last that means something counts; NaN without polygon, row or meaning.
-    """
-    header, rows = F.get("codes", F.lit(0)), F.slice("codes", 2, F.greatest(F.size("codes") - 1, F.lit(0)))
-    number = lambda row: field(header, row, "poly_id").try_cast("int")
-    each = F.transform(rows, lambda row: F.struct(number(row).alias("id"), tenths(field(header, row, "CT")).alias("ct")))
-    known = F.filter(each, lambda e: e["ct"].isNotNull() & (e["id"] >= 0))
-    # by number, so that a pixel costs one look-up
-    ids = F.sequence(F.lit(0), F.coalesce(F.array_max(F.transform(known, lambda e: e["id"])), F.lit(0)))
-    by_id = lambda known: F.transform(ids, lambda k: F.try_element_at(F.filter(known, lambda e: e["id"] == k), F.lit(-1))["ct"])
-    nan = F.lit(float("nan"))
-    pixels = lambda found: F.transform("ct", lambda x: F.coalesce(F.get(found, polygon(x)), nan).cast("float"))
-    # lambdas over one value: what they are given is computed once a chip
-    charted = F.get(F.transform(F.transform(F.array(known), by_id), pixels), F.lit(0))
-    return chip_rows.withColumn("ct", F.when(F.size("codes") > 0, charted).otherwise(F.col("ct")))
-
-
-def patch_rows(chip_rows: DataFrame, bands: list[str], chip: int = CHIP, patch: int = 8) -> DataFrame:
-    """One row a patch: patch_i, patch_j and each band's pixels of the patch. Expressions only, no shuffle."""
-    places = F.sequence(F.lit(0), F.lit(chip // patch - 1))
-    each = chip_rows.withColumn("patch_i", F.explode(places)).withColumn("patch_j", F.explode(places))
-    rows = F.sequence(F.lit(0), F.lit(patch - 1))
-
-    def cut(band: str) -> Column:
-        begin = lambda k: (F.col("patch_i") * patch + k) * chip + F.col("patch_j") * patch + 1
-        return F.flatten(F.transform(rows, lambda k: F.slice(F.col(f"`{band}`"), begin(k), patch)))
-
-    return each.select("scene_id", "row0", "col0", "grid", "patch_i", "patch_j", *(cut(b).alias(b) for b in bands))

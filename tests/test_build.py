@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from floeframe import schema
 from floeframe.operators import validation
 from floeframe.plans import build
-from floeframe.sources import scenes, tables
+from floeframe.sources import scene_rows, scenes, tables
 from floeframe.streaming import arrivals
 
 NAME = "S1A_EW_GRDM_1SDH_20180124T194759_test"
@@ -33,6 +33,10 @@ def save(folder, name, side=16, chip_without_label=False):
     np.savez(folder / f"{name}.npz", **held)
 
 
+def rows_of(spark, folder, chip, bands=build.CHANNELS):
+    return scene_rows.scene_rows(spark, str(folder / "in"), bands, chip=chip)
+
+
 def test_build_and_validate(spark, tmp_path):
     save(tmp_path / "in", NAME, chip_without_label=True)
     build.build(spark, str(tmp_path / "in"), str(tmp_path / "out"), "train", chip=8)
@@ -54,10 +58,7 @@ def test_build_and_validate(spark, tmp_path):
     after = spark.read.parquet(str(tmp_path / "out/chips"))
     assert after.groupBy("scene_id").count().orderBy("scene_id").select("count").collect() == [(3,), (4,)]
 
-    def never(data):
-        raise AssertionError("a scene that is done is decoded again")
-
-    build.build(spark, str(tmp_path / "in"), str(tmp_path / "out"), "train", decode=never, chip=8)
+    assert build.build(spark, str(tmp_path / "in"), str(tmp_path / "out"), "train", chip=8) == 0  # all is done
     assert spark.read.parquet(str(tmp_path / "out/chips")).count() == 7
     assert sorted(x.name for x in (tmp_path / "out").iterdir()) == ["chips", "done", "patches"]
 
@@ -65,13 +66,14 @@ def test_build_and_validate(spark, tmp_path):
 def test_a_scene_without_a_chip_is_done_too(spark, tmp_path):
     save(tmp_path / "in", NAME, side=8, chip_without_label=True)
     build.build(spark, str(tmp_path / "in"), str(tmp_path / "out"), "train", chip=8)
-    assert [x.scene_id for x in spark.read.parquet(str(tmp_path / "out/done")).collect()] == [NAME]
+    assert [tuple(x) for x in spark.read.parquet(str(tmp_path / "out/done")).collect()] == [(NAME, 0, 1)]
+    assert not (tmp_path / "out/patches").exists()  # no rows, no file
 
 
 def test_patches_of_a_chip_tile_it(spark, tmp_path):
     """Four patches of a chip of 16: neighbours have their corners in common, the outer ones are the chip's."""
     save(tmp_path / "in", NAME)
-    rows = build.patch_table(scenes.chips(spark, str(tmp_path / "in"), build.CHANNELS, 16), "train", chip=16)
+    rows = build.patch_table(rows_of(spark, tmp_path, 16), chip=16)
     got = {(r.patch_i, r.patch_j): r for r in rows.select("patch_i", "patch_j", "geometry", "chip_geometry").collect()}
     ring = {k: corners(r.geometry) for k, r in got.items()}
     assert ring[0, 0][1] == ring[0, 1][0] and ring[0, 0][2] == ring[1, 1][0] == ring[0, 1][3] == ring[1, 0][1]
@@ -110,8 +112,7 @@ def test_coarse_bands_are_stretched_as_the_operator_does(spark, tmp_path):
     small = np.arange(12.0).reshape(3, 4) ** 2
     small[1, 2] = np.nan
     save_raw(tmp_path / "in", NAME, coarse={"t2m": small})
-    chips = scenes.chips(spark, str(tmp_path / "in"), build.CHANNELS, 8)
-    got = {(c.row0 + i // 8, c.col0 + i % 8): v for c in chips.collect() for i, v in enumerate(c.t2m)}
+    got = {(c.row0 + i // 8, c.col0 + i % 8): v for c in rows_of(spark, tmp_path, 8, ["t2m"]).collect() for i, v in enumerate(c.t2m)}
     cells = [("s", i, j, 3, 4, float(small[i, j])) for i in range(3) for j in range(4)]
     coarse = spark.createDataFrame(cells, "scene_id string, row int, col int, h int, w int, value double")
     targets = spark.createDataFrame([("s", r, c) for r in range(16) for c in range(16)], "scene_id string, row int, col int")
@@ -127,7 +128,7 @@ def test_the_encoder_knows_time_and_place(spark, tmp_path):
         seen.append(df.where("patch_i = 0 AND patch_j = 0").select("time_encoding", "place_encoding"))
         return build.hashed_tokens(df)
 
-    build.patch_table(scenes.chips(spark, str(tmp_path / "in"), build.CHANNELS, 16), "train", encode, 16)
+    build.patch_table(rows_of(spark, tmp_path, 16), encode, 16)
     row = seen[0].first()
     week, hour, lat, lon = 2 * np.pi * 4 / 52, 2 * np.pi * (19 + 47 / 60) / 24, np.radians(60 + 8 / 15), np.radians(-80 + 8 / 15)
     assert row.time_encoding == pytest.approx([np.sin(week), np.cos(week), np.sin(hour), np.cos(hour)], abs=1e-6)
@@ -136,21 +137,20 @@ def test_the_encoder_knows_time_and_place(spark, tmp_path):
 
 def test_the_encoder_sees_filled_radar(spark, tmp_path):
     save(tmp_path / "in", NAME)
-    chips = scenes.chips(spark, str(tmp_path / "in"), build.CHANNELS, 16)
-    land = F.transform("distance_map", lambda x, i: F.when(i == 0, F.lit(0.0)).otherwise(x).cast("float"))
+    land = F.transform("distance_map", lambda x, i: F.when((i == 0) & (F.col("patch_i") + F.col("patch_j") == 0), F.lit(0.0)).otherwise(x).cast("float"))
     seen = []
 
     def encode(df):
         seen.append(df.where("patch_i = 0 AND patch_j = 0").select(F.get(schema.SAR[0], F.lit(0)), F.get(schema.SAR[0], F.lit(1)), "valid_fraction"))
         return build.hashed_tokens(df)
 
-    build.patch_table(chips.withColumn("distance_map", land), "train", encode, 16, {schema.SAR[0]: -12.5})
+    build.patch_table(rows_of(spark, tmp_path, 16).withColumn("distance_map", land), encode, 16, {schema.SAR[0]: -12.5})
     assert seen[0].collect() == [(-12.5, -15.0, 63 / 64)]
 
 
 def test_features_need_no_shuffle(spark, tmp_path):
     save(tmp_path / "in", NAME)
-    made = build.patch_table(scenes.chips(spark, str(tmp_path / "in"), build.CHANNELS, 8), "train", chip=8)
+    made = build.patch_table(rows_of(spark, tmp_path, 8), chip=8)
     assert "Exchange" not in made._jdf.queryExecution().executedPlan().toString()
 
 

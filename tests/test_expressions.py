@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from floeframe import schema
 from floeframe.functions import codes, encodings, geo, masks, tiling
-from floeframe.operators import audit, explore, matching, moments, patches, resampling, sampling, scores, validation
+from floeframe.operators import array_features, audit, explore, matching, moments, patches, resampling, sampling, scores, validation
 
 NAN = float("nan")
 
@@ -98,7 +98,15 @@ def test_array_form_equals_pixel_form(spark):
     ok, ct = [i % 3 > 0 for i in range(64)], [NAN if i % 4 == 0 else float(i % 11) for i in range(64)]
     px = patch(spark, list(zip(hh, hv, ok, ct)), "hh double, hv double, valid boolean, ct double")
     want = patches.radar(px).join(patches.labels(px), patches.KEY).collect()[0].asDict()
-    got = patches.array_features(spark.createDataFrame([(hh, hv, ok, ct)], "hh array<double>, hv array<double>, valid array<boolean>, ct array<double>")).collect()[0].asDict()
+    land = [5.0 if x else 0.0 for x in ok]
+    rows = [("a", hh, hv, land, ct, ct), ("none", [NAN] * 64, hv, land, [NAN] * 64, hh), ("empty", [], [], [], [], [])]
+    df = spark.createDataFrame(rows, "k string, hh array<double>, hv array<double>, distance array<double>, ct array<double>, t array<double>")
+    made = {r.k: r.asDict() for r in array_features.with_features(df, {"t": "t_mean"}, filled={"hv": -1.0}, drop=("distance",)).collect()}
+    got, none = made["a"], made["none"]
+    assert math.isnan(got["t_mean"]) and none["t_mean"] == sum(hh) / 64 and "distance" not in got
+    assert got["hv"] == [x if y else -1 for x, y in zip(hv, ok)] and (got["distance_to_land"], none["distance_to_land"]) == (land[36], land[36])
+    assert none["valid_fraction"] == 0 and math.isnan(none["label"]) and math.isnan(none["hh_std"]) and none["frac_sic3"] is None and none["is_pure"] is False
+    assert made["empty"]["distance_to_land"] is None and math.isnan(made["empty"]["t_mean"])
     for name in ("hh_mean", "hv_mean", "hh_std", "hv_std", "hv_hh_ratio", "valid_fraction", "label", "is_pure", *schema.FRACTIONS):
         assert got[name] == pytest.approx(want[name]), name
 
@@ -204,3 +212,19 @@ def test_by_name_and_block_means(spark):
     assert [r.file for r in matching.by_name(raw, files, F.regexp_extract("file", r"\d{8}T\d{6}", 0), "id").collect()] == ["x_20180124T194759_y.nc"]
     px = spark.createDataFrame([(0, 0, 1.0), (1, 1, NAN), (1, 0, 3.0)], "row int, col int, v double")
     assert [r.v for r in explore.block_means(px, "v", 2, 2).collect()] == [2.0]
+
+
+def test_assembled_parts_must_hold_the_same_patches(spark):
+    rows = [("s", "c", i, j) for i in range(2) for j in range(2)]
+    a = spark.createDataFrame([(*r, 1.0) for r in rows], "scene_id string, chip_id string, patch_i int, patch_j int, x double")
+    b = spark.createDataFrame([(*r, 2.0) for r in rows], "scene_id string, chip_id string, patch_i int, patch_j int, y double")
+    assert {(r.x, r.y) for r in patches.assembled(a, b).collect()} == {(1.0, 2.0)} and patches.assembled(a, b).count() == 4
+    for left, right in ((a, b.where("patch_i + patch_j > 0")), (a.where("patch_i = 1"), b)):
+        with pytest.raises(Exception, match="only one part holds patch"):
+            patches.assembled(left, right).collect()
+
+
+def test_tenths_of_one_code_are_the_columns(spark):
+    texts = ["80", "0", "55", "91", "92", "-9", "99", "50-70", "90-92", " 10 ", "", "x", "1-x", "-9-80", "70-", "40.7", "1e400", "nan"]
+    got = spark.createDataFrame([(t,) for t in texts], "c string").select("c", codes.tenths(F.col("c")).alias("t")).collect()
+    assert {r.c: r.t for r in got} == {t: codes.tenths_of(t) for t in texts}
