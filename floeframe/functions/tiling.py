@@ -79,3 +79,19 @@ def decimated(pixels: DataFrame, row_step: int, col_step: int, rows: int, cols:
 def nearest_source(at: Column, small: Column, large: Column) -> Column:
     """Coarse index under fine index `at` when `small` cells are stretched over `large`."""
     return F.floor(at * small / large)
+
+
+def coarse_grid(chip: int, spacing: int) -> dict[str, float | int]:
+    """How a crop of `chip` pixels lies in the grids of microwave and weather, whose cells are 50 pixels of 40 m:
+    pixels of `spacing` metres a cell, cells a crop, the whole part of what they are beyond whole cells (always 0), and
+    the side that the cells around a crop are stretched to."""
+    delta = 50 / (spacing // 40)
+    cells = chip / delta
+    beyond = int(cells - int(cells))
+    return {"delta": delta, "cells": cells, "beyond": beyond, "side": int(chip + beyond * delta)}
+
+
+def split_variables(variables: list[str], charts: list[str]) -> dict[str, list[str]]:
+    """Variables on the radar's grid, those cropped as they are (charts first), and those on coarse grids."""
+    radar = [v for v in variables if "sar" in v or "map" in v]
+    return {"radar": radar, "full": [*charts, *radar], "coarse": [v for v in variables if v not in radar]}

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from floeframe.functions import codes, encodings, geo, masks, tiling
-from floeframe.operators import array_features, audit, explore, inference, matching, moments, patches, resampling, sampling, scores, validation
+from floeframe.operators import array_features, audit, distance, explore, inference, matching, moments, patches, resampling, sampling, scores, tiles, validation
 from floeframe.plans.adapters import CHIPS, CODE_MEANS, PIXELS, POLYGONS, SIDE, pixels, polygons, table
 from floeframe.plans.adapters import codes as chart_codes
 from floeframe.schema import FRACTIONS, GRID, TOKEN
@@ -786,3 +786,65 @@ def radar_composite(spark, sf_dir):
 @query("SELECT p_partkey, CASE p_size % 8 " + " ".join(f"WHEN {k} THEN '{v}'" for k, v in codes.FLOE_NAMES.items()) + " END AS floe FROM part")
 def floe_names(spark, sf_dir):
     return table(spark, sf_dir, "part").select("p_partkey", codes.looked_up(F.col("p_size") % 8, codes.FLOE_NAMES, "string").alias("floe"))
+
+
+def _raster_scenes(px: DataFrame) -> DataFrame:
+    return px.select("scene_id").distinct().withColumns({"height": F.lit(SIDE), "width": F.lit(SIDE)})
+
+
+@query(f"""WITH {PIXELS}, land AS (SELECT DISTINCT scene_id, "row" AS r, col AS c FROM pv WHERE distance = 0),
+cells AS (SELECT scene_id, r."row", c.col FROM (SELECT DISTINCT scene_id FROM pv), range(300) r("row"), range(300) c(col))
+SELECT scene_id, CAST("row" AS INTEGER) AS "row", CAST(col AS INTEGER) AS col, least_square AS squared,
+    CASE WHEN least_square = 0 THEN 0 ELSE 1 + (least_square >= 1)::INT + (least_square >= 25)::INT + (least_square >= 400)::INT END AS bin
+FROM (SELECT k.scene_id, k."row", k.col, min((k."row" - l.r) * (k."row" - l.r) + (k.col - l.c) * (k.col - l.c)) AS least_square
+    FROM cells k JOIN land l ON k.scene_id = l.scene_id GROUP BY ALL)""")
+def land_distance(spark, sf_dir):
+    """Squared distance to land of every place of every scene, and its bin: kilometres are pixels here."""
+    px = valid_pixels(spark, sf_dir)
+    rows = distance.raster_rows(px.where("distance = 0"), _raster_scenes(px))
+    made = distance.pixels(distance.to_land(rows, 64)).where("squared IS NOT NULL")
+    return made.withColumn("bin", encodings.distance_bin(F.sqrt("squared"), [1, 5, 20]))
+
+
+CROP, CROPS_A_SCENE = 24, 40
+_DRAWS = f"""{CHARTED}, few AS (SELECT scene_id, "row" AS r, col AS c FROM ch WHERE ct = 8), draws AS (
+    SELECT scene_id, crop, attempt, ('0x' || substr(m, 1, 8))::BIGINT % (300 - {CROP} + 1) AS row0, ('0x' || substr(m, 9, 8))::BIGINT % (300 - {CROP} + 1) AS col0
+    FROM (SELECT scene_id, crop, attempt, md5(scene_id || ':' || crop || ':' || attempt || ':11') AS m
+        FROM (SELECT DISTINCT scene_id FROM ch), range({CROPS_A_SCENE}) c(crop), range(63) a(attempt))
+), tried AS (
+    SELECT d.scene_id, d.crop, d.attempt, d.row0, d.col0 FROM draws d JOIN few f ON f.scene_id = d.scene_id
+        AND f.r >= d.row0 AND f.r < d.row0 + {CROP} AND f.c >= d.col0 AND f.c < d.col0 + {CROP} GROUP BY ALL HAVING count(*) > 1
+), taken AS (SELECT * FROM tried QUALIFY row_number() OVER (PARTITION BY scene_id, crop ORDER BY attempt) = 1)"""
+
+
+def _charted_crops(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    px = charted(spark, sf_dir)
+    return px, sampling.accepted_crops(_raster_scenes(px), px.where("ct = 8"), CROP, CROPS_A_SCENE, seed=11)
+
+
+@query(f"WITH {_DRAWS} SELECT scene_id, CAST(crop AS INTEGER) AS crop, CAST(attempt AS INTEGER) AS attempt, row0, col0 FROM taken")
+def charted_crops(spark, sf_dir):
+    """Crops drawn again until they hold more than one pixel of a chart class that is rare."""
+    return _charted_crops(spark, sf_dir)[1]
+
+
+@query(f"""WITH {_DRAWS} SELECT t.scene_id, CAST(t.crop AS INTEGER) AS crop, h."row" - t.row0 AS i, h.col - t.col0 AS j, h.hh, h.hv, h.valid, h.ct
+FROM taken t JOIN ch h ON h.scene_id = t.scene_id AND h."row" >= t.row0 AND h."row" < t.row0 + {CROP} AND h.col >= t.col0 AND h.col < t.col0 + {CROP}
+WHERE h.valid""")
+def crop_pixels(spark, sf_dir):
+    """The valid pixels of such crops."""
+    px, crops = _charted_crops(spark, sf_dir)
+    held = sampling.crop_pixels(px.select("scene_id", "row", "col", "hh", "hv", "valid", "ct").where("valid"), crops, CROP)
+    return held.select("scene_id", "crop", "i", "j", "hh", "hv", "valid", "ct")
+
+
+@query(f"""WITH {CHARTED}, one AS (SELECT scene_id, "row" AS r, col AS c, avg(hh) FILTER (NOT isnan(hh)) AS hh, count(ct) = 0 AS masked FROM ch GROUP BY ALL),
+near AS (SELECT o.scene_id, o.r, o.c, avg(n.hh) AS m FROM one o, range(-2, 3) i(i), range(-2, 3) j(j), one n
+    WHERE n.scene_id = o.scene_id AND n.r = o.r + i AND n.c = o.c + j GROUP BY ALL)
+SELECT o.scene_id, o.r AS "row", o.c AS col, CASE WHEN o.masked THEN 255 ELSE round(m, 6) + 0.0 END AS prediction FROM one o JOIN near USING (scene_id, r, c)""")
+def tiled_predictions(spark, sf_dir):
+    """Predictions of windows of 32 pixels and a halo, as one raster; uncharted pixels are masked."""
+    clean = F.when(~F.isnan("hh"), F.col("hh"))
+    one = charted(spark, sf_dir).groupBy("scene_id", "row", "col").agg(F.avg(clean).alias("hh"), (F.count("ct") == 0).alias("masked"))
+    made = tiles.predicted(one, ["hh"], tiles.box_mean(2), F.lit(SIDE), F.lit(SIDE), 32, 2, "masked")
+    return rounded(made.withColumn("prediction", masks.null_if_nan(F.col("prediction"))), "prediction")
