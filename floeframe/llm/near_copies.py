@@ -460,8 +460,12 @@ def classes(docs: DataFrame) -> DataFrame:
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
-    """The rows of docs, all their columns, whose id is the smallest of their component; of equal ids one row."""
+    """The rows of docs, all their columns, whose id is the smallest of their component; of equal ids one row, the one
+    with the least digests of its text and of all its columns, whatever the order of tasks. Rows without id stay."""
     stay = classes(docs).where("doc_id = component_id").select(F.col("doc_id").alias("__id")).distinct()
     unnamed = docs.where(F.col("doc_id").isNull())
-    kept = docs.join(stay, docs["doc_id"].cast("long") == stay["__id"], "left_semi").dropDuplicates(["doc_id"])
-    return kept.unionByName(unnamed)
+    text = F.sha2(F.coalesce(F.col("text").cast("string"), F.lit("")), 256)
+    marked = docs.withColumns({"__id": F.col("doc_id").cast("long"), "__mark": F.concat_ws(":", text, F.hex(F.xxhash64(*docs.columns)))})
+    least = marked.groupBy("__id").agg(F.min("__mark").alias("__mark")).join(stay, "__id", "left_semi")
+    kept = marked.join(least, ["__id", "__mark"], "left_semi").dropDuplicates(["__id", "__mark"])
+    return kept.select(*docs.columns).unionByName(unnamed)

@@ -238,3 +238,52 @@ def test_filter_audit_is_its_sql(spark):
     got = queries.op13_filter_audit(spark, DATA)
     assert sorted(tuple(r[n] for n in names) for r in got.collect()) == sorted(want.fetchall())
     assert set(got.columns) == set(names)
+
+
+def test_prefixes_and_pieces(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    from floeframe.llm import personal
+
+    monkeypatch.setattr(personal, "BLOCK", 3)
+    monkeypatch.setattr(personal, "PIECE", 4)
+    r = random.Random(1)
+    rows = [([r.randint(-5, 9) for _ in range(n)], "aé👩\n中"[: n % 6] * 3) for n in range(12)]
+    df = spark.createDataFrame(rows, "v array<int>, t string")
+    made = df.select("v", "t", personal.prefixes(F.col("v"), F.lit(0), lambda a, b: a + b).alias("p"), personal.in_pieces(F.col("t")).alias("c")).collect()
+    assert [x.p for x in made] == [[sum(v[:i]) for i in range(len(v))] for v, _ in rows]
+    cuts = [(a, b) for a in range(16) for b in range(a, 16)]
+    got = spark.createDataFrame([(t, a, b) for _, t in rows for a, b in cuts if b <= len(t)], "t string, a int, b int")
+    assert all(x.s == x.t[x.a : x.b] for x in got.select("*", personal.between(personal.in_pieces(F.col("t")), F.col("a"), F.col("b")).alias("s")).collect())
+
+
+def test_many_addresses_in_one_text(spark):
+    import time
+
+    from floeframe.llm import personal
+
+    def took(n):
+        df = spark.createDataFrame([(1, " ".join(f"write to a{k}@b{k % 7}.org or" for k in range(n)), n)], "doc_id long, text string, n_chars long")
+        began = time.time()
+        (r,) = personal.sanitised(df).collect()
+        assert r.text.count("[EMAIL]") == n and "@" not in r.text and r.n_chars == len(r.text)
+        return time.time() - began
+
+    took(10)
+    fixed = took(10)
+    assert took(20_000) < fixed + 10
+
+
+def test_one_of_each_whatever_the_order(spark):
+    from floeframe.llm import near_copies
+
+    words = " ".join(f"w{k}" for k in range(40))
+    rows = [(1, f"{words} {k}", "en", k) for k in range(9)] + [(2, "other words stand here at last", "fr", 5), (None, words, "de", 1)]
+    picked = set()
+    for k in range(3):
+        random.Random(k).shuffle(rows)
+        df = spark.createDataFrame(rows, "doc_id long, text string, lang string, n_chars int").repartition(k + 1)
+        got = near_copies.one_of_each(df).collect()
+        assert sorted(str(r.doc_id) for r in got) == ["1", "2", "None"]
+        picked.add(tuple(sorted(map(repr, got))))
+    assert len(picked) == 1
