@@ -6,7 +6,9 @@ from labelled pages, of which a bounded sample (linear.SAMPLE) is read: pages th
 container (an element such as nav, aside or div with its first class) the weight is the log of its words inside to
 those outside of articles, for a tag likewise its places. Containers never seen take a prior from their names.
 Inside the content, what lies in containers below zero is left out, so are scripts, styles and comments, and what
-lies in DROPPED elements (svg, button and the like) as far as these are closed.
+lies in DROPPED elements (svg, button and the like) as far as these are closed. A container's name is not the last
+word: `article` and `main` are content whatever their class, but for reader comments, and so is what holds the article
+and most of the page's words, or nearly all words.
 
 Null html counts as empty and gives the empty text; repeated rows give equal rows; an empty table gives an empty
 one; other columns play no part. Broken markup, unclosed elements and text without tags are read as far as they go.
@@ -61,6 +63,8 @@ PLAIN_WORDS = frozenset(
 )
 #: Of a class, what says that something is elsewhere on the page, or not there.
 OTHERS = re.compile(r"(?:has|with|no|not|without|is)[-_]")
+#: Words of classes that say so whatever stands beside them (fixed values).
+COMMENT_WORDS = frozenset("comment comments disqus replies".split())
 STRONG, WEAK = 3.0, 0.2
 
 
@@ -73,19 +77,32 @@ def aside_mark(mark: str) -> bool:
     return any(w in ASIDE_WORDS for w in words) and all(w in ASIDE_WORDS or w in PLAIN_WORDS for w in words)
 
 
+@functools.lru_cache(100_000)
+def comment_mark(mark: str) -> bool:
+    """Whether a class, id or role tells of reader comments, or of an advert of them."""
+    return not OTHERS.match(mark) and not COMMENT_WORDS.isdisjoint(re.split(r"[^a-z]+", mark))
+
+
 class Box:
     """An open container: its key, whether it or one around it is an aside or the article, and what weight follows."""
 
-    __slots__ = ("name", "key", "aside", "inner", "article", "weight", "around", "words")
+    __slots__ = ("name", "key", "own", "comments", "holds", "aside", "inner", "article", "weight", "around", "words")
 
     def __init__(self, name: str, attributes: str, around: Box | None, fresh):
         marks = " ".join(a or b or c for a, b, c in CLASS.findall(attributes)).lower().split() if attributes else []
-        own = name in ASIDE_NAMES or any(map(aside_mark, marks))
-        self.name, self.around = name, around
+        main = name in ("article", "main")
+        self.comments = any(map(comment_mark, marks))
+        # a name of a class doesn't outdo the element that stands for content
+        self.own = own = name in ASIDE_NAMES or self.comments or not main and any(map(aside_mark, marks))
+        self.name, self.around, self.holds = name, around, False
+        if main and not own and around is not None and not around.holds:
+            box = around
+            while box is not None and not box.holds:
+                box.holds, box = True, box.around
         self.key = name if name not in CONTAINERS else ".".join([name, *(re.sub(r"\d+", "", m) for m in marks[:2])])
         self.aside = own or around is not None and around.aside
         was_inner = around is not None and around.inner
-        self.inner = was_inner or name in ("article", "main")
+        self.inner = was_inner or main
         self.article = name == "article" or around is not None and around.article
         self.weight = fresh(self, own, was_inner)
         self.words = [0, 0]
@@ -223,19 +240,45 @@ def best_part(scores: list[float]) -> tuple[int, int]:
     return first, end
 
 
+def content_after_all(boxes: list[Box], total: int) -> set[int]:
+    """Numbers of boxes that are no asides though their names say so: those that hold the article and most of the
+    page's words, or nearly all words. Comments, menus and the like never are."""
+    made = set()
+    for k, box in enumerate(boxes):
+        if box.own and not box.comments and (box.name not in ASIDE_NAMES or box.name == "form"):
+            words = box.words[0]
+            if box.holds and 2 * words > total or 10 * words >= 9 * total > 0:
+                made.add(k)
+    return made
+
+
 def main_text(page: str, weights: dict[str, float]) -> str:
+    """The text of a page's content. Where a container turns out to be content against its name, it is read again so."""
+    text, boxes, total = read(page, weights, frozenset())
+    if any(box.own for box in boxes) and (content := content_after_all(boxes, total)):
+        return read(page, weights, content)[0]
+    return text
+
+
+def read(page: str, weights: dict[str, float], content: set[int] | frozenset[int]) -> tuple[str, list[Box], int]:
+    """(text, containers in page order, words); content: numbers of containers that are no asides."""
+    boxes: list[Box] = []
+
     def clipped(key: str) -> float:
         return max(-STRONG, min(STRONG, weights.get(key, 1.0)))
 
     def fresh(box: Box, own: bool, was_inner: bool) -> float:
         """What the box's words weigh: the least of the containers around them. A header in an article is its own."""
-        if own or box.name == "header" and not was_inner:
+        boxes.append(box)
+        if len(boxes) - 1 in content:
+            weight = max(WEAK, clipped(box.key))
+        elif own or box.name == "header" and not was_inner:
             weight = -STRONG
         else:
             weight = STRONG if box.name in ("article", "main") else clipped(box.key)
         return min(weight, box.around.weight) if box.around is not None else weight
 
-    plain = clipped("text")
+    plain, total = clipped("text"), 0
     scores: list[float] = []
     blocks: list[list] = [[]]  # of (token number, text, good)
     for kind, x, box, z in parsed(page, fresh):
@@ -249,14 +292,20 @@ def main_text(page: str, weights: dict[str, float]) -> str:
         else:
             weight = box.weight if box is not None else plain
             n = len(x.split())
+            total += n
+            if box is not None:
+                box.words[0] += n
             # words that are left out anyway need not cut the content in two: an advert within costs little
             good = weight > -1 and not (z and weight < 1)
             scores.append(n * max(WEAK, weight) if good else -min(STRONG, WEAK * n))
             blocks[-1].append((number, x, weight > -1))
+    for box in reversed(boxes):  # a container has the words of those within it
+        if box.around is not None:
+            box.around.words[0] += box.words[0]
     first, end = best_part(scores)
     kept = ("".join(x for n, x, good in block if first <= n < end and (good or x == " ")) for block in blocks)
     shown = (" ".join(html.unescape(x).split()) for x in kept)
-    return "\n\n".join(x for x in shown if x)
+    return "\n\n".join(x for x in shown if x), boxes, total
 
 
 SCHEMA = StructType([StructField("page_id", LongType()), StructField("url", StringType()), StructField("text", StringType()), StructField("n_chars", LongType())])

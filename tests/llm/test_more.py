@@ -287,3 +287,24 @@ def test_one_of_each_whatever_the_order(spark):
         assert sorted(str(r.doc_id) for r in got) == ["1", "2", "None"]
         picked.add(tuple(sorted(map(repr, got))))
     assert len(picked) == 1
+
+
+def test_comments_go_and_names_do_not_outdo_the_article():
+    from floeframe.llm import html_text
+
+    body, more = "<p>one two three four</p><p>five six</p>", "<p>what a fine text this is</p>"
+    text = "one two three four\n\nfive six"
+    long = " ".join(f"word{k}" for k in range(60))
+    for page, want in (
+        (f"<article>{body}</article><section class='reader-comments'>{more}</section>", text),
+        (f"<main><article>{body}</article><div id='post-comments-list'><article class='comment-body'>{more * 9}</article></div></main>", text),
+        (f"<article class='post notice'>{body}</article>", text),
+        (f"<main role='alert'>{body}</main>", text),
+        (f"<div class='search-container'><article>{body}</article></div>", text),
+        (f"<body><form id='aspnetForm'><article>{body}</article></form>", text),
+        (f"<body><form id='aspnetForm'><nav>a b</nav><p>{long}</p></form></body>", long),
+        (f"<form><label>name</label></form><article>{body}</article><aside class='related'><article>a b</article></aside>", text),
+        (f"<nav>{long}</nav><article>{body}</article>", text),
+        (f"<article class='no-comments'>{body}</article>", text),
+    ):
+        assert html_text.main_text(page, {}) == want, page
