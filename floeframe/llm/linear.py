@@ -1,13 +1,13 @@
 """A linear scorer over hashed words and character n-grams, trained on a bounded sample, scored in Arrow batches.
 
 A text's features are the averages over its words of what each word has: the word itself and the character
-trigrams of the word with its ends marked, hashed to SIZE buckets. So a word's share of the score depends on the
-word alone, each worker keeps it in a bounded cache, and a text costs one look-up a word.
+trigrams of the word with its ends marked, hashed to SIZE buckets; with ngrams also two and three words in a row,
+hashed to NGRAMS buckets of their own. A worker keeps each word's share of the score and its hash in a bounded cache,
+so a text costs one look-up a word; its n-grams are hashed from the words' hashes at once.
 """
 
 from __future__ import annotations
 
-import operator
 import zlib
 
 import numpy as np
@@ -22,6 +22,8 @@ from floeframe.llm.words import words_of
 SIZE = 1 << 15
 #: One bucket more: the share of words that equal the word before them (a repeated word bigram).
 SAME, ALL = SIZE, SIZE + 1
+#: Buckets of two and three words in a row, behind the others; how much one counts beside a word.
+NGRAMS, NGRAM_SHARE = 1 << 18, 0.5
 CACHED = 200_000
 #: Texts that a scorer is fitted on, about: a share of the rows by a hash of the id that gives so many.
 SAMPLE = 2_000
@@ -34,8 +36,16 @@ def word_features(word: str) -> set[int]:
     return {zlib.crc32(x.encode()) % SIZE for x in found}
 
 
-def repeats(words: list[str]) -> int:
-    return sum(map(operator.eq, words, words[1:]))
+def hashed(word: str) -> int:
+    return zlib.crc32(word.encode())
+
+
+def ngrams_of(hashes: np.ndarray) -> np.ndarray:
+    """Buckets, from 0, of two and three words in a row, from the words' hashes (unsigned, 64 bits)."""
+    mixed = lambda x: ((x ^ x >> np.uint64(29)) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - 18)
+    two = hashes[:-1] * np.uint64(0x100000001B3) + hashes[1:]
+    three = two[:-1] * np.uint64(0x100000001B3) + hashes[2:] + np.uint64(1)
+    return mixed(np.concatenate([two, three])).astype(np.int64)
 
 
 class Buckets(dict):
@@ -46,11 +56,14 @@ class Buckets(dict):
         return x
 
 
-def text_features(words: list[str], buckets: Buckets) -> tuple[np.ndarray, np.ndarray]:
+def text_features(words: list[str], buckets: Buckets, ngrams: bool = False) -> tuple[np.ndarray, np.ndarray]:
     if not words:
         return np.zeros(0, dtype=np.int32), np.zeros(0, dtype=np.float32)
     index, counts = np.unique(np.concatenate([buckets[w] for w in words]), return_counts=True)
-    index, counts = np.append(index, SAME), np.append(counts, repeats(words))
+    index, counts = np.append(index, SAME), np.append(counts, sum(a == b for a, b in zip(words, words[1:])))
+    if ngrams:
+        found, n = np.unique(ngrams_of(np.array([*map(hashed, words)], dtype=np.uint64)), return_counts=True)
+        index, counts = np.append(index, found + ALL), np.append(counts, n * NGRAM_SHARE)
     return index.astype("<i4"), (counts / len(words)).astype("<f4")
 
 
@@ -63,7 +76,7 @@ def sampled(df: DataFrame, rows: int, id_col: str = "doc_id", size: int = SAMPLE
 EXAMPLES = StructType([StructField("target", DoubleType()), StructField("index", BinaryType()), StructField("value", BinaryType())])
 
 
-def examples(labelled: DataFrame, target_of=None) -> list:
+def examples(labelled: DataFrame, target_of=None, ngrams: bool = False) -> list:
     """Collected features of a bounded sample. labelled: (text, target), or (text) with target_of(words, text)."""
 
     def columns(batch):
@@ -71,7 +84,7 @@ def examples(labelled: DataFrame, target_of=None) -> list:
         given = batch.column(1).to_pylist() if target_of is None else None
         for k, text in enumerate(batch.column(0).to_pylist()):
             words = words_of(text or "")
-            i, v = text_features(words, buckets)
+            i, v = text_features(words, buckets, ngrams)
             targets.append(float(given[k]) if given else target_of(words, text or ""))
             index.append(i.tobytes())
             value.append(v.tobytes())
@@ -80,7 +93,7 @@ def examples(labelled: DataFrame, target_of=None) -> list:
     return arrow_map(labelled, columns, EXAMPLES).collect()
 
 
-def fitted(rows: list) -> tuple[np.ndarray, float] | None:
+def fitted(rows: list, ngrams: bool = False) -> tuple[np.ndarray, float] | None:
     """(weights, intercept) of a penalised logistic regression with soft targets; calibrated on every fifth row.
 
     None without both kinds of targets: then nothing can be told apart.
@@ -96,13 +109,14 @@ def fitted(rows: list) -> tuple[np.ndarray, float] | None:
     column = np.concatenate(index)
     fit = ~held[row]
     balance = np.where(y >= 0.5, 0.5 / max((y >= 0.5).mean(), 1e-9), 0.5 / max((y < 0.5).mean(), 1e-9))
-    weights, bias = np.zeros(ALL), 0.0
-    seen, seen_bias = np.full(ALL, 1e-8), 1e-8
+    size = ALL + NGRAMS * ngrams
+    weights, bias = np.zeros(size), 0.0
+    seen, seen_bias = np.full(size, 1e-8), 1e-8
     r_fit, c_fit, v_fit = row[fit], column[fit], value[fit]
     for _ in range(STEPS):
         score = np.bincount(r_fit, v_fit * weights[c_fit], len(y)) + bias
         error = np.where(held, 0.0, (1 / (1 + np.exp(-np.clip(score, -30, 30))) - y) * balance) / max((~held).sum(), 1)
-        slope = np.bincount(c_fit, v_fit * error[r_fit], ALL) + PENALTY * weights / 100
+        slope = np.bincount(c_fit, v_fit * error[r_fit], size) + PENALTY * weights / 100
         seen += slope**2
         seen_bias += error.sum() ** 2
         weights -= RATE * slope / np.sqrt(seen)
@@ -130,28 +144,41 @@ def calibrated(score: np.ndarray, y: np.ndarray) -> tuple[float, float]:
 
 
 class Shares(dict):
-    """word -> its part of the score."""
+    """word -> its number; at that number its part of the score and its hash."""
 
     def __init__(self, weights: np.ndarray):
         super().__init__()
-        self.weights = weights.tolist()
+        self.weights, self.parts, self.hashes = weights[:ALL].tolist(), np.zeros(1024), np.zeros(1024, dtype=np.uint64)
 
-    def __missing__(self, word: str) -> float:
-        weights = self.weights
+    def __missing__(self, word: str) -> int:
+        self[word] = k = len(self)
+        if k == len(self.parts):
+            self.parts, self.hashes = (np.concatenate([x, np.zeros_like(x)]) for x in (self.parts, self.hashes))
+        self.parts[k], self.hashes[k] = sum(map(self.weights.__getitem__, word_features(word))), hashed(word)
+        return k
+
+    def numbers(self, words: list[str]) -> np.ndarray:
+        """Cleared between texts alone, so that a text's numbers hold."""
         if len(self) >= CACHED:
             self.clear()
-        self[word] = x = sum(weights[k] for k in word_features(word))
-        return x
+        return np.fromiter(map(self.__getitem__, words), dtype=np.int64, count=len(words))
 
 
 def scorer(model: tuple[np.ndarray, float] | None):
     """words -> probability of the good class; without a model all are good."""
     if model is None:
         return lambda words: 1.0
-    shares, bias, same = Shares(model[0]).__getitem__, model[1], float(model[0][SAME])
+    shares, bias, same = Shares(model[0]), model[1], float(model[0][SAME])
+    of_ngrams = model[0][ALL:] * NGRAM_SHARE
 
     def probability(words: list[str]) -> float:
-        score = bias + ((sum(map(shares, words)) + same * repeats(words)) / len(words) if words else 0.0)
+        score = bias
+        if words:
+            at = shares.numbers(words)
+            total = shares.parts[at].sum() + same * np.count_nonzero(at[1:] == at[:-1])
+            if len(of_ngrams):
+                total += of_ngrams[ngrams_of(shares.hashes[at])].sum()
+            score += total / len(words)
         return float(1 / (1 + np.exp(-min(max(score, -30.0), 30.0))))
 
     return probability

@@ -1,7 +1,7 @@
 """Quality rules: counts over whole texts, and a calibrated classifier trained on labelled rows.
 
 A text fails outright with under LEAST_WORDS words or over half of its words in repeated three-word windows.
-The rest gets the verdict of the hashed linear scorer, fitted on a bounded sample of the labelled rows
+The rest gets the verdict of the hashed linear scorer over words, two and three words in a row and character trigrams, fitted on a bounded sample of the labelled rows
 (linear.SAMPLE) and calibrated on rows held out; it is kept from THRESHOLD on.
 
 Null text counts as empty: no words, so it fails. Repeated rows get equal results. Without labels of both kinds
@@ -50,7 +50,7 @@ def trained(docs: DataFrame, labels: DataFrame):
     few = linear.sampled(told, told.count())
     # the sample is bounded by linear.SAMPLE, so it may be broadcast
     texts = ids_and_text(docs).join(F.broadcast(few), "doc_id").select("text", "target")
-    return linear.fitted(linear.examples(texts))
+    return linear.fitted(linear.examples(texts, ngrams=True), ngrams=True)
 
 
 def rules(docs: DataFrame, labels: DataFrame) -> DataFrame:

@@ -308,3 +308,33 @@ def test_comments_go_and_names_do_not_outdo_the_article():
         (f"<article class='no-comments'>{body}</article>", text),
     ):
         assert html_text.main_text(page, {}) == want, page
+
+
+def test_word_order_counts_in_the_score(spark):
+    from floeframe.llm import linear
+
+    r = random.Random(6)
+    good = [" ".join(f"a{(k + j) % 30}" for j in range(60)) for k in range(60)]  # the same words in order
+    bad = [" ".join(r.sample(x.split(), 60)) for x in good]
+    rows = [(t, float(q)) for q, some in ((1, good), (0, bad)) for t in some]
+    found = linear.examples(spark.createDataFrame(rows, "text string, target double"), ngrams=True)
+    judged = linear.scorer(linear.fitted(found, ngrams=True))
+    new = [f"a{(7 + j) % 30}" for j in range(90)]
+    assert judged(new) > 0.9 > 0.1 > judged(r.sample(new, 90))
+    plain = linear.scorer(linear.fitted(linear.examples(spark.createDataFrame(rows, "text string, target double"))))
+    assert abs(plain(new) - plain(r.sample(new, 90))) < 0.2  # words alone can't tell
+
+
+def test_scores_are_the_features_scores():
+    """The scorer's cache and numbers give what the features give."""
+    from floeframe.llm import linear
+
+    r = np.random.default_rng(2)
+    for ngrams in (False, True):
+        model = r.normal(size=linear.ALL + linear.NGRAMS * ngrams), 0.1
+        judged = linear.scorer(model)
+        for n in (0, 1, 2, 3, 50):
+            words = [f"w{k}é" for k in r.integers(0, 9, n)]
+            index, value = linear.text_features(words, linear.Buckets(), ngrams)
+            want = 0.1 + float((model[0][index] * value).sum())
+            assert judged(words) == pytest.approx(1 / (1 + np.exp(-want)), rel=1e-4)
