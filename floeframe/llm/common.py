@@ -80,7 +80,19 @@ def arrow_map(df: DataFrame, columns: Callable[[pa.RecordBatch], list], schema:
                 [x if isinstance(x, pa.Array) else pa.array(x, type=f.type) for x, f in zip(made, arrow)], schema=arrow
             )
 
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(released(run), schema)
+
+
+def released(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """run, and at its end Arrow's freed memory goes back: else idle workers keep what their largest task needed."""
+
+    def wrapped(batches: Iterator) -> Iterator:
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+
+    return wrapped
 
 
 def ids_and_text(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, DoubleType, StructField, StructType
 
-from floeframe.llm.common import arrow_map
+from floeframe.llm.common import arrow_map, released
 from floeframe.llm.words import words_of
 
 SIZE = 1 << 15
@@ -199,4 +199,4 @@ def kept_rows(docs: DataFrame, judge, text_col: str = "text") -> DataFrame:
             keep = [bool(accepts(words_of(t or ""), t or "")) for t in batch.column(place).to_pylist()]
             yield batch.filter(pa.array(keep, type=pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(released(run), docs.schema)

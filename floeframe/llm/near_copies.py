@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import ArrayType, BinaryType, LongType, StructField, StructType
 
-from floeframe.llm.common import Scratch, ids_and_text, new_path, removed, written
+from floeframe.llm.common import Scratch, ids_and_text, new_path, released, removed, written
 from floeframe.llm.components import components
 from floeframe.llm.words import ascii_lower, words_of
 
@@ -150,7 +150,7 @@ def sets(docs: DataFrame) -> DataFrame:
             columns = zip(*rows) if rows else [[]] * len(schema)
             yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(columns, schema)], schema=schema)
 
-    return ids_and_text(docs).mapInArrow(run, SETS)
+    return ids_and_text(docs).mapInArrow(released(run), SETS)
 
 
 def marked(keys: DataFrame, at) -> np.ndarray:
@@ -187,7 +187,7 @@ def needed_shingles(docs: DataFrame, ids: DataFrame) -> DataFrame:
                 made = [shingles(text, hashes).astype(np.int64) for text in batch.column(1).to_pylist()]
                 yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(made, arrow.field(1).type)], schema=arrow)
 
-    return rows.mapInArrow(run, schema)
+    return rows.mapInArrow(released(run), schema)
 
 
 def entered(rows: DataFrame, heads: DataFrame) -> DataFrame:
@@ -203,7 +203,7 @@ def entered(rows: DataFrame, heads: DataFrame) -> DataFrame:
             row = np.repeat(batch.column(0).to_numpy(), np.diff(lists.offsets.to_numpy()))
             yield pa.RecordBatch.from_arrays([pa.array(row[there]), pa.array(key[there])], names=["key", "partition"])
 
-    return rows.select("key", "partitions").mapInArrow(keep, "key long, partition long")
+    return rows.select("key", "partitions").mapInArrow(released(keep), "key long, partition long")
 
 
 def linked(docs: DataFrame, pairs: DataFrame) -> DataFrame:
@@ -277,7 +277,7 @@ def bounded(pairs: DataFrame, vectors: DataFrame, dimensions: int) -> DataFrame:
                 good[known[at : at + 2_000]] = (9 * room >= 4 * (u + v)) & close(u, v)
             yield batch.filter(pa.array(good)).select([0, 1])
 
-    return both.select("a", "b", "a_n", "b_n", "a_vector", "b_vector").mapInArrow(keep, "a long, b long")
+    return both.select("a", "b", "a_n", "b_n", "a_vector", "b_vector").mapInArrow(released(keep), "a long, b long")
 
 
 def index_pairs(rows: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
@@ -392,7 +392,7 @@ def open_pairs(met: DataFrame, labels: DataFrame, points: DataFrame, keep: Scrat
     rows = open_.join(nodes.select("key", "n", "counts"), "key").join(firsts, "key")
     carried = ["key", "component", "n", "counts", "firsts"]
     small = rows.where(F.col("members") <= LEAF).select("partition", *carried)
-    near = small.repartition("partition").sortWithinPartitions("partition").mapInPandas(in_small, "a long, b long")
+    near = small.repartition("partition").sortWithinPartitions("partition").mapInPandas(released(in_small), "a long, b long")
     one_block = rows.where((F.col("members") > LEAF) & (F.col("members") <= BLOCK))
     one_block = one_block.withColumns({x: F.lit(0) for x in ("i", "j", "block")})
     large = rows.where(F.col("members") > BLOCK).withColumn("blocks", F.ceil(F.col("members") / BLOCK).cast("int"))
@@ -401,7 +401,7 @@ def open_pairs(met: DataFrame, labels: DataFrame, points: DataFrame, keep: Scrat
     large = large.withColumns({"i": F.least("block", "other"), "j": F.greatest("block", "other")})
     columns = ["partition", "i", "j", "block", *carried]
     dealt = one_block.select(columns).unionByName(large.select(columns)).repartition("partition", "i", "j")
-    far = dealt.sortWithinPartitions("partition", "i", "j").mapInPandas(in_large, "a long, b long")
+    far = dealt.sortWithinPartitions("partition", "i", "j").mapInPandas(released(in_large), "a long, b long")
     return near.unionByName(far).distinct()
 
 

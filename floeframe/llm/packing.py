@@ -28,11 +28,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
-from floeframe.llm.common import ids_and_text
+from floeframe.llm.common import ids_and_text, released
 from floeframe.llm.tokenize import packed, word_encoder
 
-#: Documents in a block, about.
-BLOCK = 16_384
+#: Documents in a block, about, and words whose ids a worker keeps.
+BLOCK, WORDS_KEPT = 16_384, 150_000
 #: Numbers that a step compares at once.
 AT_ONCE = 4_000_000
 
@@ -188,7 +188,7 @@ def tokenised(docs: DataFrame, vocabulary: str, end_id: int, capacity: int) -> D
     schema = to_arrow_schema(PIECES)
 
     def run(batches):
-        encode, end = word_encoder(vocabulary), packed([end_id])
+        encode, end = word_encoder(vocabulary, WORDS_KEPT), packed([end_id])
         for batch in batches:
             rows: list[list] = [[] for _ in schema]
             for doc, row, text in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), batch.column(1).to_pylist()):
@@ -199,7 +199,7 @@ def tokenised(docs: DataFrame, vocabulary: str, end_id: int, capacity: int) -> D
                         out.append(x)
             yield pa.RecordBatch.from_arrays([pa.array(x, type=f.type) for x, f in zip(rows, schema)], schema=schema)
 
-    return ids_and_text(docs).withColumn("row", F.xxhash64("doc_id", "text")).mapInArrow(run, PIECES)
+    return ids_and_text(docs).withColumn("row", F.xxhash64("doc_id", "text")).mapInArrow(released(run), PIECES)
 
 
 def packed_sequences(docs: DataFrame, vocabulary: str, end_id: int = 1, capacity: int = 4096, block: int = BLOCK) -> DataFrame:

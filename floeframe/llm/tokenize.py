@@ -41,13 +41,13 @@ LETTERS = byte_letters()
 class Ids(dict):
     """word -> its ids as little-endian unsigned 32-bit integers; emptied when full, so memory is bounded."""
 
-    def __init__(self, encode: Callable[[str], bytes]):
+    def __init__(self, encode: Callable[[str], bytes], most: int = CACHED):
         super().__init__()
-        self.encode = encode
+        self.encode, self.most = encode, most
 
     def __missing__(self, word: str) -> bytes:
         ids = self.encode(word)
-        if len(self) >= CACHED:
+        if len(self) >= self.most:
             self.clear()
         self[word] = ids
         return ids
@@ -69,22 +69,22 @@ def load(path: str, markers_as_text: bool = False):
     return tokenizer
 
 
-def piece_ids(model) -> Ids:
+def piece_ids(model, most: int = CACHED) -> Ids:
     """Ids of what the merges see: one piece, its bytes as letters. ASCII letters stand for themselves."""
     merged = model.tokenize
-    return Ids(lambda piece: packed([t.id for t in merged(piece if piece.isascii() and piece.isalnum() else piece.encode().decode("latin-1").translate(LETTERS))]))
+    return Ids(lambda piece: packed([t.id for t in merged(piece if piece.isascii() and piece.isalnum() else piece.encode().decode("latin-1").translate(LETTERS))]), most)
 
 
 @functools.cache
-def word_encoder(path: str) -> Callable[[str], bytes]:
-    """text -> ids for a lower-casing vocabulary with word ends that drops white space.
+def word_encoder(path: str, most: int = CACHED) -> Callable[[str], bytes]:
+    """text -> ids for a lower-casing vocabulary with word ends that drops white space. most: words that are kept.
 
     A text that holds one of the vocabulary's markers is left to the library, which gives the marker its own id.
     """
     tokenizer = load(path)
     markers = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
     whole = lambda text: packed(tokenizer.encode(text, add_special_tokens=False).ids)
-    pieces = piece_ids(tokenizer.model)
+    pieces = piece_ids(tokenizer.model, most)
 
     def word(w: str) -> bytes:
         low = w.lower()
@@ -94,7 +94,7 @@ def word_encoder(path: str) -> Callable[[str], bytes]:
             return pieces[low[:-1]] + pieces[low[-1]]
         return b"".join(map(pieces.__getitem__, WORD_PIECE.findall(low)))
 
-    words, wide_words = Ids(word), Ids(lambda w: whole(w) if WIDE.search(w) else word(w))
+    words, wide_words = Ids(word, most), Ids(lambda w: whole(w) if WIDE.search(w) else word(w), most)
 
     def text_ids(text: str) -> bytes:
         if "\x1c" in text or "\x1d" in text or "\x1e" in text or "\x1f" in text or any(m in text for m in markers):
