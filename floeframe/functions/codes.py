@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Code tables (fixed values).
@@ -78,23 +78,37 @@ def merged(classes: list[Column], parts: list[Column], how: str = "assign") -> l
     return [parts[0] + add_a, parts[1] + F.when(same(b, c), parts[2]).otherwise(0), parts[2]]
 
 
-def dominant(classes: list[Column], parts: list[Column], total: Column) -> Column:
-    """The class of the largest part if that has DOMINANT percent of the total, else NOT_FILLED; the first of equals."""
-    most = F.greatest(*parts)
+def dominant(classes: list[Column], parts: list[Column], total: Column, most: Column | None = None) -> Column:
+    """The class of the largest part if that has DOMINANT percent of the total, else NOT_FILLED; the first of equals.
+
+    most: the largest part, where it is at hand."""
+    most = F.greatest(*parts) if most is None else most
     which = F.array_position(F.array(*parts), most).cast("int")
     enough = F.when(total == 0, most > 0).otherwise(F.try_divide(most * 100, total) >= DOMINANT)
     return F.when(enough, F.get(F.array(*classes), which - 1)).otherwise(NOT_FILLED)
 
 
-def polygon_classes(total: Column, parts: list[Column], development: list[Column], floe: list[Column], kind: Column, how: str = "assign") -> dict[str, Column]:
-    """SIC, SOD and FLOE of a polygon from its recoded fields; overrides in the order in which they apply."""
-    sic = F.when(F.lower(kind) == "w", 0).otherwise(total)
-    sod = dominant(development, merged(development, parts, how), total)
-    size = F.when(F.array_contains(F.array(*floe), MASK), MASK).otherwise(dominant(floe, merged(floe, parts, how), total))
-    masked = lambda x: F.when(x == NOT_FILLED, MASK).otherwise(x)
-    water = lambda x: F.when(sic == 0, 0).otherwise(masked(x))
-    known = lambda x: F.when(x == UNKNOWN, MASK).otherwise(x)
-    return {"sic": known(sic), "sod": known(water(sod)), "floe": known(water(size))}
+def with_polygon_classes(rows: DataFrame, total: str, parts: list[str], development: list[str], floe: list[str], kind: str, how: str = "assign") -> DataFrame:
+    """rows with SIC, SOD and FLOE of a polygon from its recoded fields; overrides in the order in which they apply.
+
+    Step by step, so that each number is computed once: as one expression the steps would repeat each other.
+    """
+    total, parts = F.col(total), [F.col(c) for c in parts]
+    made, ends = rows, {}
+    for out, names in (("sod", development), ("floe", floe)):
+        classes = [F.col(c) for c in names]
+        sums = [f"__{out}{k}" for k in range(3)]
+        made = made.withColumns(dict(zip(sums, merged(classes, parts, how))))
+        made = made.withColumn(f"__{out}most", F.greatest(*sums))
+        made = made.withColumn(f"__{out}", dominant(classes, [F.col(c) for c in sums], total, F.col(f"__{out}most")))
+        ends[out] = F.col(f"__{out}")
+    ends["floe"] = F.when(F.array_contains(F.array(*floe), MASK), MASK).otherwise(ends["floe"])
+    made = made.withColumns({"__sic": F.when(F.lower(kind) == "w", 0).otherwise(total)} | {f"__{c}": x for c, x in ends.items()})
+    final = lambda x: F.when(F.col("__sic") == 0, 0).when(x.isin(NOT_FILLED, UNKNOWN), MASK).otherwise(x)
+    sic = F.when(F.col("__sic") == UNKNOWN, MASK).otherwise(F.col("__sic"))
+    classes = {"sic": sic} | {c: final(F.col(f"__{c}")) for c in ("sod", "floe")}
+    made = made.withColumns({c: x.cast("int") for c, x in classes.items()})
+    return made.drop(*(c for c in made.columns if c.startswith("__")))
 
 
 def sic_name(k: Column) -> Column:

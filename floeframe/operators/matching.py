@@ -59,6 +59,27 @@ def first_by_name(left: DataFrame, right: DataFrame, part: Column, name: str, or
     return left.join(one.select(name, "__first.*"), name, "left")
 
 
+def containing(ids: DataFrame, names: DataFrame, id: str, name: str) -> DataFrame:
+    """(id, first, n): for each different id the least name that holds it somewhere, and how many different names do.
+
+    Names are cut into their stretches of the lengths that ids have, and those meet ids by equality, so no name is
+    searched for every id, and neither side has to fit anywhere: a name of L letters makes at most L stretches for each
+    length. They are counted before they are shuffled on, so an id that most names hold is a few rows. Ids that no name
+    holds have a null `first` and 0; null and empty ids are left out, null names hold nothing.
+    """
+    wanted = ids.select(F.col(id).alias("__id")).where(F.length("__id") > 0).distinct()
+    # one short list: there are at most as many lengths as the longest id has letters
+    lengths = wanted.agg(F.collect_set(F.length("__id"))).scalar()
+    held = names.select(F.col(name).alias("__name")).where(F.col("__name").isNotNull()).distinct().withColumn("__lengths", lengths)
+    starts = lambda size: F.sequence(F.lit(1), F.length("__name") - size + 1)
+    cut = lambda size: F.transform(starts(size), lambda at: F.substr(F.col("__name"), at, size))
+    fit = F.filter(F.col("__lengths"), lambda size: size <= F.length("__name"))
+    each = held.select("__name", F.explode(F.array_distinct(F.flatten(F.transform(fit, cut)))).alias("__id"))
+    found = each.groupBy("__id").agg(F.min("__name").alias("first"), F.count("*").alias("n"))
+    made = wanted.join(found, "__id", "left")
+    return made.select(F.col("__id").alias(id), "first", F.coalesce("n", F.lit(0)).alias("n"))
+
+
 def pixel_charts(pixels: DataFrame, classes: DataFrame, on: list[str] = ("poly_id",)) -> DataFrame:
     """Pixels with sic, sod and floe of their polygon; classes: one row a polygon (on..., sic, sod, floe).
 

@@ -8,11 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from floeframe.functions import codes, encodings, geo, masks, tiling
-from floeframe.operators import array_features, audit, distance, explore, inference, matching, moments, patches, resampling, sampling, scores, tiles, validation
+from floeframe.operators import array_features, audit, distance, explore, inference, matching, moments, patches, resampling, sampling, scores, tiles, validation, warp
 from floeframe.plans.adapters import CHIPS, CODE_MEANS, PIXELS, POLYGONS, SIDE, pixels, polygons, table
 from floeframe.plans.adapters import codes as chart_codes
 from floeframe.schema import FRACTIONS, GRID, TOKEN
 from floeframe.sources import scenes, tables
+from floeframe.streaming import running
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -172,9 +173,8 @@ def polygon_classes(spark, sf_dir):
     re = polygons(spark, sf_dir)
     re = re.withColumns({c: codes.recoded(F.col(c), tables[c[0]]) for c in re.columns if c not in ("poly_id", "kind")})
     re = re.withColumn("ca", codes.partial_filled(F.col("ct"), F.col("ca")))
-    three = {x: [F.col(x + y) for y in "abc"] for x in "csf"}
-    made = codes.polygon_classes(F.col("ct"), three["c"], three["s"], three["f"], F.col("kind"))
-    return re.select("poly_id", *(c.cast("int").alias(n) for n, c in made.items()))
+    three = {x: [x + y for y in "abc"] for x in "csf"}
+    return codes.with_polygon_classes(re, "ct", three["c"], three["s"], three["f"], "kind").select("poly_id", "sic", "sod", "floe")
 
 
 @query("SELECT p_partkey, CASE WHEN p_size % 12 <= 10 THEN concat(p_size % 12 * 10, '%') END AS sic, CASE p_size % 7 WHEN 0 THEN 'Open water' WHEN 1 THEN 'New Ice' WHEN 2 THEN 'Young ice' WHEN 3 THEN 'Thin FYI' WHEN 4 THEN 'Thick FYI' WHEN 5 THEN 'Old ice' END AS sod FROM part")
@@ -848,3 +848,55 @@ def tiled_predictions(spark, sf_dir):
     one = charted(spark, sf_dir).groupBy("scene_id", "row", "col").agg(F.avg(clean).alias("hh"), (F.count("ct") == 0).alias("masked"))
     made = tiles.predicted(one, ["hh"], tiles.box_mean(2), F.lit(SIDE), F.lit(SIDE), 32, 2, "masked")
     return rounded(made.withColumn("prediction", masks.null_if_nan(F.col("prediction"))), "prediction")
+
+
+_HOLDS = "repeat('x', o_orderkey % 5) || o_orderkey || '-' || strftime(o_orderdate, '%Y%m%d') || 'T' || o_custkey || '_' || o_orderstatus"
+
+
+@query(f"""WITH n AS (SELECT DISTINCT {_HOLDS} AS name FROM orders)
+SELECT c_custkey::VARCHAR AS scene, min(name) AS first, count(name) AS n FROM customer LEFT JOIN n ON name LIKE '%' || c_custkey || '%' GROUP BY 1""")
+def names_containing(spark, sf_dir):
+    """Files whose names hold a scene's number anywhere, not at a known place."""
+    order = table(spark, sf_dir, "orders")
+    day = F.date_format("o_orderdate", "yyyyMMdd")
+    begin = F.repeat(F.lit("x"), (F.col("o_orderkey") % 5).cast("int"))
+    files = order.select(F.concat(begin, "o_orderkey", F.lit("-"), day, F.lit("T"), "o_custkey", F.lit("_"), "o_orderstatus").alias("name"))
+    known = table(spark, sf_dir, "customer").select(F.col("c_custkey").cast("string").alias("scene"))
+    return matching.containing(known, files, "scene", "name")
+
+
+#: A raster's plane: x and y of row r and column c, a turned and sheared grid; and the grid's step.
+_PLANE, _STEP = ("1000.3 + 2.0 * {c} + 0.5 * {r}", "5000.1 - 1.5 * {r} + 0.25 * {c}"), 4.0
+_INVERSE = "(x - 1000.3) * 0.25 - (y - 5000.1) * 2.0", "(-(x - 1000.3) * 1.5 - (y - 5000.1) * 0.5)"
+
+
+@query(f"""WITH {PIXELS}, one AS (SELECT scene_id, "row", col, max(distance) AS distance FROM px GROUP BY ALL),
+g AS (SELECT i.i, j.j, (j.j + 0.5) * {_STEP}::DOUBLE AS x, (i.i + 0.5) * {_STEP}::DOUBLE AS y FROM range(1130, 1272) i(i), range(248, 440) j(j)),
+p AS (SELECT i, j, {_INVERSE[0]} AS dr, {_INVERSE[1]} AS dc FROM g),
+b AS (SELECT i, j, dr / (0.5 * 0.25 - 2.0 * -1.5) AS r, dc / (0.5 * 0.25 - 2.0 * -1.5) * -1 AS c FROM p)
+SELECT o.scene_id, i, j, o."row", o.col, o.distance FROM b JOIN one o ON o."row" = floor(r + 0.5) AND o.col = floor(c + 0.5) WHERE r BETWEEN 0 AND {SIDE} AND c BETWEEN 0 AND {SIDE}""")
+def warped_raster(spark, sf_dir):
+    """Rasters on a grid of their plane, each cell with its nearest pixel."""
+    one = pixels(spark, sf_dir).groupBy("scene_id", "row", "col").agg(F.max("distance").alias("distance"))
+    steps = F.array(*(F.lit(float(k)) for k in (0, 90, 200, SIDE)))
+    grid = one.select("scene_id").distinct().withColumn("line", F.explode(steps)).withColumn("sample", F.explode(steps))
+    x, y = (F.expr(e.format(r="line", c="sample")).cast("double") for e in _PLANE)
+    return warp.warped(one, grid.withColumns({"x": x, "y": y}), ["distance"], _STEP)
+
+
+@query("""WITH l AS (SELECT unnest(['hh', 't2m']) AS variable, unnest([l_quantity, l_extendedprice]) AS x FROM lineitem)
+SELECT variable, round(avg(x), 4) AS mean, round(stddev_pop(x), 4) AS std, count(*) AS n_pixels FROM l GROUP BY ALL""")
+def running_moments(spark, sf_dir):
+    """Moments by supplier, as they arrive in a stream of files, each twice, merged into those of the whole."""
+    wide = table(spark, sf_dir, "lineitem").select(
+        F.col("l_suppkey").cast("string").alias("scene_id"), F.col("l_quantity").alias("hh"), F.col("l_extendedprice").alias("t2m")
+    )
+    here = tables.scratch_path(spark, "running")
+    parts = moments.scene_moments(moments.unpivoted(wide, ["hh", "t2m"])).select("scene_id", "variable", "n", "mean", "m2")
+    parts.write.parquet(f"{here}/parts")
+    for _ in range(2):  # what comes in the second call was there before
+        again = spark.read.parquet(f"{here}/parts")
+        again.write.mode("append").parquet(f"{here}/arrived")
+        arrived = spark.readStream.schema(running.PARTS).option("maxFilesPerTrigger", 4).parquet(f"{here}/arrived")
+        running.write_running(arrived, f"{here}/merged", f"{here}/checkpoint").awaitTermination()
+    return moments.finished(running.newest(spark.read.parquet(f"{here}/merged")), 4)

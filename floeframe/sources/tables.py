@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import json
+import tempfile
+import uuid
 from collections.abc import Callable, Iterator
 
 from pyspark.sql import DataFrame, SparkSession
@@ -92,3 +94,11 @@ def removed(spark: SparkSession, path: str) -> None:
     """Delete a table of ours, whichever file system holds it."""
     target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new path in the folder that all executors share; a session on this machine alone may do without one."""
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if not shared and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+    return f"{shared or tempfile.mkdtemp(prefix='floeframe-')}/floeframe/{name}-{uuid.uuid4().hex}"
