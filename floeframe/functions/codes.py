@@ -16,7 +16,8 @@ NOT_FILLED, MASK, UNKNOWN, DOMINANT = -9, 255, 99, 65
 
 def looked_up(code: Column, table: dict, cast: str = "int") -> Column:
     """The code's entry, or null."""
-    pairs = F.create_map(*(F.lit(x).cast(t) for item in table.items() for x, t in zip(item, ("int", cast))))
+    # as text, because each literal made by itself would be a call of its own into the JVM
+    pairs = F.expr(f"map({', '.join(f'{k}, CAST({v!r} AS {cast})' for k, v in table.items())})")
     return F.try_element_at(pairs, code)
 
 

@@ -68,7 +68,7 @@ CHIPS = """chips AS (
 
 def polygons(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Coded polygons: total, three partial concentrations, stages and floe forms, and the kind of polygon."""
-    pick = lambda values, key: F.get(F.array(*map(F.lit, values)), (key % len(values)).cast("int"))
+    pick = lambda values, key: F.get(F.expr(f"array({', '.join(map(repr, values))})"), (key % len(values)).cast("int"))
     k = F.col("p_partkey")
     return table(spark, sf_dir, "part").select(
         k.alias("poly_id"), pick((0, 10, 90, 92, 50, 70, 99), k).alias("ct"),
