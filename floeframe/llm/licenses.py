@@ -21,27 +21,92 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from floeframe.llm.common import ids_and_text
+from floeframe.llm.personal import row_key
 
 GRAM, GAP, COVERED = 3, 2, 0.6
 #: What separates words once A-Z are lower case.
 SEPARATOR = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 #: phrase: label
 PHRASES = {"cc by": "cc-by", "general public license": "gpl", "all rights reserved": "reserved"}
-#: Public notices, as their words (fixed values).
+#: Public notices and short mentions, as their words (fixed values). Paragraphs stand by themselves, so that a notice
+#: of which only one is left is found. Mentions hold little besides the license's name: what all licenses say must not
+#: reach COVERED alone, nor may another license's notice.
 TEMPLATES = (
+    ("agpl-3.0", "the gnu affero general public license"),
     ("apache-2.0", "licensed under the apache license version 2 0"),
     ("apache-2.0", "you may not use this file except in compliance with the license you may obtain a copy of the license at"),
+    ("apache-2.0", "of the apache license"),
+    (
+        "apache-2.0",
+        "unless required by applicable law or agreed to in writing software distributed under the license is distributed"
+        " on an as is basis without warranties or conditions of any kind either express or implied",
+    ),
     ("bsd", "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met"),
+    ("bsd", "redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer"),
+    (
+        "bsd",
+        "redistributions in binary form must reproduce the above copyright notice this list of conditions and the following"
+        " disclaimer in the documentation and or other materials provided with the distribution",
+    ),
+    (
+        "bsd",
+        "this software is provided by the copyright holders and contributors as is and any express or implied warranties"
+        " including but not limited to the implied warranties of merchantability and fitness for a particular purpose are disclaimed",
+    ),
+    ("bsd", "of the bsd license"),
+    (
+        "bsd-3-clause",
+        "neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote"
+        " products derived from this software without specific prior written permission",
+    ),
     ("cc-by-4.0", "licensed under a creative commons attribution 4 0 international license"),
     ("cc-by-nc-4.0", "licensed under cc by nc 4 0"),
+    ("cc-by-nc-4.0", "creative commons attribution noncommercial 4 0 international license"),
+    ("cc-by-nd-4.0", "creative commons attribution noderivatives 4 0 international license"),
     ("cc-by-sa-4.0", "licensed under cc by sa 4 0"),
+    ("cc-by-sa-4.0", "creative commons attribution sharealike 4 0 international license"),
+    ("cc0-1.0", "cc0 1 0 universal public domain dedication"),
+    (
+        "cc0-1.0",
+        "the person who associated a work with this deed has dedicated the work to the public domain by waiving all of his or her rights to the work",
+    ),
     ("gpl-3.0", "licensed under the gnu general public license version 3"),
-    ("gpl-3.0", "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation"),
+    (
+        "gpl-3.0",
+        "this program is free software you can redistribute it and or modify it under the terms of the gnu general public"
+        " license as published by the free software foundation",
+    ),
     ("isc", "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted"),
+    (
+        "isc",
+        "the software is provided as is and the author disclaims all warranties with regard to this software including all"
+        " implied warranties of merchantability and fitness",
+    ),
+    ("isc", "of the isc license"),
+    ("lgpl", "the gnu lesser general public license"),
     ("mit", "released under the mit license"),
+    ("mit", "of the mit license"),
     ("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files"),
+    (
+        "mit",
+        "to deal in the software without restriction including without limitation the rights to use copy modify merge"
+        " publish distribute sublicense and or sell copies of the software and to permit persons to whom the software is"
+        " furnished to do so",
+    ),
+    ("mit", "the above copyright notice and this permission notice shall be included in all copies or substantial portions of the software"),
+    (
+        "mit",
+        "the software is provided as is without warranty of any kind express or implied including but not limited to the"
+        " warranties of merchantability fitness for a particular purpose and noninfringement",
+    ),
     ("mpl-2.0", "this source code form is subject to the terms of the mozilla public license v 2 0"),
+    ("mpl-2.0", "of the mozilla public license"),
     ("unlicense", "this is free and unencumbered software released into the public domain"),
+    (
+        "unlicense",
+        "anyone is free to copy modify publish use compile sell or distribute this software either in source code form or"
+        " as a compiled binary for any purpose commercial or non commercial and by any means",
+    ),
 )
 
 
@@ -121,7 +186,7 @@ def scanned(docs: DataFrame) -> DataFrame:
 
     spans: label:first:last of each verified run, its first and last word, by place, comma-joined.
     """
-    keyed = ids_and_text(docs).withColumn("row", F.xxhash64("doc_id", "text"))
+    keyed = ids_and_text(docs).withColumn("row", row_key())
     # explode of one array: else the optimizer puts the split in place of every later mention of its result
     split = keyed.select("row", "doc_id", F.explode(F.array(words(F.col("text")))).alias("words"))
     best = runs(matches(split.select("row", "words"))).groupBy("row").agg(

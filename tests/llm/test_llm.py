@@ -494,10 +494,33 @@ def test_diagonals_allow_edits(spark):
     assert {r.doc_id: r.labels for r in licenses.scanned(df).collect()} == {1: "mit", 2: ""}
 
 
+def test_notices_and_mentions(spark):
+    """Each template has its own label alone, short mentions are found, and what only sounds like one is not."""
+    own = [(i, label, t) for i, (label, t) in enumerate(licenses.TEMPLATES)]
+    said = [
+        ("mit", "This code is released under the terms of the MIT License."),
+        ("mit", "distributed under the MIT license, see the file"),
+        ("apache-2.0", "subject to the terms of the Apache License"),
+        ("gpl,lgpl", "under the terms of the GNU Lesser General Public License"),
+        ("agpl-3.0,gpl", "see the GNU Affero General Public License for details"),
+        ("mpl-2.0", "under the terms of the Mozilla Public License"),
+        ("", "released under the terms of the agreement, and the license of the driver"),
+        ("", "the software is provided without a manual; permission is granted by the author"),
+    ]
+    rows = own + [(1000 + i, label, t) for i, (label, t) in enumerate(said)]
+    df = spark.createDataFrame(rows, "doc_id long, want string, text string")
+    got = {r.doc_id: r.labels for r in licenses.scanned(df).collect()}
+    for i, label, text in rows:
+        if i < 1000:
+            assert set(got[i].split(",")) - {"gpl", "cc-by"} == {label}, text
+        else:
+            assert got[i] == label, text
+
+
 def test_diagonals_by_brute_force(spark):
     """Templates with words dropped, put in, swapped and cut, against the same rules in plain Python."""
     r, rows = random.Random(8), []
-    for i in range(120):
+    for i in range(240):
         w = r.choice(licenses.TEMPLATES)[1].split()
         for _ in range(r.randint(0, 4)):
             k = r.randrange(len(w))
