@@ -4,13 +4,14 @@ KINDS are found by pattern; a match that fails its kind's check is dropped. SECR
 are found besides. These are the protected entities. The method then asks how strongly a term reveals that an
 entity is near: over all documents, a term's words within two words of an entity (`near`) against all its words
 (`total`), the entities told apart by value. A term discloses from LEAST_VALUES different values on, when the share
-near / total is SHARE or more and the pointwise mutual information of term and entity is BITS or more. Where such a
-term stands near an entity, its place becomes a span of kind `term`. `sanitised` puts [KIND] in the place of every
-span: entities are generalised to their kind, terms removed to [TERM].
+near / total is SHARE or more and the pointwise mutual information of term and entity is BITS or more. Wherever such a
+term stands in any text, near an entity that a pattern finds or not, its place becomes a span of kind `term`, unless it
+shares characters with an entity. `sanitised` puts [KIND] in the place of every span: entities are generalised to their
+kind, terms removed to [TERM].
 
 The patterns are possessive and start where a run starts, so that long runs take linear time and no stack; they
-find what the plain ones find. Counts are aggregated before they are shuffled; windows of documents are joined by
-term and by document, and only spans meet there, never texts.
+find what the plain ones find. Counts are aggregated before they are shuffled; all words of all texts meet the
+disclosing terms, and documents meet their spans, never texts.
 
 Null text counts as empty: no spans. Repeated rows get equal results, and count each in the corpus statistics.
 An empty table gives an empty one; other columns play no part, but `sanitised` hands them on.
@@ -203,13 +204,53 @@ def disclosing(docs: DataFrame, spans_found: DataFrame) -> DataFrame:
     return found
 
 
+#: Words of a stretch: a word's place is its stretch's and the lengths of the words before it there.
+STRETCH = 16
+
+
+def places(docs: DataFrame, terms: DataFrame) -> DataFrame:
+    """(row, term, start, end) of every place in docs where one of terms stands as a whole word, letters' case aside."""
+    word = f"{OTHER}*+{TERM}++"
+    all_of = lambda text, pattern: F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+
+    def begun(stretches: Column) -> Column:
+        begins = prefixes(F.transform(stretches, F.length), F.lit(0), lambda a, b: a + b)
+        return F.zip_with(stretches, begins, lambda x, at: F.struct(at.alias("at"), x.alias("part")))
+
+    stretches = all_of(F.col("text"), f"(?:{word}){{1,{STRETCH}}}")
+    cut = ids_and_text(docs).select(row_key().alias("row"), F.explode(once(stretches, begun)).alias("s")).select("row", "s.*")
+    each = cut.select("row", "at", "part", F.posexplode(all_of(F.col("part"), f"{TERM}++")).alias("i", "word"))
+    met = each.withColumn("term", F.lower("word")).join(terms.select("term"), "term")
+    end = F.col("at") + F.length(F.array_join(F.slice(all_of(F.col("part"), word), F.lit(1), F.col("i") + 1), ""))
+    return met.select("row", "term", (end - F.length("word")).alias("start"), end.alias("end"))
+
+
+def apart(words: Column, entities: Column) -> Column:
+    """Those of words that share no character with one of entities, sorted."""
+    last = 2**31 - 1
+
+    def marked(held: Column, word: bool) -> Column:
+        return F.transform(held, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["found"].alias("found"), F.lit(word).alias("word")))
+
+    def free(held: Column) -> Column:
+        # the farthest end of the entities before, the nearest start of those behind
+        ends = prefixes(F.transform(held, lambda s: F.when(s["word"], 0).otherwise(s["end"])), F.lit(0), lambda a, b: F.greatest(a, b))
+        starts = F.transform(F.reverse(held), lambda s: F.when(s["word"], last).otherwise(s["start"]))
+        starts = F.reverse(prefixes(starts, F.lit(last), lambda a, b: F.least(a, b)))
+        alone = lambda e, b: F.filter(held, lambda s, i: s["word"] & (F.get(e, i) <= s["start"]) & (F.get(b, i) >= s["end"]))
+        return once(ends, lambda e: once(starts, lambda b: alone(e, b)))
+
+    kept = once(F.array_sort(F.concat(marked(words, True), marked(entities, False))), free)
+    return F.transform(kept, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["found"].alias("found")))
+
+
 def with_terms(docs: DataFrame) -> DataFrame:
-    """What `found` gives, and in `term` the spans of disclosing terms."""
+    """What `found` gives, and in `term` the spans of disclosing terms, wherever they stand."""
     base = found(docs)
-    terms = disclosing(docs, base)
-    near = base.select("row", F.explode("near").alias("n")).select("row", F.col("n.term").alias("term"), F.col("n.start").alias("start"), F.col("n.end").alias("end"))
-    hits = near.join(terms.select("term"), "term").groupBy("row").agg(F.array_sort(F.collect_set(F.struct("start", "end", F.col("term").alias("found")))).alias("term"))
-    return base.drop("near").join(hits, "row", "left").withColumn("term", F.coalesce("term", F.array().cast(NO_SPANS)))
+    hits = places(docs, disclosing(docs, base)).groupBy("row").agg(F.collect_set(F.struct("start", "end", F.col("term").alias("found"))).alias("term"))
+    no_terms, entities = F.array().cast(NO_SPANS), F.concat(*PATTERNS)
+    joined = base.drop("near").join(hits, "row", "left")
+    return joined.withColumn("term", F.when(F.col("term").isNull(), no_terms).otherwise(apart(F.col("term"), entities)))
 
 
 def _one(kind: str, shown):

@@ -257,6 +257,34 @@ def test_prefixes_and_pieces(spark, monkeypatch):
     assert all(x.s == x.t[x.a : x.b] for x in got.select("*", personal.between(personal.in_pieces(F.col("t")), F.col("a"), F.col("b")).alias("s")).collect())
 
 
+def test_disclosing_terms_wherever_they_stand(spark):
+    """Far from entities, in texts without one, in odd case, after long texts; not within an entity."""
+    import re
+
+    from floeframe.llm import personal
+
+    r = random.Random(8)
+    prose = lambda n: " ".join("".join(r.choice("abcdefgh") for _ in range(r.randint(1, 7))) for _ in range(n))
+    texts = [f"{prose(40)} ward contact user{i}@mail.example.com {prose(40)} 👩 Contact, {prose(300)}\n\n CONTACT" for i in range(12)]
+    texts += ["Contact 日本 contacts contact", "", "contact@b.org (contact) x@contact.com 9.8.7.6contact contact", "xcontact éCONTACT contact_me"]
+    texts += [prose(400) for _ in range(90)] + [f"contact u{i}@b.org" for i in range(40)]
+    df = spark.createDataFrame([*enumerate(texts), (900, None)], "doc_id long, text string")
+    told = {x.term for x in personal.disclosing(df, personal.found(df)).collect()}
+    assert "contact" in told
+    term = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
+    got = {x.doc_id: x for x in personal.with_terms(df).collect()}
+    assert len(got) == len(texts) + 1 and got[900].term == []
+    for i, t in enumerate(texts):
+        taken = [(s.start, s.end) for kind in personal.PATTERNS for s in got[i][kind]]
+        want = [(*m.span(), m[0].lower()) for m in term.finditer(t) if m[0].lower() in told]
+        want = [x for x in want if all(x[1] <= a or x[0] >= b for a, b in taken)]
+        assert [tuple(s) for s in got[i].term] == want, t
+    assert all(sum(s.found == "contact" for s in got[i].term) == 3 for i in range(12))
+    assert sum(s.found == "contact" for s in got[12].term) == 2 and sum(s.found == "contact" for s in got[14].term) == 2
+    out = {x.doc_id: x.text or "" for x in personal.sanitised(df).collect()}
+    assert not any("@" in t for t in out.values()) and out[14].startswith("[EMAIL] ([TERM]) [EMAIL] ")
+
+
 def test_many_addresses_in_one_text(spark):
     import time
 
