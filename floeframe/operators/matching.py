@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from floeframe.functions.codes import MASK, UNKNOWN, tenths
+from floeframe.sources import tables
 
 
 def chart_tenths(pixels: DataFrame, codes: DataFrame) -> DataFrame:
@@ -64,19 +65,28 @@ def containing(ids: DataFrame, names: DataFrame, id: str, name: str) -> DataFram
 
     Names are cut into their stretches of the lengths that ids have, and those meet ids by equality, so no name is
     searched for every id, and neither side has to fit anywhere: a name of L letters makes at most L stretches for each
-    length. They are counted before they are shuffled on, so an id that most names hold is a few rows. Ids that no name
-    holds have a null `first` and 0; null and empty ids are left out, null names hold nothing.
+    length. Stretches with a letter that no id has are left out. Names are sorted and numbered, and written down so: a
+    stretch's count and its least number are of fixed width, so Spark adds them up by hash as names are cut, without
+    sorting stretches, and what is shuffled is at most each different stretch once a task. The least numbers become names
+    again by a join. Ids that no name holds have a null `first` and 0; null and empty ids are left out, null names hold
+    nothing.
     """
     wanted = ids.select(F.col(id).alias("__id")).where(F.length("__id") > 0).distinct()
     # one short list: there are at most as many lengths as the longest id has letters
     lengths = wanted.agg(F.collect_set(F.length("__id"))).scalar()
-    held = names.select(F.col(name).alias("__name")).where(F.col("__name").isNotNull()).distinct().withColumn("__lengths", lengths)
-    starts = lambda size: F.sequence(F.lit(1), F.length("__name") - size + 1)
-    cut = lambda size: F.transform(starts(size), lambda at: F.substr(F.col("__name"), at, size))
-    fit = F.filter(F.col("__lengths"), lambda size: size <= F.length("__name"))
-    each = held.select("__name", F.explode(F.array_distinct(F.flatten(F.transform(fit, cut)))).alias("__id"))
-    found = each.groupBy("__id").agg(F.min("__name").alias("first"), F.count("*").alias("n"))
-    made = wanted.join(found, "__id", "left")
+    # as short a list: the letters of ids
+    letters = "".join(r[0] for r in wanted.select(F.explode(F.split("__id", "")).alias("c")).where("c <> ''").distinct().collect())
+    others = "[^" + "".join(rf"\x{{{ord(c):X}}}" for c in sorted(letters)) + "]+" if letters else "(?s).+"
+    distinct = names.select(F.col(name).alias("__name")).where(F.col("__name").isNotNull()).distinct()
+    path = tables.scratch_path(names.sparkSession, "names")
+    distinct.orderBy("__name").select("__name", F.monotonically_increasing_id().alias("__at")).write.parquet(path)
+    held = names.sparkSession.read.parquet(path)
+    cut = lambda run, size: F.transform(F.sequence(F.lit(1), F.length(run) - size + 1), lambda at: F.substr(run, at, size))
+    fit = lambda run: F.filter(F.col("__lengths"), lambda size: size <= F.length(run))
+    stretches = F.flatten(F.transform(F.split("__name", others), lambda run: F.flatten(F.transform(fit(run), lambda size: cut(run, size)))))
+    each = held.withColumn("__lengths", lengths).select("__at", F.explode(F.array_distinct(stretches)).alias("__id"))
+    found = each.groupBy("__id").agg(F.min("__at").alias("__at"), F.count("*").alias("n"))
+    made = wanted.join(found, "__id", "left").join(held.withColumnRenamed("__name", "first"), "__at", "left")
     return made.select(F.col("__id").alias(id), "first", F.coalesce("n", F.lit(0)).alias("n"))
 
 

@@ -32,6 +32,22 @@ def test_names_that_hold_ids(spark):
     assert [tuple(r) for r in alone.collect()] == [("a", None, 0)]
 
 
+def test_stretches_are_added_up_by_hash(spark):
+    """Any letters, those of patterns too; and nothing that sorts all stretches."""
+    letters = ["a", "é", "👩", "𝒳", "]", "^", "-", "\\", "\n", " ", "b"]
+    r = np.random.default_rng(5)
+    word = lambda n: "".join(letters[k] for k in r.integers(0, len(letters) - 1, n))
+    ids = [word(n) for n in r.integers(1, 4, 40)]
+    names = [word(n) + "b" * (n % 2) + word(n) for n in r.integers(0, 9, 300)]
+    got = matching.containing(
+        spark.createDataFrame([(i,) for i in ids], "id string"), spark.createDataFrame([(n,) for n in names], "name string").repartition(7), "id", "name"
+    )
+    held = {i: {n for n in names if i in n} for i in ids}
+    # as Spark compares strings: by their bytes
+    assert {tuple(x) for x in got.collect()} == {(i, min(h, key=str.encode, default=None), len(h)) for i, h in held.items()}
+    assert "SortAggregate" not in got._jdf.queryExecution().executedPlan().toString()
+
+
 def grid_of(spark, f, lines, samples, scene="s"):
     return spark.createDataFrame([(scene, float(r), float(c), *map(float, f(r, c))) for r in lines for c in samples], "scene_id string, line double, sample double, x double, y double")
 
