@@ -402,7 +402,7 @@ def _coarse(spark, sf_dir, gap) -> tuple[DataFrame, DataFrame]:
         F.when(k % 11 == 5, gap).otherwise(F.col("p_retailprice")).alias("value"),
     )
     side = F.sequence(F.lit(0).cast("long"), F.lit(9).cast("long"))
-    scenes = cells.select("scene_id").distinct()
+    scenes = resampling.spread(cells.select("scene_id"), "scene_id").distinct()
     return scenes.withColumn("row", F.explode(side)).withColumn("col", F.explode(side)), cells
 
 

@@ -2,13 +2,15 @@
 
 import hashlib
 import http.server
+import math
 import threading
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from floeframe.operators import matching, warp
+from floeframe.operators import matching, resampling, warp
+from floeframe.plans import catalog
 from floeframe.sources import downloads
 from floeframe.streaming import arrivals, running
 from tests.test_build import NAME, save
@@ -48,6 +50,37 @@ def test_stretches_are_added_up_by_hash(spark):
     assert "SortAggregate" not in got._jdf.queryExecution().executedPlan().toString()
 
 
+def test_resampling_by_windows(spark, tmp_path):
+    """Each target by hand: grids of one row, targets that come again or lie outside, cells that come again; in all tasks."""
+    shapes, nan = {"a": (4, 3), "b": (1, 5), "c": (2, 1), "d": (1, 1)}, float("nan")
+    cells = [(s, r, c, h, w, nan if (r + 2 * c) % 5 == 3 else (None if (r + c) % 7 == 5 else r * 10.0 + c * c)) for s, (h, w) in shapes.items() for r in range(h) for c in range(w)]
+    cells += [("a", 1, 1, 4, 3, 50.0), ("a", 0, 0, 4, 3, float("inf"))]
+    places = [(s, r, c) for s in shapes for r in range(-1, 10) for c in range(-1, 8)]
+    extra = [("a", 1, 1), ("no such scene", 0, 0)]
+
+    def around(at, small, large):
+        place = at * (small - 1) / (large - 1)
+        low = min(math.floor(place), max(small - 2, 0))
+        return [(i, x) for i, x in ((low, 1 - (place - low)), (min(low + 1, small - 1), place - low)) if x > 0]
+
+    want = {}
+    for s, r, c in places:
+        h, w = shapes[s]
+        met = [(v, y * x) for i, y in around(r, h, 9) for j, x in around(c, w, 7) for q, k, m, _, _, v in cells if (q, k, m) == (s, i, j) and v is not None and v == v]
+        n = sum(x for _, x in met)
+        want[s, r, c] = sum(v * x for v, x in met) / n if n > 1e-6 else nan
+    coarse = spark.createDataFrame(cells, "scene_id string, row int, col int, h int, w int, value double")
+    made = resampling.bilinear(spark.createDataFrame(places + extra, "scene_id string, row int, col int"), coarse, 9, 7)
+    got = made.collect()
+    assert len(got) == len(want) and {(r.scene_id, r.row, r.col): r.value for r in got} == pytest.approx(want, nan_ok=True)
+
+    part = spark.range(640).selectExpr("id AS p_partkey", "CAST(id AS DOUBLE) AS p_retailprice")
+    part.write.parquet(str(tmp_path / "part.parquet"))
+    for query in (catalog.gap_safe_resampling, catalog.nearest_resampling, catalog.corner_nearest_resampling):
+        df = query(spark, str(tmp_path))
+        assert df.count() == 4000 and df.rdd.getNumPartitions() == 4
+
+
 def grid_of(spark, f, lines, samples, scene="s"):
     return spark.createDataFrame([(scene, float(r), float(c), *map(float, f(r, c))) for r in lines for c in samples], "scene_id string, line double, sample double, x double, y double")
 
